@@ -21,18 +21,20 @@ from tickloom.llm.common import Scratch, map_columns, numbered
 
 CAPACITY = 1024
 END_ID = 2
-#: Distinct words whose ids a worker remembers; beyond it, it starts anew.
+#: Distinct words whose ids a worker remembers; beyond it, it keeps those met most often.
 REMEMBERED = 800_000
 
 _ADJACENT_SPACE = re.compile(r"\s\s")
 _WORD_BORDER = re.compile(r"(?<=\S) (?=\S)")
+_LINE_END = ("\n",)
 
 
 class WordEncoder(dict):
     """Encodes texts with a byte-level BPE tokenizer, each distinct word once.
 
-    The tokenizer never merges across a single space between two other characters, so a text's ids are those of its
-    space-led words one after the other. Keys: a word that a space leads, or a 1-tuple with a text's first word.
+    The tokenizer never merges across a single space or line end between two other characters, so a text's ids are
+    those of its space-led words and line ends one after the other. Keys: a word that a space leads, or a 1-tuple with
+    a line's first word or its end.
     """
 
     def __init__(self, path: str):
@@ -46,7 +48,17 @@ class WordEncoder(dict):
     def forget(self) -> None:
         self.clear()
         self.waiting: list[str] = []
-        self.flat, self.used, self.ends = np.empty(1 << 16, np.int32), 0, np.zeros(1, np.int64)
+        self.flat, self.used, self.ends, self.met = np.empty(1 << 16, np.int32), 0, np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def thin(self) -> None:
+        """Keeps the words met most often, half of REMEMBERED at most."""
+        least = max(2, int(np.partition(self.met, -REMEMBERED // 2)[-REMEMBERED // 2]) + 1)
+        kept = np.flatnonzero(self.met >= least)
+        words, size = list(self), np.diff(self.ends)[kept]
+        flat, met = np.concatenate([self.flat[self.ends[k] : self.ends[k + 1]] for k in kept] or [self.flat[:0]]), self.met[kept]
+        self.forget()
+        self.update((words[at], k) for k, at in enumerate(kept))
+        self.flat, self.used, self.ends, self.met = flat, len(flat), np.concatenate([[0], np.cumsum(size)]), met
 
     def __missing__(self, key) -> int:
         self[key] = at = len(self)
@@ -65,16 +77,24 @@ class WordEncoder(dict):
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self) > REMEMBERED:
-            self.forget()
+            self.thin()
         words: list = []
         counts = []
         for text in texts:
-            parts = _WORD_BORDER.split(text) if _ADJACENT_SPACE.search(text) else text.split(" ")
-            counts.append(len(parts))
-            parts[0] = (parts[0],)
-            words += parts
+            before = len(words)
+            if _ADJACENT_SPACE.search(text):
+                first, *rest = _WORD_BORDER.split(text)
+                words.append((first,))
+                words += rest
+            else:
+                for line in text.split("\n"):
+                    first, *rest = line.split(" ")
+                    words += ((first,), *rest, _LINE_END)
+                words.pop()
+            counts.append(len(words) - before)
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         self.learn()
+        self.met = np.bincount(at, minlength=len(self)) + np.pad(self.met, (0, len(self) - len(self.met)))
         first, size = self.ends[at], self.ends[at + 1] - self.ends[at]
         ends = np.cumsum(size)
         ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)]
