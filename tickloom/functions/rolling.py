@@ -75,6 +75,7 @@ def rolling_cov(a: Column | str, b: Column | str, n: int, least: int, w: WindowS
 
 
 def rolling_corr(a: Column | str, b: Column | str, n: int, least: int, w: WindowSpec) -> Column:
-    own = last_rows(w, n)
-    both = col(a).isNotNull() & col(b).isNotNull()
-    return enough(F.when(both, col(a)), own, least, F.corr(col(a), col(b)).over(own))
+    """Correlation of the rows that have both, missing without spread."""
+    cov, x, y = rolling_cov(a, b, n, least, w), F.when(col(b).isNotNull(), col(a)), F.when(col(a).isNotNull(), col(b))
+    spread = rolling_cov(x, x, n, least, w) * rolling_cov(y, y, n, least, w)
+    return F.when(spread > 0, cov / F.sqrt(spread))

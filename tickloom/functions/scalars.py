@@ -25,6 +25,14 @@ def ratio(a: Column | str, b: Column | str, tiny: float = TINY) -> Column:
     return F.when(F.abs(b) > tiny, a / b)
 
 
+def correlation(a: Column | str, b: Column | str) -> Column:
+    """Pearson correlation of the rows that hold both, missing without spread, where corr() would divide by zero."""
+    a, b = col(a), col(b)
+    both = a.isNotNull() & b.isNotNull()
+    x, y = F.when(both, a), F.when(both, b)
+    return ratio(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y), 1e-300)
+
+
 def clip(c: Column | str, low: float, high: float) -> Column:
     """Null stays null, which greatest and least alone would skip."""
     c = col(c)

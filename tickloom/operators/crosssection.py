@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.scalars import clip, mean_of, ratio
 
@@ -117,7 +118,7 @@ def ridge_residual(df: DataFrame, by: list[str], y: str, numbers: list[str], gro
         rows[out] = rows[out].astype(object).where(rows[out].notna(), None)
         return rows
 
-    return df.groupBy(*by).applyInPandas(run, df.schema.add(out, "double"))
+    return df.groupBy(*by).applyInPandas(run, T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def recovery_quality(df: DataFrame, by: list[str], columns: list[str], drawdown: str, ret: str) -> DataFrame:

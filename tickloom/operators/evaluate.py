@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import ratio
+from tickloom.functions.scalars import correlation, ratio
 from tickloom.operators.crosssection import preprocess_factor, rank_pct
 
 
@@ -47,9 +47,9 @@ def factor_metrics(sample: DataFrame, by: list[str], value: str, label: str, sym
     total = sample.groupBy(*by).agg(F.count("*").alias("total"))
     both = sample.where(F.col(value).isNotNull() & F.col(label).isNotNull())
     ranked = buckets(both.withColumn("_x", rank_pct(value, by)).withColumn("_y", rank_pct(label, by)), by, value, symbol, n)
-    ic = ranked.groupBy(*by).agg(F.count("*").alias("valid"), F.corr("_x", "_y").alias("rank_ic"))
+    ic = ranked.groupBy(*by).agg(F.count("*").alias("valid"), correlation("_x", "_y").alias("rank_ic"))
     tenth = ranked.groupBy(*by, "bucket").agg(F.avg(label).alias("m"))
-    spread = tenth.groupBy(*by).agg((F.max_by("m", "bucket") - F.min_by("m", "bucket")).alias("top_bottom"), F.corr("bucket", "m").alias("monotonicity"), F.count("*").alias("_k"))
+    spread = tenth.groupBy(*by).agg((F.max_by("m", "bucket") - F.min_by("m", "bucket")).alias("top_bottom"), correlation("bucket", "m").alias("monotonicity"), F.count("*").alias("_k"))
     out = total.join(ic, by, "left").join(spread, by, "left")
     enough = F.coalesce(F.col("valid"), F.lit(0)) >= least
     ok = lambda c: F.when(enough, F.col(c))
@@ -97,7 +97,7 @@ def factor_autocorrelation(values: DataFrame, pairs: DataFrame, by: list[str], v
     both = values.where(F.col(value).isNotNull()).join(before, at).join(old.where("_old is not null"), [*by, symbol, "_before"])
     section = [*by, at]
     ranked = both.withColumn("_x", rank_pct(value, section)).withColumn("_y", rank_pct("_old", section))
-    return ranked.groupBy(*section).agg(F.count("*").alias("n"), F.corr("_x", "_y").alias("autocorrelation"))
+    return ranked.groupBy(*section).agg(F.count("*").alias("n"), correlation("_x", "_y").alias("autocorrelation"))
 
 
 def observation_rows(values: DataFrame, at: str, value: str, computed: str, available: str | None = None, flag: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import plain_id, ratio
+from tickloom.functions.scalars import correlation, plain_id, ratio
 from tickloom.operators.joins import asof_backward, asof_forward, replace_like
 
 KEY = ["symbol", "trade_date"]
@@ -159,7 +159,7 @@ def l2_microstructure(deals: DataFrame, quotes: DataFrame) -> DataFrame:
     q = order_flow(quote_state(quotes))
     w = _in_time(*KEY)
     q2 = q.withColumn("_next", F.lead("ofi").over(w)).withColumn("_shift", F.col("micro") - F.col("mid")).withColumn("_refill", F.greatest(F.col("depth1") - F.lag("depth1").over(w), F.lit(0.0)))
-    book = q2.groupBy(*KEY).agg(F.avg("spread").alias("spread"), F.avg(ratio(F.col("spread"), F.col("mid"))).alias("relative_spread"), F.avg("obi1").alias("obi1"), F.avg("obi5").alias("obi5"), F.avg("depth5").alias("depth5"), F.avg("slope").alias("depth_slope"), F.avg("convexity").alias("depth_convexity"), F.avg("_shift").alias("microprice_shift"), F.avg("_refill").alias("replenish"), F.sum("ofi").alias("ofi_sum"), F.avg("ofi").alias("ofi_mean"), F.stddev_samp("ofi").alias("ofi_std"), F.corr("ofi", "_next").alias("ofi_persistence"))
+    book = q2.groupBy(*KEY).agg(F.avg("spread").alias("spread"), F.avg(ratio(F.col("spread"), F.col("mid"))).alias("relative_spread"), F.avg("obi1").alias("obi1"), F.avg("obi5").alias("obi5"), F.avg("depth5").alias("depth5"), F.avg("slope").alias("depth_slope"), F.avg("convexity").alias("depth_convexity"), F.avg("_shift").alias("microprice_shift"), F.avg("_refill").alias("replenish"), F.sum("ofi").alias("ofi_sum"), F.avg("ofi").alias("ofi_mean"), F.stddev_samp("ofi").alias("ofi_std"), correlation("ofi", "_next").alias("ofi_persistence"))
     e = asof_backward(executed(deals), q, KEY, "time", ["mid"], "seq", "q_")
     for name, ms in (("30s", 30_000), ("5m", 300_000)):
         e = asof_forward(e, q, KEY, "time", ["mid"], "seq", f"f{name}_", horizon=F.lit(ms))
@@ -178,7 +178,7 @@ def l2_lob_transition(deals: DataFrame, quotes: DataFrame, orders: DataFrame) ->
     before = F.lag("depth1").over(w)
     x = later.withColumn("_drop", F.when(before > 0, F.col("depth1") / before - 1)).withColumn("_prev", F.lag("obi1").over(w))
     hit = F.col("_drop") <= -0.2
-    book = x.groupBy(*KEY).agg(F.avg(F.when(hit, ratio(F.col("f_depth1"), F.col("depth1")))).alias("depth_recovery_5s"), F.avg(hit.cast("double")).alias("depletion_rate"), (1 - F.corr("obi1", "_prev")).alias("pressure_decay"), ratio(F.sum(F.abs("_drop") * F.col("depth1")), F.avg("depth1")).alias("depth_turnover"))
+    book = x.groupBy(*KEY).agg(F.avg(F.when(hit, ratio(F.col("f_depth1"), F.col("depth1")))).alias("depth_recovery_5s"), F.avg(hit.cast("double")).alias("depletion_rate"), (1 - correlation("obi1", "_prev")).alias("pressure_decay"), ratio(F.sum(F.abs("_drop") * F.col("depth1")), F.avg("depth1")).alias("depth_turnover"))
     near = asof_backward(orders, q, KEY, "time", ["bid", "ask"], "seq", "q_")
     touch = F.when(_side() == 0, F.abs(F.col("price") - F.col("q_bid")) <= TICK + 1e-9).otherwise(F.abs(F.col("price") - F.col("q_ask")) <= TICK + 1e-9)
     flow = near.where(touch).groupBy(*KEY).agg(_sum(F.when(F.col("type") >= 0, F.col("volume"))).alias("_add"), _sum(F.when(F.col("type") < 0, F.col("volume"))).alias("_cancel"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.rolling import delta, forward_fill, last_rows, ordered, pct_change, rolling_cov, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum, shift
-from tickloom.functions.scalars import clip, mean_of, ratio
+from tickloom.functions.scalars import clip, correlation, mean_of, ratio
 
 
 def ema(df: DataFrame, key: list[str], at: str, columns: dict[str, tuple[str, int]]) -> DataFrame:
@@ -15,9 +16,7 @@ def ema(df: DataFrame, key: list[str], at: str, columns: dict[str, tuple[str, in
 
     A recurrence has no window form, so each key's rows pass one pandas call; keys are symbols, of bounded history.
     """
-    schema = df.schema
-    for name in columns:
-        schema = schema.add(name, "double")
+    schema = T.StructType([*df.schema.fields, *(T.StructField(name, T.DoubleType()) for name in columns)])
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(at)
@@ -95,7 +94,7 @@ def market_risk(panel: DataFrame, symbol: str = "symbol", at: str = "trade_date"
     m = F.when(F.col(ret).isNotNull(), F.col("market_ret"))
     cov, var, own = rolling_cov(ret, m, n, least, w), rolling_cov(m, m, n, least, w), rolling_cov(ret, ret, n, least, w)
     beta = ratio(cov, var, 1e-18)
-    return both.withColumn("beta_252", beta).withColumn("residual_vol_252", F.sqrt(F.greatest(own - beta * cov, F.lit(0.0))))
+    return both.withColumn("beta_252", beta).withColumn("residual_vol_252", F.when(beta.isNotNull(), F.sqrt(F.greatest(own - beta * cov, F.lit(0.0)))))
 
 
 def listing_days(panel: DataFrame, listed: str, at: str = "trade_date") -> DataFrame:
@@ -234,7 +233,7 @@ def change_correlation(pairs: DataFrame, at: str, a: str, b: str, n: int = 4) ->
     """Pearson correlation of the n-row differences of two aligned weekly series."""
     w = Window.orderBy(at)  # one aligned macro series
     d = pairs.select((F.col(a) - F.lag(a, n).over(w)).alias("x"), (F.col(b) - F.lag(b, n).over(w)).alias("y"))
-    return d.where("x is not null and y is not null").agg(F.count("*").alias("n"), F.corr("x", "y").alias("corr"))
+    return d.where("x is not null and y is not null").agg(F.count("*").alias("n"), correlation("x", "y").alias("corr"))
 
 
 def normalized_activity(rows: DataFrame, key: str, at: str, value: str, n: int = 30) -> DataFrame:
