@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made of training text: one of words common in ordinary texts, one that holds as many
-words over-represented in toxic texts before them. Whole texts are cut into overlapping windows; a window that the
+Two zstandard dictionaries are made of training text: one of words common in ordinary texts, one that also holds pieces
+of words, 5 to 7 characters long, that are over-represented in toxic texts. Pieces carry what inflected words share and
+are long enough for a match. Whole texts are cut into overlapping windows; a window that the
 toxic dictionary compresses to fewer bytes than the ordinary one is nearer to toxic text. A logistic fit on held-back
 training texts turns the largest differences into a calibrated score.
 """
@@ -22,8 +23,8 @@ from tickloom.llm.logistic import Logistic
 SAMPLE = {1: (1_500, 1_000), 0: (4_000, 3_000)}
 #: Bytes in a window, and between the starts of two.
 WINDOW, STRIDE = 128, 96
-#: Texts that a word of the toxic dictionary must be in, standard errors that it must be over-represented by, and words.
-LEAST_TEXTS, LEAST_Z, TOXIC_WORDS = 5, 8.0, 2_000
+#: Lengths of pieces, toxic texts that one must be in, standard errors of its over-representation, and pieces at most.
+PIECES, LEAST_TEXTS, LEAST_Z, TOXIC_PIECES = (5, 6, 7), 5, 8.0, 2_000
 #: Words of the ordinary dictionary.
 COMMON_WORDS = 1_000
 THRESHOLD = 0.7
@@ -51,12 +52,21 @@ class Distance:
         return [*top, *[0.0] * (TOP - len(top)), sum(nearer) / len(nearer), np.log(len(nearer)), sum(x >= 3 for x in nearer) / len(nearer)]
 
 
+def pieces(words: set[str]) -> set[str]:
+    """All pieces of words with a space on either side."""
+    return {f" {w} "[k : k + n] for w in words for n in PIECES for k in range(len(w) + 3 - n)}
+
+
 def dictionaries(drawn: DataFrame) -> tuple[bytes, bytes]:
-    """Of texts with `toxic` 0 or 1. Equal texts count once; only words in LEAST_TEXTS texts reach the driver."""
+    """Of texts with `toxic` 0 or 1. Equal texts count once; only words and pieces in LEAST_TEXTS texts reach the driver."""
 
     def of(texts: list, marks: list) -> tuple:
-        found = Counter((w, m) for t, m in zip(texts, marks, strict=True) for w in set(LETTERS.findall(t.lower())))
-        return [w for w, _ in found], [m for _, m in found], list(found.values())
+        found: Counter = Counter()
+        for text, mark in zip(texts, marks, strict=True):
+            words = set(LETTERS.findall(text.lower()))
+            found.update((w, mark, False) for w in words)
+            found.update((p, mark, True) for p in pieces(words))
+        return [w for w, _, _ in found], [m for _, m, _ in found], [p for _, _, p in found], list(found.values())
 
     texts = drawn.select("text", "toxic").distinct()
     n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -64,14 +74,15 @@ def dictionaries(drawn: DataFrame) -> tuple[bytes, bytes]:
     if not n1 or not n0:
         return b" ", b" "
     sums = [F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)).alias(f"in{k}") for k in (0, 1)]
-    counts = map_columns(texts, of, "word string, toxic int, n long", 256).groupBy("word").agg(*sums)
+    counts = map_columns(texts, of, "word string, toxic int, piece boolean, n long", 256).groupBy("word", "piece").agg(*sums)
     p = (F.col("in0") + F.col("in1")) / (n0 + n1)
     z = (F.col("in1") / n1 - F.col("in0") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
     counts = counts.where((F.col("in0") + F.col("in1") >= LEAST_TEXTS) & (p < 1)).withColumn("z", z)
-    bad = counts.where((F.col("in1") >= LEAST_TEXTS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "word").limit(TOXIC_WORDS).select("word").collect()
-    usual = counts.where(F.col("z") < LEAST_Z).orderBy(F.desc("in0"), "word").limit(COMMON_WORDS).select("word").collect()
-    written = lambda rows: " ".join(r["word"] for r in reversed(rows)).encode()  # noqa: E731  what comes last is nearest
-    return b" " + written(usual) + b" ", b" " + written(bad) + b" " + written(usual) + b" "
+    bad = counts.where(F.col("piece") & (F.col("in1") >= LEAST_TEXTS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "word").limit(TOXIC_PIECES).select("word").collect()
+    usual = counts.where(~F.col("piece")).orderBy(F.desc("in0"), "word").limit(COMMON_WORDS).select("word").collect()
+    written = lambda rows, between: between.join(r["word"] for r in reversed(rows)).encode()  # noqa: E731  what comes last is nearest
+    common = b" " + written(usual, " ") + b" "
+    return common, b" " + written(bad, "\0") + b"\0" + common
 
 
 def train(docs: DataFrame, labels: DataFrame, learns: Column, sample: dict = SAMPLE) -> tuple[bytes, bytes, Logistic]:
