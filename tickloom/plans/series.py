@@ -11,7 +11,6 @@ from tickloom.operators import timeseries as ts
 from tickloom.plans.base import BARS, RET, bars, r, returns, rounded, table
 
 QUERIES: dict = {}
-W = w_.ordered("symbol", "trade_date")
 WIN = "OVER (PARTITION BY symbol ORDER BY trade_date"
 
 
@@ -23,6 +22,11 @@ def query(sql: str | None = None):
     return add
 
 
+def own_time():
+    """Each symbol's rows by date; a window needs a session, so it's made on use."""
+    return w_.ordered("symbol", "trade_date")
+
+
 def rows_(n: int) -> str:
     return f"{WIN} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
 
@@ -37,17 +41,17 @@ def rnd(expr: str, n: int = 6) -> str:
 
 @query(f"WITH {BARS} SELECT symbol, trade_date, {rnd(f'lag(close, 2) {WIN})', 8)} AS shifted, {rnd(f'volume - lag(volume, 3) {WIN})')} AS delta3, {rnd(safe('volume', f'lag(volume) {WIN})') + ' - 1')} AS change FROM bars")
 def shift_delta(spark, d):
-    return bars(spark, d).select("symbol", "trade_date", r(w_.shift("close", 2, W), 8).alias("shifted"), r(w_.delta("volume", 3, W)).alias("delta3"), r(w_.pct_change("volume", 1, W)).alias("change"))
+    return bars(spark, d).select("symbol", "trade_date", r(w_.shift("close", 2, own_time()), 8).alias("shifted"), r(w_.delta("volume", 3, own_time())).alias("delta3"), r(w_.pct_change("volume", 1, own_time())).alias("change"))
 
 
 @query(f"WITH {BARS} SELECT symbol, trade_date, {rnd(f'last_value(CASE WHEN volume > 25 THEN close END IGNORE NULLS) {WIN} ROWS UNBOUNDED PRECEDING)', 8)} AS filled FROM bars")
 def forward_fill(spark, d):
-    return bars(spark, d).withColumn("c", F.when(F.col("volume") > 25, F.col("close"))).select("symbol", "trade_date", r(w_.forward_fill("c", W), 8).alias("filled"))
+    return bars(spark, d).withColumn("c", F.when(F.col("volume") > 25, F.col("close"))).select("symbol", "trade_date", r(w_.forward_fill("c", own_time()), 8).alias("filled"))
 
 
 @query(f"WITH {BARS} SELECT symbol, trade_date, CASE WHEN count(volume) {rows_(20)} >= 10 THEN {rnd(f'avg(volume) {rows_(20)}')} END AS mean, CASE WHEN count(volume) {rows_(20)} >= 10 THEN {rnd(f'stddev_samp(volume) {rows_(20)}')} END AS std, CASE WHEN count(volume) {rows_(5)} >= 3 THEN sum(volume) {rows_(5)} END AS total, CASE WHEN count(volume) {rows_(10)} >= 5 THEN max(volume) {rows_(10)} END AS highest, CASE WHEN count(volume) {rows_(10)} >= 5 THEN min(volume) {rows_(10)} END AS lowest FROM bars")
 def rolling_statistics(spark, d):
-    return bars(spark, d).select("symbol", "trade_date", r(w_.rolling_mean("volume", 20, 10, W)).alias("mean"), r(w_.rolling_std("volume", 20, 10, W)).alias("std"), w_.rolling_sum("volume", 5, 3, W).alias("total"), w_.rolling_max("volume", 10, 5, W).alias("highest"), w_.rolling_min("volume", 10, 5, W).alias("lowest"))
+    return bars(spark, d).select("symbol", "trade_date", r(w_.rolling_mean("volume", 20, 10, own_time())).alias("mean"), r(w_.rolling_std("volume", 20, 10, own_time())).alias("std"), w_.rolling_sum("volume", 5, 3, own_time()).alias("total"), w_.rolling_max("volume", 10, 5, own_time()).alias("highest"), w_.rolling_min("volume", 10, 5, own_time()).alias("lowest"))
 
 
 @query(f"WITH RECURSIVE {BARS}, n AS (SELECT symbol, trade_date, volume AS v, row_number() {WIN}) AS k FROM bars), e AS (SELECT symbol, trade_date, k, v AS ema FROM n WHERE k = 1 UNION ALL SELECT n.symbol, n.trade_date, n.k, e.ema * (1 - 2.0::DOUBLE / 6) + n.v * (2.0::DOUBLE / 6) FROM e JOIN n ON n.symbol = e.symbol AND n.k = e.k + 1) SELECT symbol, trade_date, {rnd('ema')} AS ema FROM e")
