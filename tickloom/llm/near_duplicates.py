@@ -6,9 +6,10 @@ make a band; two documents that share a band are candidates. With a similarity o
 chance below 1e-7. Registers that agree by chance are subtracted from the estimate, candidates whose estimate is far
 too low go, and the full shingle sets decide on the rest.
 
-A band that many documents share never yields all its pairs. First each member meets one pivot of its band, which
-joins most copies to one component. Then only members of different components are compared, blocks against blocks of
-registers inside tasks. So no link between components is lost, while links inside one needn't be found.
+A band that many documents share never yields its pairs as rows. First each member meets one pivot of its band, which
+joins most copies to one component. Of bands in which several components remain, blocks of members' full sets then meet
+inside tasks, where a product of incidence matrices counts what sets share; a task returns one link for each two
+components that it joins. So no link between components is lost, while links inside one needn't be found.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from tickloom.llm.shingles import mix, shingle_sets
 REGISTERS, BAND, MANTISSA = 128, 4, 10
 #: Standard errors that an estimate may lie below the threshold.
 SLACK = 5
-#: Members of a band that one task compares with as many others.
-BLOCK = 1024
+#: Members of a band that one task compares with as many others, and shingles that it counts at once.
+BLOCK, COLUMNS = 2048, 4096
 
 _TOP = np.uint64(64 - 7)
 
@@ -110,16 +111,32 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     raise RuntimeError("components didn't settle in 200 rounds")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, threshold: float, scratch: Scratch, name: str) -> DataFrame:
+def likely_among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose doc_id is among `wanted` (rep), and few others, without moving any text.
+
+    A bitmap of hashed ids, 64 MB at most, is sent to all tasks. Beyond 2^25 wanted ids more other rows pass, which
+    costs time but changes no result.
+    """
+    bits = 1 << min(29, max(15, (16 * wanted.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    maps = wanted.select(place("rep").alias("p")).groupBy(F.expr("p div 32768").alias("_part")).agg(F.bitmap_construct_agg(F.expr("p % 32768")).alias("_map"))
+    asked = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").withColumn("_p", place("rep")).withColumn("_part", F.expr("_p div 32768"))
+    held = F.expr("shiftright(cast(conv(hex(substring(_map, cast(_p % 32768 div 8 as int) + 1, 1)), 16, 10) as int), cast(_p % 8 as int)) & 1 = 1")
+    return asked.join(F.broadcast(maps), "_part").where(held).select("rep", "text")
+
+
+def shingles_of(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> DataFrame:
+    """rep and shingles of the documents that `wanted` names, a small part of all; `once`: no doc_id repeats."""
+    texts = likely_among(docs, wanted)
+    return map_columns(texts if once else texts.dropDuplicates(["rep"]), lambda reps, kept: (reps, [s.view(np.int64) for s in shingle_sets(kept, words)]), "rep long, shingles array<long>")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Those pairs (a, b) of documents whose full shingle sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
-    sets = scratch.save(map_columns(texts, lambda reps, kept: (reps, [s.view(np.int64) for s in shingle_sets(kept, words)]), "rep long, shingles array<long>"), f"{name}-sets")
     own = lambda c: sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"in_{c}"))
     shared = F.size(F.array_intersect("in_a", "in_b"))
     union = F.size("in_a") + F.size("in_b") - shared
-    links = pairs.join(own("a"), "a").join(own("b"), "b").where((union > 0) & (shared * 100 >= union * round(threshold * 100))).select("a", "b")
-    return scratch.save(links, f"{name}-links")
+    return pairs.join(own("a"), "a").join(own("b"), "b").where((union > 0) & (shared * 100 >= union * round(threshold * 100))).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) -> DataFrame:
@@ -140,6 +157,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         classes = scratch.save(classes, "classes")
         members = scratch.save(drawn.select("doc_id", *same).join(classes.select(*same, "rep"), same, "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members", keep=True)
         scratch.drop("sketches")
+        once = not members.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").limit(1).count()
 
         keys = scratch.save(bands(classes), "bands")
         pivots = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).getField("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")
@@ -155,22 +173,25 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
 
         met = pairs.join(sized("a"), "a").join(sized("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
         star = scratch.save(map_columns(met, likely, "a long, b long", 4096), "star")
-        links = confirmed(star, docs, words, threshold, scratch, "star")
+        ends = star.select(F.col("a").alias("rep")).unionByName(star.select(F.col("b").alias("rep"))).distinct()
+        sets = scratch.save(shingles_of(docs, ends, words, once), "sets")
+        links = scratch.save(confirmed(star, sets, threshold), "links")
+        scratch.drop("sets", "star")
         joined = components(links, scratch, "first")
 
         # bands of over two members in which several components remain
         at = shared.where("n > 2").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
         at = scratch.save(at, "at")
         mixed = at.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        block = F.pmod(F.xxhash64("rep", F.lit(1)), blocks).cast("int")
-        left = at.join(scratch.save(mixed.select("key", "n"), "mixed"), "key").withColumn("block", block).join(classes.select("rep", "n_shingles", "registers"), "rep")
-        other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
-        dealt = left.select("*", other).select("key", "rep", "component", "n_shingles", "registers", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        more = dealt.groupBy("key", "i", "j").applyInArrow(lambda t: _across(t, threshold), "a long, b long").distinct()
-        more = scratch.save(more.join(star, ["a", "b"], "left_anti"), "more")
-        if more.limit(1).count():
-            found = confirmed(more, docs, words, threshold, scratch, "more")
+        left = scratch.save(at.join(scratch.save(mixed.select("key", "n"), "mixed"), "key"), "left")
+        scratch.drop("at", "shared")
+        if left.limit(1).count():
+            blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+            block = F.pmod(F.xxhash64("rep", F.lit(1)), blocks).cast("int")
+            sets = scratch.save(shingles_of(docs, left.select("rep").distinct(), words, once), "more-sets")
+            dealt = left.withColumn("block", block).select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+            dealt = dealt.join(sets, "rep").select("key", "rep", "component", "shingles", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+            found = scratch.save(dealt.groupBy("key", "i", "j").applyInArrow(lambda t: _across(t, threshold), "a long, b long").distinct(), "found")
             joined = components(links.unionByName(found), scratch, "last")
         least = scratch.save(joined, "components", keep=True).withColumnRenamed("node", "rep")
     out = members.join(least, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
@@ -178,17 +199,36 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
 
 
 def _across(table, threshold: float):
-    """Plausible pairs of a band's members in different components, from one pair of blocks."""
+    """Links between a band's components from one pair of blocks, one for each two components at most.
+
+    Rows outside the largest component meet all rows; links within that one aren't needed.
+    """
     import pyarrow as pa
 
-    reps, part, n, block = (table.column(c).to_numpy() for c in ("rep", "component", "n_shingles", "block"))
-    kept = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(len(reps), -1)
+    reps, part, block = (table.column(c).to_numpy() for c in ("rep", "component", "block"))
     low, high = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-    left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-    a, b = [], []
-    for k in left:
-        others = right[(part[right] != part[k]) & ((reps[right] > reps[k]) | (low != high))]
-        others = others[plausible(kept[k], kept[others], n[k], n[others], threshold)] if len(others) else others
-        a.append(np.minimum(reps[k], reps[others]))
-        b.append(np.maximum(reps[k], reps[others]))
-    return pa.table({"a": np.concatenate(a) if a else np.empty(0, np.int64), "b": np.concatenate(b) if b else np.empty(0, np.int64)})
+    shingles = table.column("shingles").combine_chunks()
+    size = np.diff(shingles.offsets.to_numpy())
+    values, column = np.unique(shingles.flatten().to_numpy(), return_inverse=True)
+    often = np.bincount(column, minlength=len(values)) > 1  # others are shared by none
+    column = np.where(often, np.cumsum(often) - 1, -1)[column]
+    row = np.repeat(np.arange(len(reps)), size)
+    parts, counts = np.unique(part, return_counts=True)
+    left = np.flatnonzero(part != parts[counts.argmax()])
+    place = np.full(len(reps), -1)
+    place[left] = np.arange(len(left))
+    both = np.zeros((len(left), len(reps)), np.float32)
+    for first in range(0, int(often.sum()), COLUMNS):
+        own = (column >= first) & (column < first + COLUMNS)
+        right = np.zeros((len(reps), COLUMNS), np.float32)
+        right[row[own], column[own] - first] = 1
+        both += right[left] @ right.T
+    union = size[left][:, None] + size - both
+    linked = (both * 100 >= union * round(threshold * 100)) & (part[left][:, None] != part) & (union > 0)
+    if low != high:
+        linked &= block[left][:, None] != block
+    x, y = np.nonzero(linked)
+    a, b = reps[left[x]], reps[y]
+    ends = np.sort(np.stack([part[left[x]], part[y]]), axis=0)
+    _, once = np.unique(ends, axis=1, return_index=True)
+    return pa.table({"a": np.minimum(a, b)[once], "b": np.maximum(a, b)[once]})
