@@ -139,9 +139,9 @@ def pool_factor_values(spark, d):
     return rounded(cs.pool_factor_coverage(_multi(spark, d), _pools(spark, d), at="month"), "coverage")
 
 
-@query(f"WITH {BARS}, f AS (SELECT symbol, trade_date, volume - lag(volume, 3) OVER (PARTITION BY symbol ORDER BY trade_date) AS volume, CASE WHEN amount > 1e-12 THEN high / amount END AS high FROM bars) SELECT symbol, trade_date, volume, {rnd('high', 12)} AS high FROM f WHERE trade_date >= DATE '1996-01-01'")
+@query(f"WITH {BARS}, f AS (SELECT symbol, trade_date, volume - lag(volume, 3) OVER (PARTITION BY symbol ORDER BY trade_date) AS volume, CASE WHEN amount > 1e-12 THEN high / amount END AS high FROM bars) SELECT symbol, trade_date, volume, {rnd('high', 9)} AS high FROM f WHERE trade_date >= DATE '1996-01-01'")
 def l2_factor_panel(spark, d):
-    return rounded(cs.l2_factor_panel(bars(spark, d), {"volume": "delta3", "high": "to_clean_amount"}, "1996-01-01", amount="amount"), "high", n=12)
+    return rounded(cs.l2_factor_panel(bars(spark, d), {"volume": "delta3", "high": "to_clean_amount"}, "1996-01-01", amount="amount"), "high", n=9)
 
 
 @query(f"WITH {PANEL} SELECT symbol, month, volume, row_number() OVER (PARTITION BY month ORDER BY volume DESC, symbol) AS rank FROM panel QUALIFY rank <= 3")
@@ -192,10 +192,10 @@ def basket_style_value(spark, d):
     return rounded(basket_style_op(_basket(spark, d), "etf", "trade_date", ["ret_5"]), "ret_5", "ret_5_coverage")
 
 
-@query("SELECT o_custkey AS stock, ROUND(greatest(-2, least(2, first(v ORDER BY day DESC, s DESC, v DESC))), 6) AS outlook FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey % 2 AS s, max(o_totalprice) / 100000 - 2 AS v FROM orders GROUP BY 1, 2, 3) GROUP BY 1")
+@query("SELECT o_custkey AS stock, ROUND(greatest(-2, least(2, first(v ORDER BY day DESC, s DESC, v DESC))), 7) AS outlook FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey % 2 AS s, max(o_totalprice) / 100000 - 2 AS v FROM orders GROUP BY 1, 2, 3) GROUP BY 1")
 def earnings_outlook(spark, d):
     o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("stock"), F.to_date("o_orderdate").alias("ann"), (F.col("o_orderkey") % 2).alias("s")).agg((F.max("o_totalprice") / 100000 - 2).alias("v"))
-    return rounded(cs.earnings_outlook(o.where("s = 1"), o.where("s = 0"), "stock", "ann", "v"), "outlook")
+    return rounded(cs.earnings_outlook(o.where("s = 1"), o.where("s = 0"), "stock", "ann", "v"), "outlook", n=7)
 
 
 PAIRS = "pairs AS (SELECT a AS signal_date, lead(a) OVER (ORDER BY a) AS maturity_date FROM (SELECT DISTINCT trade_date AS a FROM bars))"
@@ -236,7 +236,7 @@ def effective_metrics(spark, d):
     return rounded(ev.effective_metrics(panel(spark, d), ["month"], "x", "y", "symbol", normalize="rank").select("month", "valid", "rank_ic"), "rank_ic")
 
 
-@query(f"WITH {METRICS}, k AS (SELECT *, row_number() OVER (ORDER BY month DESC) AS k FROM metrics WHERE rank_ic IS NOT NULL) SELECT size AS \"window\", count(*) AS n, min(month) AS first_date, max(month) AS last_date, {rnd('avg(rank_ic)')} AS ic_mean, {rnd('avg(rank_ic) / stddev_samp(rank_ic)', 5)} AS icir, {rnd('avg((rank_ic > 0)::INTEGER)')} AS win_rate, {rnd('sum(top_bottom)', 5)} AS cumulative, count(*) = size AS complete FROM k JOIN (SELECT unnest([5, 20, 60]) AS size) ON k <= size GROUP BY size")
+@query(f"WITH {METRICS}, last_ AS (SELECT *, row_number() OVER (ORDER BY month DESC) AS k FROM metrics WHERE rank_ic IS NOT NULL) SELECT size AS \"window\", count(*) AS n, min(month) AS first_date, max(month) AS last_date, {rnd('avg(rank_ic)')} AS ic_mean, {rnd('avg(rank_ic) / stddev_samp(rank_ic)', 5)} AS icir, {rnd('avg((rank_ic > 0)::INTEGER)')} AS win_rate, {rnd('sum(top_bottom)', 5)} AS cumulative, count(*) = size AS complete FROM last_ JOIN (SELECT unnest([5, 20, 60]) AS size) ON k <= size GROUP BY size")
 def performance_windows(spark, d):
     m = _metrics(spark, d).withColumn("id", F.lit(1))
     out = ev.performance_windows(m, ["id"], "month", (5, 20, 60)).drop("id", "hac_t")

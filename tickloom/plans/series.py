@@ -222,10 +222,11 @@ def retail_sentiment_daily(spark, d):
     return rounded(rounded(agg.retail_sentiment_daily(x, "trade_date", ["l_quantity", "l_discount"], ["l_extendedprice"]), "avg_l_quantity", "avg_l_discount"), "sum_l_extendedprice", n=11)
 
 
-@query(f"WITH {BARS} SELECT trade_date, count(DISTINCT symbol) AS etfs, sum(volume) AS total_shares, {rnd('sum(volume * close) / 1e4', 9)} AS total_value FROM bars GROUP BY 1")
+@query(f"WITH {BARS} SELECT trade_date, count(DISTINCT symbol) AS etfs, sum(volume) AS total_shares, {rnd('sqrt(sum(volume * close) / 1e4)')} AS root_value FROM bars GROUP BY 1")
 def etf_market_overview(spark, d):
     b = bars(spark, d)
-    return rounded(agg.etf_market_overview(b.withColumnRenamed("volume", "shares"), b, "symbol", "trade_date"), "total_value", n=9)
+    out = agg.etf_market_overview(b.withColumnRenamed("volume", "shares"), b, "symbol", "trade_date")
+    return out.select("trade_date", "etfs", "total_shares", r(F.sqrt("total_value")).alias("root_value"))  # a root has no ties to round
 
 
 @query(f"SELECT CAST(l_shipdate AS DATE) AS trade_date, {rnd('sum(l_extendedprice)', 2)} AS l_extendedprice, count(*) FILTER (l_suppkey % 3 = 0) AS rows_sh, count(*) FILTER (l_suppkey % 3 = 1) AS rows_sz, 0 AS rows_bj, count(*) FILTER (l_suppkey % 3 = 2) AS rows_unknown FROM lineitem GROUP BY 1")
