@@ -79,3 +79,19 @@ def rolling_corr(a: Column | str, b: Column | str, n: int, least: int, w: Window
     cov, x, y = rolling_cov(a, b, n, least, w), F.when(col(b).isNotNull(), col(a)), F.when(col(a).isNotNull(), col(b))
     spread = rolling_cov(x, x, n, least, w) * rolling_cov(y, y, n, least, w)
     return F.when(spread > 0, cov / F.sqrt(spread))
+
+
+def running_sum(c: Column, n: int, w: WindowSpec) -> Column:
+    """Sum of the last n rows as a difference of two running sums, so its cost doesn't grow with n."""
+    whole = F.sum(F.coalesce(c, F.lit(0.0))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.sum(F.coalesce(c, F.lit(0.0))).over(w.rowsBetween(Window.unboundedPreceding, -n))
+    return whole - F.coalesce(before, F.lit(0.0))
+
+
+def running_moments(a: Column | str, b: Column | str, n: int, w: WindowSpec) -> tuple[Column, Column, Column, Column]:
+    """Count, covariance and variances, in population form, of the last n rows that have both; for long windows."""
+    both = col(a).isNotNull() & col(b).isNotNull()
+    x, y = F.when(both, col(a)), F.when(both, col(b))
+    k = running_sum(F.when(both, 1.0), n, w)
+    mean = lambda c: running_sum(c, n, w) / F.nullif(k, F.lit(0.0))
+    return k, mean(x * y) - mean(x) * mean(y), mean(x * x) - mean(x) * mean(x), mean(y * y) - mean(y) * mean(y)

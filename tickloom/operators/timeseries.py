@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.rolling import delta, forward_fill, last_rows, ordered, pct_change, rolling_cov, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum, shift
+from tickloom.functions.rolling import delta, forward_fill, last_rows, ordered, pct_change, rolling_cov, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum, running_moments, shift
 from tickloom.functions.scalars import clip, correlation, mean_of, ratio
 
 
@@ -92,8 +92,8 @@ def market_risk(panel: DataFrame, symbol: str = "symbol", at: str = "trade_date"
     market = panel.groupBy(at).agg(F.avg(ret).alias("market_ret"))
     both, w = panel.join(market, at), ordered(symbol, at)
     m = F.when(F.col(ret).isNotNull(), F.col("market_ret"))
-    cov, var, own = rolling_cov(ret, m, n, least, w), rolling_cov(m, m, n, least, w), rolling_cov(ret, ret, n, least, w)
-    beta = ratio(cov, var, 1e-18)
+    k, cov, var, own = running_moments(m, ret, n, w)
+    beta = F.when(k >= least, ratio(cov, var, 1e-18))
     return both.withColumn("beta_252", beta).withColumn("residual_vol_252", F.when(beta.isNotNull(), F.sqrt(F.greatest(own - beta * cov, F.lit(0.0)))))
 
 
