@@ -69,12 +69,22 @@ def latest_snapshot_members(dates: DataFrame, members: DataFrame, index: str, at
 def interval_membership(rows: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str, value: str, level: str | None = None, seq: str | None = None) -> DataFrame:
     """Each row with the value whose interval [start, end) holds its date; an open end holds all later dates.
 
-    With levels, level 1 wins where any is there; then the latest start, then the greatest seq.
+    With levels, level 1 wins where any is there; then the latest start, then the greatest seq. An open interval ends
+    for this purpose where the next open one of its key and level starts, as that one wins from there on. Bounded
+    intervals meet rows by key and month, so a row isn't held against all of its key's history.
     """
-    marks = intervals.select(key, start, end, value, *(c for c in (level, seq) if c))
-    inside = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) < F.col(end)))
-    rank = F.struct(*([F.when(F.col(level) == 1, 1).otherwise(0)] if level else []), F.col(start), *([F.col(seq)] if seq else []), F.col(value))
-    best = rows.select(key, at).distinct().join(marks, key).where(inside).groupBy(key, at).agg(F.max_by(value, rank).alias(value))
+    top = F.when(F.col(level) == 1, 1).otherwise(0) if level else F.lit(0)
+    order = [start, *([seq] if seq else []), value]
+    marks = intervals.select(key, start, end, value, *(c for c in (seq,) if c), top.alias("_top")).withColumn("_open", F.col(end).isNull())
+    following = Window.partitionBy(key, "_top", "_open").orderBy(*order)
+    marks = marks.withColumn("_end", F.when(F.col("_open"), F.lead(start).over(following)).otherwise(F.col(end))).where(F.col(start).isNotNull())
+    wanted = rows.select(key, at).distinct()
+    months = F.sequence(F.trunc(start, "month"), F.trunc("_end", "month"), F.expr("interval 1 month"))
+    bounded = marks.where(F.col("_end") > F.col(start)).withColumn("_month", F.explode(months))
+    found = wanted.withColumn("_month", F.trunc(at, "month")).join(bounded, [key, "_month"]).where((F.col(at) >= F.col(start)) & (F.col(at) < F.col("_end"))).drop("_month")
+    last = wanted.join(marks.where("_end is null"), key).where(F.col(at) >= F.col(start))  # two intervals of a key at most
+    rank = F.struct("_top", *order)
+    best = found.unionByName(last).groupBy(key, at).agg(F.max_by(value, rank).alias(value))
     return rows.join(best, [key, at], "left")
 
 
@@ -82,13 +92,14 @@ def dense_panel(calendar: DataFrame, universe: DataFrame, prices: DataFrame, sus
     """Calendar x universe with as-of prices: exact matches and suspended carry-overs, one row for each key and date.
 
     Carried rows hold the last close as open, high, low and close, and no volume. Only dates with any price stay.
+    No grid is made: a row can only stay where its key has a price or a suspension, so those are the rows asked for.
     """
-    grid = calendar.select(at).distinct().crossJoin(F.broadcast(universe.select(key).distinct()))  # the result's own size
-    found = asof_backward(grid, prices, [key], at, ["open", "high", "low", "close", "volume"], prefix="p_")
-    found = found.join(suspended.select(key, at, F.lit(True).alias("suspended")).distinct(), [key, at], "left")
+    marks = prices.select(key, at, F.lit(False).alias("suspended")).unionByName(suspended.select(key, at, F.lit(True).alias("suspended")))
+    wanted = marks.groupBy(key, at).agg(F.max("suspended").alias("suspended"))
+    wanted = wanted.join(calendar.select(at).distinct().join(prices.select(at).distinct(), at, "left_semi"), at, "left_semi").join(universe.select(key).distinct(), key, "left_semi")
+    found = asof_backward(wanted, prices, [key], at, ["open", "high", "low", "close", "volume"], prefix="p_")
     for other in others:
         found = found.join(other, [key, at], "left")
-    found = found.join(prices.select(at).distinct(), at, "left_semi")
     exact = F.col("p_at") == F.col(at)
     kept = found.where(exact | (F.col("suspended") & F.col("p_close").isNotNull()))
     px = lambda c: F.when(exact, F.col(f"p_{c}")).otherwise(F.col("p_close")).alias(c)

@@ -173,13 +173,13 @@ def constituent_snapshot(spark, d):
     return cs.constituent_snapshot(holdings(spark, d), dates, "etf", "ann", "period", "day").select("day", "etf", "stock", "seq")
 
 
-W5 = f"""{RET}, {HOLD}, w AS (SELECT etf, stock AS symbol, sum(ratio) AS weight FROM h GROUP BY 1, 2), five AS (SELECT *, CASE WHEN abs(lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date)) > 1e-12 THEN close / lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date) - 1 END AS r5 FROM ret), j AS (SELECT five.*, etf, weight FROM five JOIN w USING (symbol) WHERE trade_date < DATE '1996-01-01')"""
+W5 = f"""{RET}, {HOLD}, w AS (SELECT etf, stock AS symbol, sum(ratio) AS weight FROM h GROUP BY 1, 2), five AS (SELECT *, CASE WHEN abs(lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date)) > 1e-12 THEN close / lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date) - 1 END AS r5 FROM ret), j AS (SELECT five.*, etf, weight FROM five JOIN w USING (symbol))"""
 
 
 def _basket(spark, d):
     b = returns(spark, d).withColumn("ret_5", pct_change("close", 5, ordered("symbol", "trade_date"))).withColumnRenamed("ret_1", "ret")
     w = holdings(spark, d).groupBy("etf", F.col("stock").alias("symbol")).agg(F.sum("ratio").alias("weight"))
-    return b.where("trade_date < '1996-01-01'").join(w, "symbol")
+    return b.join(w, "symbol")
 
 
 @query(f"WITH {W5}, k AS (SELECT *, row_number() OVER (PARTITION BY etf, trade_date ORDER BY weight DESC, symbol) AS k FROM j) SELECT etf, trade_date, count(*) AS members, sum(weight) FILTER (ret_1 IS NOT NULL) AS valid_weight, coalesce(sum(weight) FILTER (ret_1 > 0), 0) AS up_weight, {rnd('avg(CASE WHEN ret_1 IS NOT NULL THEN (ret_1 > 0)::INTEGER END)')} AS breadth, {rnd('median(r5)')} AS median_ret_5, {rnd('stddev_samp(r5)')} AS std_ret_5, sum(weight) FILTER (k <= 10) AS top_weight, {rnd('sum(weight * volume) / sum(weight)')} AS mean_volume FROM k GROUP BY 1, 2")
@@ -201,11 +201,11 @@ def earnings_outlook(spark, d):
 PAIRS = "pairs AS (SELECT a AS signal_date, lead(a) OVER (ORDER BY a) AS maturity_date FROM (SELECT DISTINCT trade_date AS a FROM bars))"
 
 
-@query(f"WITH {BARS}, {PAIRS} SELECT b.symbol, signal_date, maturity_date, CASE WHEN n.close IS NOT NULL THEN {rnd('n.close / b.close - 1')} WHEN b.symbol % 4 = 0 THEN 0.0 END AS forward_return, CASE WHEN n.close IS NOT NULL THEN 'ok' WHEN b.symbol % 4 = 0 THEN 'suspended' ELSE 'missing_price' END AS status FROM bars b JOIN pairs p ON p.signal_date = b.trade_date LEFT JOIN bars n ON n.symbol = b.symbol AND n.trade_date = p.maturity_date WHERE maturity_date IS NOT NULL")
+@query(f"WITH {BARS}, {PAIRS}, stop AS (SELECT DISTINCT o_custkey % 100 AS symbol, CAST(o_orderdate AS DATE) AS maturity_date, true AS stopped FROM orders) SELECT b.symbol, signal_date, p.maturity_date, CASE WHEN n.close IS NOT NULL THEN {rnd('n.close / b.close - 1')} WHEN stopped THEN 0.0 END AS forward_return, CASE WHEN n.close IS NOT NULL THEN 'ok' WHEN stopped THEN 'suspended' ELSE 'missing_price' END AS status FROM bars b JOIN pairs p ON p.signal_date = b.trade_date LEFT JOIN bars n ON n.symbol = b.symbol AND n.trade_date = p.maturity_date LEFT JOIN stop s ON s.symbol = b.symbol AND s.maturity_date = p.maturity_date WHERE p.maturity_date IS NOT NULL")
 def forward_labels(spark, d):
     b = bars(spark, d)
     dates = b.select("trade_date").distinct()
-    stop = b.select("symbol").distinct().where("symbol % 4 = 0").crossJoin(dates)
+    stop = table(spark, d, "orders").select(F.pmod("o_custkey", F.lit(100)).alias("symbol"), F.to_date("o_orderdate").alias("trade_date"))
     return rounded(ev.forward_labels(b, session_pairs(dates), stop), "forward_return")
 
 

@@ -71,26 +71,24 @@ def pit_event_join(spark, d):
     return joins.point_in_time_events(_shipments(spark, d), facts, "symbol", "day", "day", ["price"], "seq")
 
 
-@query("WITH m AS (SELECT DISTINCT o_orderpriority AS idx, CAST(date_trunc('month', o_orderdate) AS DATE) AS day, o_custkey AS symbol FROM orders WHERE o_custkey % 20 = 0), d AS (SELECT DISTINCT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS day FROM lineitem), s AS (SELECT DISTINCT idx, day FROM m), w AS (SELECT d.day, i.idx FROM d CROSS JOIN (SELECT DISTINCT idx FROM m) i), f AS (SELECT w.day, w.idx, s.day AS snap FROM w ASOF JOIN s ON w.idx = s.idx AND w.day >= s.day) SELECT f.day, f.idx, m.symbol FROM f JOIN m ON m.idx = f.idx AND m.day = f.snap")
+@query("WITH m AS (SELECT DISTINCT o_orderpriority AS idx, CAST(date_trunc('month', o_orderdate) AS DATE) AS day, o_custkey AS symbol FROM orders), d AS (SELECT DISTINCT CAST(date_trunc('quarter', l_shipdate) AS DATE) AS day FROM lineitem), s AS (SELECT DISTINCT idx, day FROM m), w AS (SELECT d.day, i.idx FROM d CROSS JOIN (SELECT DISTINCT idx FROM m) i), f AS (SELECT w.day, w.idx, s.day AS snap FROM w ASOF JOIN s ON w.idx = s.idx AND w.day >= s.day) SELECT f.day, f.idx, m.symbol FROM f JOIN m ON m.idx = f.idx AND m.day = f.snap")
 def pit_index_membership(spark, d):
-    m = table(spark, d, "orders").where("o_custkey % 20 = 0").select(F.col("o_orderpriority").alias("idx"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("day"), F.col("o_custkey").alias("symbol")).distinct()
+    m = table(spark, d, "orders").select(F.col("o_orderpriority").alias("idx"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("day"), F.col("o_custkey").alias("symbol")).distinct()
     dates = table(spark, d, "lineitem").select(F.to_date(F.date_trunc("quarter", "l_shipdate")).alias("day")).distinct()
     return joins.latest_snapshot_members(dates, m, "idx", "day", "symbol")
 
 
-@query(f"WITH {FACTS}, i AS (SELECT o_custkey % 100 AS symbol, CAST(o_orderdate AS DATE) AS a, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) + 60 END AS b, o_orderkey AS seq, o_orderpriority AS v, CAST(o_orderkey % 3 AS INTEGER) AS level FROM orders WHERE o_orderkey % 7 = 0), j AS (SELECT s.symbol, s.day, first(v ORDER BY CASE WHEN level = 1 THEN 1 ELSE 0 END DESC, a DESC, seq DESC) AS v FROM ships s JOIN i ON s.symbol = i.symbol AND s.day >= a AND (b IS NULL OR s.day < b) GROUP BY 1, 2) SELECT s.symbol, s.day, s.n, v FROM ships s LEFT JOIN j USING (symbol, day)")
+@query(f"WITH {FACTS}, i AS (SELECT o_custkey % 100 AS symbol, CAST(o_orderdate AS DATE) AS a, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) + 60 END AS b, o_orderkey AS seq, o_orderpriority AS v, CAST(o_orderkey % 3 AS INTEGER) AS level FROM orders), j AS (SELECT s.symbol, s.day, first(v ORDER BY CASE WHEN level = 1 THEN 1 ELSE 0 END DESC, a DESC, seq DESC) AS v FROM ships s JOIN i ON s.symbol = i.symbol AND s.day >= a AND (b IS NULL OR s.day < b) GROUP BY 1, 2) SELECT s.symbol, s.day, s.n, v FROM ships s LEFT JOIN j USING (symbol, day)")
 def pit_interval_membership(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 7 = 0").select(F.pmod("o_custkey", F.lit(100)).alias("symbol"), F.to_date("o_orderdate").alias("a"), F.when(F.col("o_orderkey") % 4 != 0, F.date_add(F.to_date("o_orderdate"), 60)).alias("b"), F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("v"), (F.col("o_orderkey") % 3).cast("int").alias("level"))
+    o = table(spark, d, "orders").select(F.pmod("o_custkey", F.lit(100)).alias("symbol"), F.to_date("o_orderdate").alias("a"), F.when(F.col("o_orderkey") % 4 != 0, F.date_add(F.to_date("o_orderdate"), 60)).alias("b"), F.col("o_orderkey").alias("seq"), F.col("o_orderpriority").alias("v"), (F.col("o_orderkey") % 3).cast("int").alias("level"))
     return joins.interval_membership(_shipments(spark, d), o, "symbol", "day", "a", "b", "v", "level", "seq")
 
 
-@query(f"WITH {BARS}, cal AS (SELECT DISTINCT trade_date FROM bars WHERE trade_date >= DATE '1997-01-01' AND trade_date < DATE '1997-07-01'), g AS (SELECT c.trade_date, u.symbol FROM cal c CROSS JOIN (SELECT DISTINCT symbol FROM bars WHERE symbol < 40) u), f AS (SELECT g.symbol, g.trade_date, b.trade_date AS seen, b.open, b.high, b.low, b.close, b.volume FROM g ASOF LEFT JOIN bars b ON g.symbol = b.symbol AND g.trade_date >= b.trade_date) SELECT symbol, trade_date, ROUND(CASE WHEN seen = trade_date THEN open ELSE close END, 8) AS open, ROUND(CASE WHEN seen = trade_date THEN high ELSE close END, 8) AS high, ROUND(CASE WHEN seen = trade_date THEN low ELSE close END, 8) AS low, ROUND(close, 8) AS close, CASE WHEN seen = trade_date THEN volume ELSE 0.0 END AS volume, seen <> trade_date AS carried FROM f WHERE seen = trade_date OR (seen IS NOT NULL AND symbol % 2 = 0 AND day(trade_date) <= 10)")
+@query(f"WITH {BARS}, cal AS (SELECT DISTINCT trade_date FROM bars), stop AS (SELECT DISTINCT o_custkey % 100 AS symbol, CAST(o_orderdate AS DATE) AS trade_date, true AS suspended FROM orders), g AS (SELECT c.trade_date, u.symbol FROM cal c CROSS JOIN (SELECT DISTINCT symbol FROM bars) u), f AS (SELECT g.symbol, g.trade_date, b.trade_date AS seen, b.open, b.high, b.low, b.close, b.volume FROM g ASOF LEFT JOIN bars b ON g.symbol = b.symbol AND g.trade_date >= b.trade_date) SELECT symbol, trade_date, ROUND(CASE WHEN seen = trade_date THEN open ELSE close END, 8) AS open, ROUND(CASE WHEN seen = trade_date THEN high ELSE close END, 8) AS high, ROUND(CASE WHEN seen = trade_date THEN low ELSE close END, 8) AS low, ROUND(close, 8) AS close, CASE WHEN seen = trade_date THEN volume ELSE 0.0 END AS volume, seen <> trade_date AS carried FROM f LEFT JOIN stop USING (symbol, trade_date) WHERE seen = trade_date OR (seen IS NOT NULL AND suspended)")
 def dense_asof_panel(spark, d):
     b = bars(spark, d)
-    cal = b.where("trade_date >= '1997-01-01' and trade_date < '1997-07-01'").select("trade_date").distinct()
-    universe = b.where("symbol < 40").select("symbol").distinct()
-    stop = cal.where(F.dayofmonth("trade_date") <= 10).crossJoin(F.broadcast(universe.where("symbol % 2 = 0")))
-    return rounded(joins.dense_panel(cal, universe, b, stop, []), "open", "high", "low", "close", n=8)
+    stop = table(spark, d, "orders").select(F.pmod("o_custkey", F.lit(100)).alias("symbol"), F.to_date("o_orderdate").alias("trade_date")).distinct()
+    return rounded(joins.dense_panel(b, b, b, stop, []).drop("suspended"), "open", "high", "low", "close", n=8)
 
 
 @query(f"WITH {BARS}, {MASTER} SELECT b.symbol, b.trade_date, ROUND(close, 8) AS close, industry, e.n AS orders FROM bars b LEFT JOIN master m USING (symbol) LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS trade_date, o_custkey % 100 AS symbol, count(*) AS n FROM orders GROUP BY 1, 2) e USING (symbol, trade_date)")
@@ -101,10 +99,10 @@ def status_panel(spark, d):
     return rounded(joins.status_panel(b, [m, o], ["symbol", "trade_date"]), "close", n=8)
 
 
-@query(f"WITH {BARS}, w AS (SELECT p_brand AS basket, p_partkey % 100 AS symbol, sum(p_retailprice) AS weight FROM part GROUP BY 1, 2) SELECT basket, trade_date, count(*) AS n, ROUND(sum(weight), 6) AS weight FROM bars JOIN w USING (symbol) WHERE trade_date < DATE '1996-01-01' GROUP BY 1, 2")
+@query(f"WITH {BARS}, w AS (SELECT p_brand AS basket, p_partkey % 100 AS symbol, sum(p_retailprice) AS weight FROM part GROUP BY 1, 2) SELECT basket, trade_date, count(*) AS n, ROUND(sum(weight), 6) AS weight FROM bars JOIN w USING (symbol) GROUP BY 1, 2")
 def basket_join(spark, d):
     w = table(spark, d, "part").groupBy(F.col("p_brand").alias("basket"), (F.col("p_partkey") % 100).alias("symbol")).agg(F.sum("p_retailprice").alias("weight"))
-    return joins.basket_join(bars(spark, d).where("trade_date < '1996-01-01'"), w, "symbol", "basket").groupBy("basket", "trade_date").agg(F.count("*").alias("n"), r(F.sum("weight")).alias("weight"))
+    return joins.basket_join(bars(spark, d), w, "symbol", "basket").groupBy("basket", "trade_date").agg(F.count("*").alias("n"), r(F.sum("weight")).alias("weight"))
 
 
 @query(f"WITH {BARS} SELECT b.symbol, b.trade_date, volume, i.n FROM bars b LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS trade_date, o_custkey % 100 AS symbol, count(*) AS n FROM orders GROUP BY 1, 2) i USING (symbol, trade_date) WHERE b.symbol IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)")

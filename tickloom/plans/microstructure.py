@@ -145,9 +145,9 @@ def stream_dedup(spark, d):
     return st.run_to_table(st.deduplicated(twice, "event_id").select("event_type", "event_id"), _folder(spark)).groupBy(F.col("event_type").alias("k")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT user_id AS symbol, date_trunc('minute', ts) AS minute, count(*) AS n FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-30' GROUP BY 1, 2")
+@query("SELECT user_id AS symbol, date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1, 2")
 def minute_revisions(spark, d):
-    e = _stream(spark, d).where(F.to_date("ts") == "2024-01-30").withColumn("symbol", F.col("symbol").cast("string"))
+    e = _stream(spark, d).withColumn("symbol", F.col("symbol").cast("string"))
     log = st.run_to_table(st.revised_minutes(e), _folder(spark))
     return st.newest_revision(log).select(F.col("symbol").cast("long").alias("symbol"), F.col("minute").cast("timestamp_ntz").alias("minute"), "n")
 

@@ -118,10 +118,10 @@ def csi_temporal(spark, d):
     return ts.csi_temporal(b, t).select("symbol", "trade_date", r("ret_252", 4).alias("ret_252"), r("turnover_20").alias("turnover_20"))
 
 
-@query(f"WITH {BARS}, q AS (SELECT symbol, trade_date, close, volume, CASE WHEN day(trade_date) = 1 THEN 2.0::DOUBLE ELSE 1.0 END AS split FROM bars), x AS (SELECT *, coalesce(exp(sum(ln(split)) OVER (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)), 1) AS factor FROM q) SELECT symbol, trade_date, {rnd('factor', 4)} AS factor, {rnd('volume / factor')} AS volume FROM x WHERE symbol < 30")
+@query(f"WITH {BARS}, q AS (SELECT symbol, trade_date, close, volume, CASE WHEN day(trade_date) = 1 THEN 2.0::DOUBLE ELSE 1.0 END AS split FROM bars), x AS (SELECT *, coalesce(exp(sum(ln(split)) OVER (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)), 1) AS factor FROM q) SELECT symbol, trade_date, {rnd('factor', 4)} AS factor, {rnd('volume / factor')} AS volume FROM x")
 def split_unadjust(spark, d):
     q = bars(spark, d).withColumn("split", F.when(F.dayofmonth("trade_date") == 1, 2.0).otherwise(1.0)).withColumn("adjclose", F.col("close") * 0.9)
-    return ts.split_unadjust(q.where("symbol < 30")).select("symbol", "trade_date", r("factor", 4).alias("factor"), r("volume").alias("volume"))
+    return ts.split_unadjust(q).select("symbol", "trade_date", r("factor", 4).alias("factor"), r("volume").alias("volume"))
 
 
 @query(f"WITH {BARS}, x AS (SELECT symbol, trade_date, close, close * (1 + symbol / 100.0) AS adj, lag(close) {WIN}) AS p FROM bars) SELECT symbol, trade_date, CASE WHEN p IS NOT NULL THEN 1.0 END AS expected_ratio, CASE WHEN p IS NOT NULL THEN true END AS agrees FROM x")
@@ -140,9 +140,9 @@ def ytd_to_quarter(spark, d):
     return ts.ytd_to_quarter(c, ["symbol", "y"], "period", "available", "v").select("symbol", "period", r("quarter_value", 2).alias("quarter_value"))
 
 
-@query(f"WITH {BARS}, s AS (SELECT trade_date AS date, CASE symbol % 4 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' END AS series, sum(volume) AS value FROM bars WHERE symbol % 4 < 3 GROUP BY 1, 2), p AS (SELECT date, max(value) FILTER (series = 'A') AS a, max(value) FILTER (series = 'B') AS b, max(value) FILTER (series = 'C') AS c FROM s WHERE dayofweek(date) = 3 GROUP BY 1) SELECT date, a - b - 1000 * c AS net_liquidity FROM p WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL")
+@query(f"WITH {BARS}, s AS (SELECT trade_date AS date, CASE symbol % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' WHEN 2 THEN 'C' END AS series, sum(volume) AS value FROM bars GROUP BY 1, 2), p AS (SELECT date, max(value) FILTER (series = 'A') AS a, max(value) FILTER (series = 'B') AS b, max(value) FILTER (series = 'C') AS c FROM s WHERE dayofweek(date) = 3 GROUP BY 1) SELECT date, a - b - 1000 * c AS net_liquidity FROM p WHERE a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL")
 def liquidity_proxy(spark, d):
-    b = bars(spark, d).where("symbol % 4 < 3").groupBy(F.col("trade_date").alias("date"), (F.col("symbol") % 4).alias("k")).agg(F.sum("volume").alias("value"))
+    b = bars(spark, d).groupBy(F.col("trade_date").alias("date"), (F.col("symbol") % 3).alias("k")).agg(F.sum("volume").alias("value"))
     return ts.liquidity_proxy(b.withColumn("series", F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), F.col("k").cast("int") + 1)).drop("k"))
 
 
@@ -289,7 +289,7 @@ def structural_financials(spark, d):
     o = table(spark, d, "orders").groupBy(F.pmod("o_custkey", F.lit(50)).alias("symbol"), F.last_day(F.add_months(F.date_trunc("quarter", "o_orderdate"), 2)).alias("period")).agg(F.sum("o_totalprice").alias("v"))
     names = ("total_assets", "money_cap", "revenue", "oper_cost", "operate_profit", "n_income_attr_p", "n_cashflow_act", "c_pay_acq_const_fiolta", "st_borr", "non_cur_liab_due_1y", "lt_borr", "bond_payable")
     s = o.select("symbol", "period", F.date_add("period", 45).alias("announced"), *((F.col("v") / (k + 1)).alias(n) for k, n in enumerate(names)))
-    dates = bars(spark, d).where("symbol < 50").select("symbol", "trade_date", F.col("amount").alias("market_value"))
+    dates = bars(spark, d).select("symbol", "trade_date", F.col("amount").alias("market_value"))
     out = ts.structural_financials(dates, s)
     return rounded(out, *[c for c in out.columns if c.startswith("fin_") and c not in ("fin_at", "fin_period")], "market_value")
 
