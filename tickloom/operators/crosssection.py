@@ -25,6 +25,11 @@ def score_rank(value: str, by: list[str], fallback: float = 0.5) -> Column:
     return F.coalesce(rank_pct(value, by), F.lit(fallback))
 
 
+def score_mean_rank(values: list[str], by: list[str], fallback: float = 0.5) -> Column:
+    """Mean of the ranks that a row has; the fallback where it has none."""
+    return F.coalesce(mean_of([rank_pct(v, by) for v in values]), F.lit(fallback))
+
+
 def robust_zscore(df: DataFrame, by: list[str], value: str, out: str = "z", low: float = 0.01, high: float = 0.99) -> DataFrame:
     """z after clipping at linear quantiles; missing with fewer than 3 values or if all are equal.
 

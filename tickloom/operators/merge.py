@@ -93,3 +93,10 @@ def panel_key_audit(rows: DataFrame, security: str, ticker: str, at: str) -> Dat
     bad = ~((F.col("low") <= F.least("open", "close")) & (F.col("high") >= F.greatest("open", "close")))
     marked = rows.select(security, at, (by_id > 1).cast("long").alias("i"), (by_ticker > 1).cast("long").alias("t"), F.coalesce(bad, F.lit(True)).cast("long").alias("b"))
     return marked.groupBy(security).agg(F.count("*").alias("n"), F.min(at).alias("first_date"), F.max(at).alias("last_date"), F.sum("i").alias("duplicate_ids"), F.sum("t").alias("duplicate_tickers"), F.sum("b").alias("broken_bars"))
+
+
+def bundle_verify(expected: DataFrame, stored: DataFrame, key: list[str], values: list[str], at: str) -> DataFrame:
+    """A view computed again against what is stored: rows by month and status, and whether the month is the same."""
+    months = compare_datasets(expected, stored, key, values).groupBy(F.trunc(at, "month").alias("month"))
+    out = months.agg(F.count("*").alias("n"), F.count_if(F.col("status") == "matched").alias("matched"))
+    return out.withColumn("verified", F.col("n") == F.col("matched"))

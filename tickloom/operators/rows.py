@@ -172,3 +172,16 @@ def latest_view(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     from tickloom.sources.tables import newest
 
     return newest(rows, key, order)
+
+
+def rename_index_fields(rows: DataFrame) -> DataFrame:
+    """A provider's index rows in our spelling: pct_change is pct_chg, and an absent pre_close is null."""
+    if "pct_change" not in rows.columns or "pct_chg" in rows.columns:
+        raise ValueError("index rows hold pct_change and no pct_chg")
+    out = rows.withColumnRenamed("pct_change", "pct_chg")
+    return out if "pre_close" in rows.columns else out.withColumn("pre_close", F.lit(None).cast("double"))
+
+
+def ohlc_inside(open_: str = "open", high: str = "high", low: str = "low", close: str = "close") -> Column:
+    """Low, then open and close, then high; false where a price is missing."""
+    return F.coalesce((F.col(low) <= F.least(open_, close)) & (F.greatest(open_, close) <= F.col(high)) & F.col(open_).isNotNull() & F.col(close).isNotNull(), F.lit(False))

@@ -6,6 +6,9 @@ events is the tick stream: user is the symbol; click and signup buy, the others
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def folder(spark: SparkSession) -> str:
+    """A new folder in the one that the cluster shares."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-")
+    return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
+
+
 def r(c: Column | str, n: int = 6) -> Column:
     """Rounded for comparison, without a negative zero."""
     return F.round(F.col(c) if isinstance(c, str) else c, n) + F.lit(0.0)

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from tickloom.operators import l2
-from tickloom.plans.base import TICKS, book_orders, book_quotes, r, rounded, table, ticks
+from tickloom.plans.base import TICKS, book_orders, book_quotes, folder, r, rounded, table, ticks
 from tickloom.plans.series import rnd
 from tickloom.streaming import minutes as st
 
@@ -115,12 +112,6 @@ def _stream(spark, d):
     return e.select(F.col("user_id").alias("symbol"), F.col("event_id").alias("capture_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("value").alias("price"), F.lit(100.0).alias("volume"), F.when(F.col("event_type") == "click", 0).otherwise(1).alias("side"))
 
 
-def _folder(spark) -> str:
-    """A new folder in the one that the cluster shares."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-")
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 def _shown(bars):
     out = bars.select("symbol", F.col("minute").cast("timestamp_ntz").alias("minute"), "open", "high", "low", "close", "n")
     return rounded(out, "open", "high", "low", "close")
@@ -134,7 +125,7 @@ def minute_bars(spark, d):
 @query(MINUTES)
 def minute_bars_stream(spark, d):
     bars = st.minute_bars(_stream(spark, d).withWatermark("ts", "15 minutes"))
-    return _shown(st.run_to_table(bars, _folder(spark), "update", ["symbol", "minute"]))
+    return _shown(st.run_to_table(bars, folder(spark), "update", ["symbol", "minute"]))
 
 
 @query("SELECT event_type AS k, count(DISTINCT event_id) AS n FROM events GROUP BY 1")
@@ -142,19 +133,19 @@ def stream_dedup(spark, d):
     raw = table(spark, d, "events")
     e = spark.readStream.schema(raw.schema).parquet(f"{d}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
     twice = e.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    return st.run_to_table(st.deduplicated(twice, "event_id").select("event_type", "event_id"), _folder(spark)).groupBy(F.col("event_type").alias("k")).agg(F.count("*").alias("n"))
+    return st.run_to_table(st.deduplicated(twice, "event_id").select("event_type", "event_id"), folder(spark)).groupBy(F.col("event_type").alias("k")).agg(F.count("*").alias("n"))
 
 
 @query("SELECT user_id AS symbol, date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1, 2")
 def minute_revisions(spark, d):
     e = _stream(spark, d).withColumn("symbol", F.col("symbol").cast("string"))
-    log = st.run_to_table(st.revised_minutes(e), _folder(spark))
+    log = st.run_to_table(st.revised_minutes(e), folder(spark))
     return st.newest_revision(log).select(F.col("symbol").cast("long").alias("symbol"), F.col("minute").cast("timestamp_ntz").alias("minute"), "n")
 
 
 @query("SELECT 'accepted' AS counter, count(*) AS n FROM events")
 def late_counters(spark, d):
-    log = st.run_to_table(st.revised_minutes(_stream(spark, d).withColumn("symbol", F.col("symbol").cast("string"))), _folder(spark))
+    log = st.run_to_table(st.revised_minutes(_stream(spark, d).withColumn("symbol", F.col("symbol").cast("string"))), folder(spark))
     return log.groupBy("counter").agg(F.count("*").alias("n"))
 
 
@@ -182,3 +173,9 @@ def causal_book_join(spark, d):
     e = table(spark, d, "events").select(F.col("user_id").alias("symbol"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("seq"), F.col("value").alias("price"), F.col("value").alias("amount"), (F.col("event_type") == "error").alias("cancel"), "event_type")
     out = st.near_book(e.where("event_type <> 'view'").drop("event_type"), e.where("event_type = 'view'").withColumn("mid", F.col("price")), 0.5)
     return rounded(out.select("symbol", F.col("minute").cast("timestamp_ntz").alias("minute"), "near_cancel", "near_add"), "near_cancel", "near_add")
+
+
+@query(f"SELECT user_id AS symbol, CAST(ts AS DATE) AS trade_date, count(*) AS n, {rnd('max(value)')} AS high, {rnd('min(value)')} AS low FROM events GROUP BY 1, 2")
+def streaming_mv(spark, d):
+    by_day = lambda e: e.groupBy("symbol", "trade_date").agg(F.count("*").alias("n"), r(F.max("price")).alias("high"), r(F.min("price")).alias("low"))
+    return st.refreshed_view(_stream(spark, d), folder(spark), "ts", by_day)

@@ -7,7 +7,7 @@ applyInPandasWithState, keyed by symbol.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -129,6 +129,27 @@ def touched_dates(batch: DataFrame, at: str) -> DataFrame:
     return batch.select(F.to_date(at).alias("trade_date")).distinct()
 
 
+def refreshed_view(stream: DataFrame, path: str, at: str, recompute: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """A view by date that each batch refreshes: rows of the dates it touched are computed again from the whole base.
+
+    `recompute` gets base rows with their trade_date and returns the view's rows, trade_date among them. Base files lie by
+    batch and date, so a batch that runs twice replaces its own rows, and dates that it didn't touch aren't read.
+    """
+    spark: SparkSession = stream.sparkSession
+
+    def refresh(batch: DataFrame, number: int) -> None:
+        own = f"{path}/base/batch_id={number}"
+        batch.withColumn("trade_date", F.to_date(at)).write.mode("overwrite").partitionBy("trade_date").parquet(own)
+        schema = f"{stream.schema.toDDL()}, trade_date date"
+        touched = spark.read.schema(schema).parquet(own).select("trade_date").distinct()
+        base = spark.read.schema(f"{schema}, batch_id int").parquet(f"{path}/base").drop("batch_id")
+        view = recompute(base.join(touched, "trade_date", "left_semi"))
+        view.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("trade_date").parquet(f"{path}/view")
+
+    stream.writeStream.option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(refresh).start().awaitTermination()
+    return spark.read.parquet(f"{path}/view")
+
+
 def near_book(events: DataFrame, book: DataFrame, width: float = 5e-4) -> DataFrame:
     """Adds and cancels within `width` of the mid of the latest earlier snapshot of their symbol, by minute."""
     from tickloom.operators.joins import asof_backward
