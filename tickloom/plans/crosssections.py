@@ -173,7 +173,7 @@ def constituent_snapshot(spark, d):
     return cs.constituent_snapshot(holdings(spark, d), dates, "etf", "ann", "period", "day").select("day", "etf", "stock", "seq")
 
 
-W5 = f"""{RET}, {HOLD}, w AS (SELECT etf, stock AS symbol, sum(ratio) AS weight FROM h GROUP BY 1, 2), five AS (SELECT *, CASE WHEN abs(lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date)) > 1e-12 THEN close / lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date) - 1 END AS r5 FROM ret), j AS (SELECT five.*, etf, weight FROM five JOIN w USING (symbol))"""
+W5 = f"""{RET}, {HOLD}, w AS (SELECT etf, stock AS symbol, sum(ratio)::DOUBLE AS weight FROM h GROUP BY 1, 2), five AS (SELECT *, CASE WHEN abs(lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date)) > 1e-12 THEN close / lag(close, 5) OVER (PARTITION BY symbol ORDER BY trade_date) - 1 END AS r5 FROM ret), j AS (SELECT five.*, etf, weight FROM five JOIN w USING (symbol))"""
 
 
 def _basket(spark, d):
