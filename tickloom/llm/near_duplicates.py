@@ -25,7 +25,7 @@ REGISTERS, BAND, MANTISSA = 128, 4, 10
 #: Standard errors that an estimate may lie below the threshold.
 SLACK = 5
 #: Members of a band that one task compares with as many others, and shingles that it counts at once.
-BLOCK, COLUMNS = 2048, 4096
+BLOCK, COLUMNS = 2048, 1024
 
 _TOP = np.uint64(64 - 7)
 

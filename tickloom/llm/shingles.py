@@ -7,7 +7,7 @@ import numpy as np
 #: ASCII white space.
 SPACES = b"\t\n\x0b\x0c\r "
 #: Bytes hashed at once; longer texts are cut between words.
-SLICE = 1 << 20
+SLICE = 1 << 17
 
 _U = np.uint64
 _IS_SPACE = np.zeros(256, bool)
