@@ -309,6 +309,37 @@ def test_license_base_equals_brute_force(spark):
     assert licenses.scan_licenses(docs(spark, ["a"]).where("false")).count() == 0
 
 
+LICENSE_PHRASES = [
+    ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ("isc", "permission to use, copy, modify, and/or distribute this software for any purpose"),
+    ("bsd", "redistribution and use in source and binary forms, with or without modification"),
+    ("boost", "permission is hereby granted, free of charge, to any person or organization"),
+    ("unlicense", "free and unencumbered software released into the public domain"),
+    ("gpl", "this program is free software: you can redistribute it"),
+    ("zlib", "this software is provided 'as-is', without any express or implied warranty"),
+    ("mpl", "this source code form is subject to the terms of the mozilla public"),
+    ("public-domain", "dedicated to the public domain"),
+    ("proprietary", "all rights reserved. no part"),
+    ("lgpl", "gnu lesser general public license, version 2.1"),
+    ("bsd", "new 3 clause bsd license"),
+    ("cc-by-sa", "licensed under the terms and conditions of the creative commons attribution share alike license"),
+    ("eupl", "european union public licence (eupl) v 1.2"),
+    ("ncsa", "university of illinois ncsa open source license"),
+]
+
+
+@pytest.mark.parametrize("label,phrase", LICENSE_PHRASES)
+def test_licenses_are_found_over_line_ends(label, phrase):
+    whole = [(label, p) for _, _, own, p in licenses.detections(phrase) if own == label]
+    assert whole and {own for own, *_ in licenses.TEXTS} <= {own for own, _ in LICENSE_PHRASES}
+    words = phrase.split(" ")
+    broken = [gap.join([" ".join(words[:k]), " ".join(words[k:])]) for k in range(1, len(words)) for gap in ("\n", "\r\n\t", "\n    ", "  ")]
+    for text in [*broken, "\n  ".join(words), "\x0c".join(words)]:
+        found = licenses.detections(f"x. {text} y")
+        assert [(own, p) for _, _, own, p in found if own == label] == whole, text
+        assert any((a, b) == (3, 3 + len(text)) for a, b, own, _ in found if own == label), text
+
+
 # secrets
 
 

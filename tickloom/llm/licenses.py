@@ -75,18 +75,18 @@ LICENSES = (
     ("cc-by-nc-sa", "CC-BY-NC-SA", "1.0 2.0 2.5 3.0 4.0", r"creative commons attribution[ -]non[ -]?commercial[ -]share[ -]?alike"),
     ("cc-by-nc-nd", "CC-BY-NC-ND", "1.0 2.0 2.5 3.0 4.0", r"creative commons attribution[ -]non[ -]?commercial[ -]no[ -]?deriv(?:ative)?s?"),
 )
-#: Opening words of license texts and other signatures: label, keyword, expression.
+#: Opening words of license texts and other signatures: label, keyword (one word, which no line end can part), expression.
 TEXTS = (
-    ("mit", "permission is hereby granted", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
-    ("isc", "permission to use", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose"),
-    ("bsd", "redistribution and use", r"redistribution and use in source and binary forms, with or without modification"),
-    ("boost", "permission is hereby granted", r"permission is hereby granted, free of charge, to any person or organization"),
-    ("unlicense", "public domain", r"free and unencumbered software released into the public domain"),
-    ("gpl", "free software", r"this (?:program|library|software) is free software[:;,] you can redistribute it"),
+    ("mit", "permission", r"permission is hereby granted, free of charge, to any person obtaining a copy"),
+    ("isc", "permission", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose"),
+    ("bsd", "redistribution", r"redistribution and use in source and binary forms, with or without modification"),
+    ("boost", "permission", r"permission is hereby granted, free of charge, to any person or organization"),
+    ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
+    ("gpl", "redistribute", r"this (?:program|library|software) is free software[:;,] you can redistribute it"),
     ("zlib", "as-is", r"this software is provided 'as-is', without any express or implied warranty"),
-    ("mpl", "mozilla public", r"this source code form is subject to the terms of the mozilla public"),
-    ("public-domain", "public domain", r"(?:dedicated|released|placed) (?:in)?to the public domain"),
-    ("proprietary", "all rights reserved", r"all rights reserved\.? (?:unauthori[sz]ed|no part)"),
+    ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public"),
+    ("public-domain", "domain", r"(?:dedicated|released|placed) (?:in)?to the public domain"),
+    ("proprietary", "reserved", r"all rights reserved\.? (?:unauthori[sz]ed|no part)"),
 )
 #: Confidence of each kind of rule, which is also its priority.
 TAG, TEXT, VERSION, TERMS, NAME = 1.0, 0.95, 0.9, 0.8, 0.6
@@ -100,6 +100,11 @@ class Rule:
     pattern: re.Pattern
 
 
+def spaced(pattern: str) -> re.Pattern:
+    """The expression with each space, or class that holds one, as a run: texts break lines and indent between any words."""
+    return re.compile(re.sub(r"(\[[^\]]* [^\]]*\]| )(\??)", lambda m: m[1] + ("*" if m[2] else "+"), pattern))
+
+
 @cache
 def rules() -> tuple[Rule, ...]:
     """All rules, those of higher priority first."""
@@ -110,10 +115,10 @@ def rules() -> tuple[Rule, ...]:
             out.append(Rule(label, TAG, "spdx-license-identifier", re.compile(rf"spdx-license-identifier:[^\n]{{0,80}}?(?<![\w.-]){tag}(?:-only|-or-later|-clause|\+)?(?![\w.-])")))
             if version:
                 digits = re.escape(version.removesuffix(".0")) + (r"(?:\.0)?" if version.endswith(".0") else "")
-                out.append(Rule(label, VERSION, "licen", re.compile(rf"(?<!\w){name} licen[cs]e,? (?:\(\w{{2,8}}\),? )?(?:version |v\.? ?)?{digits}(?![\w.]\d)")))
-        out.append(Rule(label, TERMS, "licen", re.compile(rf"(?:licensed|released|distributed|available|provided) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{name}(?: licen[cs]e)?(?!\w)")))
-        out.append(Rule(label, NAME, "licen", re.compile(rf"(?<!\w){name} licen[cs]e(?!\w)")))
-    out += [Rule(label, TEXT, keyword, re.compile(pattern)) for label, keyword, pattern in TEXTS]
+                out.append(Rule(label, VERSION, "licen", spaced(rf"(?<!\w){name} licen[cs]e,? (?:\(\w{{2,8}}\),? )?(?:version |v\.? ?)?{digits}(?![\w.]\d)")))
+        out.append(Rule(label, TERMS, "licen", spaced(rf"(?:licensed|released|distributed|available|provided) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{name}(?: licen[cs]e)?(?!\w)")))
+        out.append(Rule(label, NAME, "licen", spaced(rf"(?<!\w){name} licen[cs]e(?!\w)")))
+    out += [Rule(label, TEXT, keyword, spaced(pattern)) for label, keyword, pattern in TEXTS]
     return tuple(sorted(out, key=lambda r: -r.priority))
 
 
@@ -133,7 +138,7 @@ def detections(low: str) -> list[tuple[int, int, str, float]]:
     there = {word for _, word in _keywords().iter(low)}
     if not there:
         return []
-    low = re.sub(r"[ \t\r\n]", " ", low)
+    low = re.sub(r"\s", " ", low)
     found = {(m.start(), m.end(), r.label, r.priority) for r in rules() if r.keyword in there for m in r.pattern.finditer(low)}
     out: list[tuple[int, int, str, float]] = []
     for x in sorted(found, key=lambda x: (-x[3], x[0] - x[1], x)):
