@@ -3,8 +3,9 @@
 Strings of 20 or more token characters that hold letters and digits are candidates. For each, a window of 20
 characters slides along; the sum of c log c over its character counts changes only by the counts of the character
 that enters and the one that leaves, so each step costs two counts. A candidate whose greatest window entropy reaches
-the threshold of its character class is a span of kind `entropy`, unless an allow-list rule holds or it overlaps a
-signature span.
+the threshold of its character class is a span of kind `entropy`, unless it is an identifier or a path of plain words
+as a whole. Windows that hold an example's word, a run or ten characters of an alphabet don't count; others of the same
+string do. Of a string that overlaps signature spans, each part outside them is a candidate by itself.
 """
 
 from __future__ import annotations
@@ -23,14 +24,15 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 #: Bits that the greatest window entropy of a class must reach: of hexadecimal strings, one letter case, and all others.
 LEAST_BITS = {r"^[0-9a-fA-F]+$": 2.9, r"^([0-9a-z_=-]+|[0-9A-Z_=-]+)$": 3.55, r"": 3.75}
-#: Strings that are no secrets: identifiers of 8-4-4-4-12, examples and placeholders, runs, alphabets, paths of plain words.
+#: Strings that are no secrets as a whole: identifiers of 8-4-4-4-12, paths of plain words.
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-    r"(?i)example|sample|placeholder|changeme|redacted|your[_-]",
-    r"(.)\1{5,}",
-    r"(?i)abcdefghij|0123456789|1234567890|qwertyuiop",
     r"^/?([A-Za-z]{2,15}[0-9]{0,4}[/_=-]+)+[A-Za-z]{0,15}[0-9]{0,4}$",
 )
+#: What a window that counts doesn't hold: examples and placeholders, ten characters of an alphabet in a row, runs.
+ALPHABETS = ("abcdefghijklmnopqrstuvwxyz", "01234567890123456789", "qwertyuiopasdfghjklzxcvbnm")
+_TENS = sorted({a[k : k + 10] for a in ALPHABETS for k in range(len(a) - 9)})
+UNCOUNTED = rf"(?i:example|sample|placeholder|changeme|redacted|your[_-]|{'|'.join(_TENS)})|(.)\1{{5,}}"
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int>"
 MASK = "[SECRET]"
@@ -60,8 +62,11 @@ def spans_of(text: Column, pattern: str, kind: str, keep=None) -> Column:
     return F.when(text.rlike(pattern), F.aggregate(parts, begin, step, lambda s: s["spans"])).otherwise(_nothing())
 
 
-def greatest_entropy(text: Column, window: int = WINDOW) -> Column:
-    """The greatest Shannon entropy, in bits a character, of any `window` characters in a row; 0 for shorter texts."""
+def greatest_entropy(text: Column, window: int = WINDOW, uncounted: str | None = None) -> Column:
+    """The greatest Shannon entropy, in bits a character, of any `window` characters in a row; 0 for shorter texts.
+
+    Windows in which the expression `uncounted` is found don't count.
+    """
     term = lambda n: F.when(n > 1, n * F.log2(n)).otherwise(0.0)
 
     def step(state: Column, at: Column) -> Column:
@@ -72,10 +77,14 @@ def greatest_entropy(text: Column, window: int = WINDOW) -> Column:
         first, new = F.substring(held, F.lit(1), F.lit(1)), F.substring(text, at, F.lit(1))
         leaving = count(held, first)
         after = F.when(full, state["sum"] - term(leaving) + term(leaving - 1)).otherwise(state["sum"])
-        there = count(F.when(full, F.substring(held, F.lit(2), F.lit(window))).otherwise(held), new)
+        kept = F.when(full, F.substring(held, F.lit(2), F.lit(window))).otherwise(held)
+        there = count(kept, new)
         total = after - term(there) + term(there + 1)
         bits = F.when(at >= window, F.log2(F.lit(float(window))) - total / window).otherwise(0.0)
-        return F.struct(total.alias("sum"), F.greatest(state["best"], bits).alias("best"))
+        best = F.greatest(state["best"], bits)
+        if uncounted:
+            best = F.when((bits > state["best"]) & ~F.concat(kept, new).rlike(uncounted), bits).otherwise(state["best"])
+        return F.struct(total.alias("sum"), best.alias("best"))
 
     begin = F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
     steps = F.when(F.length(text) > 0, F.sequence(F.lit(1), F.length(text))).otherwise(F.array().cast("array<int>"))
@@ -83,14 +92,28 @@ def greatest_entropy(text: Column, window: int = WINDOW) -> Column:
 
 
 def secretive(candidate: Column) -> Column:
-    """Whether a string's entropy reaches the threshold of its class and no allow-list rule holds."""
+    """Whether the entropy of a string's windows that count reaches the threshold of its class, and it isn't allowed."""
     least = F.lit(None).cast("double")
     for pattern, bits in reversed(LEAST_BITS.items()):
         least = F.when(candidate.rlike(pattern), F.lit(bits)).otherwise(least) if pattern else F.lit(bits)
     allowed = F.lit(False)
     for pattern in ALLOWED:
         allowed = allowed | candidate.rlike(pattern)
-    return ~allowed & (greatest_entropy(candidate) >= least)
+    greatest = F.when(candidate.rlike(UNCOUNTED), greatest_entropy(candidate, uncounted=UNCOUNTED)).otherwise(greatest_entropy(candidate))
+    return ~allowed & (greatest >= least)
+
+
+def outside(span: Column, taken: Column) -> Column:
+    """The parts of a span that none of the spans `taken`, sorted by start, covers."""
+    part = lambda start, end: F.array(F.struct(start.alias("start"), span["rank"].alias("rank"), span["kind"].alias("kind"), end.alias("end")))
+
+    def step(state: Column, x: Column) -> Column:
+        parts = F.when(x["start"] > state["at"], F.concat(state["parts"], part(state["at"], x["start"]))).otherwise(state["parts"])
+        return F.struct(F.greatest(state["at"], x["end"]).alias("at"), parts.alias("parts"))
+
+    begin = F.struct(span["start"].alias("at"), _nothing().alias("parts"))
+    rest = lambda s: F.when(s["at"] < span["end"], F.concat(s["parts"], part(s["at"], span["end"]))).otherwise(s["parts"])
+    return F.aggregate(F.filter(taken, lambda x: (x["start"] < span["end"]) & (span["start"] < x["end"])), begin, step, rest)
 
 
 def secret_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
@@ -100,12 +123,16 @@ def secret_spans(docs: DataFrame, text: str = "text", out: str = "spans") -> Dat
     `out` is replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    base = F.concat(spans_of(whole, ASSIGN, "assign", lambda found, value: F.length(value) >= ASSIGN_LEAST), spans_of(whole, ACCESS, "access"), spans_of(whole, HEX, "hex"))
+    base = F.array_sort(F.concat(spans_of(whole, ASSIGN, "assign", lambda found, value: F.length(value) >= ASSIGN_LEAST), spans_of(whole, ACCESS, "access"), spans_of(whole, HEX, "hex")))
     named = _free(docs, "base_spans"), _free(docs, "entropy_spans")
-    more = spans_of(whole, CANDIDATE, "entropy", lambda found, _: secretive(found))
-    found = docs.withColumn(named[0], base).withColumn(named[1], more)
-    apart = F.filter(named[1], lambda x: ~F.exists(named[0], lambda y: (x["start"] < y["end"]) & (y["start"] < x["end"])))
-    return found.withColumn(out, F.array_sort(F.concat(named[0], apart))).drop(*(n for n in named if n != out))
+    found = docs.withColumn(named[0], base).withColumn(named[1], spans_of(whole, CANDIDATE, "entropy"))
+    parts = F.flatten(F.transform(named[1], lambda x: outside(x, F.col(named[0]))))
+
+    def secret(x: Column) -> Column:
+        own = F.substring(whole, x["start"] + 1, x["end"] - x["start"])
+        return own.rlike(f"^{CANDIDATE}$") & secretive(own)
+
+    return found.withColumn(named[1], F.filter(parts, secret)).withColumn(out, F.array_sort(F.concat(*named))).drop(*(n for n in named if n != out))
 
 
 def _free(docs: DataFrame, name: str) -> str:
