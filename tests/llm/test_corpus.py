@@ -450,6 +450,16 @@ def test_items_in_several_chunks_find_the_same(spark, monkeypatch):
     assert {tuple(r) for r in decontamination.contaminations(d, bench).collect()} == whole
 
 
+def test_decontamination_decides_by_row(spark, monkeypatch):
+    bench = spark.createDataFrame([(1, "one passage of the benchmark to be found"), (2, "and another passage of it in a second chunk")], "item_id long, text string")
+    rows = [(None, "clean"), (None, "x one passage of the benchmark to be found y"), (1, "clean too"), (1, "and another passage of it in a second chunk"), (2, None), (2, None)]
+    d = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, k int")
+    assert sorted(r.k for r in decontamination.decontaminated(d, bench).collect()) == [0, 2, 4, 5]
+    monkeypatch.setattr(decontamination.chunks, "__defaults__", (10,))
+    assert sorted(r.k for r in decontamination.decontaminated(d, bench).collect()) == [0, 2, 4, 5]
+    assert decontamination.decontaminated(d, bench.where("false")).count() == len(rows)
+
+
 # pipeline
 
 

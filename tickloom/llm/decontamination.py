@@ -14,10 +14,11 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import map_columns
+from tickloom.llm.common import Scratch, map_columns
 
 Q = 8
 #: Edits that a passage may differ by, as a share of the item's length.
@@ -187,6 +188,26 @@ def _search(shared):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no item is found; all columns stay. A row without doc_id stays only if it is clean."""
-    found = contaminations(docs, benchmark).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["doc_id"]), "left_anti")
+    """The documents in which no item is found; all columns stay.
+
+    Each row is decided by its own text, so ids may be null or repeat. Only with several chunks of items are the rows
+    left by one chunk written to the shared folder before the next.
+    """
+    scratch = Scratch(docs.sparkSession, "decontamination")
+    for k, (ids, texts) in enumerate(chunks(benchmark)):
+        if k:
+            docs = scratch.save(docs, str(k), keep=True)
+        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast((ids, texts)))("text"))
+    return docs
+
+
+def _clean(shared):
+    made: list[Items] = []
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        if not made:
+            made.append(Items(*shared.value))
+        return pa.array([not made[0].found(plain(t.as_py()).encode()) for t in texts], pa.bool_())
+
+    return clean
