@@ -20,9 +20,24 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that links of five-word shingles at 0.8 reach; rows without doc_id stay."""
-    gone = near_duplicates.near_duplicates(docs, words=5, threshold=0.8).where("not kept and doc_id is not null").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group that links of five-word shingles at 0.8 reach: that of the least doc_id, nulls last.
+
+    A 64-bit hash of all columns stands for the row, so rows without doc_id and rows that repeat one are compared like
+    all others. Ties go by that hash; of rows equal in all columns one stays. Blank texts link with nothing and stay.
+    """
+    taken = {c.lower() for c in docs.columns}
+    row = next(name for name in (f"_row{'_' * k}" for k in range(len(taken) + 1)) if name not in taken)
+    keyed = docs.withColumn(row, F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)))
+    near = near_duplicates.near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), words=5, threshold=0.8)
+    own = near.groupBy(F.col("doc_id").alias(row)).agg(F.min("component_id").alias("component"), F.max("n_shingles").alias("size"), F.count("*").alias("n"))
+    named = own.join(keyed.groupBy(row).agg(F.min("doc_id").alias("id")), row)
+    first = named.where("size > 0").groupBy("component").agg(F.min(F.struct(F.col("id").isNull(), "id", row, "n")).alias("x")).select(f"x.{row}", "x.n")
+    stay = first.unionByName(own.where("size = 0").select(row, F.lit(1).alias("n")))
+    left = keyed.join(stay.where("n = 1").select(row), row, "left_semi")
+    again = first.where("n > 1").select(row)
+    if again.limit(1).count():
+        left = left.unionByName(keyed.join(again, row, "left_semi").dropDuplicates([row]))
+    return left.select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -463,6 +463,22 @@ def test_decontamination_decides_by_row(spark, monkeypatch):
 # pipeline
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    long = [" ".join(f"{c}{k}" for k in range(60)) for c in "abcdef"]
+    rows = [(None, long[0], "s"), (None, long[0], "t"), (None, long[0] + " more", "s")]  # no id in the group
+    rows += [(2, long[1], "s"), (2, long[1], "s"), (None, long[1], "s"), (1, long[1] + " more", "s")]  # the least id stays
+    rows += [(3, long[2], "s"), (3, long[2], "s"), (3, long[2], "t")]  # repeated rows
+    rows += [(4, long[3], "s"), (4, long[4], "s")]  # one id, two texts
+    rows += [(5, None, "s"), (5, None, "s"), (None, " ", "s"), (None, long[5], "s")]
+    d = spark.createDataFrame([(i, t, None, x, 1) for i, t, x in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_duplicates(spark, d, SF)
+    assert got.columns == d.columns
+    got = Counter((r.doc_id, r.text) for r in got.collect())
+    groups = Counter((i, t) for i, t in got.elements() if t not in (long[0], long[0] + " more"))
+    assert got.total() - groups.total() == 1
+    assert groups == Counter([(1, long[1] + " more"), (3, long[2]), (4, long[3]), (4, long[4]), (5, None), (5, None), (None, " "), (None, long[5])])
+
+
 def test_pipeline_keeps_columns_and_clean_documents(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet")
     columns, rows = d.columns, d
