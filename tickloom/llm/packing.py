@@ -8,12 +8,12 @@ plans on that histogram; Spark numbers the pieces of each length and looks up ea
 
 from __future__ import annotations
 
-import itertools
 import re
 import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +22,25 @@ from tickloom.llm.common import Scratch, map_columns, numbered
 CAPACITY = 1024
 END_ID = 2
 #: Distinct words whose ids a worker remembers; beyond it, it keeps those met most often.
-REMEMBERED = 800_000
+REMEMBERED = 250_000
+
+#: New words are encoded as lines of one text, so many at once.
+LINES = 2_000
 
 _ADJACENT_SPACE = re.compile(r"\s\s")
 _WORD_BORDER = re.compile(r"(?<=\S) (?=\S)")
+#: White space in lines of words that doesn't lead a word: odd kinds, inner and trailing spaces, empty lines.
+_INNER_SPACE = re.compile(r"(?<!\n)[^\S\n]|[^\S \n]| \n|\n\n")
 _LINE_END = ("\n",)
+#: Fixed value: how the tokenizer cuts a text before it merges bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def merge_ranks(tokenizer) -> dict[bytes, int]:
+    """The bytes of each token of a byte-level vocabulary and its id; ids grow as merges do, which `checked` proves on words."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    shown = {chr(c): c for c in plain} | {chr(256 + k): c for k, c in enumerate(c for c in range(256) if c not in plain)}
+    return {bytes(shown[c] for c in token): k for token, k in tokenizer.get_vocab(with_added_tokens=False).items() if all(c in shown for c in token)}
 
 
 class WordEncoder(dict):
@@ -34,55 +48,105 @@ class WordEncoder(dict):
 
     The tokenizer never merges across a single space or line end between two other characters, so a text's ids are
     those of its space-led words and line ends one after the other. Keys: a word that a space leads, or a 1-tuple with
-    a line's first word or its end.
+    a line's first word or its end. Texts that hold an added token, such as <|endoftext|>, go to the tokenizer whole.
+    New words are merged by a second library over the tokenizer's own vocabulary, several times as fast; a worker's
+    first words go through both, and if they ever differ the tokenizer does all.
     """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=merge_ranks(self.tokenizer), special_tokens={}).encode_ordinary
+        self.line_end = self.slow("\n")
+        self.unchecked = 3_000
         self.forget()
 
+    def slow(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
     def forget(self) -> None:
         self.clear()
         self.waiting: list[str] = []
-        self.flat, self.used, self.ends, self.met = np.empty(1 << 16, np.int32), 0, np.zeros(1, np.int64), np.zeros(0, np.int64)
+        self.flat, self.used, self.ends, self.met = np.empty(1 << 16, np.uint32), 0, np.zeros(1, np.int64), np.zeros(0, np.int64)
 
     def thin(self) -> None:
         """Keeps the words met most often, half of REMEMBERED at most."""
         least = max(2, int(np.partition(self.met, -REMEMBERED // 2)[-REMEMBERED // 2]) + 1)
         kept = np.flatnonzero(self.met >= least)
-        words, size = list(self), np.diff(self.ends)[kept]
-        flat, met = np.concatenate([self.flat[self.ends[k] : self.ends[k + 1]] for k in kept] or [self.flat[:0]]), self.met[kept]
+        words, size, first = list(self), np.diff(self.ends)[kept], self.ends[kept]
+        ends, met = np.cumsum(size), self.met[kept]
+        flat = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)]
         self.forget()
         self.update((words[at], k) for k, at in enumerate(kept))
-        self.flat, self.used, self.ends, self.met = flat, len(flat), np.concatenate([[0], np.cumsum(size)]), met
+        self.flat, self.used, self.ends, self.met = flat, len(flat), np.concatenate([[0], ends]), met
 
     def __missing__(self, key) -> int:
         self[key] = at = len(self)
         self.waiting.append(key[0] if type(key) is tuple else " " + key)
         return at
 
+    def ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All words' ids and how many each has."""
+        if self.unchecked > 0 and self.fast != self.slow:
+            self.unchecked -= len(words)
+            if any(self.fast(w) != self.slow(w) for w in words):
+                self.fast = self.slow
+        sizes = np.zeros(len(words), np.int64)
+        parts: list[np.ndarray] = []
+        plain: list[int] = []
+        for low in range(0, len(words) if len(self.line_end) == 1 else 0, LINES):
+            some = range(low, min(low + LINES, len(words)))
+            text = "\n".join(words[low : low + LINES])
+            if _INNER_SPACE.search(f"\n{text}\n"):
+                some = [k for k in some if not _INNER_SPACE.search(f"\n{words[k]}\n") and "\n" not in words[k]]
+                text = "\n".join(words[k] for k in some)
+            if len(some):
+                plain += some
+                ids = np.array(self.fast(text + "\n"), np.uint32)  # a line end's id follows each word's
+                end = ids == self.line_end[0]
+                sizes[some] = np.diff(np.flatnonzero(end), prepend=-1) - 1
+                parts.append(ids[~end])
+        others = sorted(set(range(len(words))).difference(plain)) if len(plain) < len(words) else []
+        order = np.array([*plain, *others], np.int64)
+        for k in others:
+            ids = np.array(self.fast(words[k]), np.uint32)
+            sizes[k] = len(ids)
+            parts.append(ids)
+        flat = np.concatenate(parts) if parts else np.empty(0, np.uint32)
+        if others:  # back to the words' own order
+            held = np.cumsum(sizes[order]) - sizes[order]
+            begins = np.empty(len(words), np.int64)
+            begins[order] = held
+            ends = np.cumsum(sizes)
+            flat = flat[np.arange(len(flat)) + np.repeat(begins - (ends - sizes), sizes)]
+        return flat, sizes
+
     def learn(self) -> None:
         if not self.waiting:
             return
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(self.waiting, add_special_tokens=False)]
-        ends = self.used + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        ids, sizes = self.ids_of(self.waiting)
+        ends = self.used + np.cumsum(sizes)
         if ends[-1] > len(self.flat):
-            self.flat = np.concatenate([self.flat[: self.used], np.empty(int(ends[-1]) * 2 - self.used, np.int32)])
-        self.flat[self.used : ends[-1]] = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(ends[-1]) - self.used)
+            self.flat = np.concatenate([self.flat[: self.used], np.empty(int(ends[-1]) * 2 - self.used, np.uint32)])
+        self.flat[self.used : ends[-1]] = ids
         self.used, self.ends, self.waiting = int(ends[-1]), np.concatenate([self.ends, ends]), []
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All texts' ids one after the other, and where each text's end."""
         if len(self) > REMEMBERED:
             self.thin()
         words: list = []
-        counts = []
-        for text in texts:
+        counts = np.zeros(len(texts), np.int64)
+        whole: dict[int, list[int]] = {}
+        for k, text in enumerate(texts):
             before = len(words)
-            if _ADJACENT_SPACE.search(text):
+            if any(x in text for x in self.added):
+                whole[k] = self.slow(text)
+            elif _ADJACENT_SPACE.search(text):
                 first, *rest = _WORD_BORDER.split(text)
                 words.append((first,))
                 words += rest
@@ -91,15 +155,19 @@ class WordEncoder(dict):
                     first, *rest = line.split(" ")
                     words += ((first,), *rest, _LINE_END)
                 words.pop()
-            counts.append(len(words) - before)
+            counts[k] = len(words) - before
         at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         self.learn()
         self.met = np.bincount(at, minlength=len(self)) + np.pad(self.met, (0, len(self) - len(self.met)))
         first, size = self.ends[at], self.ends[at + 1] - self.ends[at]
         ends = np.cumsum(size)
         ids = self.flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - size), size)]
-        per_text = ends[np.cumsum(counts) - 1] if len(ends) else []
-        return np.split(ids, per_text[:-1]) if len(per_text) else []
+        text_ends = np.append(0, ends)[np.cumsum(counts)]
+        if whole:
+            parts = np.split(ids, text_ends[:-1])
+            parts = [np.array(whole[k], np.uint32) if k in whole else x for k, x in enumerate(parts)]
+            ids, text_ends = np.concatenate(parts), np.cumsum([len(x) for x in parts])
+        return ids, text_ends
 
 
 _encoders: dict[str, WordEncoder] = {}
@@ -112,11 +180,6 @@ def encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
-def cuts(length: int, capacity: int) -> list[int]:
-    """Where the pieces of a document of `length` ids begin, and its end: only the first may be shorter."""
-    return [0, *range(length % capacity or capacity, length, capacity), length]
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked, ids.
 
@@ -124,13 +187,22 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     ignored. No rows in, no rows out.
     """
 
-    def pieces(ids_of: list, texts: list) -> list[list]:
-        rows = []
-        for doc_id, ids in zip(ids_of, encoder(tokenizer_path).encode([t or "" for t in texts]), strict=True):
-            ids = np.append(ids, end_id).astype("<u4")
-            for k, (start, end) in enumerate(itertools.pairwise(cuts(len(ids), capacity))):
-                rows.append((doc_id, k, start, end - start, zlib.crc32(ids[start:end].tobytes()), *([ids[start:end].astype(np.int32)] if with_ids else [])))
-        return list(map(list, zip(*rows, strict=True)))
+    def pieces(ids_of: list, texts: list) -> list:
+        ids, ends = encoder(tokenizer_path).encode([t or "" for t in texts])
+        sizes = np.diff(ends, prepend=0) + 1
+        ids, ends = np.insert(ids, ends, end_id).astype("<u4"), np.cumsum(sizes)
+        n = -(-sizes // capacity)
+        doc = np.repeat(np.arange(len(sizes)), n)
+        piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+        # only a document's first piece may be shorter
+        spare = np.repeat(n * capacity - sizes, n)
+        start = np.maximum(piece * capacity - spare, 0)
+        length = (piece + 1) * capacity - spare - start
+        begin = np.repeat(ends - sizes, n) + start
+        data = memoryview(ids.view(np.uint8))
+        crc = [zlib.crc32(data[4 * a : 4 * (a + m)]) for a, m in zip(begin.tolist(), length.tolist(), strict=True)]
+        rows = [pa.array(ids_of, pa.int64()).take(pa.array(doc)), piece.astype(np.int32), start, length, crc]
+        return [*rows, [ids[a : a + m].astype(np.int32) for a, m in zip(begin, length, strict=True)]] if with_ids else rows
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
     return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), pieces, schema)
