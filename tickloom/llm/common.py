@@ -74,6 +74,10 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: Bytes of rows that a task holds as Python objects at once, unless one row has more.
+PART_BYTES = 4 << 20
+
+
 def map_columns(df: DataFrame, f: Callable[..., Iterable], schema: str, rows: int = 256) -> DataFrame:
     """df.mapInArrow with plain lists: f gets each column of up to `rows` rows and returns the new columns.
 
@@ -83,8 +87,12 @@ def map_columns(df: DataFrame, f: Callable[..., Iterable], schema: str, rows: in
 
     def run(batches):
         for batch in batches:
-            for low in range(0, batch.num_rows, rows):
+            low = 0
+            while low < batch.num_rows:
                 part = batch.slice(low, rows)
+                while part.num_rows > 1 and part.nbytes > PART_BYTES:
+                    part = part.slice(0, part.num_rows // 2)
+                low += part.num_rows
                 made = f(*(c.to_pylist() for c in part.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=kind) for c, (_, kind) in zip(made, kinds, strict=True)], [n for n, _ in kinds])
 

@@ -6,15 +6,22 @@ make a band; two documents that share a band are candidates. With a similarity o
 chance below 1e-7. Registers that agree by chance are subtracted from the estimate, candidates whose estimate is far
 too low go, and the full shingle sets decide on the rest.
 
-A band that many documents share never yields its pairs as rows. First each member meets one pivot of its band, which
-joins most copies to one component. Of bands in which several components remain, blocks of members' full sets then meet
-inside tasks, where a product of incidence matrices counts what sets share; a task returns one link for each two
-components that it joins. So no link between components is lost, while links inside one needn't be found.
+Documents of equal sets are one class, told by a cryptographic digest of the whole sorted set. A band that many classes
+share never yields its pairs as rows. First each member meets one pivot of its band, which joins most copies to one
+component. Of bands in which several components remain, and of equal ones only one, full sets then meet inside tasks:
+the members outside the band's largest component meet all members. Large bands are split by set size first, since sizes
+of a linked pair differ by the threshold at most, and then into blocks of bounded numbers of members and shingles. A
+product of incidence matrices counts what sets share; a task returns one link for each two components that it joins. So
+no link between components is lost, while links inside one needn't be found.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +31,10 @@ from tickloom.llm.shingles import mix, shingle_sets
 REGISTERS, BAND, MANTISSA = 128, 4, 10
 #: Standard errors that an estimate may lie below the threshold.
 SLACK = 5
-#: Members of a band that one task compares with as many others, and shingles that it counts at once.
-BLOCK, COLUMNS = 2048, 1024
+#: Members of a band that one task compares with as many others, shingles that both hold, and columns counted at once.
+BLOCK, SHINGLES, COLUMNS = 1024, 500_000, 1024
+#: What a member is in a task: compared with by others, compared with others, or both.
+TARGET, OUTSIDE = 1, 2
 
 _TOP = np.uint64(64 - 7)
 
@@ -66,15 +75,13 @@ def plausible(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, thresh
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, two sums that tell sets apart, and registers as bytes."""
+    """doc_id, n_shingles, a digest of the whole set, and registers as bytes."""
 
     def of(ids: list, texts: list) -> tuple:
         sets = shingle_sets(texts, words)
-        one = [s.sum(dtype=np.uint64).astype(np.int64) for s in sets]
-        two = [mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64) for s in sets]
-        return ids, [len(s) for s in sets], one, two, [registers(s).tobytes() for s in sets]
+        return ids, [len(s) for s in sets], [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], [registers(s).tobytes() for s in sets]
 
-    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, n_shingles long, one long, two long, registers binary")
+    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, n_shingles long, digest binary, registers binary")
 
 
 def bands(classes: DataFrame) -> DataFrame:
@@ -128,7 +135,7 @@ def likely_among(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def shingles_of(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> DataFrame:
     """rep and shingles of the documents that `wanted` names, a small part of all; `once`: no doc_id repeats."""
     texts = likely_among(docs, wanted)
-    return map_columns(texts if once else texts.dropDuplicates(["rep"]), lambda reps, kept: (reps, [s.view(np.int64) for s in shingle_sets(kept, words)]), "rep long, shingles array<long>")
+    return map_columns(texts if once else texts.distinct(), lambda reps, kept: (reps, [s.view(np.int64) for s in shingle_sets(kept, words)]), "rep long, shingles array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -145,25 +152,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     Words are runs without ASCII white space, in small ASCII letters. Documents link at a Jaccard similarity of their
     shingle sets of at least `threshold`, a whole number of hundredths. A text of fewer words is one shingle; a null
     or blank text has none and links with nothing. Rows that repeat a doc_id with one text count once each and share a
-    component. A row without doc_id counts as a copy of its equals, and is kept if it has none. Other columns are
-    ignored. No rows in, no rows out.
+    component; a doc_id with several texts is one document that links through each of them. A row without doc_id counts
+    as a copy of its equals, and is kept if it has none. Other columns are ignored. No rows in, no rows out.
     """
     spark: SparkSession = docs.sparkSession
     with Scratch(spark, "near") as scratch:
         drawn = scratch.save(sketches(docs, words), "sketches")
-        same = ["n_shingles", "one", "two"]
-        full = drawn.where("n_shingles > 0 and doc_id is not null")
-        classes = full.groupBy(*same).agg(F.min(F.struct("doc_id", "registers")).alias("x")).select(*same, F.col("x.doc_id").alias("rep"), F.col("x.registers").alias("registers"))
-        classes = scratch.save(classes, "classes")
-        members = scratch.save(drawn.select("doc_id", *same).join(classes.select(*same, "rep"), same, "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep")), "members", keep=True)
+        least = drawn.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("rep"))
+        named = drawn.join(least, "digest", "left")
+        first = F.when((F.col("doc_id") == F.col("rep")) & (F.col("n_shingles") > 0), F.col("registers"))
+        members = scratch.save(named.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"), first.alias("registers")), "members", keep=True)
         scratch.drop("sketches")
         once = not members.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 and doc_id is not null").limit(1).count()
+        classes = members.where("registers is not null").select("rep", "n_shingles", "registers")
+        classes = classes if once else scratch.save(classes.distinct(), "classes")
 
         keys = scratch.save(bands(classes), "bands")
-        pivots = keys.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep").alias("h"), "rep")).getField("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")
-        shared = scratch.save(keys.join(scratch.save(pivots, "pivots"), "key").select("key", "rep", "pivot", "n"), "shared")
+        pivots = scratch.save(keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "pivots")
+        shared = scratch.save(keys.join(pivots, "key").select("key", "rep", "pivot", "n"), "shared")
         scratch.drop("bands", "pivots")
-        pairs = shared.where("rep <> pivot").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+        pairs = shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
         sized = lambda c: classes.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
 
         def likely(a: list, b: list, n: list, m: list, x: list, y: list) -> tuple:
@@ -175,60 +183,105 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         star = scratch.save(map_columns(met, likely, "a long, b long", 4096), "star")
         ends = star.select(F.col("a").alias("rep")).unionByName(star.select(F.col("b").alias("rep"))).distinct()
         sets = scratch.save(shingles_of(docs, ends, words, once), "sets")
-        links = scratch.save(confirmed(star, sets, threshold), "links")
+        links = scratch.save(confirmed(star, sets, threshold).distinct(), "links")
         scratch.drop("sets", "star")
         joined = components(links, scratch, "first")
 
-        # bands of over two members in which several components remain
+        # bands of over two members in which several components remain; of those with equal members, one
         at = shared.where("n > 2").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
         at = scratch.save(at, "at")
-        mixed = at.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
-        left = scratch.save(at.join(scratch.save(mixed.select("key", "n"), "mixed"), "key"), "left")
-        scratch.drop("at", "shared")
+        per = at.groupBy("key", "component").agg(F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
+        mixed = per.groupBy("key").agg(F.sum("m").alias("n"), F.max_by("component", "m").alias("main"), F.count("*").alias("parts"), *(F.bit_xor(f"x{k}").alias(f"x{k}") for k in (1, 2)))
+        mixed = scratch.save(mixed.where("parts > 1").dropDuplicates(["n", "x1", "x2"]).select("key", "n", "main"), "mixed")
+        left = scratch.save(at.join(mixed, "key").selectExpr("key", "rep", "component", "n", "component <> main as outside"), "left")
+        scratch.drop("at", "shared", "mixed")
         if left.limit(1).count():
-            blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-            block = F.pmod(F.xxhash64("rep", F.lit(1)), blocks).cast("int")
-            sets = scratch.save(shingles_of(docs, left.select("rep").distinct(), words, once), "more-sets")
-            dealt = left.withColumn("block", block).select("*", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-            dealt = dealt.join(sets, "rep").select("key", "rep", "component", "shingles", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-            found = scratch.save(dealt.groupBy("key", "i", "j").applyInArrow(lambda t: _across(t, threshold), "a long, b long").distinct(), "found")
-            joined = components(links.unionByName(found), scratch, "last")
+            sets = scratch.save(shingles_of(docs, left.select("rep").distinct(), words, once).withColumn("size", F.size("shingles")), "more-sets")
+            dealt = scratch.save(_dealt(left.join(sets.select("rep", "size"), "rep"), threshold), "dealt")
+            found = dealt.join(sets.select("rep", "shingles"), "rep").groupBy("task").applyInArrow(lambda t: _across(t, threshold), "a long, b long")
+            joined = components(links.unionByName(scratch.save(found.distinct(), "found")), scratch, "last")
         least = scratch.save(joined, "components", keep=True).withColumnRenamed("node", "rep")
     out = members.join(least, "rep", "left").select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def _across(table, threshold: float):
-    """Links between a band's components from one pair of blocks, one for each two components at most.
+def _dealt(left: DataFrame, threshold: float) -> DataFrame:
+    """rep, component, role, band (members that meet) and task; a task holds a bounded number of members and shingles.
 
-    Rows outside the largest component meet all rows; links within that one aren't needed.
+    A large band is split by classes of set sizes, so wide that linked sets are of one class or of two next to each
+    other. Targets are in their own class, members outside the largest component also go to both classes beside it.
     """
-    import pyarrow as pa
-
-    reps, part, block = (table.column(c).to_numpy() for c in ("rep", "component", "block"))
-    low, high = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    large = F.col("n") > BLOCK
+    own = F.when(large, F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(threshold))).otherwise(0).cast("int")
+    whole = left.withColumn("class", own)
+    near = F.when(large, F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).otherwise(F.array("class"))
+    target = whole.select("key", "class", "rep", "component", "size", F.lit(TARGET).alias("role"))
+    outside = whole.where("outside").select("key", F.explode(near).alias("class"), "rep", "component", "size", F.lit(OUTSIDE).alias("role"))
+    rows = target.unionByName(outside)
+    blocks = lambda role: F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("role") == role, F.greatest(F.lit(1 / BLOCK), F.col("size") / SHINGLES)).otherwise(0)))).cast("int")
+    count = rows.groupBy("key", "class").agg(blocks(TARGET).alias("targets"), blocks(OUTSIDE).alias("outsides"), F.sum("size").alias("held"), F.max("role").alias("most"))
+    count = count.where(F.col("most") == OUTSIDE)  # else nothing is compared here
+    small = (F.col("targets") == 1) & (F.col("outsides") == 1)
+    # bands of one block share tasks, those of several have one for each two blocks
+    tasks = max(1, -(-int(count.where(small).agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]) // SHINGLES))
+    turn = lambda n: F.pmod(F.xxhash64("rep", F.lit(3)), F.col(n)).cast("int")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    is_target = F.col("role") == TARGET
+    dealt = rows.join(count, ["key", "class"]).withColumn("i", F.explode(F.when(is_target, F.array(turn("targets"))).otherwise(every("targets"))))
+    dealt = dealt.withColumn("j", F.explode(F.when(is_target, every("outsides")).otherwise(F.array(turn("outsides")))))
+    band = F.xxhash64("key", "class", "i", "j")
+    task = F.when(small, F.pmod(F.xxhash64("key", "class"), F.lit(tasks))).otherwise(band)
+    # a member of both roles is sent once
+    return dealt.withColumn("band", band).groupBy("band", "rep", "component").agg(F.bit_or("role").alias("role"), F.first(task).alias("task"))
+
+
+def _across(table: pa.Table, threshold: float) -> pa.Table:
+    """Links between components from the bands of one task, one for each two components at most."""
+    table = table.sort_by("band")
+    reps, part, role, band = (table.column(c).to_numpy() for c in ("rep", "component", "role", "band"))
     shingles = table.column("shingles").combine_chunks()
-    size = np.diff(shingles.offsets.to_numpy())
-    values, column = np.unique(shingles.flatten().to_numpy(), return_inverse=True)
-    often = np.bincount(column, minlength=len(values)) > 1  # others are shared by none
-    column = np.where(often, np.cumsum(often) - 1, -1)[column]
-    row = np.repeat(np.arange(len(reps)), size)
-    parts, counts = np.unique(part, return_counts=True)
-    left = np.flatnonzero(part != parts[counts.argmax()])
-    place = np.full(len(reps), -1)
-    place[left] = np.arange(len(left))
-    both = np.zeros((len(left), len(reps)), np.float32)
-    for first in range(0, int(often.sum()), COLUMNS):
-        own = (column >= first) & (column < first + COLUMNS)
-        right = np.zeros((len(reps), COLUMNS), np.float32)
-        right[row[own], column[own] - first] = 1
-        both += right[left] @ right.T
-    union = size[left][:, None] + size - both
-    linked = (both * 100 >= union * round(threshold * 100)) & (part[left][:, None] != part) & (union > 0)
-    if low != high:
-        linked &= block[left][:, None] != block
-    x, y = np.nonzero(linked)
-    a, b = reps[left[x]], reps[y]
-    ends = np.sort(np.stack([part[left[x]], part[y]]), axis=0)
-    _, once = np.unique(ends, axis=1, return_index=True)
-    return pa.table({"a": np.minimum(a, b)[once], "b": np.maximum(a, b)[once]})
+    ends, flat = shingles.offsets.to_numpy(), shingles.flatten().to_numpy()
+    first = np.flatnonzero(np.diff(band, prepend=band[:1] - 1))
+    found = [np.empty((4, 0), np.int64)]
+    for low, high in zip(first, [*first[1:], len(band)], strict=True):
+        x, y = _linked(flat[ends[low] - ends[0] : ends[high] - ends[0]], np.diff(ends[low : high + 1]), part[low:high], role[low:high], threshold)
+        found.append(np.stack([np.minimum(part[low + x], part[low + y]), np.maximum(part[low + x], part[low + y]), reps[low + x], reps[low + y]]))
+    made = np.concatenate(found, axis=1)
+    _, once = np.unique(made[:2], axis=1, return_index=True)
+    a, b = made[2:, once]
+    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+
+def _linked(flat: np.ndarray, size: np.ndarray, part: np.ndarray, role: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the linked pairs of different components, first an outsider's, then a target's."""
+    outside, target = np.flatnonzero(role & OUTSIDE), np.flatnonzero(role & TARGET)
+    both = np.zeros((len(outside), len(target)), np.float32)
+    order = np.argsort(flat, kind="stable")
+    row = np.repeat(np.arange(len(size), dtype=np.int32), size)[order]
+    begins = np.flatnonzero(np.diff(flat[order], prepend=flat[:1] - 1)) if len(flat) else np.empty(0, np.int64)
+    del order
+    n = np.diff(np.append(begins, len(row)))
+    if len(begins):
+        # shingles that the same members hold are one column, with a weight
+        mark = np.bitwise_xor.reduceat(mix(np.arange(1, len(size) + 1, dtype=np.uint64))[row], begins)
+        _, column, weight = np.unique(mark[n > 1], return_index=True, return_counts=True)
+        begins, n = begins[n > 1][column], n[n > 1][column]
+        place = np.full((2, len(size)), -1, np.int64)
+        place[0, outside], place[1, target] = np.arange(len(outside)), np.arange(len(target))
+        for low in range(0, len(begins), COLUMNS):
+            m = n[low : low + COLUMNS]
+            held = row[np.arange(m.sum()) + np.repeat(begins[low : low + COLUMNS] - (np.cumsum(m) - m), m)]
+            at = np.repeat(np.arange(len(m)), m)
+            left, right = np.zeros((len(outside), len(m)), np.float32), np.zeros((len(target), len(m)), np.float32)
+            a, b = place[0, held], place[1, held]
+            left[a[a >= 0], at[a >= 0]] = weight[low + at[a >= 0]]
+            right[b[b >= 0], at[b >= 0]] = 1
+            both += left @ right.T
+    percent, found = round(threshold * 100), []
+    for low in range(0, len(outside), 256):
+        own = outside[low : low + 256]
+        same = both[low : low + 256].astype(np.int64)
+        good = (same > 0) & (same * (100 + percent) >= (size[own][:, None] + size[target]) * percent) & (part[own][:, None] != part[target])
+        x, y = np.nonzero(good)
+        found.append((own[x], target[y]))
+    return tuple(np.concatenate(z) for z in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
