@@ -94,7 +94,7 @@ TEXTS = (
     ("isc", "distribute", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted"),
     ("isc", "whatsoever", r"in no event shall (?:the author|isc) be liable for any special, direct, indirect, or consequential damages or any damages whatsoever"),
     ("0bsd", "distribute", r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted\. the software is provided"),
-    ("curl", "curl.se", r"https?://curl\.(?:se|haxx\.se)/docs/copyright\.html"),
+    ("curl", "docs/copyright", r"https?://curl\.(?:se|haxx\.se)/docs/copyright\.html"),
     ("ntp", "udel.edu", r"https?://www\.eecis\.udel\.edu/~mills/ntp"),
     ("postgresql", "agreement", r"permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted"),
     ("boost", "organization", r"permission is hereby granted, free of charge, to any person or organization obtaining a copy"),
@@ -106,7 +106,7 @@ TEXTS = (
     ("libpng", "png", r"the png reference library is supplied .{0,2}as is.{0,2}"),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     ("unlicense", "unlicense.org", r"https?://unlicense\.org"),
-    ("wtfpl", "wtfpl.net", r"https?://(?:www\.|sam\.zoy\.org/)?wtfpl(?:\.net)?"),
+    ("wtfpl", "wtfpl", r"https?://(?:www\.|sam\.zoy\.org/)?wtfpl(?:\.net)?"),
     ("wtfpl", "fuck", r"you just do what the fuck you want to"),
     ("beerware", "beer", r"(?:beer-?ware licen[cs]e|you can buy me a beer in return)"),
     ("json", "evil", r"the software shall be used for good, not evil"),
@@ -117,8 +117,8 @@ TEXTS = (
     ("bsd", "retain", r"redistributions of source code must retain the (?:above )?copyright notice, this list of conditions"),
     ("bsd", "reproduce", r"redistributions in binary form must reproduce the above copyright notice"),
     ("bsd", "endorse", r"neither the names? of .{1,80}? nor the names of its contributors may be used to endorse or promote products"),
-    ("bsd", "acknowledgement", r"all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment"),
-    ("bsd", "contributors", r"this software is provided by the (?:copyright holders?|regents|author)(?: and contributors)? .{0,2}as is.{0,2}"),
+    ("bsd", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment"),
+    ("bsd", "provided", r"this software is provided by the (?:copyright holders?|regents|author)(?: and contributors)? .{0,2}as is.{0,2}"),
     ("bsd", "opensource.org/licenses/bsd", r"https?://(?:www\.)?opensource\.org/licenses/bsd-(?:license|[23]-clause)(?:\.php|\.html)?"),
     ("bsd", "bsd-style", r"(?:governed|licensed) (?:by|under) a bsd-style licen[cs]e"),
     ("ncsa", "illinois", r"university of illinois[/ ]ncsa open source license"),
@@ -135,22 +135,22 @@ TEXTS = (
     ("apache", "perpetual", r"each contributor hereby grants to you a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license"),
     # GNU
     ("gpl", "redistribute", r"this (?:program|library|software|file) is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu general public license"),
-    ("gpl", "foundation", r"gnu general public license,? (?:as published by the free software foundation|version [123])"),
-    ("gpl", "useful", r"without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose\. see the gnu general public license"),
+    ("gpl", "general", r"gnu general public license,? (?:as published by the free software foundation|version [123])"),
+    ("gpl", "fitness", r"without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose\. see the gnu general public license"),
     ("gpl", "gpl", r"(?<!\w)(?:gnu )?gpl ?v?[123](?:\.0)?(?:\+| or later)?(?!\w)"),
-    ("gpl", "gnu.org/licenses/gpl", r"https?://www\.gnu\.org/(?:licenses|copyleft)/gpl(?:-[123]\.0)?(?:\.(?:html|txt))?"),
+    ("gpl", "gnu.org/", r"https?://www\.gnu\.org/(?:licenses|copyleft)/gpl(?:-[123]\.0)?(?:\.(?:html|txt))?"),
     ("gpl", "copyleft", r"the gnu general public license is a free, copyleft license for software and other kinds of works"),
-    ("gpl", "preamble", r"gnu general public license version [123], (?:june 1991|29 june 2007|february 1989)"),
-    ("lgpl", "lesser", r"under the terms of the gnu (?:lesser|library) general public license"),
+    ("gpl", "general", r"gnu general public license version [123], (?:june 1991|29 june 2007|february 1989)"),
+    ("lgpl", "gnu", r"under the terms of the gnu (?:lesser|library) general public license"),
     ("lgpl", "lesser", r"this (?:program|library|software) is distributed in the hope that it will be useful.{0,220}? see the gnu lesser general public license"),
     ("lgpl", "lgpl", r"(?<!\w)(?:gnu )?lgpl ?v?(?:2\.1|2|3)(?:\.0)?(?:\+| or later)?(?!\w)"),
-    ("lgpl", "gnu.org/licenses/lgpl", r"https?://www\.gnu\.org/(?:licenses|copyleft)/lgpl(?:-[23]\.[01])?(?:\.(?:html|txt))?"),
+    ("lgpl", "gnu.org/", r"https?://www\.gnu\.org/(?:licenses|copyleft)/lgpl(?:-[23]\.[01])?(?:\.(?:html|txt))?"),
     ("agpl", "affero", r"under the terms of the gnu affero general public license"),
     ("agpl", "agpl", r"(?<!\w)(?:gnu )?agpl ?v?[13](?:\.0)?(?:\+| or later)?(?!\w)"),
-    ("agpl", "gnu.org/licenses/agpl", r"https?://www\.gnu\.org/licenses/agpl(?:-3\.0)?(?:\.(?:html|txt))?"),
+    ("agpl", "gnu.org/", r"https?://www\.gnu\.org/licenses/agpl(?:-3\.0)?(?:\.(?:html|txt))?"),
     ("gfdl", "invariant", r"with no invariant sections, (?:with )?no front-cover texts,? and (?:with )?no back-cover texts"),
-    ("gfdl", "gnu.org/licenses/fdl", r"https?://www\.gnu\.org/(?:licenses|copyleft)/fdl(?:-1\.[123])?(?:\.(?:html|txt))?"),
-    ("gpl-exception", "exception", r"as a special exception,? .{0,120}? gives? you (?:unlimited )?permission to (?:link|copy)"),
+    ("gfdl", "gnu.org/", r"https?://www\.gnu\.org/(?:licenses|copyleft)/fdl(?:-1\.[123])?(?:\.(?:html|txt))?"),
+    ("gpl-exception", "exception", r"as a special exception,?(?: .{0,120}?)? gives? you (?:unlimited )?permission to (?:link|copy)"),
     ("classpath-exception", "classpath", r"(?:gnu )?classpath[ -]exception"),
     # file-level and other reciprocal licenses
     ("mpl", "mozilla", r"this source code form is subject to the terms of the mozilla public license,? v\. ?2\.0"),
@@ -158,8 +158,9 @@ TEXTS = (
     ("mpl", "mozilla", r"the contents of this file are subject to the mozilla public license version 1\.[01]"),
     ("mpl", "incompatible", r"this source code form is .{0,2}incompatible with secondary licenses"),
     ("epl", "eclipse", r"this program and the accompanying materials are made available under the terms of the eclipse public license"),
-    ("epl", "eclipse.org/legal", r"https?://www\.eclipse\.org/(?:legal/epl-v[12]0|org/documents/epl-(?:v10|2\.0))(?:\.html)?"),
-    ("cddl", "cddl", r"the contents of this file are subject to the terms of the common development and distribution license(?: \(the .{0,2}license.{0,2}\))?|cddl header start"),
+    ("epl", "eclipse.org", r"https?://www\.eclipse\.org/(?:legal/epl-v[12]0|org/documents/epl-(?:v10|2\.0))(?:\.html)?"),
+    ("cddl", "distribution", r"the contents of this file are subject to the terms of the common development and distribution license(?: \(the .{0,2}license.{0,2}\))?"),
+    ("cddl", "cddl", r"cddl header start"),
     ("cpl", "common", r"(?:made available under|licensed under) the (?:terms of the )?common public license v ?1\.0"),
     ("eupl", "eupl", r"licen[cs]ed under the eupl"),
     ("eupl", "joinup", r"https?://joinup\.ec\.europa\.eu/(?:software/page|collection/eupl)/eupl"),
@@ -181,11 +182,13 @@ TEXTS = (
     ("php", "php.net/license", r"https?://www\.php\.net/license/3_0[01]?\.txt"),
     ("ruby", "ruby", r"(?:under|same) (?:the )?terms (?:as|of) (?:the )?ruby(?:'s)?(?: licen[cs]e)?(?!\w)"),
     ("vim", "vim", r"vim is charityware|the vim license applies"),
-    ("qpl", "qpl", r"the q public license version 1\.0|licensed under the qpl"),
+    ("qpl", "public", r"the q public license version 1\.0"),
+    ("qpl", "qpl", r"licensed under the qpl(?!\w)"),
     ("ipl", "ibm", r"ibm public license version 1\.0"),
     ("npl", "netscape", r"the contents of this file are subject to the netscape public license"),
-    ("sleepycat", "sleepycat", r"the sleepycat license|redistributions in any form must be accompanied by information on how to obtain complete source"),
-    ("tcl", "tcl", r"terms and conditions apply to all files associated with the software unless explicitly disclaimed"),
+    ("sleepycat", "sleepycat", r"the sleepycat license"),
+    ("sleepycat", "accompanied", r"redistributions in any form must be accompanied by information on how to obtain complete source"),
+    ("tcl", "disclaimed", r"terms and conditions apply to all files associated with the software unless explicitly disclaimed"),
     ("ofl", "font", r"this font software is licensed under the sil open font license"),
     ("ofl", "scripts.sil.org", r"https?://scripts\.sil\.org/ofl"),
     ("ofl", "reserved", r"reserved font names? .{1,60}? (?:licensed under|this font)"),
@@ -200,7 +203,7 @@ TEXTS = (
     ("llvm-exception", "llvm", r"apache-2\.0 with llvm-exception|llvm exceptions to the apache 2\.0 license"),
     ("nvidia", "nvidia", r"nvidia corporation and its licensors retain all intellectual property"),
     ("intel", "intel", r"intel simplified software license"),
-    ("bigscience-rail", "openrail", r"(?:bigscience|creativeml) (?:rail|open ?rail(?:-m)?) licen[cs]e|openrail-m"),
+    ("bigscience-rail", "rail", r"(?:bigscience|creativeml) (?:rail|open ?rail(?:-m)?) licen[cs]e|openrail-m"),
     ("llama", "llama", r"llama (?:2|3|3\.1|3\.2) community license agreement"),
     # Creative Commons and data
     ("cc0", "cc0", r"(?<!\w)cc0 1\.0(?: universal)?(?!\w)"),
@@ -223,11 +226,12 @@ TEXTS = (
     ("cdla", "community", r"community data license agreement ?(?:-|–) ?(?:permissive|sharing)"),
     # no license, or rights kept
     ("public-domain", "domain", r"(?:dedicated|released|placed|is) (?:in)?to? ?(?:in )?the public domain(?! license)"),
-    ("public-domain", "domain", r"(?:no copyright is claimed|this work is in the public domain)"),
+    ("public-domain", "domain", r"this work is in the public domain"),
+    ("public-domain", "claimed", r"no copyright is claimed"),
     ("proprietary", "reserved", r"all rights reserved\.? (?:unauthori[sz]ed|no part)"),
     ("proprietary", "proprietary", r"(?:confidential and proprietary|proprietary and confidential)"),
     ("proprietary", "strictly", r"unauthori[sz]ed (?:copying|reproduction|distribution|use) of this (?:file|software|material|document)[^.]{0,60}? is strictly prohibited"),
-    ("proprietary", "nondisclosure", r"subject to (?:the terms of )?a (?:nondisclosure|confidentiality) agreement"),
+    ("proprietary", "agreement", r"subject to (?:the terms of )?a (?:nondisclosure|confidentiality) agreement"),
     ("non-commercial", "non-commercial", r"for (?:personal(?: and|, ?| or) ?)?(?:educational(?:,| and| or) ?)?(?:research )?non-commercial (?:use|purposes) only"),
     ("evaluation", "evaluation", r"licensed for evaluation (?:purposes )?only"),
 )
@@ -238,13 +242,13 @@ PRIORITIES = (TAG, TEXT, VERSION, TERMS, NAME)
 
 @dataclass(frozen=True)
 class Rule:
-    """A match needs one of `keywords` in the text and, for rules made of names, also `licen`."""
+    """A match needs one of `keywords` in the text, and `also`."""
 
     label: str
     priority: float
     keywords: tuple[str, ...]
     pattern: re.Pattern
-    named: bool = False
+    also: str = ""
 
 
 @cache
@@ -254,10 +258,10 @@ def rules() -> tuple[Rule, ...]:
     for label, _, versions, keywords, name in LICENSES:
         words = tuple(keywords.split())
         if versions:
-            digits = "|".join(re.escape(v.removesuffix(".0")) + (r"(?:\.0)?" if v.endswith(".0") else "") for v in versions.split())
-            out.append(Rule(label, VERSION, words, re.compile(rf"(?<!\w){name} licen[cs]e,? (?:\(\w{{2,8}}\),? )?(?:version |v\.? ?)?(?:{digits})(?![\w.]\d)"), True))
-        out.append(Rule(label, TERMS, words, re.compile(rf"(?:licensed|released|distributed|available|provided) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{name}(?: licen[cs]e)?(?!\w)"), True))
-        out.append(Rule(label, NAME, words, re.compile(rf"(?<!\w){name} licen[cs]e(?!\w)"), True))
+            digits = "|".join(re.escape(v.removesuffix(".0")) + (r"(?:\.0)?" if v.endswith(".0") else "") for v in sorted(versions.split(), key=len, reverse=True))
+            out.append(Rule(label, VERSION, words, re.compile(rf"(?<!\w){name} licen[cs]e,? (?:\(\w{{2,8}}\),? )?(?:version |v\.? ?)?(?:{digits})(?!\.?\d)"), "licen"))
+        out.append(Rule(label, TERMS, words, re.compile(rf"(?:licensed|released|distributed|available|provided) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{name}(?: licen[cs]e)?(?!\w)"), "under"))
+        out.append(Rule(label, NAME, words, re.compile(rf"(?<!\w){name} licen[cs]e(?!\w)"), "licen"))
     return tuple(sorted(out, key=lambda r: -r.priority))
 
 
@@ -271,7 +275,9 @@ SPDX = "spdx-license-identifier"
 _SPDX_LINE = re.compile(SPDX + r":[ \t]*([^\n\r]*)")
 _SPDX_WORD = re.compile(r"[a-z0-9][a-z0-9.+-]*")
 _SPDX_ENDING = re.compile(r"(?:-only|-or-later|-clause(?:-[a-z]+)?|\+)$")
-_GAP = re.compile(r"\s+(?:(?:\*+/?|//+|#+|;+|--+|%+|>+|\|+)\s*)?")
+#: Gaps between words that aren't one space: white space with or without a comment mark.
+_MARK = r"(?:\*+/?|//+|#+|;+|--+|%+|>+|\|+)\s*"
+_GAP = re.compile(rf"[^\S ]\s*(?:{_MARK})?| (?:\s+(?:{_MARK})?|{_MARK})")
 
 
 @cache
@@ -279,7 +285,7 @@ def _keywords():
     import ahocorasick
 
     found = ahocorasick.Automaton()
-    for word in sorted({k for r in rules() for k in r.keywords} | {"licen", SPDX}):
+    for word in sorted({k for r in rules() for k in r.keywords} | {"licen", "under", SPDX}):
         found.add_word(word, word)
     found.make_automaton()
     return found
@@ -289,12 +295,11 @@ def folded(low: str) -> tuple[str, list[int], list[int]]:
     """The text with one space for each gap between words, the places after gaps in it, and what to add from each on."""
     parts, places, added, end, size = [], [0], [0], 0, 0
     for m in _GAP.finditer(low):
-        if m.end() - m.start() > 1 or low[m.start()] != " ":
-            parts.append(low[end : m.start()])
-            size += m.start() - end + 1
-            end = m.end()
-            places.append(size)
-            added.append(end - size)
+        parts.append(low[end : m.start()])
+        size += m.start() - end + 1
+        end = m.end()
+        places.append(size)
+        added.append(end - size)
     parts.append(low[end:])
     return " ".join(parts), places, added
 
@@ -329,11 +334,11 @@ def detections(low: str) -> list[tuple[int, int, str, float]]:
     if not there:
         return []
     found = spdx(low) if SPDX in there else set()
-    text, places, added = folded(low)
-    back = lambda at: at + added[bisect_right(places, at) - 1]
-    for r in rules():
-        if (not r.named or "licen" in there) and not there.isdisjoint(r.keywords):
-            found.update((back(m.start()), back(m.end() - 1) + 1, r.label, r.priority) for m in r.pattern.finditer(text))
+    able = [r for r in rules() if (not r.also or r.also in there) and not there.isdisjoint(r.keywords)]
+    if able:
+        text, places, added = folded(low)
+        back = lambda at: at + added[bisect_right(places, at) - 1]
+        found.update((back(m.start()), back(m.end() - 1) + 1, r.label, r.priority) for r in able for m in r.pattern.finditer(text))
     return outermost(found)
 
 
