@@ -8,10 +8,10 @@ too low go, and the full shingle sets decide on the rest.
 
 Documents of equal sets are one class, told by a cryptographic digest of the whole sorted set. A band that many classes
 share never yields its pairs as rows. First each member meets one pivot of its band, which joins most copies to one
-component. Of bands in which several components remain, and of equal ones only one, full sets then meet inside tasks:
-the members outside the band's largest component meet all members. Large bands are split by set size first, since sizes
-of a linked pair differ by the threshold at most, and then into blocks of bounded numbers of members and shingles. A
-product of incidence matrices counts what sets share; a task returns one link for each two components that it joins. So
+component. Of bands in which several components remain, full sets then meet inside tasks: a band's largest component
+meets all who share such a band with it, once for all its bands, and the others meet among themselves. Large groups are
+split by set size first, since sizes of a linked pair differ by the threshold at most, and then into blocks of bounded
+numbers of members and shingles. A product of incidence matrices counts what sets share; a task returns one link for each two components that it joins. So
 no link between components is lost, while links inside one needn't be found.
 """
 
@@ -190,14 +190,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         # bands of over two members in which several components remain; of those with equal members, one
         at = shared.where("n > 2").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
         at = scratch.save(at, "at")
-        per = at.groupBy("key", "component").agg(F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
-        mixed = per.groupBy("key").agg(F.sum("m").alias("n"), F.max_by("component", "m").alias("main"), F.count("*").alias("parts"), *(F.bit_xor(f"x{k}").alias(f"x{k}") for k in (1, 2)))
-        mixed = scratch.save(mixed.where("parts > 1").dropDuplicates(["n", "x1", "x2"]).select("key", "n", "main"), "mixed")
-        left = scratch.save(at.join(mixed, "key").selectExpr("key", "rep", "component", "n", "component <> main as outside"), "left")
+        per = at.groupBy("key", "component").agg(F.count("*").alias("m"))
+        mixed = scratch.save(per.groupBy("key").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main"), "mixed")
+        left = scratch.save(at.join(mixed, "key").select("key", "rep", "component", "main"), "left")
         scratch.drop("at", "shared", "mixed")
         if left.limit(1).count():
             sets = scratch.save(shingles_of(docs, left.select("rep").distinct(), words, once).withColumn("size", F.size("shingles")), "more-sets")
-            dealt = scratch.save(_dealt(left.join(sets.select("rep", "size"), "rep"), threshold), "dealt")
+            meet = scratch.save(_meeting(left), "meet")
+            dealt = scratch.save(_dealt(meet.join(sets.select("rep", "size"), "rep"), threshold), "dealt")
             found = dealt.join(sets.select("rep", "shingles"), "rep").groupBy("task").applyInArrow(lambda t: _across(t, threshold), "a long, b long")
             joined = components(links.unionByName(scratch.save(found.distinct(), "found")), scratch, "last")
         least = scratch.save(joined, "components", keep=True).withColumnRenamed("node", "rep")
@@ -205,22 +205,38 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
-def _dealt(left: DataFrame, threshold: float) -> DataFrame:
+def _meeting(left: DataFrame) -> DataFrame:
+    """key, rep, component and role of the members that must meet, given the bands in which several components remain.
+
+    A component meets all members that share a band of which it is the largest, once for all such bands. The others of
+    a band meet among themselves; of bands with the same others only one counts.
+    """
+    main = F.xxhash64(F.lit("main"), "main").alias("key")
+    ring = left.select(main, "rep", "component", F.when(F.col("component") == F.col("main"), TARGET).otherwise(OUTSIDE).alias("role")).distinct()
+    others = left.where("component <> main")
+    several = others.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *(F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
+    several = several.where("low <> high").dropDuplicates(["n", "x1", "x2"]).select("key")
+    return ring.unionByName(others.join(several, "key").select("key", "rep", "component", F.lit(TARGET | OUTSIDE).alias("role")))
+
+
+def _dealt(meet: DataFrame, threshold: float) -> DataFrame:
     """rep, component, role, band (members that meet) and task; a task holds a bounded number of members and shingles.
 
-    A large band is split by classes of set sizes, so wide that linked sets are of one class or of two next to each
-    other. Targets are in their own class, members outside the largest component also go to both classes beside it.
+    Large groups are split by classes of set sizes, so wide that linked sets are of one class or of two next to each
+    other. Targets are in their own class, members that are compared with them also go to both classes beside it.
     """
-    large = F.col("n") > BLOCK
-    own = F.when(large, F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(threshold))).otherwise(0).cast("int")
-    whole = left.withColumn("class", own)
-    near = F.when(large, F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).otherwise(F.array("class"))
-    target = whole.select("key", "class", "rep", "component", "size", F.lit(TARGET).alias("role"))
-    outside = whole.where("outside").select("key", F.explode(near).alias("class"), "rep", "component", "size", F.lit(OUTSIDE).alias("role"))
+    large = meet.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).select("key", F.lit(True).alias("large"))
+    whole = meet.join(large, "key", "left")
+    own = F.when(F.col("large"), F.floor(F.log(F.greatest("size", F.lit(1))) / -math.log(threshold))).otherwise(0).cast("int")
+    whole = whole.withColumn("class", own)
+    near = F.when(F.col("large"), F.array(F.col("class") - 1, F.col("class"), F.col("class") + 1)).otherwise(F.array("class"))
+    is_a = lambda role: F.col("role").bitwiseAND(role) > 0
+    target = whole.where(is_a(TARGET)).select("key", "class", "rep", "component", "size", F.lit(TARGET).alias("role"))
+    outside = whole.where(is_a(OUTSIDE)).select("key", F.explode(near).alias("class"), "rep", "component", "size", F.lit(OUTSIDE).alias("role"))
     rows = target.unionByName(outside)
     blocks = lambda role: F.greatest(F.lit(1), F.ceil(F.sum(F.when(F.col("role") == role, F.greatest(F.lit(1 / BLOCK), F.col("size") / SHINGLES)).otherwise(0)))).cast("int")
-    count = rows.groupBy("key", "class").agg(blocks(TARGET).alias("targets"), blocks(OUTSIDE).alias("outsides"), F.sum("size").alias("held"), F.max("role").alias("most"))
-    count = count.where(F.col("most") == OUTSIDE)  # else nothing is compared here
+    count = rows.groupBy("key", "class").agg(blocks(TARGET).alias("targets"), blocks(OUTSIDE).alias("outsides"), F.sum("size").alias("held"), F.min("role").alias("x"), F.max("role").alias("y"))
+    count = count.where("x <> y").drop("x", "y")  # else nothing is compared here
     small = (F.col("targets") == 1) & (F.col("outsides") == 1)
     # bands of one block share tasks, those of several have one for each two blocks
     tasks = max(1, -(-int(count.where(small).agg(F.coalesce(F.sum("held"), F.lit(0))).first()[0]) // SHINGLES))
