@@ -503,6 +503,27 @@ def test_secrets_beside_allowed_words_and_signatures(spark):
     assert all("entropy" not in x for x in spans[-len(none) :]), spans[-len(none) :]
 
 
+def test_long_texts_of_secrets_take_linear_time(spark):
+    rng = random.Random(13)
+    line = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    key = "aB3dE5fG7hJ9kL2mN4pQ6rS8tU1vW0xY3zA5bC7d"
+    texts = [line("abcdefxyz", 1_000_000), line("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/", 1_000_000), "ab/" * 300_000, " ".join([f"{key} deadbeefdeadbeef{k:08x}" for k in range(15_000)]), "password" + " " * 1_000_000 + "a1" * 100_000 + "=" * 100]
+    began = time.time()
+    rows = secrets.secret_spans(docs(spark, texts), out="_spans").select("text", F.size("_spans").alias("n"), secrets.masked(F.col("text"), F.col("_spans")).alias("out"), F.get("_spans", F.lit(0)).alias("x")).collect()
+    assert time.time() - began < 90
+    assert [r.n for r in rows] == [len(brute_spans(texts[0])), 1, 0, 30_000, 1]
+    assert (rows[1].x.start, rows[1].x.end, rows[1].out) == (0, 1_000_000, secrets.MASK)
+    assert rows[3].out == " ".join([secrets.MASK] * 30_000) and rows[4].out == "password" + " " * 1_000_000 + secrets.MASK + "=" * 100
+
+
+def test_pieces_hold_every_window(spark):
+    text = "".join(random.Random(14).choice("ab😀é") for _ in range(500))
+    for size in (20, 21, 50, 600):
+        got = spark.createDataFrame([(text,), ("",), ("a",)], "t string").select(secrets.pieces(F.col("t"), 20, size).alias("p")).collect()
+        assert {x[k : k + 20] for x in got[0].p for k in range(len(x) - 19)} == {text[k : k + 20] for k in range(481)} and max(map(len, got[0].p)) <= size
+        assert got[1].p == [] and got[2].p == ["a"]
+
+
 # decontamination
 
 
