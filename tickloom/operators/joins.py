@@ -124,10 +124,10 @@ def self_identity(rows: DataFrame, symbols: DataFrame, identity: DataFrame, at:
     return rows.join(symbols.select(symbol).distinct(), symbol, "left_semi").join(identity, [at, symbol], "left")
 
 
-def replace_like(cancels: DataFrame, orders: DataFrame, key: list[str], at: str = "time", within: int = 1000, tick: float = 0.02) -> DataFrame:
-    """Cancels with the first later order of the same side; `replace_like` where it is near in time and price."""
-    found = asof_forward(cancels, orders, key, at, ["price"], prefix="next_", horizon=F.lit(1))
-    near = (F.col("next_at") - F.col(at) <= within) & (F.abs(F.col("next_price") - F.col("price")) <= tick + 1e-9)
+def replace_like(cancels: DataFrame, orders: DataFrame, key: list[str], within: int = 1000, tick: float = 0.02, at: str = "time", seq: str = "seq") -> DataFrame:
+    """Cancels with the first order of the same side at their time or later; `replace_like` where it is near in time and price."""
+    found = asof_forward(cancels, orders, key, at, ["price"], seq, prefix="next_")
+    near = (F.col("next_at") - F.col(at) <= within) & (F.abs(F.col("next_price") - F.col("price")) <= tick)
     return found.withColumn("replace_like", F.coalesce(near, F.lit(False)))
 
 

@@ -94,3 +94,46 @@ def book_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     level = lambda sign: F.transform(F.sequence(F.lit(1), F.lit(10)), lambda k: F.col("price") + sign * k * 0.01)
     size = lambda m: F.transform(F.sequence(F.lit(1), F.lit(10)), lambda k: ((F.col("seq") * m + k) % 20 + 1) * 100.0)
     return t.select("symbol", "trade_date", "seq", "time", level(-1).alias("bid_price"), level(1).alias("ask_price"), size(3).alias("bid_volume"), size(7).alias("ask_volume"))
+
+
+def level2(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """events as one month's deals, orders and quotes of symbols made of 75 users each, so days are as dense at any size.
+
+    Times of the day are pressed into 9:15 to 15:00. Prices move within a few ticks; every thirteenth deal is a large
+    one; errors are cancels; some quotes are locked, crossed or empty, some ids end in .0, some are missing.
+    """
+    e = table(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    millis = F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(day.cast("timestamp"))) / 1000)
+    k = F.col("event_id")
+    bought, failed = F.col("event_type").isin("click", "signup"), F.col("event_type") == "error"
+    x = e.select(F.floor(F.col("user_id") / 75).alias("symbol"), F.to_date(F.date_trunc("month", "ts")).alias("trade_date"), k.alias("seq"), (F.lit(33_300_000) + F.floor(millis * 20_700_000 / 86_400_000)).alias("time"), (10 + k % 7 * 0.01).alias("price"), bought.alias("bought"), failed.alias("failed"))
+    k = F.col("seq")
+    base = ["symbol", "trade_date", "seq", "time"]
+    text = lambda c: c.cast("string")
+    volume = ((k % 50 + 1) * F.when(k % 13 == 0, 10_000.0).otherwise(100.0)).alias("volume")
+    side = F.when(F.col("failed"), F.when(k % 2 == 0, -1).otherwise(-11)).when(F.col("bought"), 0).otherwise(1)
+    deals = x.select(*base, "price", volume, side.alias("side"), F.concat(text(k % 997), F.when(k % 5 == 0, ".0").otherwise("")).alias("buy_id"), F.when(k % 11 != 0, text(k * 3 % 997)).alias("sell_id"))
+    kind = F.when(F.col("failed"), F.when(F.floor(k / 2) % 2 == 0, -1).otherwise(-11)).when(F.col("bought"), 0).otherwise(10)
+    orders = x.select(*base, (F.col("price") + (k % 3 - 1) * 0.01).alias("price"), volume, kind.alias("type"), text(k % 997).alias("id"))
+    bid = F.when(k % 53 == 0, 0.0).otherwise(10 + k % 5 * 0.01)
+    ask = 10 + k % 5 * 0.01 + F.when(k % 41 == 0, -1).otherwise(k % 4) * 0.01
+    levels = F.sequence(F.lit(0), F.lit(9))
+    size = lambda m: F.transform(levels, lambda j: ((k * m + j) % 20 + 1) * 100.0)
+    quotes = x.select(*base, "price", (k % 200 * 100.0).alias("total_bid_volume"), (k * 3 % 200 * 100.0).alias("total_ask_volume"), F.transform(levels, lambda j: F.when(bid > 0, bid - j * 0.01).otherwise(0.0)).alias("bid_price"), F.transform(levels, lambda j: ask + j * 0.01).alias("ask_price"), size(3).alias("bid_volume"), size(7).alias("ask_volume"))
+    return deals, orders, quotes
+
+
+_BV, _AV = ([f"((k * {m} + {j}) % 20 + 1) * 100::DOUBLE" for j in range(10)] for m in (3, 7))
+LEVEL2 = f"""x AS (
+  SELECT user_id // 75 AS symbol, date_trunc('month', ts)::DATE AS trade_date, event_id AS seq, event_id AS k, event_type IN ('click', 'signup') AS bought, event_type = 'error' AS failed,
+    33300000 + ((epoch_us(ts) - epoch_us(CAST(CAST(ts AS DATE) AS TIMESTAMP))) // 1000) * 20700000 // 86400000 AS time, 10 + event_id % 7 * 0.01::DOUBLE AS price, (event_id % 50 + 1) * CASE WHEN event_id % 13 = 0 THEN 10000 ELSE 100 END::DOUBLE AS volume FROM events),
+deals AS (SELECT symbol, trade_date, seq, time, price, volume, price * volume AS amount, CASE WHEN failed THEN CASE WHEN k % 2 = 0 THEN -1 ELSE -11 END WHEN bought THEN 0 ELSE 1 END AS side, CASE WHEN NOT failed AND bought THEN 1 ELSE -1 END AS sign, (k % 997)::VARCHAR AS buy_id, CASE WHEN k % 5 = 0 THEN '.0' ELSE '' END AS tail, CASE WHEN k % 11 <> 0 THEN (k * 3 % 997)::VARCHAR END AS sell_id FROM x),
+e AS (SELECT * FROM deals WHERE side IN (0, 1)),
+orders2 AS (SELECT symbol, trade_date, seq, time, price + (k % 3 - 1) * 0.01::DOUBLE AS price, volume, CASE WHEN failed THEN CASE WHEN k // 2 % 2 = 0 THEN -1 ELSE -11 END WHEN bought THEN 0 ELSE 10 END AS type, CASE WHEN failed THEN k // 2 % 2 = 0 ELSE bought END AS buy, (k % 997)::VARCHAR AS id FROM x),
+q0 AS (SELECT symbol, trade_date, seq, time, price AS last, k % 200 * 100::DOUBLE AS tb, k * 3 % 200 * 100::DOUBLE AS ta, CASE WHEN k % 53 = 0 THEN 0 ELSE 10 + k % 5 * 0.01::DOUBLE END AS bid, 10 + k % 5 * 0.01::DOUBLE + CASE WHEN k % 41 = 0 THEN -1 ELSE k % 4 END * 0.01::DOUBLE AS ask, {_BV[0]} AS bid1, {_AV[0]} AS ask1, {' + '.join(_BV[:3])} AS bid3, {' + '.join(_BV[:5])} AS bid5, {' + '.join(_AV[:5])} AS ask5, {', '.join(f'({_BV[j]} + {_AV[j]}) / 2 AS l{j}' for j in range(5))} FROM x),
+q AS (SELECT *, bid > 0 AND ask > bid AS valid, CASE WHEN bid > 0 AND ask > bid THEN (bid + ask) / 2 END AS mid, bid1 + ask1 AS depth1, bid5 + ask5 AS depth5 FROM q0),
+qb AS (SELECT symbol, trade_date, time, arg_max(bid, seq) AS bid, arg_max(ask, seq) AS ask, arg_max(valid, seq) AS valid FROM q GROUP BY ALL),
+vb AS (SELECT symbol, trade_date, time, arg_max(mid, seq) AS mid FROM q WHERE valid GROUP BY ALL),
+vf AS (SELECT symbol, trade_date, time, arg_min(mid, seq) AS mid FROM q WHERE valid GROUP BY ALL),
+near AS (SELECT o.*, abs(o.price - CASE WHEN o.buy THEN qb.bid ELSE qb.ask END) <= 0.01 + 1e-9 AS near_touch FROM orders2 o ASOF LEFT JOIN qb ON o.symbol = qb.symbol AND o.trade_date = qb.trade_date AND o.time >= qb.time)"""

@@ -119,13 +119,12 @@ def trade_quote_join(spark, d):
     return out.select("symbol", "trade_date", "seq", "q_at", r("q_price").alias("q_price"))
 
 
-@query(f"WITH {TICKS}, o AS (SELECT symbol, trade_date, time, seq, price - 0.01 AS price, CASE WHEN event_type = 'error' THEN -1 ELSE 0 END AS type, CASE WHEN event_type = 'error' THEN (CASE WHEN seq % 2 = 0 THEN 0 ELSE 1 END) ELSE side END AS side FROM ticks), n AS (SELECT symbol, trade_date, side, time, first(price ORDER BY seq) AS price FROM o WHERE type = 0 GROUP BY ALL) SELECT c.symbol, c.trade_date, c.seq, coalesce(n.time - c.time <= 100000000 AND abs(n.price - c.price) <= 20 + 1e-9, false) AS replace_like FROM (SELECT * FROM o WHERE type < 0) c ASOF LEFT JOIN n ON c.symbol = n.symbol AND c.trade_date = n.trade_date AND c.side = n.side AND c.time + 1 <= n.time")
+@query(f"WITH {TICKS}, o AS (SELECT symbol, trade_date, time, seq, price - 0.01 AS price, CASE WHEN event_type = 'error' THEN -1 ELSE 0 END AS type, CASE WHEN event_type = 'error' THEN (CASE WHEN seq % 2 = 0 THEN 0 ELSE 1 END) ELSE side END AS side FROM ticks), n AS (SELECT symbol, trade_date, side, time, first(price ORDER BY seq) AS price FROM o WHERE type = 0 GROUP BY ALL) SELECT c.symbol, c.trade_date, c.seq, coalesce(n.time - c.time <= 1000 AND abs(n.price - c.price) <= 0.02, false) AS replace_like FROM (SELECT * FROM o WHERE type < 0) c ASOF LEFT JOIN n ON c.symbol = n.symbol AND c.trade_date = n.trade_date AND c.side = n.side AND c.time <= n.time")
 def replace_like_match(spark, d):
-    from tickloom.operators.l2 import _side
-
-    o = book_orders(spark, d).withColumn("side", _side())
+    buy = F.col("type").between(0, 3) | (F.col("type") == -1)
+    o = book_orders(spark, d).withColumn("side", F.when(buy, 0).otherwise(1))
     pick = lambda c: o.where(c).select("symbol", "trade_date", "side", "seq", "time", "price")
-    return joins.replace_like(pick("type < 0"), pick("type >= 0"), ["symbol", "trade_date", "side"], within=100_000_000, tick=20.0).select("symbol", "trade_date", "seq", "replace_like")
+    return joins.replace_like(pick("type < 0"), pick("type >= 0"), ["symbol", "trade_date", "side"]).select("symbol", "trade_date", "seq", "replace_like")
 
 
 @query(f"WITH {TICKS} SELECT symbol, trade_date, time // 60000 AS minute, side, sum(CASE WHEN event_type <> 'error' THEN volume ELSE 0 END) AS traded, sum(CASE WHEN event_type = 'error' THEN volume ELSE 0 END) AS cancelled FROM ticks GROUP BY 1, 2, 3, 4")
