@@ -33,10 +33,13 @@ def asof_backward(left: DataFrame, right: DataFrame, key: list[str], at: str, va
 
 
 def asof_forward(left: DataFrame, right: DataFrame, key: list[str], at: str, values: list[str], seq: str | None = None, prefix: str = "", horizon=None) -> DataFrame:
-    """Every left row with the key's first right row at or after its time plus `horizon`; the least `seq` wins."""
+    """Every left row with the key's first right row at or after its time plus `horizon`; the least `seq` wins.
+
+    Time runs backwards, since a frame that reaches forward to the end is computed anew for each row.
+    """
     both = _tagged(left, right, key, at, values, seq, lambda t: t - horizon if horizon is not None else t)
-    w = Window.partitionBy(*key).orderBy("_t", F.desc("_side"), "_seq").rowsBetween(0, Window.unboundedFollowing)
-    out = both.withColumn("_held", F.first("_held", ignorenulls=True).over(w)).where("_side = 1")
+    w = Window.partitionBy(*key).orderBy(F.desc("_t"), "_side", F.desc("_seq")).rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("_held", F.last("_held", ignorenulls=True).over(w)).where("_side = 1")
     return out.select("_row.*", F.col("_held._at").alias(f"{prefix}at"), *(F.col(f"_held.{v}").alias(f"{prefix}{v}") for v in values))
 
 
