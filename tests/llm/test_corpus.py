@@ -554,6 +554,51 @@ def test_decontamination_finds_edited_passages(spark):
     assert decontamination.contaminations(d.where("false"), bench).count() == 0
 
 
+def nearest_part(item, text):
+    """(edits, start) of the part of a text nearest to an item, by the whole table of edit distances."""
+    row = [(0, k) for k in range(len(text) + 1)]
+    for n, byte in enumerate(item, 1):
+        fresh = [(n, 0)]
+        for k, c in enumerate(text, 1):
+            fresh.append(min((row[k - 1][0] + (c != byte), row[k - 1][1]), (row[k][0] + 1, row[k][1]), (fresh[k - 1][0] + 1, fresh[k - 1][1])))
+        row = fresh
+    return min(row)
+
+
+def test_matches_equal_whole_edit_distances(monkeypatch):
+    rng = random.Random(15)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 6)))
+    for segment in (64, 16 << 10):
+        monkeypatch.setattr(decontamination, "SEGMENT", segment)
+        items = [" ".join(word() for _ in range(rng.randint(4, 14))) for _ in range(12)]
+        found = decontamination.Items(list(range(len(items))), items)
+        for _ in range(60):
+            parts = [" ".join(word() for _ in range(rng.randint(0, 25)))]
+            for item in rng.sample(items, rng.randint(0, 2)):
+                cut = list(item)
+                for _ in range(rng.randint(0, 2 + decontamination.edits_allowed(len(item)))):
+                    at = rng.randrange(len(cut))
+                    cut[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "ab"])
+                parts += ["".join(cut), word()]
+            text = decontamination.plain(" ".join(parts)).encode()
+            got = {i: (edits, start, end) for i, start, end, edits in found.found(text)}
+            for i, item in enumerate(items):
+                edits, _ = nearest_part(item.encode(), text)
+                assert (i in got) == (edits <= decontamination.edits_allowed(len(item))), (item, text)
+                if i in got:
+                    n, start, end = got[i]
+                    assert n == edits and nearest_part(item.encode(), text[start:end])[0] == edits
+
+
+def test_long_and_repetitive_texts_are_searched_in_segments():
+    item = "the quick brown fox jumps over the lazy dog " * 8
+    found = decontamination.Items([1, 2], [item, "0" * 300])
+    began = time.process_time()
+    text = decontamination.plain("0" * 400_000 + " w" * 300_000 + " " + item + " z" * 10_000).encode()
+    got = {i: (start, edits) for i, start, _, edits in found.found(text)}
+    assert got == {1: (text.find(decontamination.plain(item).encode()), 0), 2: (0, 0)} and time.process_time() - began < 60
+
+
 def test_items_in_several_chunks_find_the_same(spark, monkeypatch):
     d, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {tuple(r) for r in decontamination.contaminations(d, bench).collect()}

@@ -3,15 +3,18 @@
 Texts are compared in small letters with every run of other characters than letters and digits as one space. Two
 strings within e edits share at least m + 1 - q - q e of the m + 1 - q q-grams of the shorter, and all shared ones lie on
 diagonals at most e apart. So shared q-grams are counted in bands of diagonals that overlap by half; bands that reach
-the bound are regions, and a banded alignment of the item with the region decides.
+the bound are regions, and an alignment banded to the region's diagonals decides. Long texts are searched in segments
+that overlap by more than the longest item.
 
-Items come in chunks of bounded size, each sent to all tasks for one pass over the documents; nothing sent grows with
-the number of items or documents.
+Items come in chunks of bounded size. A chunk is sent to all tasks for one pass over the documents and taken back before
+the next, so what driver and tasks hold doesn't grow with the number of items or documents; the passes do, one for each
+CHUNK bytes of items.
 """
 
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +28,8 @@ Q = 8
 BUDGET = 0.1
 #: Bytes of items in a chunk.
 CHUNK = 8 << 20
+#: Bytes of a text that are searched at once; more where items are longer than a quarter.
+SEGMENT = 16 << 10
 
 _OTHER = re.compile(r"[\W_]+")
 _U = np.uint64
@@ -64,6 +69,7 @@ class Items:
         self.place = np.concatenate([np.arange(len(c)) for c in codes] or [np.empty(0, np.int64)])[order].astype(np.int64)
         self.edits = np.array([edits_allowed(len(t)) for t in self.texts], np.int64)
         self.least = np.array([len(t) + 1 - Q - Q * e for t, e in zip(self.texts, self.edits, strict=True)], np.int64)
+        self.longest = max((len(t) + int(e) for t, e in zip(self.texts, self.edits, strict=True)), default=0)
         self.bits = max(16, int(np.ceil(np.log2(max(len(self.codes), 1)))) + 6)
         self.there = np.zeros(1 << self.bits, bool)
         self.there[self._slot(self.codes)] = True
@@ -82,8 +88,8 @@ class Items:
         entry = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.begins[found] - (ends - n), n)
         return np.repeat(at, n), self.item[entry], self.place[entry]
 
-    def regions(self, text: bytes, codes: np.ndarray) -> list[tuple[int, int, int]]:
-        """(item, first and last diagonal) of bands that hold enough shared q-grams."""
+    def regions(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """(item, first and last diagonal) of bands that hold enough shared q-grams, each counted once for each place in the item."""
         if not len(self.codes) or not len(codes):
             return []
         at, item, place = self.hits(codes)
@@ -91,21 +97,18 @@ class Items:
         at, item, place = at[enough], item[enough], place[enough]
         if not len(at):
             return []
-        width = self.edits[item] + 1
-        band = np.floor_divide(at - place, width)
+        band = np.floor_divide(at - place, self.edits[item] + 1)
         low = int(band.min()) - 1
         span = int(band.max()) - low + 1
-        key = np.concatenate([item * span + band - low, item * span + band - 1 - low])
-        bands, counts = np.unique(key, return_counts=True)
+        key, place = np.concatenate([item * span + band - low, item * span + band - 1 - low]), np.tile(place, 2)
+        order = np.lexsort((place, key))
+        key, place = key[order], place[order]
+        first = np.append(True, (key[1:] != key[:-1]) | (place[1:] != place[:-1]))
+        bands, counts = np.unique(key[first], return_counts=True)
         full = bands[counts >= self.least[bands // span]]
-        out = []
-        for k in full:
-            i, b = int(k // span), int(k % span) + low
-            # a q-gram counts once for each place in the item
-            if len(np.unique(np.tile(place, 2)[key == k])) >= self.least[i]:
-                w = int(self.edits[i]) + 1
-                out.append((i, b * w, b * w + 2 * w - 1))
-        return out
+        i, width = full // span, self.edits[full // span] + 1
+        begin = (full % span + low) * width
+        return list(zip(i.tolist(), begin.tolist(), (begin + 2 * width - 1).tolist(), strict=True))
 
     def found(self, text: bytes) -> list[tuple[int, int, int, int]]:
         """(item id, start, end, edits) of the best match of each item in a plain text, in bytes."""
@@ -114,34 +117,46 @@ class Items:
             at = (b" " + text + b" ").find(b" " + self.texts[i] + b" ")
             if at >= 0:
                 best[i] = (0, at, at + len(self.texts[i]))
-        for i, low, high in self.regions(text, grams(np.frombuffer(text, np.uint8))):
-            item, most = self.texts[i], int(self.edits[i])
-            begin = max(0, low - most)
-            region = text[begin : min(len(text), high + len(item) + most)]
-            at = region.find(item)
-            made = (0, at, at + len(item)) if at >= 0 else aligned(item, region, most)
-            if made and (i not in best or (made[0], made[1] + begin) < best[i][:2]):
-                best[i] = (made[0], made[1] + begin, made[2] + begin)
+        size = max(SEGMENT, 4 * self.longest)
+        for offset in range(0, max(1, len(text) - self.longest), size - self.longest):
+            part = text[offset : offset + size]
+            for i, low, high in self.regions(grams(np.frombuffer(part, np.uint8))):
+                made = aligned(self.texts[i], part, low, high, int(self.edits[i]))
+                if made and (i not in best or (made[0], made[1] + offset) < best[i][:2]):
+                    best[i] = (made[0], made[1] + offset, made[2] + offset)
         return [(self.ids[i], start, end, edits) for i, (edits, start, end) in sorted(best.items())]
 
 
-def aligned(item: bytes, region: bytes, most: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the part of a region nearest to the item, if within `most` edits.
+def aligned(item: bytes, text: bytes, low: int, high: int, most: int) -> tuple[int, int, int] | None:
+    """(edits, start, end) of the part of a text nearest to the item, if within `most` edits.
 
-    Rows are the item's bytes; a cell holds the edits and, for ties, the start of the best alignment so far. The
-    region is a band of diagonals already, so all of its cells are computed, a row at once.
+    Shared q-grams lie on the diagonals low to high, so an alignment stays within `most` of them: only that band of
+    cells is computed, a row for each byte of the item. A cell holds the edits and, for ties, the earliest start.
     """
-    text, n = np.frombuffer(region, np.uint8), len(region)
-    scale = n + 1
-    columns = np.arange(n + 1)
-    row = columns.astype(np.int64)  # edits * scale + start
-    for byte in item:
-        step = np.append(row[0] + scale, np.minimum(row[1:] + scale, row[:-1] + scale * (text != byte)))
+    begin = max(0, low - most)
+    at = text.find(item, begin, high + most + len(item))
+    if at >= 0:
+        return 0, at, at + len(item)
+    low, width = low - most, high - low + 1 + 2 * most
+    scale, none = len(text) + 1, np.int64(1) << 60
+    padded = np.full(width + len(item) + 1, -1, np.int16)  # the text from the diagonal `low` on; -1: outside of it
+    first, last = max(0, low), min(len(text), low + len(padded))
+    if first >= last:
+        return None
+    padded[first - low : last - low] = np.frombuffer(text, np.uint8)[first:last]
+    steps = np.arange(width) * scale
+    place = np.arange(low, low + width)
+    row = np.where((place >= 0) & (place <= len(text)), place, none)  # edits * scale + start
+    for k, byte in enumerate(item):
+        own = padded[k : k + width]
+        fresh = row + scale * (own != byte)
+        fresh[own < 0] = none  # no such byte
+        fresh[:-1] = np.minimum(fresh[:-1], row[1:] + scale)  # the item's byte is left out
         # an inserted byte of the text costs one edit: a running minimum along the row
-        row = np.minimum.accumulate(step - columns * scale) + columns * scale
+        row = np.minimum(np.minimum.accumulate(fresh - steps) + steps, none)
     end = int(np.argmin(row))
     edits, start = divmod(int(row[end]), scale)
-    return (edits, start, end) if edits <= most else None
+    return (edits, start, min(low + len(item) + end, len(text))) if edits <= most else None
 
 
 def chunks(benchmark: DataFrame, size: int = CHUNK):
@@ -163,16 +178,23 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, start, end, edits: the best match of each item in each document that holds one.
 
     start and end count bytes of the plain text. Items shorter than a q-gram match whole words only; null and blank
-    texts, on either side, match nothing. Rows that repeat, of documents or items, match each time. Other columns are
-    ignored; no items or no documents give no rows.
+    texts, on either side, match nothing. Rows that repeat, of documents or items, match each time. Ties go to the
+    earliest start. Other columns are ignored; no items or no documents give no rows. With several chunks of items the
+    rows of each are written to the shared folder before the next.
     """
     kept = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
     schema = "doc_id long, item_id long, start int, end int, edits int"
-    out = docs.sparkSession.createDataFrame([], schema)
-    for ids, texts in chunks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast((ids, texts))
-        out = out.unionByName(map_columns(kept, _search(shared), schema))
-    return out
+    scratch, out, before = Scratch(docs.sparkSession, "contaminations"), [], None
+    for k, (ids, texts) in enumerate(chunks(benchmark)):
+        if before:
+            out[-1] = scratch.save(out[-1], str(k), keep=True)
+            before.destroy()
+        before = docs.sparkSession.sparkContext.broadcast((ids, texts))
+        out.append(map_columns(kept, _search(before), schema))
+    if len(out) > 1:
+        out[-1] = scratch.save(out[-1], "last", keep=True)
+        before.destroy()
+    return reduce(DataFrame.unionByName, out) if out else docs.sparkSession.createDataFrame([], schema)
 
 
 def _search(shared):
@@ -193,11 +215,13 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Each row is decided by its own text, so ids may be null or repeat. Only with several chunks of items are the rows
     left by one chunk written to the shared folder before the next.
     """
-    scratch = Scratch(docs.sparkSession, "decontamination")
+    scratch, before = Scratch(docs.sparkSession, "decontamination"), None
     for k, (ids, texts) in enumerate(chunks(benchmark)):
-        if k:
+        if before:
             docs = scratch.save(docs, str(k), keep=True)
-        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast((ids, texts)))("text"))
+            before.destroy()
+        before = docs.sparkSession.sparkContext.broadcast((ids, texts))
+        docs = docs.where(_clean(before)("text"))
     return docs
 
 
