@@ -2,8 +2,9 @@
 
 A document's set of word shingles is cut into 128 buckets by the top bits of the shingles' hashes. Of each bucket's
 least hash a 16-bit register keeps the leading-zero count and the 10 bits that follow the first one. Four registers
-make a band; two documents that share a band are candidates. With a similarity of 0.8, 32 bands miss a pair with a
-chance below 1e-7. Registers that agree by chance are subtracted from the estimate, candidates whose estimate is far
+make a band, in which an empty bucket borrows the register of another one that a fixed random order names, so that few
+shingles make no weaker bands; two documents that share a band are candidates. With a similarity of 0.8, 32 bands miss
+a pair with a chance below 1e-7. Registers that agree by chance are subtracted from the estimate, candidates whose estimate is far
 too low go, and the full shingle sets decide on the rest.
 
 Documents of equal sets are one class, told by a cryptographic digest of the whole sorted set. A band that many classes
@@ -84,12 +85,27 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, n_shingles long, digest binary, registers binary")
 
 
+#: For each bucket, the order in which it asks others for a register; itself first.
+_LENDERS = np.argsort(np.random.Generator(np.random.PCG64(21)).random((REGISTERS, REGISTERS)) + 1 - np.eye(REGISTERS), axis=1, kind="stable")
+
+
+def filled(kept: np.ndarray) -> np.ndarray:
+    """Rows of registers in which empty ones hold what they borrow."""
+    out = kept.copy()
+    rows = np.flatnonzero((kept == 0).any(1) & (kept > 0).any(1))
+    for low in range(0, len(rows), 128):
+        own = rows[low : low + 128]
+        lender = (kept[own] > 0)[:, _LENDERS].argmax(2)
+        out[own] = np.take_along_axis(kept[own], _LENDERS[np.arange(REGISTERS), lender], axis=1)
+    return out
+
+
 def bands(classes: DataFrame) -> DataFrame:
-    """rep and each of its bands' keys; bands of empty registers only have none."""
+    """rep and each of its bands' keys; sets without shingles have none."""
     salt = mix(np.arange(1, REGISTERS // BAND + 1, dtype=np.uint64))
 
     def of(reps: list, kept: list) -> tuple:
-        packed = np.frombuffer(b"".join(kept), np.uint64).reshape(len(reps), -1)
+        packed = filled(np.frombuffer(b"".join(kept), np.uint16).reshape(len(reps), REGISTERS)).view(np.uint64)
         keys = mix(packed ^ salt).astype(np.int64)
         row, column = np.nonzero(packed)
         return np.asarray(reps, np.int64)[row], keys[row, column]
@@ -191,7 +207,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         at = shared.where("n > 2").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
         at = scratch.save(at, "at")
         per = at.groupBy("key", "component").agg(F.count("*").alias("m"))
-        mixed = scratch.save(per.groupBy("key").agg(F.max_by("component", "m").alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main"), "mixed")
+        mixed = scratch.save(per.groupBy("key").agg(F.when(F.max("m") > 1, F.max_by("component", "m")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main"), "mixed")
         left = scratch.save(at.join(mixed, "key").select("key", "rep", "component", "main"), "left")
         scratch.drop("at", "shared", "mixed")
         if left.limit(1).count():
@@ -209,11 +225,12 @@ def _meeting(left: DataFrame) -> DataFrame:
     """key, rep, component and role of the members that must meet, given the bands in which several components remain.
 
     A component meets all members that share a band of which it is the largest, once for all such bands. The others of
-    a band meet among themselves; of bands with the same others only one counts.
+    a band meet among themselves, or all members where no component has two of them; of bands with the same ones only
+    one counts.
     """
     main = F.xxhash64(F.lit("main"), "main").alias("key")
-    ring = left.select(main, "rep", "component", F.when(F.col("component") == F.col("main"), TARGET).otherwise(OUTSIDE).alias("role")).distinct()
-    others = left.where("component <> main")
+    ring = left.where("main is not null").select(main, "rep", "component", F.when(F.col("component") == F.col("main"), TARGET).otherwise(OUTSIDE).alias("role")).distinct()
+    others = left.where("main is null or component <> main")
     several = others.groupBy("key").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), *(F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"x{k}") for k in (1, 2)))
     several = several.where("low <> high").dropDuplicates(["n", "x1", "x2"]).select("key")
     return ring.unionByName(others.join(several, "key").select("key", "rep", "component", F.lit(TARGET | OUTSIDE).alias("role")))
