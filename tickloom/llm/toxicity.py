@@ -1,16 +1,16 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are made of training text: one of words common in ordinary texts, one that also holds pieces
-of words, 5 to 7 characters long, that are over-represented in toxic texts. Pieces carry what inflected words share and
-are long enough for a match. Whole texts are cut into overlapping windows; a window that the
-toxic dictionary compresses to fewer bytes than the ordinary one is nearer to toxic text. A logistic fit on held-back
-training texts turns the largest differences into a calibrated score.
+zstandard trains one dictionary on pieces of ordinary texts and one on toxic texts. Both classes share nearly all of
+their words, which would fill either dictionary; so of toxic texts training reads only segments: runs of characters in which
+every GRAM characters in a row are over-represented in the toxic sample. A window is
+compressed with the ordinary dictionary alone and with the toxic one before it; a window that gets smaller by the toxic
+one is nearer to toxic text. A logistic fit on held-back training texts turns the differences of a text's windows into
+a calibrated score.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -18,18 +18,29 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import map_columns
 from tickloom.llm.logistic import Logistic
+from tickloom.llm.shingles import mix
 
 #: Labelled texts of each class that training reads at most, in expectation: for dictionaries, and for calibration.
-SAMPLE = {1: (1_500, 1_000), 0: (4_000, 3_000)}
+SAMPLE = {1: (2_000, 1_500), 0: (4_000, 3_000)}
+#: Share of the training rows that dictionaries may use; the others calibrate.
+FITTED = 0.7
+#: Bytes of segments of each class that zstandard trains on at most, in expectation.
+TRAINED = 8 << 20
 #: Bytes in a window, and between the starts of two.
-WINDOW, STRIDE = 128, 96
-#: Lengths of pieces, toxic texts that one must be in, standard errors of its over-representation, and pieces at most.
-PIECES, LEAST_TEXTS, LEAST_Z, TOXIC_PIECES = (5, 6, 7), 5, 8.0, 2_000
-#: Words of the ordinary dictionary.
-COMMON_WORDS = 1_000
+WINDOW, STRIDE = 96, 64
+#: Characters in a row that tell toxic segments, bits of the map that holds them, and a segment's least length.
+GRAM, MAP_BITS, LEAST = 5, 24, 8
+#: Toxic texts that such characters must be in, and standard errors of their over-representation.
+LEAST_TEXTS, LEAST_Z = 3, 4.0
+#: Sizes of both dictionaries, and of the pieces that training chooses and counts.
+ORDINARY_SIZE, ORDINARY_PIECE, TOXIC_SIZE, TOXIC_PIECE = 16_384, (24, 6), 2_048, (24, 8)
+#: Bytes of an ordinary text in one training sample.
+CUT = 4_096
+#: Penalty of the calibration fit.
+RIDGE = 1.0
 THRESHOLD = 0.7
-#: Largest window differences that count as features.
-TOP = 4
+#: Largest window differences that count as features, and features in all.
+TOP, FEATURES = 4, 12
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -45,57 +56,109 @@ class Distance:
         self.ordinary, self.toxic = (z.ZstdCompressor(dict_data=z.ZstdCompressionDict(x, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=given).compress for x in (ordinary, toxic))
 
     def features(self, text: str | None) -> list[float]:
-        """The TOP largest differences, the mean difference and the number of windows, on a log scale."""
+        """The TOP largest differences, the mean one, the number of windows, and how many differ by several bytes."""
         data = (text or "").lower().encode()
         nearer = [len(self.ordinary(w)) - len(self.toxic(w)) for w in (data[k : k + WINDOW] for k in range(0, max(1, len(data) - WINDOW + STRIDE), STRIDE))]
         top = sorted(nearer, reverse=True)[:TOP]
-        return [*top, *[0.0] * (TOP - len(top)), sum(nearer) / len(nearer), np.log(len(nearer)), sum(x >= 3 for x in nearer) / len(nearer)]
+        top += [0] * (TOP - len(top))
+        over = lambda least: sum(x >= least for x in nearer)
+        n = len(nearer)
+        return [*top, sum(nearer) / n, np.log(n), over(3) / n, over(5) / n, np.log1p(over(4)), np.log1p(over(7)), top[0] - top[-1], max(top[0], 0) ** 0.5]
+
+
+def spaced(text: str) -> str:
+    """The words of a text in small letters, with one space on either side of each."""
+    return f" {' '.join(LETTERS.findall(text.lower()))} "
+
+
+def slots(text: str) -> np.ndarray:
+    """A place in the map for every GRAM characters in a row."""
+    data = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+    if len(data) < GRAM:
+        return np.empty(0, np.int64)
+    code = np.zeros(len(data) - GRAM + 1, np.uint64)
+    for k in range(GRAM):
+        code = mix(code ^ data[k : k + len(code)])
+    return (code >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+
+
+def segments(text: str, told: np.ndarray) -> list[str]:
+    """Runs of characters whose grams the map holds, of LEAST characters at least."""
+    text = spaced(text)
+    rare = np.flatnonzero(told[slots(text)])
+    cover = np.zeros(len(text) + 2, np.int8)
+    np.add.at(cover, rare + 1, 1)
+    np.add.at(cover, rare + 1 + GRAM, -1)
+    edge = np.flatnonzero(np.diff(np.cumsum(cover) > 0))
+    return [text[a:b] for a, b in zip(edge[::2], edge[1::2], strict=True) if b - a >= LEAST]
+
+
+def trained(samples: DataFrame, size: int, piece: tuple[int, int]) -> bytes:
+    """A dictionary that zstandard trains on a bounded hash sample of the column `s`; the samples' end if they are too few."""
+    import zstandard as z
+
+    held = samples.agg(F.coalesce(F.sum(F.octet_length("s")), F.lit(0))).first()[0]
+    place = F.pmod(F.xxhash64("s", F.lit(6)), F.lit(1 << 20))
+    drawn = samples.where(place < min(1.0, TRAINED / max(1, held)) * (1 << 20)).orderBy(F.xxhash64("s"), "s")
+    texts = [r["s"].encode() for r in drawn.collect()]
+    try:
+        return z.train_dictionary(size, texts, k=piece[0], d=piece[1]).as_bytes()
+    except z.ZstdError:
+        return b" ".join(texts)[-size:]
+
+
+def telling(texts: DataFrame) -> np.ndarray:
+    """A map of 2^MAP_BITS bits: the places of GRAM characters in a row that toxic texts hold more often than ordinary ones."""
+    n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    out = np.zeros((1 << MAP_BITS) // 8, np.uint8)
+    n1, n0 = n.get(1, 0), n.get(0, 0)
+    if not n1 or not n0:
+        return out
 
+    def places(own: list, marks: list) -> tuple:
+        found = [np.unique(slots(spaced(t))) for t in own]
+        return np.concatenate(found), np.repeat(np.array(marks, np.int32), [len(x) for x in found])
 
-def pieces(words: set[str]) -> set[str]:
-    """All pieces of words with a space on either side."""
-    return {f" {w} "[k : k + n] for w in words for n in PIECES for k in range(len(w) + 3 - n)}
+    sums = [F.sum((F.col("toxic") == k).cast("long")).alias(f"in{k}") for k in (0, 1)]
+    counts = map_columns(texts.select("text", "toxic"), places, "p long, toxic int").groupBy("p").agg(*sums)
+    share = (F.col("in0") + F.col("in1")) / (n0 + n1)
+    z = (F.col("in1") / n1 - F.col("in0") / n0) / F.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
+    counts = counts.where((F.col("in1") >= LEAST_TEXTS) & (share < 1)).where(z >= LEAST_Z)
+    bits = 32_768  # of one row that Spark makes
+    for r in counts.groupBy(F.expr(f"p div {bits}").alias("part")).agg(F.bitmap_construct_agg(F.expr(f"p % {bits}")).alias("map")).collect():
+        out[r["part"] * bits // 8 : (r["part"] + 1) * bits // 8] = np.frombuffer(r["map"], np.uint8)
+    return out
 
 
 def dictionaries(drawn: DataFrame) -> tuple[bytes, bytes]:
-    """Of texts with `toxic` 0 or 1. Equal texts count once; only words and pieces in LEAST_TEXTS texts reach the driver."""
+    """Of texts with `toxic` 0 or 1: the ordinary dictionary, and the toxic one with the ordinary one behind. Equal texts count once."""
+    texts = drawn.select("text", "toxic").distinct()
+    ordinary, toxic = (texts.where(F.col("toxic") == k).select("text") for k in (0, 1))
+    shared = drawn.sparkSession.sparkContext.broadcast(telling(texts))  # of fixed size
 
-    def of(texts: list, marks: list) -> tuple:
-        found: Counter = Counter()
-        for text, mark in zip(texts, marks, strict=True):
-            words = set(LETTERS.findall(text.lower()))
-            found.update((w, mark, False) for w in words)
-            found.update((p, mark, True) for p in pieces(words))
-        return [w for w, _, _ in found], [m for _, m, _ in found], [p for _, _, p in found], list(found.values())
+    def rare(own: list) -> tuple:
+        told = np.unpackbits(shared.value, bitorder="little").view(bool)
+        return ([s for t in own for s in segments(t, told)],)
 
-    texts = drawn.select("text", "toxic").distinct()
-    n = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    n1, n0 = n.get(1, 0), n.get(0, 0)
-    if not n1 or not n0:
-        return b" ", b" "
-    sums = [F.sum(F.when(F.col("toxic") == k, F.col("n")).otherwise(0)).alias(f"in{k}") for k in (0, 1)]
-    counts = map_columns(texts, of, "word string, toxic int, piece boolean, n long", 256).groupBy("word", "piece").agg(*sums)
-    p = (F.col("in0") + F.col("in1")) / (n0 + n1)
-    z = (F.col("in1") / n1 - F.col("in0") / n0) / F.sqrt(p * (1 - p) * (1 / n1 + 1 / n0))
-    counts = counts.where((F.col("in0") + F.col("in1") >= LEAST_TEXTS) & (p < 1)).withColumn("z", z)
-    bad = counts.where(F.col("piece") & (F.col("in1") >= LEAST_TEXTS) & (F.col("z") >= LEAST_Z)).orderBy(F.desc("z"), "word").limit(TOXIC_PIECES).select("word").collect()
-    usual = counts.where(~F.col("piece")).orderBy(F.desc("in0"), "word").limit(COMMON_WORDS).select("word").collect()
-    written = lambda rows, between: between.join(r["word"] for r in reversed(rows)).encode()  # noqa: E731  what comes last is nearest
-    common = b" " + written(usual, " ") + b" "
-    return common, b" " + written(bad, "\0") + b"\0" + common
+    def cut(own: list) -> tuple:
+        return ([low[k : k + CUT] for t in own for low in [t.lower()] for k in range(0, len(low), CUT)],)
+
+    common = trained(map_columns(ordinary, cut, "s string"), ORDINARY_SIZE, ORDINARY_PIECE) or b" "
+    return common, trained(map_columns(toxic, rare, "s string"), TOXIC_SIZE, TOXIC_PIECE) + b" " + common
 
 
 def train(docs: DataFrame, labels: DataFrame, learns: Column, sample: dict = SAMPLE) -> tuple[bytes, bytes, Logistic]:
     """Dictionaries and calibration from a hash sample of the labelled rows for which `learns` holds, by doc_id.
 
     Labels that are null or neither 0 nor 1 teach nothing; without both labels every text scores as the labels do.
+    Without rows every text scores 0.5.
     """
     known = labels.where(learns & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
     n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     part, place = F.lit(None).cast("int"), F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 20)) / float(1 << 20)
     for mark, size in n.items():
-        first, second = (min(share, want / size) for share, want in zip((0.6, 0.4), sample[mark], strict=True))
-        part = F.when((F.col("toxic") == mark) & (place < first), 0).when((F.col("toxic") == mark) & (place >= 0.6) & (place < 0.6 + second), 1).otherwise(part)
+        first, second = (min(share, want / size) for share, want in zip((FITTED, 1 - FITTED), sample[mark], strict=True))
+        part = F.when((F.col("toxic") == mark) & (place < first), 0).when((F.col("toxic") == mark) & (place >= FITTED) & (place < FITTED + second), 1).otherwise(part)
     drawn = known.withColumn("part", part).where(F.col("part").isNotNull())
     # the sample's bound is the size of what is sent
     texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text").join(F.broadcast(drawn), "doc_id").persist()
@@ -105,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column, sample: dict = SAM
     share = {mark: n.get(mark, 0) / max(1, sum(r["toxic"] == mark for r in rows)) for mark in (0, 1)}
     y = np.array([r["toxic"] for r in rows], float)
     weight = np.array([share[r["toxic"]] for r in rows])
-    return ordinary, toxic, Logistic(np.array([r["x"] for r in rows]).reshape(len(rows), TOP + 3), y, weight / max(weight.mean(), 1e-9) if len(rows) else weight)
+    return ordinary, toxic, Logistic(np.array([r["x"] for r in rows]).reshape(len(rows), FEATURES), y, weight / max(weight.mean(), 1e-9) if len(rows) else weight, RIDGE)
 
 
 _made: dict[tuple[bytes, bytes], Distance] = {}
@@ -121,11 +184,12 @@ def _features(texts: list, ordinary: bytes, toxic: bytes) -> list[list[float]]:
 def toxicity(docs: DataFrame, model: tuple[bytes, bytes, Logistic], threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score from 0 to 1 and predicted of every row, from its whole text alone.
 
-    A null text counts as empty, which has no difference. Repeated rows repeat; other columns are ignored.
+    A null text counts as empty, which has no difference. Long texts are compressed window by window. Repeated rows
+    repeat; other columns are ignored. No rows in, no rows out.
     """
 
     def of(ids: list, texts: list) -> tuple:
-        score = model[2].probability(np.array(_features(texts, *model[:2]), float).reshape(len(ids), TOP + 3))
+        score = model[2].probability(np.array(_features(texts, *model[:2]), float).reshape(len(ids), FEATURES))
         return ids, score, (score >= threshold).astype(np.int32)
 
     return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, score double, predicted int")
