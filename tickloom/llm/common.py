@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -77,15 +78,35 @@ def ascii_lower(text: Column) -> Column:
 #: Bytes of rows that a task holds as Python objects at once, unless one row has more.
 PART_BYTES = 4 << 20
 
+_kept: dict = {}
 
-def map_columns(df: DataFrame, f: Callable[..., Iterable], schema: str, rows: int = 256) -> DataFrame:
+
+def kept(name, make: Callable):
+    """A worker's one large object that outlives its tasks; asking for another, or a task that asks for none, drops it."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
+
+
+def released() -> None:
+    """Gives memory that a Python worker no longer uses back to the system, where the JVM beside it can have it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_columns(df: DataFrame, f: Callable[..., Iterable], schema: str, rows: int = 256, keeps: bool = False) -> DataFrame:
     """df.mapInArrow with plain lists: f gets each column of up to `rows` rows and returns the new columns.
 
-    Lists keep nulls and whole numbers as they are, which pandas would turn into floats.
+    Lists keep nulls and whole numbers as they are, which pandas would turn into floats. keeps: f uses `kept`.
     """
     kinds = [(x.name, to_arrow_type(x.dataType)) for x in T.StructType.fromDDL(schema)]
 
     def run(batches):
+        if not keeps:
+            _kept.clear()
         for batch in batches:
             low = 0
             while low < batch.num_rows:
@@ -95,5 +116,6 @@ def map_columns(df: DataFrame, f: Callable[..., Iterable], schema: str, rows: in
                 low += part.num_rows
                 made = f(*(c.to_pylist() for c in part.columns))
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=kind) for c, (_, kind) in zip(made, kinds, strict=True)], [n for n, _ in kinds])
+        released()
 
     return df.mapInArrow(run, schema)

@@ -14,6 +14,7 @@ CHUNK bytes of items.
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Scratch, map_columns
+from tickloom.llm.common import Scratch, kept, map_columns, released
 
 Q = 8
 #: Edits that a passage may differ by, as a share of the item's length.
@@ -57,8 +58,8 @@ class Items:
     """A chunk of items and the index of their q-grams."""
 
     def __init__(self, ids: list[int], texts: list[str]):
-        kept = [(i, t.encode()) for i, t in zip(ids, map(plain, texts), strict=True) if t]
-        self.ids, self.texts = [i for i, _ in kept], [t for _, t in kept]
+        there = [(i, t.encode()) for i, t in zip(ids, map(plain, texts), strict=True) if t]
+        self.ids, self.texts = [i for i, _ in there], [t for _, t in there]
         self.short = [k for k, t in enumerate(self.texts) if len(t) < Q]
         codes = [grams(np.frombuffer(t, np.uint8)) for t in self.texts]
         flat = np.concatenate(codes) if codes else np.empty(0, _U)
@@ -182,7 +183,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     earliest start. Other columns are ignored; no items or no documents give no rows. With several chunks of items the
     rows of each are written to the shared folder before the next.
     """
-    kept = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+    wanted = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
     schema = "doc_id long, item_id long, start int, end int, edits int"
     scratch, out, before = Scratch(docs.sparkSession, "contaminations"), [], None
     for k, (ids, texts) in enumerate(chunks(benchmark)):
@@ -190,20 +191,24 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             out[-1] = scratch.save(out[-1], str(k), keep=True)
             before.destroy()
         before = docs.sparkSession.sparkContext.broadcast((ids, texts))
-        out.append(map_columns(kept, _search(before), schema))
+        out.append(map_columns(wanted, _search(before), schema, keeps=True))
     if len(out) > 1:
         out[-1] = scratch.save(out[-1], "last", keep=True)
         before.destroy()
     return reduce(DataFrame.unionByName, out) if out else docs.sparkSession.createDataFrame([], schema)
 
 
+def _items(shared):
+    """A function for tasks that gives the chunk's index, made once in each worker."""
+    name = ("items", uuid.uuid4().hex)
+    return lambda: kept(name, lambda: Items(*shared.value))
+
+
 def _search(shared):
-    made: list[Items] = []
+    items = _items(shared)
 
     def of(ids: list, texts: list) -> tuple:
-        if not made:
-            made.append(Items(*shared.value))
-        rows = [(i, *x) for i, t in zip(ids, texts, strict=True) for x in made[0].found(plain(t).encode())]
+        rows = [(i, *x) for i, t in zip(ids, texts, strict=True) for x in items().found(plain(t).encode())]
         return tuple(zip(*rows, strict=True)) if rows else ((), (), (), (), ())
 
     return of
@@ -226,12 +231,12 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def _clean(shared):
-    made: list[Items] = []
+    items = _items(shared)
 
     @F.arrow_udf("boolean")
     def clean(texts: pa.Array) -> pa.Array:
-        if not made:
-            made.append(Items(*shared.value))
-        return pa.array([not made[0].found(plain(t.as_py()).encode()) for t in texts], pa.bool_())
+        out = pa.array([not items().found(plain(t.as_py()).encode()) for t in texts], pa.bool_())
+        released()
+        return out
 
     return clean

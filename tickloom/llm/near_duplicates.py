@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Scratch, map_columns
+from tickloom.llm.common import Scratch, map_columns, released
 from tickloom.llm.shingles import mix, shingle_sets
 
 REGISTERS, BAND, MANTISSA = 128, 4, 10
@@ -279,6 +279,8 @@ def _across(table: pa.Table, threshold: float) -> pa.Table:
     for low, high in zip(first, [*first[1:], len(band)], strict=True):
         x, y = _linked(flat[ends[low] - ends[0] : ends[high] - ends[0]], np.diff(ends[low : high + 1]), part[low:high], role[low:high], threshold)
         found.append(np.stack([np.minimum(part[low + x], part[low + y]), np.maximum(part[low + x], part[low + y]), reps[low + x], reps[low + y]]))
+    del flat, shingles, table
+    released()
     made = np.concatenate(found, axis=1)
     _, once = np.unique(made[:2], axis=1, return_index=True)
     a, b = made[2:, once]

@@ -17,12 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import Scratch, map_columns, numbered
+from tickloom.llm.common import Scratch, kept, map_columns, numbered
 
 CAPACITY = 1024
 END_ID = 2
 #: Distinct words whose ids a worker remembers; beyond it, it keeps those met most often.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 
 #: New words are encoded as lines of one text, so many at once.
 LINES = 2_000
@@ -170,14 +170,9 @@ class WordEncoder(dict):
         return ids, text_ends
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """A worker's encoder, kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return kept(("encoder", path), lambda: WordEncoder(path))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -205,7 +200,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
         return [*rows, [ids[a : a + m].astype(np.int32) for a, m in zip(begin, length, strict=True)]] if with_ids else rows
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), pieces, schema)
+    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), pieces, schema, keeps=True)
 
 
 def plan_layout(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int, int]]:

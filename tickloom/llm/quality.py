@@ -10,10 +10,11 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import map_columns, released
 from tickloom.llm.logistic import Logistic
 
 #: Labelled rows of each class and unlabelled rows that training reads at most, in expectation.
@@ -93,6 +94,12 @@ def _views(texts, langs, sources, sizes) -> tuple[np.ndarray, np.ndarray]:
     return np.array([text_view(t) for t in texts]), np.array([meta_view(*x) for x in zip(langs, sources, sizes, strict=True)])
 
 
+def _parts(*columns: pa.Array, rows: int = 256):
+    """The views of a batch, some rows at a time."""
+    for low in range(0, len(columns[0]), rows):
+        yield _views(*(c.slice(low, rows).to_pylist() for c in columns))
+
+
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabelled: int = UNLABELLED) -> CoTraining | None:
     """Fits on a hash sample of labelled and unlabelled rows; only their features reach the driver. None: no labels."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
@@ -106,16 +113,15 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
     own = docs.select(F.col("doc_id").cast("long"), "text", "lang", "source", F.col("n_chars").cast("double")).join(F.broadcast(drawn), "doc_id", "left")  # of the sample's bound
     own = own.where(F.col("quality").isNotNull() | (place(8) < share))
 
-    @F.pandas_udf("struct<text:array<double>,meta:array<double>>")
-    def views(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
-        a, b = _views(text, lang, source, n_chars)
-        return pd.DataFrame({"text": list(a), "meta": list(b)})
+    def views(ids: list, marks: list, *rest: list) -> tuple:
+        text, meta = _views(*rest)
+        return ids, marks, list(text), list(meta)
 
-    rows = own.select("doc_id", "quality", views("text", "lang", "source", "n_chars").alias("x")).orderBy("doc_id").collect()
+    rows = map_columns(own.select("doc_id", "quality", "text", "lang", "source", "n_chars"), views, "doc_id long, quality int, x array<double>, y array<double>").orderBy("doc_id").collect()
     if not any(r["quality"] is not None for r in rows):
         return None
     label = np.array([-1 if r["quality"] is None else r["quality"] for r in rows])
-    return CoTraining(np.array([r["x"]["text"] for r in rows]), np.array([r["x"]["meta"] for r in rows]), label)
+    return CoTraining(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows]), label)
 
 
 def scored(docs: DataFrame, model: CoTraining | None) -> Column:
@@ -127,9 +133,11 @@ def scored(docs: DataFrame, model: CoTraining | None) -> Column:
         return F.lit(1.0)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series, lang: pd.Series, source: pd.Series, n_chars: pd.Series) -> pd.Series:
-        return pd.Series(shared.value.score(*_views(text, lang, source, n_chars)) if len(text) else [], dtype=float)
+    @F.arrow_udf("double")
+    def score(text: pa.Array, lang: pa.Array, source: pa.Array, n_chars: pa.Array) -> pa.Array:
+        found = [shared.value.score(*views) for views in _parts(text, lang, source, n_chars)]
+        released()
+        return pa.array(np.concatenate(found) if found else [], pa.float64())
 
     return score("text", "lang", "source", F.col("n_chars").cast("double"))
 

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import map_columns
+from tickloom.llm.common import kept, map_columns
 from tickloom.llm.logistic import Logistic
 from tickloom.llm.shingles import mix
 
@@ -163,7 +163,7 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column, sample: dict = SAM
     # the sample's bound is the size of what is sent
     texts = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text").join(F.broadcast(drawn), "doc_id").persist()
     ordinary, toxic = dictionaries(texts.where("part = 0"))
-    rows = map_columns(texts.where("part = 1").select("text", "toxic"), lambda t, m: (m, _features(t, ordinary, toxic)), "toxic int, x array<double>").collect()
+    rows = map_columns(texts.where("part = 1").select("text", "toxic"), lambda t, m: (m, _features(t, ordinary, toxic)), "toxic int, x array<double>", keeps=True).collect()
     texts.unpersist()
     share = {mark: n.get(mark, 0) / max(1, sum(r["toxic"] == mark for r in rows)) for mark in (0, 1)}
     y = np.array([r["toxic"] for r in rows], float)
@@ -171,14 +171,9 @@ def train(docs: DataFrame, labels: DataFrame, learns: Column, sample: dict = SAM
     return ordinary, toxic, Logistic(np.array([r["x"] for r in rows]).reshape(len(rows), FEATURES), y, weight / max(weight.mean(), 1e-9) if len(rows) else weight, RIDGE)
 
 
-_made: dict[tuple[bytes, bytes], Distance] = {}
-
-
 def _features(texts: list, ordinary: bytes, toxic: bytes) -> list[list[float]]:
-    if (ordinary, toxic) not in _made:
-        _made.clear()
-        _made[ordinary, toxic] = Distance(ordinary, toxic)
-    return [_made[ordinary, toxic].features(t) for t in texts]
+    distance = kept(("distance", ordinary, toxic), lambda: Distance(ordinary, toxic))
+    return [distance.features(t) for t in texts]
 
 
 def toxicity(docs: DataFrame, model: tuple[bytes, bytes, Logistic], threshold: float = THRESHOLD) -> DataFrame:
@@ -192,4 +187,4 @@ def toxicity(docs: DataFrame, model: tuple[bytes, bytes, Logistic], threshold: f
         score = model[2].probability(np.array(_features(texts, *model[:2]), float).reshape(len(ids), FEATURES))
         return ids, score, (score >= threshold).astype(np.int32)
 
-    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, score double, predicted int")
+    return map_columns(docs.select(F.col("doc_id").cast("long"), "text"), of, "doc_id long, score double, predicted int", keeps=True)
