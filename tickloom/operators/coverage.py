@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.operators.joins import asof_backward
+
 from tickloom.functions.scalars import same_within
 
 
@@ -51,11 +53,14 @@ def date_set_audit(rows: DataFrame, reference: DataFrame, key: str, at: str) ->
     """For each series: dates that the reference lacks, reference dates missing between its own first and last, duplicates."""
     n = rows.groupBy(key, at).agg(F.count("*").alias("n"))
     own = n.join(reference.select(at).distinct().withColumn("_in", F.lit(1)), at, "left").groupBy(key).agg(F.count("*").alias("dates"), F.min(at).alias("first_date"), F.max(at).alias("last_date"), F.sum(F.col("_in").isNull().cast("long")).alias("extra"), F.sum((F.col("n") > 1).cast("long")).alias("duplicates"), F.sum(F.coalesce("_in", F.lit(0)).cast("long")).alias("_matched"))
-    # the count of reference dates up to each date makes the expected number of any span a difference
-    order = Window.orderBy(at)  # a calendar of a few thousand dates
-    ranks = reference.select(at).distinct().withColumn("_r", F.row_number().over(order))
-    first = own.select(key, "first_date", "last_date").join(F.broadcast(ranks), F.col(at).between(F.col("first_date"), F.col("last_date"))).groupBy(key).agg(F.count("*").alias("_expected"))
-    return own.join(first, key, "left").select(key, "dates", "first_date", "last_date", "extra", (F.coalesce("_expected", F.lit(0)) - F.col("_matched")).alias("missing"), "duplicates")
+    # ranks of the calendar's dates make the expected number of any span a difference: each end looks up the rank at or before it
+    dates = reference.select(at).distinct()
+    ranks = dates.withColumn("_r", F.row_number().over(Window.orderBy(at))).select(F.lit(1).alias("_one"), at, "_r")  # a calendar of a few thousand dates
+    ends = own.select(F.col("first_date").alias(at)).unionByName(own.select(F.date_add("last_date", 1).alias(at))).distinct().select(F.lit(1).alias("_one"), F.date_sub(at, 1).alias(at))
+    found = asof_backward(ends, ranks, ["_one"], at, ["_r"], prefix="to")  # distinct dates only
+    rank = lambda day, name: found.select(F.date_add(at, 1).alias(day), F.coalesce("to_r", F.lit(0)).alias(name))
+    spans = own.withColumn("_end", F.date_add("last_date", 1)).join(rank("first_date", "_low"), "first_date", "left").join(rank("_end", "_high"), "_end", "left")
+    return spans.select(key, "dates", "first_date", "last_date", "extra", (F.col("_high") - F.col("_low") - F.col("_matched")).alias("missing"), "duplicates")
 
 
 def intraday_session_audit(bars: DataFrame, sessions: DataFrame, symbol: str, minutes: int, at: str = "ts") -> DataFrame:

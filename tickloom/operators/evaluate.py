@@ -39,21 +39,32 @@ def decile_returns(sample: DataFrame, by: list[str], value: str, label: str, sym
     return buckets(both, by, value, symbol, n).groupBy(*by, "bucket").agg(F.count("*").alias("n"), F.avg(label).alias("mean_return"))
 
 
-def factor_metrics(sample: DataFrame, by: list[str], value: str, label: str, symbol: str, least: int = 10, n: int = 10) -> DataFrame:
-    """Coverage, quality flag, rank IC, top less bottom tenth, monotonicity and win by section.
+def factor_metrics(sample: DataFrame, by: list[str], value: str, label: str, symbol: str, n: int = 10) -> DataFrame:
+    """Coverage, quality, rank IC, win, top less bottom tenth, monotonicity and the tenths' mean labels by section.
 
-    Ranks and tenths are windows of one shuffle by section; the aggregates follow without another.
+    Quality is insufficient_sample below three rows that hold both, then constant_factor, constant_label or ready; the
+    others have no numbers. Below n rows there are as many parts. All windows and both aggregates share one shuffle.
     """
-    total = sample.groupBy(*by).agg(F.count("*").alias("total"))
-    both = sample.where(F.col(value).isNotNull() & F.col(label).isNotNull())
-    ranked = buckets(both.withColumn("_x", rank_pct(value, by)).withColumn("_y", rank_pct(label, by)), by, value, symbol, n)
-    ic = ranked.groupBy(*by).agg(F.count("*").alias("valid"), correlation("_x", "_y").alias("rank_ic"))
-    tenth = ranked.groupBy(*by, "bucket").agg(F.avg(label).alias("m"))
-    spread = tenth.groupBy(*by).agg((F.max_by("m", "bucket") - F.min_by("m", "bucket")).alias("top_bottom"), correlation("bucket", "m").alias("monotonicity"), F.count("*").alias("_k"))
-    out = total.join(ic, by, "left").join(spread, by, "left")
-    enough = F.coalesce(F.col("valid"), F.lit(0)) >= least
-    ok = lambda c: F.when(enough, F.col(c))
-    return out.select(*by, "total", F.coalesce("valid", F.lit(0)).alias("valid"), ratio(F.coalesce("valid", F.lit(0)), F.col("total")).alias("coverage"), F.when(enough, "ok").otherwise("too_few").alias("quality"), ok("rank_ic").alias("rank_ic"), ok("top_bottom").alias("top_bottom"), ok("monotonicity").alias("monotonicity"), F.when(enough, (F.col("top_bottom") > 0).cast("int")).alias("win"))
+    d = Window.partitionBy(*by)
+    both = F.col(value).isNotNull() & F.col(label).isNotNull()
+    rows = sample.withColumn("_v", F.when(both, F.col(value) + F.lit(0.0))).withColumn("_l", F.when(both, F.col(label)))
+    rows = rows.withColumn("_x", rank_pct("_v", by) - 0.5).withColumn("_y", rank_pct("_l", by) - 0.5)
+    k, m = F.row_number().over(d.orderBy(F.asc_nulls_last("_v"), symbol)) - 1, F.count("_v").over(d)
+    small, more = F.floor(m / n), m % n
+    edge = more * (small + 1)
+    at = F.when(k < edge, F.floor(k / (small + 1))).otherwise(more + F.floor((k - edge) / F.greatest(small, F.lit(1)))) + 1
+    rows = rows.withColumn("bucket", F.when(F.col("_v").isNotNull(), at.cast("int")))
+    x, y = F.col("_x"), F.col("_y")
+    sums = {"_sx": x, "_sy": y, "_sxx": x * x, "_syy": y * y, "_sxy": x * y}
+    part = rows.groupBy(*by, "bucket").agg(F.count("*").alias("_n"), F.count("_v").alias("_k"), F.avg("_l").alias("_m"), *(f("_v").alias(f"_v{i}") for i, f in enumerate((F.min, F.max))), *(f("_l").alias(f"_l{i}") for i, f in enumerate((F.min, F.max))), *(F.sum(c).alias(name) for name, c in sums.items()))
+    whole = part.groupBy(*by).agg(F.sum("_n").alias("total"), F.sum("_k").alias("valid"), F.min("_v0").alias("_v0"), F.max("_v1").alias("_v1"), F.min("_l0").alias("_l0"), F.max("_l1").alias("_l1"), *(F.sum(c).alias(c) for c in sums), F.max_by("_m", "bucket").alias("_top"), F.min_by("_m", F.when(F.col("bucket").isNotNull(), F.col("bucket"))).alias("_bottom"), correlation("bucket", F.when(F.col("bucket").isNotNull(), F.col("_m"))).alias("_mono"), *(F.max(F.when(F.col("bucket") == j, F.col("_m"))).alias(f"_d{j}") for j in range(1, n + 1)))
+    q = F.when(F.col("valid") < 3, "insufficient_sample").when(F.col("_v0") == F.col("_v1"), "constant_factor").when(F.col("_l0") == F.col("_l1"), "constant_label").otherwise("ready")
+    ready = lambda c: F.when(F.col("quality") == "ready", c)
+    c = F.col
+    covered = c("_sxy") - c("_sx") * c("_sy") / c("valid")
+    spread = F.sqrt(c("_sxx") - c("_sx") * c("_sx") / c("valid")) * F.sqrt(c("_syy") - c("_sy") * c("_sy") / c("valid"))
+    out = whole.withColumn("quality", q).withColumn("rank_ic", ready(ratio(covered, spread)))
+    return out.select(*by, "total", "valid", (c("valid") / c("total")).alias("coverage"), "quality", "rank_ic", ready(c("_top") - c("_bottom")).alias("top_bottom"), ready(c("_mono")).alias("monotonicity"), (c("rank_ic") > 0).cast("int").alias("win"), *(ready(c(f"_d{j}")).alias(f"decile_{j}") for j in range(1, n + 1)))
 
 
 def effective_metrics(sample: DataFrame, by: list[str], value: str, label: str, symbol: str, **recipe) -> DataFrame:
@@ -62,11 +73,11 @@ def effective_metrics(sample: DataFrame, by: list[str], value: str, label: str,
 
 
 def hac_tstat(values: Column, least: int = 3) -> Column:
-    """Newey-West t of the mean of an ordered array of at most a few hundred values; lag max(1, floor(4 (n/100)^(2/9)))."""
+    """Newey-West t of the mean of an ordered array of at most a few hundred values; lag max(1, floor(4 (n/100)^(2/9))), below n."""
     n = F.size(values)
     mean = F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / n
     centred = F.transform(values, lambda x: x - mean)
-    lag = F.greatest(F.lit(1), F.floor(4 * F.pow(n / 100, F.lit(2 / 9)))).cast("int")
+    lag = F.greatest(F.lit(1), F.least(n - 1, F.greatest(F.lit(1), F.floor(4 * F.pow(n / 100, F.lit(2 / 9)))))).cast("int")
 
     def gamma(k: Column) -> Column:
         pairs = F.zip_with(F.slice(centred, F.lit(1), n - k), F.slice(centred, k + 1, n - k), lambda a, b: a * b)
@@ -81,13 +92,43 @@ def icir_summary(metrics: DataFrame, by: list[str], value: str = "rank_ic") -> D
     return metrics.groupBy(*by).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.avg((F.col(value) > 0).cast("double")).alias("positive_rate"), F.sum(value).alias("total")).withColumn("icir", ratio(F.col("mean"), F.col("std")))
 
 
-def performance_windows(metrics: DataFrame, by: list[str], at: str, sizes: tuple[int, ...] = (5, 20, 60, 252), direction: int = 1) -> DataFrame:
-    """Statistics of the last rows of each identity for several window sizes; `complete` if the window is full."""
-    recent = metrics.where("rank_ic is not null").withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(at)))).where(F.col("_k") <= max(sizes))
-    rows = recent.withColumn("window", F.explode(F.filter(F.array(*map(F.lit, sizes)), lambda s: F.col("_k") <= s)))
-    series = F.transform(F.array_sort(F.collect_list(F.struct(at, (F.col("rank_ic") * direction).alias("v")))), lambda x: x["v"])  # `window` values
-    out = rows.groupBy(*by, "window").agg(F.count("*").alias("n"), F.min(at).alias("first_date"), F.max(at).alias("last_date"), (F.avg("rank_ic") * direction).alias("ic_mean"), F.stddev_samp("rank_ic").alias("_s"), F.avg((F.col("rank_ic") * direction > 0).cast("double")).alias("win_rate"), (F.sum("top_bottom") * direction).alias("cumulative"), series.alias("_v"))
-    return out.select(*by, "window", "n", "first_date", "last_date", "ic_mean", ratio(F.col("ic_mean"), F.col("_s")).alias("icir"), hac_tstat(F.col("_v")).alias("hac_t"), "win_rate", "cumulative", (F.col("n") == F.col("window")).alias("complete"))
+def performance_windows(metrics: DataFrame, by: list[str], at: str, sizes: tuple[int, ...] = (5, 20, 60, 252), direction: int = 1, as_of=None, maturity: str | None = None, pure: str = "pure_") -> DataFrame:
+    """Statistics of the last metric rows of each identity for several window sizes.
+
+    Rows count whether or not they hold an IC; only those that were made and had matured by `as_of` do. A window is
+    complete if as many ICs as its size are there. Columns of the same names led by `pure` give the same statistics of
+    the controlled factor; a factor_autocorrelation column gives its mean and the turnover proxy. `direction` turns the
+    sign of ICs, not of spreads.
+    """
+    known = metrics
+    if as_of is not None:
+        known = known.where((F.col(at) <= as_of) & (F.col(maturity) <= as_of if maturity else F.lit(True)))
+    known = known.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(at)))).where(F.col("_k") <= max(sizes))
+    rows = known.withColumn("window", F.explode(F.filter(F.array(*map(F.lit, sizes)), lambda s: F.col("_k") <= s)))
+    has = set(metrics.columns)
+
+    def of(p: str) -> tuple[dict[str, Column], dict[str, Column]]:
+        """What is aggregated, and what follows from it; p: the prefix."""
+        ic = F.col(f"{p}rank_ic") * direction
+        series = F.transform(F.array_sort(F.collect_list(F.when(ic.isNotNull(), F.struct(at, ic.alias("v"))))), lambda x: x["v"])  # `window` values
+        rate = lambda c: F.avg((c > 0).cast("double"))
+        held = {f"_{p}raw": F.avg(f"{p}rank_ic"), f"{p}direction_adjusted_ic": F.avg(ic), f"{p}observation_days": F.count(ic), f"_{p}sd": F.stddev_samp(ic), f"_{p}v": series, f"{p}ic_win_rate": rate(ic), f"{p}cumulative_ic": F.coalesce(F.sum(ic), F.lit(0.0))}
+        if f"{p}top_bottom" in has:
+            held |= {f"{p}cumulative_long_short": F.coalesce(F.sum(f"{p}top_bottom"), F.lit(0.0)), f"{p}long_short_same_direction": rate(F.col(f"{p}top_bottom"))}
+        if f"{p}monotonicity" in has:
+            held[f"{p}monotonic_same_direction"] = rate(F.col(f"{p}monotonicity"))
+        return held, {f"{p}historical_ic": F.col(f"_{p}raw"), f"{p}icir": F.when(F.col(f"_{p}sd") > 0, F.col(f"{p}direction_adjusted_ic") / F.col(f"_{p}sd")), f"{p}hac_t": hac_tstat(F.col(f"_{p}v")), f"{p}complete": F.col(f"{p}observation_days") >= F.col("window")}
+
+    kinds = [of(p) for p in ("", pure) if f"{p}rank_ic" in has]
+    plain = {f"average_{name}": F.avg(c) for c, name in (("coverage", "coverage"), ("valid", "sample_count")) if c in has}
+    plain |= {"factor_autocorrelation": F.avg("factor_autocorrelation")} if "factor_autocorrelation" in has else {}
+    plain |= {c: F.avg(c) for c in metrics.columns if c.startswith("decile_")}
+    held = {k: v for own, _ in kinds for k, v in own.items()} | plain
+    out = rows.groupBy(*by, "window").agg(F.min(at).alias("first_date"), F.max(at).alias("last_date"), *(v.alias(k) for k, v in held.items()))
+    shown = [k for k in held if not k.startswith("_")]
+    late = [v.alias(k) for _, made in kinds for k, v in made.items()]
+    turn = [(1 - F.col("factor_autocorrelation")).alias("rank_turnover_proxy")] if "factor_autocorrelation" in has else []
+    return out.select(*by, "window", "first_date", "last_date", *shown, *late, *turn)
 
 
 def factor_autocorrelation(values: DataFrame, pairs: DataFrame, by: list[str], value: str, symbol: str, at: str = "trade_date") -> DataFrame:
@@ -123,10 +164,12 @@ def etf_observations(panel: DataFrame, ids: list[str], columns: dict[str, str] |
 def frozen_sample(observations: DataFrame, by: list[str], identity: list[str], reason: str) -> DataFrame:
     """Counts by availability reason and a SHA-256 of the sample's identity, for each section.
 
-    Every row is hashed by itself; the section's digest is over sums and an exclusive or of row hashes, so no section
-    is ever gathered in one place.
+    The identity is that of the rows' SHA-256 in order, so it depends on the set of rows alone. Rows are hashed and
+    folded in 4096 hash ranges of a section, each to one SHA-256 of its sorted hashes, and the ranges' in turn; so no
+    section is ever gathered in one place.
     """
-    row = F.sha2(F.concat_ws("|", *(F.col(c).cast("string") for c in identity)), 256)
-    part = lambda k: F.conv(F.substring(row, 1 + 12 * k, 12), 16, 10).cast("long")
-    agg = observations.groupBy(*by).agg(F.count("*").alias("n"), F.sum((F.col(reason) == "complete").cast("int")).alias("complete"), F.sum((F.col(reason) == "missing").cast("int")).alias("missing"), F.sum((F.col(reason) == "unavailable").cast("int")).alias("unavailable"), *(F.bit_xor(part(k)).alias(f"_x{k}") for k in range(5)), F.sum(F.pmod(part(0), F.lit(1 << 30))).alias("_s"))
-    return agg.withColumn("sample_sha256", F.sha2(F.concat_ws("|", "n", "_s", *(f"_x{k}" for k in range(5))), 256)).drop("_s", *(f"_x{k}" for k in range(5)))
+    row = F.sha2(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in identity)), 256)
+    n = lambda name: F.sum((F.col(reason) == name).cast("long")).alias(name)
+    folded = lambda c: F.sha2(F.array_join(F.array_sort(F.collect_list(c)), ""), 256)
+    parts = observations.withColumn("_h", row).groupBy(*by, F.substring("_h", 1, 3).alias("_p")).agg(F.count("*").alias("n"), n("complete"), n("missing"), n("unavailable"), folded("_h").alias("_d"))
+    return parts.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("n", "complete", "missing", "unavailable")), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_p", "_d"))), lambda x: F.concat(x["_p"], x["_d"])), ""), 256).alias("sample_sha256"))

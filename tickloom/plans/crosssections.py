@@ -218,29 +218,40 @@ def decile_returns(spark, d):
 
 
 METRICS = f"""{PANEL}, {TENTHS}, rk AS (SELECT *, (rank() OVER (PARTITION BY month ORDER BY x) + (count(*) OVER (PARTITION BY month, x) - 1) / 2.0) / n AS rx, (rank() OVER (PARTITION BY month ORDER BY y) + (count(*) OVER (PARTITION BY month, y) - 1) / 2.0) / n AS ry FROM t),
-ic AS (SELECT month, count(*) AS valid, corr(rx, ry) AS ic FROM rk GROUP BY 1), bm AS (SELECT month, bucket, avg(y) AS m FROM t GROUP BY 1, 2), sp AS (SELECT month, arg_max(m, bucket) - arg_min(m, bucket) AS tb, corr(bucket, m) AS mono FROM bm GROUP BY 1), tot AS (SELECT month, count(*) AS total FROM panel GROUP BY 1),
-metrics AS (SELECT month, total, coalesce(valid, 0) AS valid, CASE WHEN valid >= 10 THEN ic END AS rank_ic, CASE WHEN valid >= 10 THEN tb END AS top_bottom, CASE WHEN valid >= 10 THEN mono END AS monotonicity FROM tot LEFT JOIN ic USING (month) LEFT JOIN sp USING (month))"""
+ic AS (SELECT month, count(*) AS valid, corr(rx, ry) AS ic FROM rk GROUP BY 1), bm AS (SELECT month, bucket, avg(y) AS m FROM t GROUP BY 1, 2), sp AS (SELECT month, arg_max(m, bucket) - arg_min(m, bucket) AS tb, corr(bucket, m) AS mono, {', '.join(f'max(m) FILTER (bucket = {k}) AS decile_{k}' for k in range(1, 11))} FROM bm GROUP BY 1), tot AS (SELECT month, count(*) AS total FROM panel GROUP BY 1), cn AS (SELECT month, min(x) = max(x) AS cx, min(y) = max(y) AS cy FROM both_ GROUP BY 1),
+mq AS (SELECT *, CASE WHEN coalesce(valid, 0) < 3 THEN 'insufficient_sample' WHEN cx THEN 'constant_factor' WHEN cy THEN 'constant_label' ELSE 'ready' END AS quality FROM tot LEFT JOIN ic USING (month) LEFT JOIN sp USING (month) LEFT JOIN cn USING (month)),
+metrics AS (SELECT month, total, coalesce(valid, 0) AS valid, coalesce(valid, 0) / total AS coverage, quality, CASE WHEN quality = 'ready' THEN ic END AS rank_ic, CASE WHEN quality = 'ready' THEN tb END AS top_bottom, CASE WHEN quality = 'ready' THEN mono END AS monotonicity, {', '.join(f"CASE WHEN quality = 'ready' THEN decile_{k} END AS decile_{k}" for k in range(1, 11))} FROM mq)"""
+_DECILES = [f"decile_{k}" for k in range(1, 11)]
 
 
 def _metrics(spark, d):
     return ev.factor_metrics(panel(spark, d), ["month"], "x", "y", "symbol")
 
 
-@query(f"WITH {METRICS} SELECT month, total, valid, {rnd('valid / total')} AS coverage, CASE WHEN valid >= 10 THEN 'ok' ELSE 'too_few' END AS quality, {rnd('rank_ic')} AS rank_ic, {rnd('top_bottom')} AS top_bottom, {rnd('monotonicity')} AS monotonicity, CASE WHEN valid >= 10 THEN (top_bottom > 0)::INTEGER END AS win FROM metrics")
+_METRIC = f"SELECT month, total, valid, {rnd('coverage')} AS coverage, quality, {rnd('rank_ic')} AS rank_ic, {rnd('top_bottom')} AS top_bottom, {rnd('monotonicity')} AS monotonicity, (rank_ic > 0)::INTEGER AS win, {', '.join(f'{rnd(c)} AS {c}' for c in _DECILES)} FROM metrics"
+
+
+@query(f"WITH {METRICS} {_METRIC}")
 def factor_metrics(spark, d):
-    return rounded(_metrics(spark, d), "coverage", "rank_ic", "top_bottom", "monotonicity")
+    return rounded(_metrics(spark, d), "coverage", "rank_ic", "top_bottom", "monotonicity", *_DECILES)
 
 
-@query(f"WITH {METRICS} SELECT month, valid, {rnd('rank_ic')} AS rank_ic FROM metrics")
+@query(f"WITH {METRICS} {_METRIC}")
 def effective_metrics(spark, d):
-    return rounded(ev.effective_metrics(panel(spark, d), ["month"], "x", "y", "symbol", normalize="rank").select("month", "valid", "rank_ic"), "rank_ic")
+    """Ranks of ranks are the ranks, so the SQL is that of the plain metrics."""
+    return rounded(ev.effective_metrics(panel(spark, d), ["month"], "x", "y", "symbol", normalize="rank"), "coverage", "rank_ic", "top_bottom", "monotonicity", *_DECILES)
+
+
+_WINDOWS = {"direction_adjusted_ic": "avg(-rank_ic)", "ic_win_rate": "avg((-rank_ic > 0)::INTEGER)", "cumulative_ic": "coalesce(sum(-rank_ic), 0)", "cumulative_long_short": "coalesce(sum(top_bottom), 0)", "long_short_same_direction": "avg((top_bottom > 0)::INTEGER)", "monotonic_same_direction": "avg((monotonicity > 0)::INTEGER)", "average_coverage": "avg(coverage)", "average_sample_count": "avg(valid)", "historical_ic": "avg(rank_ic)", "icir": "avg(-rank_ic) / stddev_samp(rank_ic)"} | {c: f"avg({c})" for c in _DECILES}
+_HAC_T = "hw AS (SELECT size, -rank_ic AS v, count(rank_ic) OVER (PARTITION BY size) AS n, avg(-rank_ic) OVER (PARTITION BY size) AS m, row_number() OVER (PARTITION BY size ORDER BY month) AS i FROM win WHERE rank_ic IS NOT NULL), hl AS (SELECT DISTINCT size, n, m, CAST(greatest(1, least(n - 1, greatest(1, floor(4 * (n / 100.0) ** (2.0 / 9))))) AS INTEGER) AS l FROM hw), hg AS (SELECT a.size, b.i - a.i AS k, sum((a.v - a.m) * (b.v - b.m)) AS s FROM hw a JOIN hw b ON b.size = a.size AND b.i >= a.i JOIN hl ON hl.size = a.size AND b.i - a.i <= l GROUP BY 1, 2), hv AS (SELECT size, any_value(n) AS n, any_value(m) AS m, sum(CASE WHEN k = 0 THEN s ELSE 2 * (1 - k / (l + 1.0)) * s END) / any_value(n) AS v FROM hg JOIN hl USING (size) GROUP BY 1)"
 
 
-@query(f"WITH {METRICS}, last_ AS (SELECT *, row_number() OVER (ORDER BY month DESC) AS k FROM metrics WHERE rank_ic IS NOT NULL) SELECT size AS \"window\", count(*) AS n, min(month) AS first_date, max(month) AS last_date, {rnd('avg(rank_ic)')} AS ic_mean, {rnd('avg(rank_ic) / stddev_samp(rank_ic)', 5)} AS icir, {rnd('avg((rank_ic > 0)::INTEGER)')} AS win_rate, {rnd('sum(top_bottom)', 5)} AS cumulative, count(*) = size AS complete FROM last_ JOIN (SELECT unnest([5, 20, 60]) AS size) ON k <= size GROUP BY size")
+@query(f"WITH {METRICS}, last_ AS (SELECT *, row_number() OVER (ORDER BY month DESC) AS k FROM metrics WHERE month <= DATE '1998-06-01'), win AS (SELECT * FROM last_ JOIN (SELECT unnest([5, 20, 60, 252]) AS size) ON k <= size), {_HAC_T} SELECT win.size AS \"window\", min(month) AS first_date, max(month) AS last_date, count(rank_ic) AS observation_days, count(rank_ic) >= win.size AS complete, {', '.join(f'{rnd(x, 5)} AS {c}' for c, x in _WINDOWS.items())}, {rnd('any_value(CASE WHEN hv.n >= 3 THEN hv.m / sqrt(hv.v / hv.n) END)', 5)} AS hac_t FROM win LEFT JOIN hv ON hv.size = win.size GROUP BY win.size")
 def performance_windows(spark, d):
+    """Of a factor that is expected to be negative, as of a day."""
     m = _metrics(spark, d).withColumn("id", F.lit(1))
-    out = ev.performance_windows(m, ["id"], "month", (5, 20, 60)).drop("id", "hac_t")
-    return rounded(rounded(out, "ic_mean", "win_rate"), "icir", "cumulative", n=5)
+    out = ev.performance_windows(m, ["id"], "month", direction=-1, as_of=F.lit("1998-06-01").cast("date"))
+    return rounded(out.drop("id"), *_WINDOWS, "hac_t", n=5)
 
 
 HAC = "n AS (SELECT count(*) AS n, avg(rank_ic) AS m FROM metrics WHERE rank_ic IS NOT NULL), e AS (SELECT row_number() OVER (ORDER BY month) AS i, rank_ic - m AS e FROM metrics, n WHERE rank_ic IS NOT NULL), lags AS (SELECT CAST(greatest(1, floor(4 * (n / 100.0) ** (2.0 / 9))) AS INTEGER) AS l FROM n), g AS (SELECT CAST(b.i - a.i AS INTEGER) AS k, sum(a.e * b.e) AS s FROM e a JOIN e b ON b.i >= a.i JOIN lags ON b.i - a.i <= l GROUP BY 1), v AS (SELECT sum(CASE WHEN k = 0 THEN s ELSE 2 * (1 - k / (l + 1.0)) * s END) AS v FROM g, lags)"
