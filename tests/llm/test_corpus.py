@@ -266,6 +266,8 @@ def test_language_of_odd_texts(spark):
     model = language.train(learn)
     got = {r.doc_id: r.lang_pred for r in language.identify(docs(spark, [None, "", "123 !?", "the dog", "die katze", "Katzen"]), model).collect()}
     assert got == {1: "und", 2: "und", 3: "und", 4: "en", 5: "de", 6: "de"}
+    signs = [r.lang_pred for r in language.identify(docs(spark, ["½ ² ①", "the²dog", "x½"]), model).orderBy("doc_id").collect()]
+    assert signs[:2] == ["und", "en"] and language.words_of("a²b C½ 3") == ["a", "b", "c"]
     none = language.train(learn.where("false"))
     assert [r.lang_pred for r in language.identify(docs(spark, ["the"]), none).collect()] == ["und"]
     assert language.identify(docs(spark, ["a"]).where("false"), model).count() == 0
@@ -289,6 +291,27 @@ def test_quality_separates_junk(spark):
     assert np.mean([r.kept for r in rows if r.quality == 1]) > 0.97
 
 
+def test_quality_of_held_out_rows(spark):
+    """Labels of every third document are hidden from training."""
+    big = "/root/testdata/sf0.1"
+    d, marks = (spark.read.parquet(f"{big}/{n}.parquet") for n in ("documents", "labels"))
+    hidden = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    scored = quality.quality(d, marks.where(~hidden))
+    rows = scored.join(marks.where(hidden).select("doc_id", "quality"), "doc_id").collect()
+    assert auc([r.score for r in rows], [r.quality for r in rows]) > 0.97
+    assert np.mean([r.kept for r in rows if r.quality == 1]) > 0.97 and np.mean([r.kept for r in rows if r.quality == 0]) < 0.3
+
+
+def test_quality_learns_words_that_shape_does_not_show(spark):
+    rng = random.Random(16)
+    good, bad = ([f"{c}{rng.randint(100, 999)}" for _ in range(40)] for c in "ab")
+    texts = [(k, " ".join(rng.choice(good if k % 2 else bad) for _ in range(60)), k % 2) for k in range(400)]
+    d = spark.createDataFrame([(k, t, None, "s", 1) for k, t, _ in texts], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(k, q) for k, _, q in texts if k < 300], "doc_id long, quality int")
+    rows = [r for r in quality.quality(d, labels).collect() if r.doc_id >= 300]
+    assert np.mean([r.kept == (r.doc_id % 2 == 1) for r in rows]) > 0.95
+
+
 def test_quality_without_labels_keeps_all(spark):
     d = docs(spark, [None, "", "x", "x"])
     labels = spark.createDataFrame([], "doc_id long, quality int")

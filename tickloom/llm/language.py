@@ -35,6 +35,14 @@ UNKNOWN = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters of a text in small letters; signs such as ½ or ², which are neither letters nor digits, part them."""
+    found = LETTERS.findall((text or "").lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for x in found for w in ([x] if x.isalpha() else "".join(c if c.isalpha() else " " for c in x).split())]
+
+
 def grams(word: str, n: int) -> list[str]:
     marked = f"<{word}>"
     return [marked[k : k + n] for k in range(len(marked) - n + 1)] if n > 1 else list(word)
@@ -44,7 +52,7 @@ def counted(texts: list[str | None]) -> Counter:
     """(kind, piece): number of texts; kind 0 for words, else the n-gram's length."""
     out: Counter = Counter()
     for text in texts:
-        words = set(LETTERS.findall((text or "").lower()))
+        words = set(words_of(text))
         pieces = {(0, w) for w in words}
         for n in range(1, LONGEST + 1):
             pieces.update((n, g) for w in words for g in grams(w, n))
@@ -107,7 +115,7 @@ class Model:
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         if len(self.met) > REMEMBERED:
             self.met, self.rows = {}, []
-        words = [LETTERS.findall(t.lower()) if t else [] for t in texts]
+        words = [words_of(t) for t in texts]
         for word in {w for own in words for w in own if w not in self.met} if self.langs else ():
             self.met[word] = len(self.rows)
             self.rows.append(self.score(word))

@@ -1,6 +1,7 @@
 """Document quality by co-training of two views.
 
-One classifier sees what the text holds, the other the page's metadata: language, source and length. In each round a
+One classifier sees what the text holds: hashed words, hashed runs of three bytes, and its shape. The other sees the
+page's metadata: language, source and length. In each round a
 view marks the unlabelled texts of which it is most sure and the other learns from the marks. Both are then calibrated
 on labelled texts held back, and a last fit on the two calibrated scores combines them.
 """
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import map_columns, released
 from tickloom.llm.logistic import Logistic
+from tickloom.llm.shingles import mix, word_hashes
 
 #: Labelled rows of each class and unlabelled rows that training reads at most, in expectation.
 LABELLED, UNLABELLED = 4_000, 6_000
@@ -23,7 +25,11 @@ ROUNDS = 4
 #: Share of the unlabelled rows that a view marks in a round at most, and how sure it must be.
 MARKED, SURE = 0.1, 0.95
 THRESHOLD = 0.5
+#: Penalty of both views' fits.
+RIDGE = 20.0
 SOURCES, LANGS = 32, 8
+#: Places that words, and runs of bytes, are hashed to.
+PLACES = 192
 
 _LETTER, _UPPER, _DIGIT, _SYMBOL = (np.zeros(256, bool) for _ in range(4))
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -32,10 +38,24 @@ _DIGIT[48:58] = True
 _SYMBOL[list(b"#$%&*@^~<>=+\\/|_{}[]")] = True
 
 
-def text_view(text: str | None) -> list[float]:
+def hashed(codes: np.ndarray, seed: int) -> np.ndarray:
+    """Counts of codes in PLACES places, as logs of their shares: common ones weigh little more than rare ones."""
+    code = mix(codes.astype(np.uint64) + np.uint64(seed))
+    counts = np.bincount((code % np.uint64(PLACES)).astype(np.int64), minlength=PLACES)
+    return np.log1p(1000 * counts / max(1, len(codes)))
+
+
+def text_view(text: str | None) -> np.ndarray:
+    """Hashed words and runs of three bytes of the whole text, in small letters, and its shape."""
+    data = (text or "").encode()
+    low = np.frombuffer(data.lower(), np.uint8).astype(np.uint32)
+    words, _ = word_hashes([data])
+    threes = (low[:-2] << 16 | low[1:-1] << 8 | low[2:]) if len(low) > 2 else low[:0]
+    return np.concatenate([hashed(words, 1), hashed(threes, 2), shape_of(text or "", data)])
+
+
+def shape_of(text: str, data: bytes) -> list[float]:
     """Shares that tell prose from shouting, symbol noise, lists and repetition, over the whole text."""
-    text = text or ""
-    data = text.encode()
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     size, letters = max(1, len(data)), max(1, int(counts[_LETTER].sum()))
     words = text.split()
@@ -67,7 +87,7 @@ class CoTraining:
         pool = np.flatnonzero(label < 0)
         views = (text, meta)
         marks: list[dict[int, float]] = [{}, {}]  # what each view learns from the other
-        self.models = [Logistic(v[base], label[base]) for v in views]
+        self.models = [Logistic(v[base], label[base], ridge=RIDGE) for v in views]
         for _ in range(rounds):
             for k, model in enumerate(self.models):
                 p = model.probability(views[k][pool])
@@ -79,7 +99,7 @@ class CoTraining:
                 rows = np.array([*base, *marks[k]], int)
                 y = np.array([*label[base], *marks[k].values()], float)
                 weight = np.array([1.0] * len(base) + [0.3] * len(marks[k]))
-                self.models[k] = Logistic(v[rows], y, weight)
+                self.models[k] = Logistic(v[rows], y, weight, RIDGE)
         self.calibrated = [Logistic(m.logit(v[held])[:, None], label[held]) for m, v in zip(self.models, views, strict=True)]
         self.last = Logistic(self._both(text[held], meta[held]), label[held])
 
@@ -115,13 +135,13 @@ def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, unlabell
 
     def views(ids: list, marks: list, *rest: list) -> tuple:
         text, meta = _views(*rest)
-        return ids, marks, list(text), list(meta)
+        return ids, marks, [x.astype(np.float32).tobytes() for x in text], [x.astype(np.float32).tobytes() for x in meta]
 
-    rows = map_columns(own.select("doc_id", "quality", "text", "lang", "source", "n_chars"), views, "doc_id long, quality int, x array<double>, y array<double>").orderBy("doc_id").collect()
+    rows = map_columns(own.select("doc_id", "quality", "text", "lang", "source", "n_chars"), views, "doc_id long, quality int, x binary, y binary").orderBy("doc_id").collect()
     if not any(r["quality"] is not None for r in rows):
         return None
     label = np.array([-1 if r["quality"] is None else r["quality"] for r in rows])
-    return CoTraining(np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows]), label)
+    return CoTraining(*(np.frombuffer(b"".join(r[c] for r in rows), np.float32).reshape(len(rows), -1) for c in ("x", "y")), label)
 
 
 def scored(docs: DataFrame, model: CoTraining | None) -> Column:
@@ -143,7 +163,11 @@ def scored(docs: DataFrame, model: CoTraining | None) -> Column:
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, score and kept (score >= THRESHOLD) of every row."""
+    """doc_id, score and kept (score >= THRESHOLD) of every row.
+
+    Rows that repeat repeat; equal rows score the same, and a score at the threshold is kept. Nulls are values that the
+    views know. Without usable labels all rows are kept. Other columns are ignored. No rows in, no rows out.
+    """
     model = train(docs, labels)
     return docs.select(F.col("doc_id").cast("long"), scored(docs, model).alias("score")).withColumn("kept", F.col("score") >= THRESHOLD)
 
