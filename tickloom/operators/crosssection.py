@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions.scalars import clip, mean_of, ratio
+from tickloom.operators.joins import asof_backward
 
 
 def rank_pct(value: str, by: list[str]) -> Column:
@@ -101,21 +102,27 @@ def preprocess_factor(df: DataFrame, by: list[str], value: str, normalize: str =
     return made.withColumn(out, F.col("_p") * direction).withColumn(f"{out}_status", F.col("_p_status")).withColumn("recipe", F.lit(recipe)).drop("_z", "_p", "_p_status")
 
 
+#: Fixed value: the style of rows without one.
+OTHER_STYLE = "其他"
+
+
 def ridge_residual(df: DataFrame, by: list[str], y: str, numbers: list[str], group: str, alpha: float = 10.0, least: int = 12, out: str = "residual") -> DataFrame:
     """Ridge residual of y on standardized numbers and group dummies with a free intercept, by section.
 
-    A section is one date's few thousand rows, solved by small normal equations in one pandas call.
+    The group first in order has no dummy; rows without group are one of their own. A section is one date's few
+    thousand rows, solved by small normal equations in one pandas call.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows[out] = np.nan
-        ok = rows[[y, *numbers]].notna().all(axis=1) & rows[group].notna()
+        ok = rows[[y, *numbers]].notna().all(axis=1)
         if ok.sum() >= least:
             part = rows[ok]
             x = part[numbers].to_numpy(float)
             spread = x.std(0)
-            x = (x - x.mean(0)) / np.where(spread > 1e-12, spread, 1.0)
-            x = np.column_stack([x, pd.get_dummies(part[group]).to_numpy(float)])
+            x = (x - x.mean(0)) / np.where(spread > 0, spread, 1.0)
+            styles = part[group].astype(object).where(part[group].notna(), OTHER_STYLE).astype(str)
+            x = np.column_stack([x, pd.get_dummies(styles).to_numpy(float)[:, 1:]])
             x, target = x - x.mean(0), part[y].to_numpy(float)
             centred = target - target.mean()
             beta = np.linalg.solve(x.T @ x + alpha * np.eye(x.shape[1]), x.T @ centred)
@@ -135,32 +142,44 @@ def recovery_quality(df: DataFrame, by: list[str], columns: list[str], drawdown:
     return df.withColumn("recovery_quality", F.when(mask, mean_of([F.col(k) for k in ranks], len(ranks)))).drop(*ranks)
 
 
-#: Pools by kind and their least listing days.
-POOLS = (("all", "any", 0), ("liquid", "any", 60), ("seasoned", "any", 252), ("large", "large", 60), ("top90", "top90", 60), ("sh", "prefix:6", 60), ("sz", "prefix:0", 60), ("growth", "prefix:3", 60), ("star", "prefix:68", 60), ("bj", "prefix:8", 60), ("index", "index", 60), ("index_seasoned", "index", 252))
+#: Pools with their index codes and code prefixes, and the prefixes of boards that ask for a longer history.
+POOLS = {
+    "all_market": ("", ()), "csi300": ("000300", ()), "csi_a500": ("000510", ()), "csi500": ("000905", ()), "csi800": ("000906", ()), "csi1000": ("000852", ()),
+    "csi_all": ("000985", ()), "csi2000": ("932000", ()), "chinext": ("", ("300", "301")), "chinext50": ("399673", ()), "star_market": ("", ("688", "689")), "star50": ("000688", ()),
+}
+GROWTH = ("300", "301", "688", "689")
+LARGEST, HISTORY, GROWTH_HISTORY = 0.9, 60, 252
 
 
-def stock_pools(panel: DataFrame, pools: tuple = POOLS, at: str = "trade_date", symbol: str = "symbol") -> DataFrame:
-    """(date, pool, symbol, member, reasons) for every pool, in one pass.
+def stock_pools(panel: DataFrame, members: DataFrame, pools: dict = POOLS, at: str = "trade_date", symbol: str = "symbol", index: str = "index_code") -> DataFrame:
+    """(date, pool, symbol, membership_as_of, parent_percentile, reasons, unavailable) for every pool.
 
-    Reasons name each check that failed: not_ordinary, small, not_in_index, prefix, st, suspended, not_tradable, new.
+    A symbol without reasons is a member. `members` holds snapshots (index, date, symbol), of which the latest at or
+    before the date counts. A pool that can't be told at a date has one row, without symbol, that says why: too few
+    sizes for the cut to the largest of all ordinary shares, or no snapshot yet.
     """
-    d = Window.partitionBy(at).orderBy(F.desc_nulls_last("total_mv"), symbol)
-    n = F.count("total_mv").over(Window.partitionBy(at))
-    ranked = panel.withColumn("_k", F.row_number().over(d)).withColumn("_n", n)
+    code = F.upper(F.col(symbol))
+    ordinary = (F.length(code) == 9) & (code.rlike(r"^6.....\.SH$") | code.rlike(r"^[03].....\.SZ$"))
+    day = Window.partitionBy(at)
+    sized = F.coalesce(F.col("_ordinary") & (F.col("total_mv") > 0), F.lit(False))
+    rows = panel.withColumn("_ordinary", ordinary).withColumn("_sized", sized).withColumn("_n", F.sum(F.col("_ordinary").cast("int")).over(day)).withColumn("_m", F.sum(F.col("_sized").cast("int")).over(day))
+    rows = rows.withColumn("_k", F.when(F.col("_sized"), F.row_number().over(day.orderBy(F.desc("_sized"), F.desc("total_mv"), symbol)))).withColumn("_keep", F.ceil(F.col("_n") * LARGEST))
     spark = panel.sparkSession
-    table = spark.createDataFrame([(a, b.split(":")[0], b.partition(":")[2], c) for a, b, c in pools], "pool string, kind string, prefix string, least int")
-    both = ranked.crossJoin(F.broadcast(table))  # a dozen pools
+    table = F.broadcast(spark.createDataFrame([(name, code, list(prefixes)) for name, (code, prefixes) in pools.items()], f"pool string, {index} string, _prefixes array<string>"))  # a dozen pools
+    snaps = members.select(index, at).distinct()
+    wanted = panel.select(at).distinct().crossJoin(table.where(F.col(index) != "").select(index).distinct())
+    held = asof_backward(wanted, snaps, [index], at, [], prefix="snap_").select(at, index, "snap_at")
+    both = rows.crossJoin(table).join(held, [at, index], "left").join(members.select(index, F.col(at).alias("snap_at"), symbol, F.lit(True).alias("_in")), [index, "snap_at", symbol], "left")
+    error = F.when(F.col("_m") < F.col("_keep"), "insufficient complete all-A parent ranking for global cutoff").when((F.col(index) != "") & F.col("snap_at").isNull(), "PIT index membership unavailable").otherwise("")
+    starts = lambda c, prefixes: F.exists(prefixes, lambda x: F.col(c).startswith(x))
+    child = F.when(F.size("_prefixes") > 0, starts(symbol, F.col("_prefixes"))).otherwise((F.col(index) == "") | F.col("_in").isNotNull())
+    least = F.when(starts(symbol, F.array(*map(F.lit, GROWTH))), GROWTH_HISTORY).otherwise(HISTORY)
     when = lambda c, name: F.when(F.coalesce(c, F.lit(True)), F.lit(name))
-    reasons = F.array_compact(F.array(
-        when(~F.col("ordinary"), "not_ordinary"),
-        when((F.col("kind") == "top90") & (F.col("_k") > F.ceil(F.col("_n") * 0.9)), "small"),
-        when((F.col("kind") == "large") & (F.col("_k") > F.ceil(F.col("_n") * 0.3)), "small"),
-        when((F.col("kind") == "index") & ~F.col("in_index"), "not_in_index"),
-        when((F.col("kind") == "prefix") & ~F.col(symbol).cast("string").startswith(F.col("prefix")), "prefix"),
-        when(F.col("is_st") > 0, "st"), when(F.col("is_suspended") > 0, "suspended"), when(~F.col("tradable"), "not_tradable"),
-        when(F.col("listing_days") < F.col("least"), "new"),
-    ))
-    return both.select(at, "pool", symbol, reasons.alias("reasons")).withColumn("member", F.size("reasons") == 0)
+    checks = F.array_compact(F.array(when(~F.col("_sized"), "market_cap_unavailable"), when(F.col("_sized") & (F.col("_k") > F.col("_keep")), "market_cap_below_global_top_90pct"), when(~child, "not_pit_member"), when(F.col("is_st") != 0, "st_or_status_unavailable"), when(F.col("is_suspended") != 0, "suspended"), when(~F.col("tradable"), "not_tradable"), when(F.col("listing_days") < least, "listing_history_below_parent_rule")))
+    known = both.withColumn("unavailable", error)
+    good = known.where("unavailable = ''").select(at, "pool", symbol, F.when(F.col(index) == "", F.col(at)).otherwise(F.col("snap_at")).alias("membership_as_of"), (F.col("_k") / F.col("_n")).alias("parent_percentile"), F.when(~F.col("_ordinary"), F.array(F.lit("not_ordinary_a_share"))).otherwise(checks).alias("reasons"), "unavailable")
+    bad = known.where("unavailable <> ''").select(at, "pool", "unavailable").distinct()
+    return good.unionByName(bad, allowMissingColumns=True)
 
 
 def factor_formula(panel: DataFrame, ids: list[str], catalog: dict[str, tuple[str, Callable[[Column], Column], int]]) -> DataFrame:

@@ -35,6 +35,13 @@ def interval_to_daily(intervals: DataFrame, calendar: DataFrame, key: str, start
     return months.join(days.withColumn("_m", F.trunc(at, "month")), "_m").where(inside).select(key, at).distinct().withColumn(flag, F.lit(1))
 
 
+def register_quality_rule(registry: dict[str, dict[str, Column]], dataset: str, name: str, predicate: Column | str) -> dict[str, dict[str, Column]]:
+    """The registry with one rule more; the predicate, a column or SQL text, is true for a bad row. A name counts once."""
+    if name in registry.get(dataset, {}):
+        raise ValueError(f"{dataset} has a rule {name} already")
+    return registry | {dataset: registry.get(dataset, {}) | {name: F.expr(predicate) if isinstance(predicate, str) else predicate}}
+
+
 def quality_failures(df: DataFrame, dataset: str, required: list[str], rules: dict[str, Column], null_share: float = 0.01) -> DataFrame:
     """(dataset, rule, rows, bad, failed) in one pass; a rule's column is true for a bad row."""
     checks = {**{f"null:{c}": F.col(c).isNull() for c in required}, **rules}

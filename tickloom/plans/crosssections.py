@@ -98,11 +98,30 @@ def recovery_quality(spark, d):
     return rounded(cs.recovery_quality(panel(spark, d), ["month"], ["volume", "amount"], "x", "y").select("symbol", "month", "recovery_quality"), "recovery_quality")
 
 
-@query(f"""WITH {BARS}, p AS (SELECT symbol, trade_date, amount AS total_mv, symbol % 5 <> 0 AS ordinary, symbol % 3 = 0 AS in_index, CAST(symbol % 11 = 0 AS DOUBLE) AS is_st, volume > 5 AS tradable, date_diff('day', min(trade_date) OVER (PARTITION BY symbol), trade_date) AS listing_days FROM bars), k AS (SELECT *, row_number() OVER (PARTITION BY trade_date ORDER BY total_mv DESC, symbol) AS k, count(*) OVER (PARTITION BY trade_date) AS n FROM p)
-SELECT trade_date, pool, symbol, ordinary AND NOT is_st > 0 AND tradable AND listing_days >= least_days AND (pool <> 'top90' OR k <= ceil(n * 0.9)) AND (pool <> 'index' OR in_index) AND (pool <> 'sh' OR CAST(symbol AS VARCHAR) LIKE '6%') AS member FROM k CROSS JOIN (SELECT unnest(['all', 'top90', 'sh', 'index']) AS pool, unnest([0, 60, 60, 60]) AS least_days)""")
+_CODES = [c for c, _ in cs.POOLS.values() if c][:-1]  # the last index never has a snapshot
+_LISTED = "CASE {s} % 5 WHEN 0 THEN '600' WHEN 1 THEN '000' WHEN 2 THEN '300' WHEN 3 THEN '688' ELSE '900' END || lpad(CAST({s} % 1000 AS VARCHAR), 3, '0') || CASE WHEN {s} % 5 IN (0, 3) THEN '.SH' WHEN {s} % 5 = 4 THEN '.BJ' ELSE '.SZ' END"
+
+
+def _listed(s):
+    return F.concat(F.element_at(F.array(*map(F.lit, ("600", "000", "300", "688", "900"))), (s % 5 + 1).cast("int")), F.lpad((s % 1000).cast("string"), 3, "0"), F.when((s % 5).isin(0, 3), ".SH").when(s % 5 == 4, ".BJ").otherwise(".SZ"))
+
+
+@query(f"""WITH {BARS}, p AS (SELECT {_LISTED.format(s='symbol')} AS symbol, trade_date, CASE WHEN symbol % 17 <> 0 THEN amount END AS total_mv, CAST(symbol % 11 = 0 AS INTEGER) AS is_st, CAST(symbol % 13 = 0 AS INTEGER) AS is_suspended, volume > 5 AS tradable, date_diff('day', min(trade_date) OVER (PARTITION BY symbol), trade_date) AS listing_days, symbol % 5 <> 4 AS ordinary FROM bars),
+i AS (SELECT DISTINCT [{', '.join(f"'{c}'" for c in _CODES)}][o_orderkey % {len(_CODES)} + 1] AS code, date_trunc('quarter', o_orderdate)::DATE AS snap, {_LISTED.format(s='(o_custkey % 100 + 1)')} AS symbol FROM orders), sn AS (SELECT DISTINCT code, snap FROM i),
+pl AS (SELECT unnest([{', '.join(f"'{n}'" for n in cs.POOLS)}]) AS pool, unnest([{', '.join(f"'{c}'" for c, _ in cs.POOLS.values())}]) AS code),
+w AS (SELECT w.*, sn.snap FROM (SELECT trade_date, pool, code FROM (SELECT DISTINCT trade_date FROM p) CROSS JOIN pl) w ASOF LEFT JOIN sn ON w.code = sn.code AND w.trade_date >= sn.snap),
+k AS (SELECT *, ordinary AND coalesce(total_mv > 0, false) AS sized, sum(ordinary::INTEGER) OVER (PARTITION BY trade_date) AS n, sum((ordinary AND coalesce(total_mv > 0, false))::INTEGER) OVER (PARTITION BY trade_date) AS m, row_number() OVER (PARTITION BY trade_date ORDER BY ordinary AND coalesce(total_mv > 0, false) DESC, total_mv DESC, symbol) AS k FROM p),
+j AS (SELECT k.*, w.pool, w.code, w.snap, i.symbol IS NOT NULL AS held, CASE WHEN m < ceil(n * 0.9::DOUBLE) THEN 'insufficient complete all-A parent ranking for global cutoff' WHEN w.code <> '' AND w.snap IS NULL THEN 'PIT index membership unavailable' ELSE '' END AS unavailable FROM k JOIN w USING (trade_date) LEFT JOIN i ON i.code = w.code AND i.snap = w.snap AND i.symbol = k.symbol)
+SELECT trade_date, pool, symbol, CASE WHEN code = '' THEN trade_date ELSE snap END AS membership_as_of, {rnd('CASE WHEN sized THEN k / n END')} AS parent_percentile, CASE WHEN NOT ordinary THEN 'not_ordinary_a_share' ELSE concat_ws(',', CASE WHEN NOT sized THEN 'market_cap_unavailable' WHEN k > ceil(n * 0.9::DOUBLE) THEN 'market_cap_below_global_top_90pct' END, CASE WHEN NOT CASE pool WHEN 'chinext' THEN symbol LIKE '300%' WHEN 'star_market' THEN symbol LIKE '688%' ELSE code = '' OR held END THEN 'not_pit_member' END, CASE WHEN is_st <> 0 THEN 'st_or_status_unavailable' END, CASE WHEN is_suspended <> 0 THEN 'suspended' END, CASE WHEN NOT tradable THEN 'not_tradable' END, CASE WHEN listing_days < CASE WHEN symbol LIKE '300%' OR symbol LIKE '688%' THEN 252 ELSE 60 END THEN 'listing_history_below_parent_rule' END) END AS reasons, unavailable FROM j WHERE unavailable = ''
+UNION ALL SELECT DISTINCT trade_date, pool, NULL, NULL, NULL, NULL, unavailable FROM j WHERE unavailable <> ''""")
 def stock_pools(spark, d):
-    p = bars(spark, d).select("symbol", "trade_date", F.col("amount").alias("total_mv"), (F.col("symbol") % 5 != 0).alias("ordinary"), (F.col("symbol") % 3 == 0).alias("in_index"), (F.col("symbol") % 11 == 0).cast("double").alias("is_st"), F.lit(0.0).alias("is_suspended"), (F.col("volume") > 5).alias("tradable"), F.datediff("trade_date", F.min("trade_date").over(Window.partitionBy("symbol"))).alias("listing_days"))
-    return cs.stock_pools(p, tuple(x for x in cs.POOLS if x[0] in ("all", "top90", "sh", "index"))).drop("reasons")
+    b = bars(spark, d)
+    first = F.min("trade_date").over(Window.partitionBy("symbol"))
+    s = F.col("symbol")
+    p = b.select(_listed(s).alias("symbol"), "trade_date", F.when(s % 17 != 0, F.col("amount")).alias("total_mv"), (s % 11 == 0).cast("int").alias("is_st"), (s % 13 == 0).cast("int").alias("is_suspended"), (F.col("volume") > 5).alias("tradable"), F.datediff("trade_date", first).alias("listing_days"))
+    code = F.element_at(F.array(*map(F.lit, _CODES)), (F.col("o_orderkey") % len(_CODES) + 1).cast("int"))
+    m = table(spark, d, "orders").select(code.alias("index_code"), F.to_date(F.date_trunc("quarter", "o_orderdate")).alias("trade_date"), _listed(F.col("o_custkey") % 100 + 1).alias("symbol")).distinct()
+    return rounded(cs.stock_pools(p, m).withColumn("reasons", F.array_join("reasons", ",")), "parent_percentile")
 
 
 def _long(spark, d):
@@ -289,10 +308,10 @@ def etf_observations(spark, d):
     return rounded(ev.etf_observations(p, ["symbol", "month"]), "value")
 
 
-@query(f"WITH {PANEL}, {LONG} SELECT month, factor, count(*) AS n, count(*) FILTER (value IS NOT NULL AND month + INTERVAL 19 HOUR <= TIMESTAMP '1999-01-01') AS complete, count(*) FILTER (value IS NULL) AS missing FROM long GROUP BY 1, 2")
+@query(f"WITH {PANEL}, {LONG}, h AS (SELECT month, factor, value IS NULL AS gone, month + INTERVAL 19 HOUR <= TIMESTAMP '1999-01-01' AS early, sha256(concat_ws('|', symbol, month::DATE, factor, CASE WHEN value IS NULL THEN 'missing' WHEN month + INTERVAL 19 HOUR > TIMESTAMP '1999-01-01' THEN 'unavailable' ELSE 'complete' END)) AS h FROM long), hp AS (SELECT month, factor, substr(h, 1, 3) AS p, count(*) AS n, count(*) FILTER (NOT gone AND early) AS complete, count(*) FILTER (gone) AS missing, count(*) FILTER (NOT gone AND NOT early) AS unavailable, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY 1, 2, 3) SELECT month, factor, sum(n)::BIGINT AS n, sum(complete)::BIGINT AS complete, sum(missing)::BIGINT AS missing, sum(unavailable)::BIGINT AS unavailable, sha256(string_agg(p || d, '' ORDER BY p)) AS sample_sha256 FROM hp GROUP BY 1, 2")
 def frozen_sample(spark, d):
     v = ev.observation_rows(_long(spark, d).withColumn("computed", F.lit("1999-01-01").cast("timestamp")), "month", "value", "computed")
-    return ev.frozen_sample(v, ["month", "factor"], ["symbol", "month", "factor", "value"], "quality").select("month", "factor", "n", "complete", "missing")
+    return ev.frozen_sample(v, ["month", "factor"], ["symbol", "month", "factor", "quality"], "quality")
 
 
 @query()

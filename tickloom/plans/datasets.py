@@ -391,9 +391,11 @@ def catalog_page(spark, d):
     return catalog.catalog_page(_catalog(spark, d), 1, 2).select("name", "n")
 
 
-@query("SELECT unnest(['dim', 'trade', 'daily', 'stream']) AS tag, 1 AS n")
+@query("WITH t AS (SELECT 'trade' AS tag UNION ALL SELECT 'daily' UNION ALL SELECT lower(event_type) FROM (SELECT DISTINCT event_type FROM events)) SELECT tag, count(*) AS n FROM t GROUP BY 1")
 def catalog_tags(spark, d):
-    return catalog.catalog_tags(_catalog(spark, d))
+    """Tags of the described orders, and of one dataset for each kind of event that the table holds."""
+    kinds = table(spark, d, "events").select(F.lower("event_type").alias("tags")).distinct()
+    return catalog.catalog_tags(_catalog(spark, d).where("name = 'orders'").select("tags").unionByName(kinds))
 
 
 @query("SELECT count(*) AS n, sum(o_totalprice) > 0 AS positive FROM orders")
@@ -402,3 +404,41 @@ def export_manifest(spark, d):
 
     o = table(spark, d, "orders")
     return content(o).select("n").crossJoin(F.broadcast(o.agg((F.sum("o_totalprice") > 0).alias("positive"))))  # two single rows
+
+
+@query("""SELECT 'orders' AS dataset, rule, (SELECT count(*) FROM orders) AS rows, bad, bad > 0 AS failed FROM (SELECT 'cheap' AS rule, count(*) FILTER (o_totalprice < 5000) AS bad FROM orders UNION ALL SELECT 'late', count(*) FILTER (o_orderdate >= TIMESTAMP '2100-01-01') FROM orders)""")
+def register_quality_rule(spark, d):
+    rules = rows.register_quality_rule({}, "orders", "cheap", "o_totalprice < 5000")
+    rules = rows.register_quality_rule(rules, "orders", "late", F.col("o_orderdate") >= F.lit("2100-01-01").cast("timestamp"))
+    return rows.quality_failures(table(spark, d, "orders"), "orders", [], rules["orders"])
+
+
+@query("""WITH c AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '600' WHEN 1 THEN '688' WHEN 2 THEN '000' WHEN 3 THEN '300' WHEN 4 THEN '920' ELSE '510' END || lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') || CASE o_orderkey % 6 WHEN 2 THEN '.SZ' WHEN 3 THEN '.SZ' WHEN 4 THEN '.BJ' ELSE '.SH' END AS code FROM orders) SELECT o_orderkey, code, o_orderkey % 6 <> 5 AS ordinary FROM c""")
+def ordinary_share(spark, d):
+    from tickloom.functions.scalars import ordinary_share as ordinary
+
+    k = F.col("o_orderkey")
+    pick = lambda *values: F.element_at(F.array(*map(F.lit, values)), (k % 6 + 1).cast("int"))
+    code = F.concat(pick("600", "688", "000", "300", "920", "510"), F.lpad((k % 1000).cast("string"), 3, "0"), pick(".SH", ".SH", ".SZ", ".SZ", ".BJ", ".SH"))
+    return table(spark, d, "orders").select("o_orderkey", code.alias("code")).withColumn("ordinary", ordinary("code"))
+
+
+@query("SELECT event_id, CASE WHEN hour(ts + INTERVAL 8 HOUR) * 60 + minute(ts + INTERVAL 8 HOUR) >= 1230 THEN (ts + INTERVAL 8 HOUR)::DATE ELSE (ts + INTERVAL 8 HOUR)::DATE - 1 END AS last_day FROM events")
+def completion_ceiling(spark, d):
+    from tickloom.functions.scalars import completion_ceiling as ceiling
+
+    return table(spark, d, "events").select("event_id", ceiling(F.col("ts").cast("timestamp")).alias("last_day"))
+
+
+@query("SELECT o_orderkey, ROUND((coalesce(a, b) + coalesce(b, a)) / 2, 6) + 0.0 AS mid FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS a, CASE WHEN o_orderkey % 4 <> 0 THEN o_totalprice * 2 END AS b FROM orders)")
+def forecast_mid(spark, d):
+    k = F.col("o_orderkey")
+    o = table(spark, d, "orders").select("o_orderkey", F.when(k % 3 != 0, F.col("o_totalprice")).alias("a"), F.when(k % 4 != 0, F.col("o_totalprice") * 2).alias("b"))
+    return o.select("o_orderkey", r(rows.forecast_mid("a", "b")).alias("mid"))
+
+
+@query("SELECT x.*, n FROM (SELECT unnest([0, 1, 2, 3, 4, 5]) AS position, unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS \"column\", unnest([true, false, false, false, false, false]) AS is_key) x CROSS JOIN (SELECT count(*) AS n FROM orders)")
+def catalog_detail(spark, d):
+    """The described columns, with the rows of the table that has them."""
+    n = table(spark, d, "orders").agg(F.count("*").alias("n"))
+    return catalog.catalog_detail(spark, ORDERS).select("position", "column", "is_key").crossJoin(F.broadcast(n))  # one row
