@@ -187,7 +187,6 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
         pivots = scratch.save(keys.groupBy("key").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1"), "pivots")
         shared = scratch.save(keys.join(pivots, "key").select("key", "rep", "pivot", "n"), "shared")
         scratch.drop("bands", "pivots")
-        pairs = shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
         sized = lambda c: classes.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("registers").alias(f"r_{c}"))
 
         def likely(a: list, b: list, n: list, m: list, x: list, y: list) -> tuple:
@@ -195,25 +194,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
             keep = plausible(array(x), array(y), np.array(n), np.array(m), threshold) if a else []
             return np.array(a, np.int64)[keep], np.array(b, np.int64)[keep]
 
+        pairs = shared.where("rep <> pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
         met = pairs.join(sized("a"), "a").join(sized("b"), "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
         star = scratch.save(map_columns(met, likely, "a long, b long", 4096), "star")
         ends = star.select(F.col("a").alias("rep")).unionByName(star.select(F.col("b").alias("rep"))).distinct()
         sets = scratch.save(shingles_of(docs, ends, words, once), "sets")
         links = scratch.save(confirmed(star, sets, threshold).distinct(), "links")
-        scratch.drop("sets", "star")
+        scratch.drop("star", "sets")
         joined = components(links, scratch, "first")
 
-        # bands of over two members in which several components remain; of those with equal members, one
-        at = shared.where("n > 2").join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        at = scratch.save(at, "at")
-        per = at.groupBy("key", "component").agg(F.count("*").alias("m"))
-        mixed = scratch.save(per.groupBy("key").agg(F.when(F.max("m") > 1, F.max_by("component", "m")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main"), "mixed")
-        left = scratch.save(at.join(mixed, "key").select("key", "rep", "component", "main"), "left")
-        scratch.drop("at", "shared", "mixed")
+        # bands of over two members in which several components remain
+        left = scratch.save(_mixed(shared.where("n > 2").select("key", "rep"), joined), "left")
+        scratch.drop("shared")
         if left.limit(1).count():
             sets = scratch.save(shingles_of(docs, left.select("rep").distinct(), words, once).withColumn("size", F.size("shingles")), "more-sets")
-            meet = scratch.save(_meeting(left), "meet")
-            dealt = scratch.save(_dealt(meet.join(sets.select("rep", "size"), "rep"), threshold), "dealt")
+            meet = scratch.save(_meeting(left).join(sets.select("rep", "size"), "rep"), "meet")
+            dealt = scratch.save(_dealt(meet, threshold), "dealt")
             found = dealt.join(sets.select("rep", "shingles"), "rep").groupBy("task").applyInArrow(lambda t: _across(t, threshold), "a long, b long")
             joined = components(links.unionByName(scratch.save(found.distinct(), "found")), scratch, "last")
         least = scratch.save(joined, "components", keep=True).withColumnRenamed("node", "rep")
@@ -221,6 +217,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: float = 0.8) ->
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def _mixed(at: DataFrame, joined: DataFrame) -> DataFrame:
+    """key, rep, component and main, the largest component if it has two members, of bands in which several components are."""
+    named = at.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    per = named.groupBy("key", "component").agg(F.count("*").alias("m"))
+    mixed = per.groupBy("key").agg(F.when(F.max("m") > 1, F.max_by("component", "m")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
+    return named.join(mixed, "key").select("key", "rep", "component", "main")
+
+
 def _meeting(left: DataFrame) -> DataFrame:
     """key, rep, component and role of the members that must meet, given the bands in which several components remain.
 
