@@ -236,6 +236,30 @@ def test_search_equals_brute_force(spark):
     assert vector_search.nearest(df.where("false"), F.col("id") % 20 == 0).count() == 0
 
 
+def test_products_of_packed_bits_equal_products_of_signs():
+    rng = np.random.default_rng(17)
+    for size in (5, 64, 100):
+        q, signs = rng.standard_normal((7, size)), rng.random((30, size)) > 0.5
+        got, step = vector_search.products(q, vector_search.words(np.packbits(signs, axis=1)))
+        assert np.abs(got - q @ (signs * 2.0 - 1).T).max() <= step.max() / 2 * size
+        levels = np.rint((q - q.min(1, keepdims=True)) / step) * step + q.min(1, keepdims=True)
+        assert np.allclose(got, 2 * levels @ signs.T - q.sum(1, keepdims=True), atol=1e-4)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_search_recall_on_other_sizes(spark, sf):
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").orderBy("vec_id").collect()
+    v, ids = np.array([r.embedding for r in rows], float), np.array([r.vec_id for r in rows])
+    got = {}
+    for r in queries.op2_vector_search(spark, f"/root/testdata/{sf}").collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = np.flatnonzero(ids % 20 == 0)
+    score = v[asked] @ v.T
+    score[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-score, axis=1, kind="stable")[:, :20]
+    assert np.mean([len(set(ids[b]) & got[ids[q]]) / 20 for q, b in zip(asked, best, strict=True)]) >= 0.9
+
+
 def test_search_recall_on_embeddings(spark):
     rows = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
     v, ids = np.array([r.embedding for r in rows], float), [r.vec_id for r in rows]

@@ -2,9 +2,10 @@
 
 Each vector, scaled to length one, is rotated by one random orthogonal matrix and kept as the signs of its
 coordinates, packed to bits, with two scalars: its length and the inner product of the scaled vector with its code.
-The inner product of a query with the code, over that scalar, estimates the query's with the vector; the code's
-scalar also bounds the error, which shrinks with the square root of the dimension. A candidate is scored on the
-original vectors if its upper bound reaches the query's k-th best score so far.
+The rotated query is rounded to QUERY_BITS bits a coordinate, so its inner product with a code is a sum of population
+counts of packed bits. That product, over the scalar, estimates the query's with the vector; the code's scalar also
+bounds the error, which shrinks with the square root of the dimension. The best estimates are scored on the original
+vectors first; then all rows whose upper bound reaches the query's k-th best score.
 
 The index is exhaustive: every row has a code, none is sampled. Queries and rows are dealt into blocks and each task
 compares one block of either, so tasks are bounded however many copies of a vector there are.
@@ -22,11 +23,13 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import Scratch, map_columns
 
 #: Vectors and queries that meet in one task.
-ROW_BLOCK, QUERY_BLOCK = 16_384, 4_096
+ROW_BLOCK, QUERY_BLOCK = 32_768, 8_192
 #: Standard deviations in the error bound.
-BOUND = 3.0
-#: Candidates estimated at once for all queries of a block, with survivors scored after each step.
-STEP = 512
+BOUND = 1.9
+#: Bits of a coordinate of a rotated query.
+QUERY_BITS = 4
+#: Rows that are estimated at once for STEP queries, best estimates scored first for each of the k wanted, and pairs scored at once.
+STEP, FIRST, PAIRS = 64, 4, 1 << 15
 
 
 def rotation(size: int) -> np.ndarray:
@@ -60,44 +63,83 @@ def codes(rows: DataFrame, vector: str = "embedding", key: str = "vec_id") -> Da
                 out[k] = (bits[n].tobytes(), lengths[n], fit[n])
         return ids, sizes, *zip(*out, strict=True), vectors
 
-    kept = rows.where(usable(F.col(vector)) & F.col(key).isNotNull()).select(F.col(key).cast("long"), F.col(vector).cast("array<double>"))
-    return map_columns(kept, of, "id long, size int, bits binary, length double, fit double, vector array<double>", 2048)
+    # vectors travel in the precision that they have
+    kind = "float" if rows.schema[vector].dataType.elementType.typeName() == "float" else "double"
+    kept = rows.where(usable(F.col(vector)) & F.col(key).isNotNull()).select(F.col(key).cast("long"), F.col(vector).cast(f"array<{kind}>"))
+    return map_columns(kept, of, f"id long, size int, bits binary, length double, fit double, vector array<{kind}>", 2048)
+
+
+def words(bits: np.ndarray) -> np.ndarray:
+    """Packed bytes of codes as rows of 64-bit words; what is beyond the size is 0."""
+    spare = -bits.shape[1] % 8
+    return np.pad(bits, ((0, 0), (0, spare))).view(np.uint64)
+
+
+def products(turned: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products of rotated queries with codes of +1 and -1, by population counts, and each query's rounding step."""
+    low, high = turned.min(1, keepdims=True), turned.max(1, keepdims=True)
+    step = np.maximum(high - low, 1e-30) / ((1 << QUERY_BITS) - 1)
+    level = np.rint((turned - low) / step).astype(np.uint8)
+    total = np.zeros((len(turned), len(codes)), np.int32)
+    for k in range(QUERY_BITS):
+        plane = words(np.packbits(level >> k & 1, axis=1))
+        for w in range(codes.shape[1]):
+            total += np.bitwise_count(plane[:, w, None] & codes[None, :, w]).astype(np.int32) << k
+    ones = np.bitwise_count(codes).sum(1)
+    sums = turned.sum(1, keepdims=True)
+    return (2 * (step * total + low * ones) - sums).astype(np.float32), step
 
 
 def scores(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Inner products in double precision, summed for each vector in the same order, so equal vectors tie exactly."""
+    """Inner products of rows in double precision, summed for each pair in the same order, so equal vectors tie exactly."""
     return (vectors * query).sum(axis=-1)
 
 
+def _best(query: np.ndarray, score: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Places of each query's k best pairs, best first, ties to smaller ids."""
+    order = np.lexsort((own, -score, query))
+    first = np.searchsorted(query[order], query[order])
+    return order[np.arange(len(order)) - first < k]
+
+
 def _search_block(queries: pa.Table, rows: pa.Table, k: int, bound: float) -> pa.Table:
     out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
     if not queries.num_rows or not rows.num_rows:
         return out.empty_table()
     size = rows.column("size")[0].as_py()
-    array = lambda t: t.column("vector").combine_chunks().flatten().to_numpy().reshape(t.num_rows, size)
-    rows = rows.sort_by("id")
-    asked, vectors, turn = array(queries), array(rows), rotation(size)
-    query_ids, ids = queries.column("id").to_numpy(), rows.column("id").to_numpy()
+    array = lambda t: t.column("vector").combine_chunks().flatten().to_numpy().reshape(t.num_rows, size).astype(np.float64)
+    vectors, turn, ids = array(rows), rotation(size), rows.column("id").to_numpy()
     lengths, fit = rows.column("length").to_numpy(), rows.column("fit").to_numpy()
-    signs = np.unpackbits(np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint8).reshape(len(ids), -1), axis=1, count=size).astype(np.float32) * 2 - 1
-    turned = (asked @ turn).astype(np.float32) / math.sqrt(size)
-    query_lengths = np.sqrt((asked * asked).sum(1))
-    spread = bound * np.sqrt(np.maximum(1 - fit**2, 0)) / fit / math.sqrt(max(size - 1, 1)) * lengths
-    best_score = np.full((len(asked), k), -np.inf)
-    best_id = np.full((len(asked), k), np.iinfo(np.int64).max)
-    for low in range(0, len(ids), STEP):
-        part = slice(low, min(low + STEP, len(ids)))
-        upper = (turned @ signs[part].T) * (lengths[part] / fit[part]) + query_lengths[:, None] * spread[part]
-        keep = (upper >= best_score[:, -1:]) & (query_ids[:, None] != ids[part])
-        for q in np.flatnonzero(keep.any(1)):
-            near = np.flatnonzero(keep[q]) + low
-            found = scores(asked[q], vectors[near])
-            better = found >= best_score[q, -1]
-            score, own = np.concatenate([best_score[q], found[better]]), np.concatenate([best_id[q], ids[near[better]]])
-            order = np.lexsort((own, -score))[:k]
-            best_score[q], best_id[q] = score[order], own[order]
-    real = np.isfinite(best_score)
-    return pa.table([np.repeat(query_ids, real.sum(1)), best_id[real], best_score[real]], schema=out)
+    codes = words(np.frombuffer(b"".join(rows.column("bits").to_pylist()), np.uint8).reshape(len(ids), -1))
+    scale = (lengths / fit / math.sqrt(size)).astype(np.float32)
+    spread = (bound * np.sqrt(np.maximum(1 - fit**2, 0)) / fit / math.sqrt(max(size - 1, 1)) * lengths).astype(np.float32)
+    every, all_ids = array(queries), queries.column("id").to_numpy()
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for low in range(0, len(every), STEP):
+        asked, query_ids = every[low : low + STEP], all_ids[low : low + STEP]
+        code, step = products(asked @ turn, codes)
+        estimate = code * scale
+        # rounding to half a step moves each coordinate evenly; its own deviation is step / sqrt(12)
+        error = np.sqrt((asked**2).sum(1))[:, None] * spread + (bound * step / math.sqrt(12) * math.sqrt(size)) * scale
+        other = query_ids[:, None] != ids
+
+        def scored(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            return np.concatenate([scores(asked[x[a : a + PAIRS]], vectors[y[a : a + PAIRS]]) for a in range(0, len(x), PAIRS)] or [np.empty(0)])  # noqa: B023
+
+        n = min(len(ids), FIRST * k + 1)
+        top = np.argpartition(-np.where(other, estimate, -np.inf), n - 1, axis=1)[:, :n]
+        x = np.repeat(np.arange(len(asked)), n)
+        first = np.where(np.take_along_axis(other, top, 1), scored(x, top.ravel()).reshape(len(asked), n), -np.inf)
+        least = np.sort(first, axis=1)[:, -k] if n >= k else np.full(len(asked), -np.inf)
+        near = other & (estimate + error >= least[:, None])
+        np.put_along_axis(near, top, np.take_along_axis(other, top, 1), axis=1)
+        x, y = np.nonzero(near)
+        score = scored(x, y)
+        reach = score >= least[x]
+        x, y, score = x[reach], y[reach], score[reach]
+        best = _best(x, score, ids[y], k)
+        found.append((query_ids[x[best]], ids[y[best]], score[best]))
+    return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], schema=out)
 
 
 def nearest(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embedding", key: str = "vec_id", bound: float = BOUND) -> DataFrame:
@@ -112,7 +154,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 20, vector: str = "embed
         index = scratch.save(codes(rows.select(F.col(key), F.col(vector)), vector, key), "codes", keep=True)
         asked = index.where(is_query(F.col("id")) if callable(is_query) else is_query)
         n, m = index.count(), asked.count()
-        row_blocks, query_blocks = max(12, math.ceil(n / ROW_BLOCK)), max(1, math.ceil(m / QUERY_BLOCK))
+        row_blocks, query_blocks = max(4, math.ceil(n / ROW_BLOCK)), max(2, math.ceil(m / QUERY_BLOCK))
         spread = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
         own = lambda blocks, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(blocks)).cast("int")
         left = asked.select("size", "id", "vector", own(query_blocks, 1).alias("q")).select("*", spread(row_blocks).alias("r"))
