@@ -189,6 +189,17 @@ def test_near_duplicates_of_one_id_with_several_texts(spark):
     assert sorted((r.doc_id, r.component_id, r.n_shingles) for r in got) == [(7, 7, 36), (7, 7, 36), (8, 7, 37), (9, 7, 0), (9, 7, 37)]
 
 
+def test_kept_tables_can_be_cleared(spark):
+    from pathlib import Path
+
+    from tickloom.llm.common import Scratch, clear, shared_dir
+
+    df = Scratch(spark, "t").save(spark.range(3), "x", keep=True)
+    assert df.count() == 3 and any(Path(p.removeprefix("file:")).exists() for p in Scratch.kept)
+    clear(spark)
+    assert not Scratch.kept and not list(Path(shared_dir(spark).removeprefix("file:")).glob("t-*/x"))
+
+
 def test_components_reach_along_chains(spark):
     from tickloom.llm.common import Scratch
 

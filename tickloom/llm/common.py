@@ -6,6 +6,7 @@ import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
+from typing import ClassVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a folder of our own only where the session names none."""
+    """The folder that driver and executors share. Only a session on one machine may go without: it gets one of its own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tickloom-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -30,9 +33,12 @@ def shared_dir(spark: SparkSession) -> str:
 class Scratch:
     """Tables written to the shared folder to cut lineage. They survive the loss of any executor.
 
-    Leaving the context deletes every table but those saved with keep=True, which lazy results still read.
+    Leaving the context deletes every table but those saved with keep=True, which lazy results still read; `clear`
+    deletes these once their results have been used.
     """
 
+    kept: ClassVar[list[str]] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.root, self.done = spark, f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}", []
 
@@ -42,20 +48,29 @@ class Scratch:
     def save(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.option("compression", "zstd").parquet(path)
-        if not keep:
-            self.done.append(path)
+        (self.kept if keep else self.done).append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:
         for path in [p for p in self.done if not names or p.rsplit("/", 1)[1] in names]:
-            to = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-            to.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(to, True)
+            _delete(self.spark, path)
             self.done.remove(path)
 
     def __exit__(self, *_) -> None:
         self.drop()
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    to.getFileSystem(spark._jsc.hadoopConfiguration()).delete(to, True)
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes the tables that results of this process read. Those results can't be used any more."""
+    while Scratch.kept:
+        _delete(spark, Scratch.kept.pop())
+
+
 def numbered(df: DataFrame, group: str, ids: list[str], out: str, rows: int, per_bucket: int = 200_000) -> DataFrame:
     """Adds `out`: 0, 1, 2, ... within each value of `group`, without a gap.
 
