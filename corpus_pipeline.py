@@ -76,5 +76,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
-            docs = scratch.save(docs, str(k), keep=True)
+            docs = scratch.save(docs, str(k), keep=k + 2 == len(STAGES))  # the last stage reads its input when its rows are asked for
+            scratch.drop(str(k - 1))
     return docs

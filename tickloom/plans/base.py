@@ -18,8 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def folder(spark: SparkSession) -> str:
-    """A new folder in the one that the cluster shares."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tickloom-")
+    """A new folder in the one that the cluster shares; only a session on one machine may go without."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = tempfile.mkdtemp(prefix="tickloom-")
     return f"{shared.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
