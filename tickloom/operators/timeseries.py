@@ -168,29 +168,37 @@ def structural_financials(dates: DataFrame, statements: DataFrame, symbol: str =
     return out.withColumn("fin_cash_yield", ratio(F.col("fin_free_cash"), F.col("market_value"))) if "market_value" in dates.columns else out
 
 
-def risk_context(panel: DataFrame, dates: int = 100, top: int = 100, symbol: str = "symbol", at: str = "trade_date") -> DataFrame:
-    """Average pairwise 20-row correlation of the most traded symbols by date, its z against the 60 rows before, and a state.
+def risk_context(panel: DataFrame, dates: int = 100, top: int = 100, symbol: str = "symbol", at: str = "trade_date", ret: str = "ret") -> DataFrame:
+    """By date: mean pairwise correlation of the most traded symbols over 20 rows, its z against the 60 before, and a state.
 
-    Pairs need no self-join: over the last 20 rows of a full grid the mean pairwise correlation of standardized returns
-    is (n^2 var(mean) - n) / (n^2 - n), from each date's mean of the standardized returns of the window.
+    Pairs need ten common rows. Breadth, volatility and the ratio of 5-row to 20-row amounts are of all symbols. Only
+    the last `dates` count, and only those on which a chosen symbol has a return have a row. Pairs by dates are at most
+    top * top / 2 * dates rows.
     """
     days = panel.select(at).distinct().orderBy(F.desc(at)).limit(dates)
-    recent = panel.join(F.broadcast(days), at, "left_semi")  # `dates` rows
-    best = recent.groupBy(symbol).agg(F.avg("amount").alias("_a")).orderBy(F.desc("_a"), symbol).limit(top).select(symbol)
-    rows = recent.join(F.broadcast(best), symbol, "left_semi").select(symbol, at, "ret", "amount")
-    order = rows.select(at).distinct().withColumn("_i", F.row_number().over(Window.orderBy(at)))  # `dates` rows
-    spread = rows.join(F.broadcast(order), at).withColumn("_end", F.explode(F.sequence(F.col("_i"), F.col("_i") + 19)))
-    w = Window.partitionBy(symbol, "_end")
-    z = spread.where("ret is not null").withColumn("_n", F.count("ret").over(w)).where("_n >= 10").withColumn("_s", F.stddev_pop("ret").over(w)).where("_s > 1e-12").withColumn("_z", (F.col("ret") - F.avg("ret").over(w)) / F.col("_s"))
-    by_row = z.groupBy("_end", "_i").agg(F.sum("_z").alias("_sum"), F.count("*").alias("_m"), F.sum(F.col("_z") ** 2).alias("_sq"))
-    # pairs of the same row: (sum^2 - sum of squares) / pairs
-    pair = by_row.groupBy("_end").agg(ratio(F.sum(F.col("_sum") ** 2 - F.col("_sq")), F.sum(F.col("_m") * (F.col("_m") - 1))).alias("mean_corr"))
-    daily = rows.groupBy(at).agg(F.avg((F.col("ret") > 0).cast("double")).alias("breadth"), F.stddev_samp("ret").alias("dispersion"), F.sum("amount").alias("liquidity"))
-    out = daily.join(order, at).join(pair, F.col("_i") == F.col("_end"), "left").drop("_end")
-    lag60 = Window.orderBy("_i").rowsBetween(-60, -1)
-    z_corr = ratio(F.col("mean_corr") - F.avg("mean_corr").over(lag60), F.stddev_samp("mean_corr").over(lag60))
-    out = out.withColumn("corr_z", F.when(F.count("mean_corr").over(lag60) >= 20, z_corr)).drop("_i")
-    return out.withColumn("state", F.when(F.col("corr_z") > 1.5, "stressed").when(F.col("breadth") < 0.35, "weak").when(F.col("breadth") > 0.65, "strong").otherwise("neutral"))
+    recent = panel.join(F.broadcast(days), at, "left_semi").select(symbol, at, F.col(ret).alias("_r"), "amount")  # `dates` rows
+    best = recent.groupBy(symbol).agg(F.avg("amount").alias("_a")).orderBy(F.desc_nulls_last("_a"), symbol).limit(top).select(symbol)
+    chosen = recent.join(F.broadcast(best), symbol, "left_semi").where("_r is not null").select(symbol, at, "_r")  # `top` rows
+    pivot = chosen.select(at).distinct().withColumn("_i", F.row_number().over(Window.orderBy(at)) - 1)
+    own = lambda c: chosen.select(F.col(symbol).alias(c), at, F.col("_r").alias(f"_r{c}"))
+    pairs = best.select(F.col(symbol).alias("a")).crossJoin(F.broadcast(best.select(F.col(symbol).alias("b")))).where("a < b")  # `top` rows each
+    grid = pairs.crossJoin(F.broadcast(pivot)).join(own("a"), ["a", at], "left").join(own("b"), ["b", at], "left")
+    both = F.col("_ra").isNotNull() & F.col("_rb").isNotNull()
+    w = Window.partitionBy("a", "b").orderBy("_i").rowsBetween(-19, 0)
+    x, y = F.when(both, F.col("_ra")), F.when(both, F.col("_rb"))
+    grid = grid.select(at, "_i", F.count(x).over(w).alias("_n"), F.covar_pop(x, y).over(w).alias("_c"), F.var_pop(x).over(w).alias("_x"), F.var_pop(y).over(w).alias("_y"))
+    known = (F.col("_n") >= 10) & (F.col("_x") > 0) & (F.col("_y") > 0) & (F.col("_i") >= 11)
+    mean = grid.groupBy(at, "_i").agg(F.avg(F.when(known, clip(F.col("_c") / F.sqrt(F.col("_x") * F.col("_y")), -1, 1))).alias("average_correlation"))
+    before = Window.orderBy("_i").rowsBetween(-60, -1)  # `dates` rows
+    enough = F.count("average_correlation").over(before) >= 20
+    mean = mean.withColumn("correlation_z", F.when(enough, ratio(F.col("average_correlation") - F.avg("average_correlation").over(before), F.stddev_samp("average_correlation").over(before))))
+    daily = recent.groupBy(at).agg(F.avg(F.coalesce(F.col("_r") > 0, F.lit(False)).cast("double")).alias("breadth"), F.stddev_samp("_r").alias("volatility"), F.coalesce(F.sum("amount"), F.lit(0.0)).alias("_t"))
+    last = lambda n: Window.orderBy(at).rowsBetween(1 - n, 0)  # noqa: E731  `dates` rows
+    rolled = lambda n, least: F.when(F.count("_t").over(last(n)) >= least, F.avg("_t").over(last(n)))
+    daily = daily.withColumn("liquidity", ratio(rolled(5, 3), rolled(20, 10))).drop("_t")
+    z, up = F.col("correlation_z"), F.col("breadth")
+    state = F.when((z > 1) & (up < 0.35), "stress").when((z > 0.5) | (up < 0.4), "watch").otherwise("normal")
+    return mean.drop("_i").join(daily, at).withColumn("state", state)
 
 
 def split_unadjust(quotes: DataFrame, symbol: str = "symbol", at: str = "trade_date") -> DataFrame:

@@ -322,3 +322,23 @@ def etf_shared_panel(spark, d):
     m = ts.etf_market_features(b).select("symbol", "trade_date", "ret_5", "amount_ratio", "recent_drawdown")
     s = ts.etf_share_flow(b.withColumnRenamed("volume", "shares")).select("symbol", "trade_date", "flow_intensity")
     return rounded(cs.shared_etf_panel(m, s, b.select("symbol", "trade_date", F.col("volume").alias("breadth")), ["symbol", "trade_date"], "trade_date"), "recovery_quality", "ret_5", "amount_ratio", "recent_drawdown", "flow_intensity")
+
+
+_ROLLED = "CASE WHEN count(*) OVER (ORDER BY month ROWS BETWEEN {n} PRECEDING AND CURRENT ROW) >= {least} THEN avg(t) OVER (ORDER BY month ROWS BETWEEN {n} PRECEDING AND CURRENT ROW) END"
+_PAIR = "WINDOW w AS (PARTITION BY a, b ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+
+
+@query(f"""WITH {PANEL}, rec AS (SELECT symbol, month, x AS r, amount FROM panel WHERE month IN (SELECT DISTINCT month FROM panel ORDER BY month DESC LIMIT 60)), best AS (SELECT symbol FROM rec GROUP BY 1 ORDER BY avg(amount) DESC NULLS LAST, symbol LIMIT 40),
+ch AS (SELECT symbol, month, r FROM rec WHERE r IS NOT NULL AND symbol IN (SELECT symbol FROM best)), pv AS (SELECT month, row_number() OVER (ORDER BY month) - 1 AS i FROM (SELECT DISTINCT month FROM ch)),
+g AS (SELECT p.a, p.b, pv.month, pv.i, CASE WHEN y.r IS NOT NULL THEN x.r END AS ra, CASE WHEN x.r IS NOT NULL THEN y.r END AS rb FROM (SELECT u.symbol AS a, v.symbol AS b FROM best u JOIN best v ON u.symbol < v.symbol) p CROSS JOIN pv LEFT JOIN ch x ON x.symbol = p.a AND x.month = pv.month LEFT JOIN ch y ON y.symbol = p.b AND y.month = pv.month),
+c AS (SELECT month, i, count(ra) OVER w AS n, covar_pop(ra, rb) OVER w AS c, var_pop(ra) OVER w AS vx, var_pop(rb) OVER w AS vy FROM g {_PAIR}),
+av AS (SELECT month, i, avg(CASE WHEN n >= 10 AND vx > 0 AND vy > 0 AND i >= 11 THEN greatest(-1, least(1, c / sqrt(vx * vy))) END) AS m FROM c GROUP BY 1, 2),
+z AS (SELECT month, m, CASE WHEN count(m) OVER q >= 20 THEN (m - avg(m) OVER q) / stddev_samp(m) OVER q END AS z FROM av WINDOW q AS (ORDER BY i ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING)),
+dy AS (SELECT month, avg(coalesce(r > 0, false)::INTEGER) AS breadth, stddev_samp(r) AS volatility, sum(amount) AS t FROM rec GROUP BY 1), dl AS (SELECT *, ({_ROLLED.format(n=4, least=3)}) / ({_ROLLED.format(n=19, least=10)}) AS liquidity FROM dy)
+SELECT month, {rnd('m', 5)} AS average_correlation, {rnd('z', 5)} AS correlation_z, {rnd('breadth', 5)} AS breadth, {rnd('volatility', 5)} AS volatility, {rnd('liquidity', 5)} AS liquidity, CASE WHEN z > 1 AND breadth < 0.35 THEN 'stress' WHEN z > 0.5 OR breadth < 0.4 THEN 'watch' ELSE 'normal' END AS state FROM z JOIN dl USING (month)""")
+def risk_context(spark, d):
+    """Months stand for sessions: only they have enough common rows."""
+    from tickloom.operators import timeseries as ts
+
+    out = ts.risk_context(panel(spark, d), 60, 40, at="month", ret="x")
+    return rounded(out, "average_correlation", "correlation_z", "breadth", "volatility", "liquidity", n=5)

@@ -205,12 +205,6 @@ def signal_target(spark, d):
     return rounded(ts.signal_target(bars(spark, d), trend=20, look_back=10), "equal", "trend")
 
 
-@query()
-def risk_context(spark, d):
-    x = returns(spark, d).withColumnRenamed("ret_1", "ret")
-    return rounded(ts.risk_context(x, dates=60, top=30), "mean_corr", "breadth", "dispersion", "liquidity", "corr_z")
-
-
 @query(f"WITH {RET} SELECT trade_date, count(*) AS total, count(*) FILTER (ret_1 > 0) AS up, count(*) FILTER (ret_1 < 0) AS down, count(*) FILTER (ret_1 = 0) AS flat, {rnd('avg(ret_1)')} AS avg_change, {rnd('sum(amount) / 1e5', 8)} AS total_amount FROM ret GROUP BY 1")
 def market_breadth_daily(spark, d):
     return rounded(agg.market_breadth_daily(returns(spark, d), change="ret_1"), "avg_change").withColumn("total_amount", r("total_amount", 8))
