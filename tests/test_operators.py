@@ -135,5 +135,18 @@ def test_revisions_reject_late_rows(spark, tmp_path):
     assert last == {30: (2, 11.0), 31: (1, 12.0)}
 
 
+def test_revisions_go_on_after_a_restart_and_a_new_day(spark, tmp_path):
+    t = lambda d, m, s=0: dt.datetime(2024, 1, d, 10, m, s)
+    source, target, schema = str(tmp_path / "in"), str(tmp_path / "out"), "symbol string, capture_id long, ts timestamp, price double, volume double"
+    parts = ([("x", 1, t(2, 30), 10.0, 1.0), ("x", 2, t(2, 31), 11.0, 2.0)], [("x", 3, t(2, 31, 5), 12.0, 3.0)], [("x", 4, t(3, 1), 5.0, 1.0), ("x", 5, t(2, 59), 5.0, 1.0), ("x", 6, t(3, 1, 1), 6.0, 1.0)])
+    for part in parts:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        log = minutes.run_to_table(minutes.revised_minutes(stream), target)  # each run starts from the checkpoint
+    got = {(r.minute.day, r.minute.minute): (r.revision, r.volume, r.close) for r in minutes.newest_revision(log).collect()}
+    assert got == {(2, 30): (1, 1.0, 10.0), (2, 31): (2, 5.0, 12.0), (2, 59): (1, 1.0, 5.0), (3, 1): (2, 2.0, 6.0)}
+    assert {r.counter for r in log.collect()} == {"accepted"}
+
+
 def test_entry_survives_without_corpus_operators():
     assert set(market.oracle_sql()) <= set(market.queries())

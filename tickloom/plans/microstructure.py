@@ -209,16 +209,33 @@ def stream_dedup(spark, d):
     return st.run_to_table(st.deduplicated(twice, "event_id").select("event_type", "event_id"), folder(spark)).groupBy(F.col("event_type").alias("k")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT user_id AS symbol, date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1, 2")
+def _in_batches(spark, d):
+    """events as a stream of three files, one a micro-batch: two halves of the days, then repeated, late and old rows."""
+    e = _events(spark, d).withColumn("symbol", F.col("symbol").cast("string"))
+    last = e.groupBy("symbol").agg(F.max(F.struct("ts", *(c for c in e.columns if c not in ("symbol", "ts")))).alias("x")).select("symbol", "x.*").select(*e.columns)
+    shifted = last.withColumn("ts", F.explode(F.array(*(F.col("ts") - F.make_interval(mins=F.lit(k)) for k in (0, 5, 20)))))
+    half = F.to_date("ts") < F.lit("2024-01-16")
+    path = folder(spark)
+    for part in (e.where(half), e.where(~half), e.where("capture_id % 50 = 0").unionByName(shifted)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+#: What becomes of the rows of the third batch; those of the first two are accepted.
+_LATE = """m AS (SELECT user_id, max(ts) AS l FROM events GROUP BY 1), third AS (SELECT user_id, ts, value FROM events WHERE event_id % 50 = 0 UNION ALL SELECT user_id, l - to_minutes(k), v FROM (SELECT user_id, max(ts) AS l, arg_max(value, (ts, event_id)) AS v FROM events GROUP BY 1), (SELECT unnest([0, 5, 20]) AS k)),
+fate AS (SELECT t.*, CASE WHEN t.ts::DATE < l::DATE THEN 'previous_day' WHEN t.ts < l - INTERVAL 15 MINUTE THEN 'beyond_lateness' WHEN date_trunc('minute', t.ts) < date_trunc('minute', l) THEN 'older_minute_not_emitted' ELSE 'accepted' END AS counter FROM third t JOIN m USING (user_id))"""
+
+
+@query(f"WITH {_LATE}, shown AS (SELECT user_id, date_trunc('minute', ts) AS minute, count(*) AS n FROM events GROUP BY 1, 2), again AS (SELECT user_id, date_trunc('minute', ts) AS minute, count(*) AS n FROM fate WHERE counter = 'accepted' GROUP BY 1, 2) SELECT s.user_id AS symbol, s.minute, s.n + coalesce(g.n, 0) AS revision, s.n + coalesce(g.n, 0) AS n, (s.n + coalesce(g.n, 0)) * 100.0::DOUBLE AS volume FROM shown s LEFT JOIN again g USING (user_id, minute)")
 def minute_revisions(spark, d):
-    e = _stream(spark, d).withColumn("symbol", F.col("symbol").cast("string"))
-    log = st.run_to_table(st.revised_minutes(e), folder(spark))
-    return st.newest_revision(log).select(F.col("symbol").cast("long").alias("symbol"), F.col("minute").cast("timestamp_ntz").alias("minute"), "n")
+    """The newest revision of every minute after repeated and late rows in a later micro-batch."""
+    log = st.run_to_table(st.revised_minutes(_in_batches(spark, d)), folder(spark))
+    return st.newest_revision(log).select(F.col("symbol").cast("long").alias("symbol"), F.col("minute").cast("timestamp_ntz").alias("minute"), F.col("revision").cast("long").alias("revision"), "n", "volume")
 
 
-@query("SELECT 'accepted' AS counter, count(*) AS n FROM events")
+@query(f"WITH {_LATE} SELECT counter, count(*) AS n FROM (SELECT counter FROM fate UNION ALL SELECT 'accepted' FROM events) GROUP BY 1")
 def late_counters(spark, d):
-    log = st.run_to_table(st.revised_minutes(_stream(spark, d).withColumn("symbol", F.col("symbol").cast("string"))), folder(spark))
+    log = st.run_to_table(st.revised_minutes(_in_batches(spark, d)), folder(spark))
     return log.groupBy("counter").agg(F.count("*").alias("n"))
 
 

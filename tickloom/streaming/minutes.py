@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,8 +55,10 @@ def minute_metrics(bars: DataFrame, key: str = "symbol", at: str = "minute") ->
     return bars.select("*", *((ratio(F.col("close"), at_minute("close", n)) - 1).alias(f"ret_{n}m") for n in (1, 3, 5)), (ratio(F.col("close"), ratio(F.col("amount"), F.col("volume"))) - 1).alias("vwap_gap"), z.alias("amount_z"), ratio(F.col("volume"), F.avg("volume").over(before(5))).alias("volume_ratio"))
 
 
-STATE = "last_us long, day string, minutes string"
+#: A symbol's newest time and day, and the minutes of that day that it keeps, as parallel arrays.
+STATE = "last_us long, day int, minute array<long>, n array<long>, volume array<double>, amount array<double>, close_us array<long>, close array<double>"
 REVISED = "symbol string, minute timestamp, revision int, n long, volume double, amount double, close double, counter string"
+MINUTE_US, DAY_US = 60_000_000, 86_400_000_000
 
 
 def revised_minutes(events: DataFrame, late_minutes: int = 15, retain: int = 600) -> DataFrame:
@@ -63,37 +66,34 @@ def revised_minutes(events: DataFrame, late_minutes: int = 15, retain: int = 600
 
     Rules by symbol: rows older than its latest event less `late_minutes` are beyond_lateness; of an earlier day,
     previous_day; a new day clears the state; a late row of a minute before the newest is counted but its minute isn't
-    emitted; minutes before the last `retain` ones are evicted. events: symbol, capture_id, ts, price, volume.
+    emitted; minutes before the last `retain` ones are evicted at the end of a batch. Rows of a batch count in order of
+    time. events: symbol, capture_id, ts, price, volume. A symbol's batch is worked on as arrays, row by row never.
     """
-    import json
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, day, text = state.get if state.exists else (0, "", "{}")
-        minutes: dict[str, list] = json.loads(text)
-        rows = pd.concat(list(batches)).sort_values(["ts", "capture_id"])
-        out: list[tuple] = []
-        for r in rows.itertuples():
-            us, own = int(r.ts.value // 1000), str(r.ts.date())
-            reason = "previous_day" if own < day else "beyond_lateness" if own == day and us < last - late_minutes * 60_000_000 else ""
-            if reason:
-                out.append((key[0], None, None, None, None, None, None, reason))
-                continue
-            if own > day:
-                day, minutes, last = own, {}, 0
-            name = str(us // 60_000_000)
-            newest = max(map(int, minutes), default=int(name))
-            m = minutes.setdefault(name, [0, 0.0, 0.0, 0, 0.0, 0])  # n, volume, amount, us of close, close, revision
-            m[0], m[1], m[2], m[5] = m[0] + 1, m[1] + r.volume, m[2] + r.price * r.volume, m[5] + 1
-            if us >= m[3]:
-                m[3], m[4] = us, r.price
-            last = max(last, us)
-            older = int(name) < newest
-            out.append((key[0], None if older else pd.Timestamp(int(name) * 60, unit="s"), None if older else m[5], *((None,) * 4 if older else (m[0], m[1], m[2], m[4])), "older_minute_not_emitted" if older else "accepted"))
-            for old in sorted(map(int, minutes))[:-retain]:
-                del minutes[str(old)]
-        state.update((last, day, json.dumps(minutes)))
-        made = pd.DataFrame(out, columns=["symbol", "minute", "revision", "n", "volume", "amount", "close", "counter"])
-        yield made.astype({"minute": "datetime64[ns]", "revision": "Int32", "n": "Int64", "volume": float, "amount": float, "close": float})
+        last, day, *kept = state.get if state.exists else (0, 0, [], [], [], [], [], [])
+        held = pd.DataFrame(dict(zip(("minute", "n", "volume", "amount", "close_us", "close"), map(list, kept), strict=True)), dtype=object).astype({"minute": "int64", "n": "int64", "volume": float, "amount": float, "close_us": "int64", "close": float}).set_index("minute")
+        rows = pd.concat(list(batches)).sort_values(["ts", "capture_id"], ignore_index=True)
+        us = rows["ts"].to_numpy("datetime64[us]").astype("int64")
+        own = us // DAY_US
+        reason = np.select([own < day, (own == day) & (us < last - late_minutes * MINUTE_US)], ["previous_day", "beyond_lateness"], "")
+        good = rows.assign(us=us, minute=us // MINUTE_US, own=own)[reason == ""]
+        turnover = good["price"] * good["volume"]
+        before = held.reindex(good["minute"]).reset_index(drop=True).set_axis(good.index).fillna({"n": 0, "volume": 0.0, "amount": 0.0, "close_us": -1})
+        by = good["minute"]
+        n = before["n"].astype("int64") + good.groupby(by).cumcount() + 1
+        made = pd.DataFrame({"minute": by, "n": n, "volume": before["volume"] + good["volume"].groupby(by).cumsum(), "amount": before["amount"] + turnover.groupby(by).cumsum(), "close": good["price"].where(good["us"] >= before["close_us"], before["close"]), "close_us": good["us"].where(good["us"] >= before["close_us"], before["close_us"]).astype("int64")})
+        older = (good["own"] == day) & (by < (held.index.max() if len(held) else -1))
+        counter = pd.Series(reason, rows.index).replace("", "accepted")
+        counter[older.index[older]] = "older_minute_not_emitted"
+        shown = made[~older].reindex(rows.index)
+        yield pd.DataFrame({"symbol": key[0], "minute": pd.to_datetime(shown["minute"] * 60, unit="s"), "revision": shown["n"].astype("Int32"), "n": shown["n"].astype("Int64"), "volume": shown["volume"], "amount": shown["amount"], "close": shown["close"], "counter": counter})
+        if len(good):
+            newest = int(good["own"].iloc[-1])
+            fresh = made[good["own"] == newest].groupby("minute").last()
+            held = pd.concat([held[~held.index.isin(fresh.index)], fresh[held.columns]]) if newest == day else fresh[held.columns]
+            held, day, last = held.sort_index().iloc[-retain:], newest, max(last if newest == day else 0, int(good["us"].iloc[-1]))
+        state.update((last, day, held.index.tolist(), *(held[c].tolist() for c in held.columns)))
 
     return events.groupBy("symbol").applyInPandasWithState(step, REVISED, STATE, "append", "NoTimeout")
 
