@@ -136,36 +136,43 @@ def csi_temporal(bars: DataFrame, turnover: DataFrame, symbol: str = "symbol", a
     return one.select("*", year.alias("ret_252"), rolling_std("ret", 252, 120, w).alias("vol_252"), rolling_mean("amount", 20, 10, w).alias("amount_20")).join(rolled, [symbol, at], "left")
 
 
-def structural_financials(dates: DataFrame, statements: DataFrame, symbol: str = "symbol", at: str = "trade_date") -> DataFrame:
-    """Ratios of the newest statement known at each date. Statements: symbol, period, announced and money columns.
+#: The columns of each statement that structural financials read.
+INCOME, CASH = ("revenue", "oper_cost", "operate_profit", "n_income_attr_p"), ("n_cashflow_act", "c_pay_acq_const_fiolta")
+DEBTS = ("st_borr", "non_cur_liab_due_1y", "lt_borr", "bond_payable")
+BALANCE = ("total_assets", "money_cap", "trad_asset", "total_liab", *DEBTS)
 
-    At each announcement the trailing year is this period plus the prior full year less the prior year's same period,
-    each in the version known by then.
+
+def structural_financials(dates: DataFrame, income: DataFrame, balance: DataFrame, cash: DataFrame, symbol: str = "symbol", at: str = "trade_date", market_value: str = "market_value") -> DataFrame:
+    """Eight ratios of the newest statements known at each date, and whether a balance sheet is (`eligible`).
+
+    Statements: symbol, period, announced and money columns; announcements of one period replace older ones. At each
+    announcement of any of the three the newest balance period known by then is the current one. Trailing years are the
+    current period plus the year before less its same period, each in the version known by then. Values per ten thousand.
     """
-    flows = ("revenue", "oper_cost", "operate_profit", "n_income_attr_p", "n_cashflow_act", "c_pay_acq_const_fiolta")
-    known = statements.select(symbol, "period", "announced", F.struct(*flows).alias("v"))
-
-    def version(period: Column, name: str) -> DataFrame:
-        """The values of another period in their newest version at the announcement."""
-        asked = statements.select(symbol, "announced", "period", period.alias("_p"))
-        seen = known.select(symbol, F.col("period").alias("_p"), F.col("announced").alias("_a"), "v")
-        return asked.join(seen, [symbol, "_p"]).where(F.col("_a") <= F.col("announced")).groupBy(symbol, "announced", "period").agg(F.max_by("v", "_a").alias(name))
-
-    year_end = F.make_date(F.year("period") - 1, F.lit(12), F.lit(31))
-    last_year = F.add_months("period", -12)
-    one = statements.join(version(year_end, "fy"), [symbol, "announced", "period"], "left").join(version(last_year, "ly"), [symbol, "announced", "period"], "left")
-    full = F.month("period") == 12
-    ttm = lambda c: F.when(full, F.col(c)).otherwise(F.col(c) + F.col(f"fy.{c}") - F.col(f"ly.{c}"))
-    debt = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in ("st_borr", "non_cur_liab_due_1y", "lt_borr", "bond_payable")), F.lit(0.0))
-    free = ttm("n_cashflow_act") - ttm("c_pay_acq_const_fiolta")
-    feats = one.select(symbol, F.col("announced").alias(at), "period", ratio(ttm("revenue") - ttm("oper_cost"), F.col("total_assets")).alias("gross_profitability"), ratio(ttm("operate_profit"), ttm("revenue")).alias("operating_margin"), ratio(ttm("n_income_attr_p"), F.col("total_assets")).alias("roa"), ratio(ttm("n_cashflow_act"), F.col("total_assets")).alias("cash_return"), ratio(ttm("n_income_attr_p") - ttm("n_cashflow_act"), F.col("total_assets")).alias("accruals"), ratio(debt, F.col("total_assets")).alias("leverage"), ratio(F.col("money_cap"), F.col("total_assets")).alias("cash_share"), ratio(free, ttm("revenue")).alias("free_cash_margin"), free.alias("free_cash"))
     from tickloom.operators.joins import asof_backward
 
-    latest = Window.partitionBy(symbol, at).orderBy(F.desc("period"))
-    feats = feats.withColumn("_k", F.row_number().over(latest)).where("_k = 1").drop("_k")
-    names = [c for c in feats.columns if c not in (symbol, at)]
-    out = asof_backward(dates, feats, [symbol], at, names, prefix="fin_")
-    return out.withColumn("fin_cash_yield", ratio(F.col("fin_free_cash"), F.col("market_value"))) if "market_value" in dates.columns else out
+    tables = {"i": (income, INCOME), "b": (balance, BALANCE), "c": (cash, CASH)}
+    fields = [c for _, names in tables.values() for c in names]
+    rows = [df.select(symbol, F.lit(k).alias("_src"), "period", F.col("announced").alias(at), *((F.col(c) if c in names else F.lit(None)).cast("double").alias(c) for c in fields)) for k, (df, names) in tables.items()]
+    whole = rows[0].unionByName(rows[1]).unionByName(rows[2])
+    events = whole.groupBy(symbol, at).agg(F.max(F.when(F.col("_src") == "b", F.col("period"))).alias("_new"))
+    seen = Window.partitionBy(symbol).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    events = events.withColumn("_now", F.max("_new").over(seen)).where("_now is not null").drop("_new")
+    before, year_end = F.add_months("_now", -12), F.make_date(F.year("_now") - 1, F.lit(12), F.lit(31))
+    wanted = [("b", "b0", F.col("_now")), ("b", "b1", before), *((k, f"{k}{j}", q) for k in ("i", "c") for j, q in enumerate((F.col("_now"), year_end, before)))]
+    asked = events.withColumn("_x", F.explode(F.array(*(F.struct(F.lit(k).alias("_src"), F.lit(slot).alias("_slot"), q.alias("period")) for k, slot, q in wanted)))).select(symbol, at, "_now", "_x.*")
+    found = asof_backward(asked, whole, [symbol, "_src", "period"], at, fields)
+    held = {(slot, c): F.max(F.when(F.col("_slot") == slot, F.col(c))).alias(f"{slot}_{c}") for k, slot, _ in wanted for c in tables[k][1]}
+    one = found.drop("at").groupBy(symbol, at, "_now").agg(*held.values())
+    v = lambda slot, c: F.col(f"{slot}_{c}")
+    ttm = lambda k, c: F.when(F.month("_now") == 12, v(f"{k}0", c)).otherwise(v(f"{k}0", c) + v(f"{k}1", c) - v(f"{k}2", c))
+    or_0 = lambda c: F.coalesce(c, F.lit(0.0))
+    operating = lambda s: v(s, "total_assets") - v(s, "money_cap") - or_0(v(s, "trad_asset")) - v(s, "total_liab") + sum((or_0(v(s, c)) for c in DEBTS), F.lit(0.0))
+    assets, profit, flow = v("b0", "total_assets"), ttm("i", "n_income_attr_p"), ttm("c", "n_cashflow_act")
+    made = {"_flow": flow, "quality_gross_profit_assets": ratio(ttm("i", "revenue") - ttm("i", "oper_cost"), assets), "quality_operating_profitability": ratio(ttm("i", "operate_profit"), assets), "quality_accruals": ratio(profit - flow, assets), "quality_cashflow_quality": ratio(flow, F.abs(profit)), "investment_asset_growth": ratio(assets, v("b1", "total_assets")) - 1, "investment_capex_assets": ratio(ttm("c", "c_pay_acq_const_fiolta"), assets), "investment_noa_growth": ratio(operating("b0") - operating("b1"), F.abs(v("b1", "total_assets")))}
+    feats = one.select(symbol, at, *(c.alias(n) for n, c in made.items()))
+    out = asof_backward(dates, feats, [symbol], at, list(made), prefix="f_")
+    return out.select(*dates.columns, F.col("f_at").isNotNull().cast("int").alias("eligible"), ratio(F.col("f__flow"), F.col(market_value) * 10_000).alias("value_cfp"), *(F.col(f"f_{c}").alias(c) for c in made if c != "_flow"))
 
 
 def risk_context(panel: DataFrame, dates: int = 100, top: int = 100, symbol: str = "symbol", at: str = "trade_date", ret: str = "ret") -> DataFrame:

@@ -278,14 +278,47 @@ def profile_dataset(spark, d):
     return agg.profile_dataset(table(spark, d, "events"), ["event_id"])
 
 
-@query()
+_STATED = {"income": (45, ts.INCOME), "balance": (50, ts.BALANCE), "cash": (40, ts.CASH)}
+
+
+def _statements(spark, d):
+    """Three statement tables made of quarterly order sums; year-end ones are restated half a year later."""
+    last = F.last_day(F.add_months(F.date_trunc("quarter", "o_orderdate"), 2))
+    o = table(spark, d, "orders").groupBy(F.pmod("o_custkey", F.lit(50)).alias("symbol"), last.alias("period")).agg(F.sum("o_totalprice").alias("v"), F.count("*").alias("k"))
+    out = []
+    for days, names in _STATED.values():
+        first = o.select("symbol", "period", F.date_add("period", days).alias("announced"), *((F.col("v") / (j + 2) + F.col("k") * (1000.0 * j)).alias(c) for j, c in enumerate(names)))
+        again = first.where(F.month("period") == 12).withColumn("announced", F.date_add("announced", 180))
+        out.append(first.unionByName(again.select("symbol", "period", "announced", *((F.col(c) * 1.25).alias(c) for c in names))))
+    return out
+
+
+def _stated(name: str) -> str:
+    days, names = _STATED[name]
+    first = ", ".join(f"v / {j + 2} + k * {1000 * j}::DOUBLE AS {c}" for j, c in enumerate(names))
+    return f"{name}1 AS (SELECT symbol, period, period + {days} AS announced, {first} FROM o), {name} AS (SELECT * FROM {name}1 UNION ALL SELECT symbol, period, announced + 180, {', '.join(f'{c} * 1.25::DOUBLE' for c in names)} FROM {name}1 WHERE month(period) = 12)"
+
+
+def _known(name: str, to: str, period: str) -> str:
+    return f"ASOF LEFT JOIN {name} {to} ON {to}.symbol = e.symbol AND {to}.period = e.{period} AND e.announced >= {to}.announced"
+
+
+def _trailing(t: str, c: str) -> str:
+    return f"CASE WHEN month(e.now) = 12 THEN {t}0.{c} ELSE {t}0.{c} + {t}1.{c} - {t}2.{c} END"
+
+
+_NOA = "({t}.total_assets - {t}.money_cap - {t}.trad_asset - {t}.total_liab + {t}.st_borr + {t}.non_cur_liab_due_1y + {t}.lt_borr + {t}.bond_payable)"
+_RATIOS = {"quality_gross_profit_assets": f"({_trailing('i', 'revenue')} - ({_trailing('i', 'oper_cost')})) / b0.total_assets", "quality_operating_profitability": f"({_trailing('i', 'operate_profit')}) / b0.total_assets", "quality_accruals": f"({_trailing('i', 'n_income_attr_p')} - ({_trailing('c', 'n_cashflow_act')})) / b0.total_assets", "quality_cashflow_quality": f"({_trailing('c', 'n_cashflow_act')}) / abs({_trailing('i', 'n_income_attr_p')})", "investment_asset_growth": "b0.total_assets / b1.total_assets - 1", "investment_capex_assets": f"({_trailing('c', 'c_pay_acq_const_fiolta')}) / b0.total_assets", "investment_noa_growth": f"({_NOA.format(t='b0')} - {_NOA.format(t='b1')}) / abs(b1.total_assets)"}
+_JOINS = " ".join([_known("balance", "b0", "now"), _known("balance", "b1", "before"), *(_known(n, f"{t}{j}", q) for n, t in (("income", "i"), ("cash", "c")) for j, q in enumerate(("now", "year_end", "before")))])
+
+
+@query(f"""WITH {BARS}, o AS (SELECT o_custkey % 50 AS symbol, last_day((date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH)::DATE) AS period, sum(o_totalprice) AS v, count(*) AS k FROM orders GROUP BY 1, 2), {', '.join(map(_stated, _STATED))},
+ev AS (SELECT DISTINCT symbol, announced FROM (SELECT symbol, announced FROM income UNION ALL SELECT symbol, announced FROM balance UNION ALL SELECT symbol, announced FROM cash)), e0 AS (SELECT ev.symbol, ev.announced, max(b.period) AS now FROM ev JOIN balance b ON b.symbol = ev.symbol AND b.announced <= ev.announced GROUP BY 1, 2), e AS (SELECT *, last_day((now - INTERVAL 12 MONTH)::DATE) AS before, make_date(year(now) - 1, 12, 31) AS year_end FROM e0),
+f AS (SELECT e.symbol, e.announced, {_trailing('c', 'n_cashflow_act')} AS flow, {', '.join(f'{x} AS {c}' for c, x in _RATIOS.items())} FROM e {_JOINS})
+SELECT b.symbol, b.trade_date, (f.symbol IS NOT NULL)::INTEGER AS eligible, {rnd('flow / (b.amount * 10000)')} AS value_cfp, {', '.join(f'{rnd(c)} AS {c}' for c in _RATIOS)} FROM bars b ASOF LEFT JOIN f ON f.symbol = b.symbol AND b.trade_date >= f.announced""")
 def structural_financials(spark, d):
-    o = table(spark, d, "orders").groupBy(F.pmod("o_custkey", F.lit(50)).alias("symbol"), F.last_day(F.add_months(F.date_trunc("quarter", "o_orderdate"), 2)).alias("period")).agg(F.sum("o_totalprice").alias("v"))
-    names = ("total_assets", "money_cap", "revenue", "oper_cost", "operate_profit", "n_income_attr_p", "n_cashflow_act", "c_pay_acq_const_fiolta", "st_borr", "non_cur_liab_due_1y", "lt_borr", "bond_payable")
-    s = o.select("symbol", "period", F.date_add("period", 45).alias("announced"), *((F.col("v") / (k + 1)).alias(n) for k, n in enumerate(names)))
     dates = bars(spark, d).select("symbol", "trade_date", F.col("amount").alias("market_value"))
-    out = ts.structural_financials(dates, s)
-    return rounded(out, *[c for c in out.columns if c.startswith("fin_") and c not in ("fin_at", "fin_period")], "market_value")
+    return rounded(ts.structural_financials(dates, *_statements(spark, d)).drop("market_value"), "value_cfp", *_RATIOS)
 
 
 @query()
