@@ -88,8 +88,8 @@ def canonical_codes(rows: DataFrame, aliases: DataFrame, code: str, at: str, val
     """
     known = aliases.select(F.col("legacy").alias(code), "canonical", "switch_date")  # a fixed list of code changes
     switch = aliases.select(F.col("canonical").alias("_code"), F.col("switch_date").alias("_switch"))
-    tagged = rows.join(F.broadcast(known), code, "left").withColumn("_legacy", F.col("canonical").isNotNull()).withColumn("_code", F.coalesce("canonical", code)).drop("switch_date")
-    tagged = tagged.join(F.broadcast(switch), "_code", "left").withColumn("_preferred", F.col("_legacy") == (F.col(at) < F.col("_switch")))
+    tagged = rows.join(known, code, "left").withColumn("_legacy", F.col("canonical").isNotNull()).withColumn("_code", F.coalesce("canonical", code)).drop("switch_date")
+    tagged = tagged.join(switch, "_code", "left").withColumn("_preferred", F.col("_legacy") == (F.col(at) < F.col("_switch")))
     w = Window.partitionBy("_code", at)
     first = tagged.withColumn("_k", F.row_number().over(w.orderBy(F.desc("_preferred"), code)))
     clash = reduce(lambda a, b: a | b, [~same_within(F.min(v).over(w), F.max(v).over(w)) for v in values])
@@ -100,7 +100,7 @@ def canonical_codes(rows: DataFrame, aliases: DataFrame, code: str, at: str, val
 
 def drop_proven_alias_rows(legacy: DataFrame, aliases: DataFrame, canonical: DataFrame, universe: DataFrame, code: str, at: str, values: list[str]) -> DataFrame:
     """Legacy rows, without those whose canonical key is in the universe and holds exactly the same values."""
-    tagged = legacy.join(F.broadcast(aliases.select(F.col("legacy").alias(code), "canonical")), code, "left")
+    tagged = legacy.join(aliases.select(F.col("legacy").alias(code), "canonical"), code, "left")
     twin = canonical.join(universe.select(code, at).distinct(), [code, at], "left_semi").select(F.col(code).alias("_c"), F.col(at).alias("_t"), *(F.col(v).alias(f"_{v}") for v in values))
     same = reduce(lambda a, b: a & b, [F.col(v).eqNullSafe(F.col(f"_{v}")) for v in values])
     return tagged.join(twin, (F.col("canonical") == F.col("_c")) & (F.col(at) == F.col("_t")) & same, "left_anti").select(*legacy.columns)
@@ -142,7 +142,7 @@ def session_pairs(sessions: DataFrame, at: str = "trade_date") -> DataFrame:
 def dividend_overrides(rows: DataFrame, corrections: DataFrame, key: list[str], value: str = "dividend") -> tuple[DataFrame, DataFrame]:
     """(rows with corrected dividends, corrections whose expected source value isn't there). A fixed, short list."""
     fix = corrections.select(*key, F.col("source_value"), F.col("corrected_value"))
-    found = rows.join(F.broadcast(fix), key, "left")
+    found = rows.join(fix, key, "left")
     right = same_within(value, "source_value")
     fixed = found.withColumn(value, F.when(F.col("corrected_value").isNotNull() & right, F.col("corrected_value")).otherwise(F.col(value)))
     return fixed.select(*rows.columns), found.where(F.col("corrected_value").isNotNull() & ~right).select(*key)
