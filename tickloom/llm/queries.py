@@ -1,4 +1,4 @@
-"""The queries of the corpus operators. SQL expresses none of their whole results; tests compare with brute force."""
+"""The queries of the corpus operators. Those whose results SQL expresses have it in sql.py; tests compare the others with brute force."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontamination, language, licenses, near_duplicates, packing, quality, secrets, sharding, toxicity, vector_search
+from tickloom.llm import centroids, chat, decontamination, language, licenses, merkle, near_duplicates, packing, quality, secrets, sharding, sql, toxicity, vector_search
 from tickloom.llm.common import table
 
 #: Where the tokenizer's file is; another place may be set.
@@ -72,10 +72,26 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle.manifest(table(spark, sf_dir, "documents"), {"text": F.replace("text", F.lit("\n"), F.lit(""))}, remainder(2) == 0)
+    return out.drop("changed_leaf", "proof", "path")
+
+
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.digest(chat.format_conversations(turns.unionByName(more)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_packing, op2_vector_search, op3_language, op4_sharding, op5_near_duplicates, op6_quality, op7_licenses, op8_secrets, op9_decontamination, op10_toxicity)
+    own = (op1_packing, op2_vector_search, op3_language, op4_sharding, op5_near_duplicates, op6_quality, op7_licenses, op8_secrets, op9_decontamination, op10_toxicity, op11_centroid_clustering, op12_merkle_manifest, op13_chat_formatting)
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.oracle_sql()
