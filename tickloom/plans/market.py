@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.plans import crosssections, datasets, joined, microstructure, series, stored
+from tickloom.plans import crosssections, datasets, joined, live, microstructure, series, stored
 
-PARTS = (datasets, joined, series, crosssections, microstructure, stored)
+PARTS = (datasets, joined, series, crosssections, microstructure, live, stored)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
