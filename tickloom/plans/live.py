@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.plans.base import folder, r, rounded, table
+from tickloom.plans.base import folder, rounded, table
 from tickloom.plans.series import rnd
 from tickloom.streaming import live
 
@@ -238,3 +238,56 @@ def stream_checkpoint(spark, d):
     out = newest(sinks(checked(in_batches(rows, f"{path}/in", first=2)), path, 16)["minutes"])
     table_ = out.select("symbol", "minute", F.lit("table").alias("part"), "revision", F.col("n").alias("events"), "volume")
     return spark.read.parquet(f"{path}/snapshot").unionByName(table_).withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+
+
+def _lines(spark: SparkSession, d: str, path: str) -> DataFrame:
+    """events as wire text in three files: errors can't be read, and every third row is captured five seconds before its time."""
+    e = table(spark, d, "events")
+    k, ms = F.col("event_id"), F.unix_millis(F.col("ts").cast("timestamp"))
+    cents = F.round(F.col("value") * 100).cast("long").cast("string")
+    line = F.concat_ws(",", k, "user_id", "event_type", ms, F.when(F.col("event_type") == "error", F.concat(F.lit("x"), cents)).otherwise(cents), F.lit("100"), F.lit("0"), ms - F.when(k % 3 == 0, 5_000).otherwise(0))
+    for part in range(3):
+        e.where(F.floor(k / 7) % 3 == part).select(line.alias("value")).coalesce(1).write.mode("append").text(f"{path}/in")
+    return spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{path}/in")
+
+
+def _twice(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The two tables after the last batch has run twice."""
+    path = folder(spark)
+    stream = _lines(spark, d, path)
+    live.clean_sinks(stream, path)
+    live.forget_commit(spark, path)
+    return live.clean_sinks(stream, path)
+
+
+_LINE = "event_id || ',' || user_id || ',' || event_type || ',' || epoch_us(ts) // 1000 || ',' || CASE WHEN event_type = 'error' THEN 'x' ELSE '' END || round(value * 100)::BIGINT || ',100,0,' || (epoch_us(ts) // 1000 - CASE WHEN event_id % 3 = 0 THEN 5000 ELSE 0 END)"
+_REASON = "CASE WHEN event_type = 'error' OR round(value * 100) <= 0 THEN 'unreadable' WHEN event_id % 3 = 0 THEN 'future' END"
+
+
+@query(f"SELECT event_type AS channel, user_id::VARCHAR AS symbol, count(*) AS n, sum(round(value * 100))::DOUBLE AS price, max(epoch_us(ts) // 1000) AS latest FROM events WHERE {_REASON} IS NULL GROUP BY 1, 2")
+def stream_clean_rows(spark, d):
+    """Typed rows of the good table, by channel and symbol."""
+    good = _twice(spark, d)["good"]
+    return good.groupBy("channel", "symbol").agg(F.count("*").alias("n"), F.sum("price").alias("price"), F.max(F.unix_millis("ts")).alias("latest"))
+
+
+@query(f"SELECT {_LINE} AS value, {_REASON} AS reason FROM events WHERE {_REASON} IS NOT NULL")
+def stream_rejected_rows(spark, d):
+    """Every rejected row whole, with its reason: unreadable ones and those from the future."""
+    return _twice(spark, d)["rejected"].select("value", "reason")
+
+
+@query(f"""WITH {wire_sql()}, b AS (SELECT symbol, ts, last(price / 1e4 ORDER BY k) AS mid FROM w WHERE book GROUP BY ALL),
+j AS (SELECT o.*, b.mid FROM (SELECT *, price / 1e4 AS px, price * volume / 1e4 AS amount FROM w WHERE NOT book AND NOT trade) o ASOF JOIN b ON b.symbol = o.symbol AND o.ts >= b.ts)
+SELECT symbol, date_trunc('minute', ts) AS minute, {rnd('coalesce(sum(amount) FILTER (cancel), 0)', 4)} AS near_cancel, {rnd('coalesce(sum(amount) FILTER (NOT cancel), 0)', 4)} AS near_add FROM j WHERE abs(px - mid) <= 0.0005 * mid GROUP BY ALL""")
+def causal_book_stream(spark, d):
+    """Orders joined with the latest book in order of event time, while a fifth of all rows comes after its minute, many in a later batch."""
+    rows = wire(spark, d).withColumn("recv", F.col("ts") + F.make_interval(secs=F.when(F.col("seq") % 5 == 0, 400).otherwise(0)))
+    end = rows.agg(F.max("ts").alias("ts"), F.max("recv").alias("recv")).select(*(F.lit(None).cast(kind).alias(c) if c not in ("ts", "recv", "symbol", "channel") else F.lit("market" if c == "channel" else "").alias(c) if c in ("symbol", "channel") else (F.col(c) + F.expr("interval 2 days")).alias(c) for c, kind in rows.dtypes))
+    path = folder(spark)
+    stream = in_batches(rows.where("kind <> 'trade'").unionByName(end), f"{path}/in")
+    px = F.col("price") / 1e4
+    asked = stream.select("symbol", "ts", F.coalesce("seq", F.lit(0)).alias("seq"), (F.col("channel") == "market").alias("is_book"), F.coalesce(px, F.lit(0.0)).alias("price"), F.coalesce(px * F.col("volume"), F.lit(0.0)).alias("amount"), F.coalesce(F.col("kind") == "cancel", F.lit(False)).alias("cancel"))
+    orders = live.run_to_sinks(live.causal_book(asked), path, {"orders": lambda b: b})["orders"]
+    out = live.near_amounts(orders).withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+    return rounded(out, "near_cancel", "near_add", n=4)

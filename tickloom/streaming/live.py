@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.functions.scalars import clip, ratio
+from tickloom.streaming.minutes import clean_events
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # the process that prepares a stateful stream doesn't share the driver's path
 
@@ -331,7 +332,8 @@ class CausalBook(StatefulProcessor):
 
 def causal_book(events: DataFrame, late: str = "15 minutes") -> DataFrame:
     """Orders of a stream (symbol, ts, seq, is_book, price, amount, cancel) with `mid`, the price of the latest book at or before them."""
-    return events.withWatermark("ts", late).groupBy("symbol").transformWithStateInPandas(CausalBook(), T.StructType.fromDDL(CausalBook.OUT), "Append", "EventTime")
+    out = events.withWatermark("ts", late).groupBy("symbol").transformWithStateInPandas(CausalBook(), T.StructType.fromDDL(CausalBook.OUT), "Append", "EventTime")
+    return out.withColumn("mid", F.when(~F.isnan("mid"), F.col("mid")))  # an order before any book has none
 
 
 def near_amounts(orders: DataFrame, width: float = 5e-4) -> DataFrame:
@@ -341,6 +343,19 @@ def near_amounts(orders: DataFrame, width: float = 5e-4) -> DataFrame:
     return near.groupBy("symbol", F.date_trunc("minute", "ts").alias("minute")).agg(amount(F.col("cancel")).alias("near_cancel"), amount(~F.col("cancel")).alias("near_add"))
 
 
+def judged(raw: DataFrame, line: str = "value", seconds: int = 1) -> DataFrame:
+    """Wire rows, typed, with the time of capture as an eighth part and a reason to reject: unreadable, or later than capture."""
+    out = clean_events(raw, line).withColumn("recv", F.timestamp_millis(F.try_element_at(F.split(F.col(line), ","), F.lit(8)).try_cast("long")))
+    future = F.coalesce(F.col("ts") > F.col("recv") + F.make_interval(secs=F.lit(seconds)), F.lit(False))
+    return out.withColumn("reason", F.when(F.col("parse_status") == "bad", "unreadable").when(future, "future"))
+
+
+def clean_sinks(raw: DataFrame, path: str, line: str = "value") -> dict[str, DataFrame]:
+    """A stream of wire rows as two tables: typed good rows, and rejected rows kept whole with their reason."""
+    good = lambda b: b.where("reason is null").drop("reason", "parse_status")
+    return run_to_sinks(judged(raw, line), path, {"good": good, "rejected": lambda b: b.where("reason is not null").select(line, "reason")})
+
+
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
