@@ -150,3 +150,48 @@ def test_revisions_go_on_after_a_restart_and_a_new_day(spark, tmp_path):
 
 def test_entry_survives_without_corpus_operators():
     assert set(market.oracle_sql()) <= set(market.queries())
+
+
+def test_a_failed_compaction_leaves_the_day_as_it_was(spark, tmp_path):
+    day = tables.VersionedDay(spark, str(tmp_path / "day"))
+    day.publish(spark.range(1000).withColumn("v", F.col("id") % 7).repartition(12))
+    with pytest.raises(RuntimeError):
+        day.compact(["id"], prepare=lambda rows: rows.where("id <> 5"))
+    assert (day.entry().version, day.entry().files, day.rows().count()) == (1, 12, 1000)
+    assert len([p for p in (tmp_path / "day").iterdir() if p.name.startswith("data-")]) == 1  # nothing staged is left
+    assert day.compact(["id"]) == 1 and (day.entry().version, day.entry().files) == (2, 1)
+    assert day.compact(["id"], file_bytes=1000) > 2 and day.rows().count() == 1000
+    assert day.vacuum() == 2 and day.rows().count() == 1000
+
+
+def test_segments_change_no_asof_match(spark):
+    import random
+
+    rng = random.Random(3)
+    left = spark.createDataFrame([(rng.choice(["hot", "hot", "hot", "b", None]), rng.randint(-50, 450), k) for k in range(3000)], "k string, t int, n int")
+    right = spark.createDataFrame([(rng.choice(["hot", "hot", "c", "b", None]), rng.randint(0, 300), k, rng.choice([None, float(k)])) for k in range(400)], "k string, t int, seq int, v double")
+    for f, more in ((joins.asof_backward, {}), (joins.asof_forward, {"horizon": F.lit(7)})):
+        whole, cut = (sorted(map(str, f(left, right, ["k"], "t", ["v"], "seq", segment=s, **more).collect())) for s in (None, joins.spans(10)))
+        assert whole == cut
+        assert f(left, right.where("false"), ["k"], "t", ["v"], "seq", segment=joins.spans(10), **more).where("v is not null").count() == 0
+    cut = joins.asof_backward(left, right, ["k"], "t", ["v"], "seq", segment=joins.spans(10))
+    assert "_seg" in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_running_sums_equal_sliding_frames(spark):
+    import random
+
+    from tickloom.functions import rolling
+
+    rng = random.Random(4)
+    rows = [("a", k, rng.choice([None, 1e9 + rng.random()])) for k in range(300)] + [("b", k, 0.1) for k in range(40)] + [("c", k, None if k % 2 else 5.0 + (k > 20)) for k in range(60)] + [("d", 1, None)]
+    df = spark.createDataFrame(rows, "s string, t int, v double")
+    sums = rolling.Sums(df, "s", "t", {"v": F.col("v")}, ("v",))
+    w = rolling.ordered("s", "t")
+    out = sums.df.select("s", "t", *(x.alias(f"{a}{n}") for n in (5, 30) for a, x in (("m", sums.mean("v", n, 3)), ("d", sums.std("v", n, 3)), ("wm", rolling.rolling_mean("v", n, 3, w)), ("wd", rolling.rolling_std("v", n, 3, w)))))
+    for r in out.collect():
+        for n in (5, 30):
+            assert (r[f"m{n}"] is None) == (r[f"wm{n}"] is None) and (r[f"d{n}"] is None) == (r[f"wd{n}"] is None)
+            if r[f"m{n}"] is not None:
+                assert r[f"m{n}"] == pytest.approx(r[f"wm{n}"], rel=1e-13) and r[f"d{n}"] == pytest.approx(r[f"wd{n}"], abs=1e-6)
+                assert (r[f"d{n}"] == 0) == (r[f"wd{n}"] == 0)

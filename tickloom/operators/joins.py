@@ -2,45 +2,101 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import ratio
 
 
-def _tagged(left: DataFrame, right: DataFrame, key: list[str], at: str, values: list[str], seq: str | None, shift) -> DataFrame:
-    """Both sides in one frame: side 1 rows are the left's, and rights carry their values in a struct that is never null."""
-    held = F.struct(F.col(at).alias("_at"), *values).alias("_held")
-    order = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
-    r = right.select(*key, shift(F.col(at)).alias("_t"), F.lit(0).alias("_side"), order.alias("_seq"), held, F.lit(None).alias("_row"))
-    row = F.struct(*left.columns).alias("_row")
-    le = left.select(*key, F.col(at).alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_seq"), F.lit(None).alias("_held"), row)
-    return le.unionByName(r)
+#: Left rows before the first or after the last segment of the right side are dealt over so many segments.
+TAIL = 8
+
+
+def months(t: Column) -> Column:
+    """A whole number for each month, to cut the history of a key by."""
+    return F.year(t) * 12 + F.month(t)
 
 
-def asof_backward(left: DataFrame, right: DataFrame, key: list[str], at: str, values: list[str], seq: str | None = None, prefix: str = "", max_age: Column | None = None) -> DataFrame:
+def spans(n: int) -> Callable[[Column], Column]:
+    """Segments of n units of a numeric time."""
+    return lambda t: F.floor(t / n)
+
+
+def seeds(right: DataFrame, key: list[str], held: str, forward: bool) -> tuple[DataFrame, DataFrame]:
+    """What one segment hands to those after it (before it, where time runs backwards).
+
+    right: key, _seg, _t, _seq and `held`. The last row of each segment is repeated once for each following segment up
+    to the next one that has rows of its key, so every segment can be worked on alone. Returns these rows, and one row
+    with the first and last segment of all.
+    """
+    order = F.struct("_t", "_seq")
+    pick = F.min_by if forward else F.max_by
+    marks = right.groupBy(*key, "_seg").agg(*(pick(c, order).alias(c) for c in ("_t", "_seq", held)))
+    reach = marks.agg(F.min("_seg").alias("_lo"), F.max("_seg").alias("_hi"))
+    w = Window.partitionBy(*key).orderBy("_seg")
+    near = F.lag("_seg").over(w) if forward else F.lead("_seg").over(w)
+    own = marks.withColumn("_near", near).crossJoin(F.broadcast(reach))  # one row
+    to = F.sequence(F.coalesce("_near", F.col("_lo") - TAIL), F.col("_seg") - 1) if forward else F.sequence(F.col("_seg") + 1, F.coalesce("_near", F.col("_hi") + TAIL))
+    return own.select(*key, F.explode(to).alias("_seg"), "_t", "_seq", held), reach
+
+
+def _clamped(seg: Column) -> Column:
+    """A left row's segment; beyond the right side's reach, where all rows of a key have one answer, some few segments share them."""
+    spread = F.pmod(seg, F.lit(TAIL))
+    return F.when(F.col("_hi").isNull(), spread).when(seg > F.col("_hi"), F.col("_hi") + 1 + spread).when(seg < F.col("_lo"), F.col("_lo") - 1 - spread).otherwise(seg)
+
+
+def _asof(left: DataFrame, right: DataFrame, key: list[str], at: str, values: list[str], seq: str | None, shift, forward: bool, segment) -> DataFrame:
+    """Left columns (as _l0, _l1, ...), `_t`, and `_held`, a struct of the right row's time and values.
+
+    Both sides are one frame. With `segment`, a key's history is cut into segments that are windows of their own.
+    """
+    held = F.struct(F.col(at).alias("_at"), *values).alias("_held")  # never null, so a null value isn't looked through
+    order = F.col(seq).cast("long") if seq else F.lit(0).cast("long")
+    names = {c: f"_l{k}" for k, c in enumerate(left.columns)}
+    keys = [f"_k{k}" for k in range(len(key))]
+    by = [F.col(c).alias(k) for c, k in zip(key, keys, strict=True)]
+    r = right.select(*by, shift(F.col(at)).alias("_t"), F.lit(0).alias("_side"), order.alias("_seq"), held)
+    le = left.select(*by, F.col(at).alias("_t"), F.lit(1).alias("_side"), F.lit(0).cast("long").alias("_seq"), *(F.col(c).alias(n) for c, n in names.items()))
+    if segment is not None:
+        r = r.withColumn("_seg", segment(F.col("_t")).cast("long"))
+        handed, reach = seeds(r, keys, "_held", forward)
+        r = r.unionByName(handed.withColumn("_side", F.lit(0)))
+        le = le.crossJoin(F.broadcast(reach)).withColumn("_seg", _clamped(segment(F.col("_t")).cast("long"))).drop("_lo", "_hi")  # one row
+        keys = [*keys, "_seg"]
+    both = le.unionByName(r, allowMissingColumns=True)
+    run = [F.desc("_t"), "_side", F.desc("_seq")] if forward else ["_t", "_side", "_seq"]
+    w = Window.partitionBy(*keys).orderBy(*run).rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("_held", F.last("_held", ignorenulls=True).over(w)).where("_side = 1")
+
+
+def _shown(found: DataFrame, left: DataFrame, values: list[str], prefix: str) -> DataFrame:
+    return found.select(*(F.col(f"_l{k}").alias(c) for k, c in enumerate(left.columns)), F.col("_held._at").alias(f"{prefix}at"), *(F.col(f"_held.{v}").alias(f"{prefix}{v}") for v in values))
+
+
+def asof_backward(left: DataFrame, right: DataFrame, key: list[str], at: str, values: list[str], seq: str | None = None, prefix: str = "", max_age: Column | None = None, segment=None) -> DataFrame:
     """Every left row with the values of the key's latest right row at or before it.
 
     Among equal times the greatest `seq` wins. A null in the latest row stays null: values of older rows don't show
-    through. `{prefix}at` is the right row's time. `max_age`, an interval column, drops older matches.
+    through. `{prefix}at` is the right row's time. `max_age`, an interval column, drops older matches. `segment`, such as
+    `months` or `spans(n)`, cuts each key's history into parts that are worked on in tasks of their own, for keys with
+    long histories or most of the rows.
     """
-    both = _tagged(left, right, key, at, values, seq, lambda t: t)
-    w = Window.partitionBy(*key).orderBy("_t", "_side", "_seq").rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("_held", F.last("_held", ignorenulls=True).over(w)).where("_side = 1")
+    found = _asof(left, right, key, at, values, seq, lambda t: t, False, segment)
     if max_age is not None:
-        out = out.withColumn("_held", F.when(F.col("_held._at") + max_age >= F.col("_t"), F.col("_held")))
-    return out.select("_row.*", F.col("_held._at").alias(f"{prefix}at"), *(F.col(f"_held.{v}").alias(f"{prefix}{v}") for v in values))
+        found = found.withColumn("_held", F.when(F.col("_held._at") + max_age >= F.col("_t"), F.col("_held")))
+    return _shown(found, left, values, prefix)
 
 
-def asof_forward(left: DataFrame, right: DataFrame, key: list[str], at: str, values: list[str], seq: str | None = None, prefix: str = "", horizon=None) -> DataFrame:
+def asof_forward(left: DataFrame, right: DataFrame, key: list[str], at: str, values: list[str], seq: str | None = None, prefix: str = "", horizon=None, segment=None) -> DataFrame:
     """Every left row with the key's first right row at or after its time plus `horizon`; the least `seq` wins.
 
     Time runs backwards, since a frame that reaches forward to the end is computed anew for each row.
     """
-    both = _tagged(left, right, key, at, values, seq, lambda t: t - horizon if horizon is not None else t)
-    w = Window.partitionBy(*key).orderBy(F.desc("_t"), "_side", F.desc("_seq")).rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("_held", F.last("_held", ignorenulls=True).over(w)).where("_side = 1")
-    return out.select("_row.*", F.col("_held._at").alias(f"{prefix}at"), *(F.col(f"_held.{v}").alias(f"{prefix}{v}") for v in values))
+    found = _asof(left, right, key, at, values, seq, lambda t: t - horizon if horizon is not None else t, True, segment)
+    return _shown(found, left, values, prefix)
 
 
 def exact_previous_hour(events: DataFrame, prices: dict[str, DataFrame], at: str = "ts") -> DataFrame:
@@ -96,18 +152,25 @@ def dense_panel(calendar: DataFrame, universe: DataFrame, prices: DataFrame, sus
 
     Carried rows hold the last close as open, high, low and close, and no volume. Only dates with any price stay.
     No grid is made: a row can only stay where its key has a price or a suspension, so those are the rows asked for.
+    Months are worked on apart: prices and suspensions of a month meet in one shuffle, with the last price before it.
     """
-    marks = prices.select(key, at, F.lit(False).alias("suspended")).unionByName(suspended.select(key, at, F.lit(True).alias("suspended")))
-    wanted = marks.groupBy(key, at).agg(F.max("suspended").alias("suspended"))
-    wanted = wanted.join(calendar.select(at).distinct().join(prices.select(at).distinct(), at, "left_semi"), at, "left_semi").join(universe.select(key).distinct(), key, "left_semi")
-    found = asof_backward(wanted, prices, [key], at, ["open", "high", "low", "close", "volume"], prefix="p_")
+    fields = ["open", "high", "low", "close", "volume"]
+    seg = months(F.col(at)).cast("long")
+    priced = prices.select(key, F.col(at).alias("_t"), F.lit(0).alias("_seq"), F.struct(*fields).alias("_p")).withColumn("_seg", months(F.col("_t")).cast("long"))
+    handed, reach = seeds(priced, [key], "_p", False)
+    stops = suspended.select(key, at, F.lit(None).alias("_p"), F.lit(True).alias("_stop")).crossJoin(F.broadcast(reach)).withColumn("_seg", _clamped(seg)).drop("_lo", "_hi")  # one row
+    rows = stops.unionByName(priced.select(key, F.col("_t").alias(at), "_p", F.lit(False).alias("_stop"), "_seg")).unionByName(handed.select(key, F.col("_t").alias(at), "_p", F.lit(None).alias("_stop"), "_seg"))
+    merged = rows.repartition(key, "_seg").groupBy(key, "_seg", at).agg(F.max("_p").alias("_p"), F.max("_stop").alias("_stop"))
+    w = Window.partitionBy(key, "_seg").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    found = merged.withColumn("_last", F.last("_p", ignorenulls=True).over(w)).where("_stop is not null and _last is not null")
+    open_days = calendar.select(at).distinct().join(prices.select(at).distinct(), at, "left_semi")
+    found = found.join(open_days, at, "left_semi").join(universe.select(key).distinct(), key, "left_semi")
     for other in others:
         found = found.join(other, [key, at], "left")
-    exact = F.col("p_at") == F.col(at)
-    kept = found.where(exact | (F.col("suspended") & F.col("p_close").isNotNull()))
-    px = lambda c: F.when(exact, F.col(f"p_{c}")).otherwise(F.col("p_close")).alias(c)
+    exact = F.col("_p").isNotNull()
+    px = lambda c: F.when(exact, F.col(f"_p.{c}")).otherwise(F.col("_last.close")).alias(c)
     more = [c for o in others for c in o.columns if c not in (key, at)]
-    return kept.select(key, at, *map(px, ("open", "high", "low", "close")), F.when(exact, F.col("p_volume")).otherwise(0.0).alias("volume"), (~exact).alias("carried"), *more)
+    return found.select(key, at, *map(px, fields[:4]), F.when(exact, F.col("_p.volume")).otherwise(0.0).alias("volume"), (~exact).alias("carried"), *more)
 
 
 def status_panel(prices: DataFrame, tables: list[DataFrame], key: list[str]) -> DataFrame:

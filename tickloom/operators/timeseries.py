@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.rolling import delta, forward_fill, last_rows, ordered, pct_change, rolling_cov, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum, running_moments, shift
+from tickloom.functions.rolling import Sums, delta, forward_fill, last_rows, ordered, pct_change, rolling_cov, rolling_max, rolling_mean, rolling_min, rolling_std, rolling_sum, running_moments, shift
 from tickloom.functions.scalars import clip, correlation, mean_of, ratio
 
 
@@ -36,34 +36,46 @@ def daily_features(bars: DataFrame, symbol: str = "symbol", at: str = "trade_dat
         if c not in bars.columns:
             bars = bars.withColumn(c, F.lit(None).cast("double"))
     w = ordered(symbol, at)
-    ret = pct_change("close", 1, w)
-    one = bars.select("*", ret.alias("ret_1"), *(pct_change("close", n, w).alias(f"ret_{n}") for n in (3, 5, 20, 60, 120)), F.greatest(delta("close", 1, w), F.lit(0.0)).alias("_gain"), F.greatest(-delta("close", 1, w), F.lit(0.0)).alias("_loss"), pct_change("volume", 5, w).alias("volume_momentum"))
-    r, down = F.col("ret_1"), F.when(F.col("ret_1") < 0, F.col("ret_1"))
-    mean20, std20 = rolling_mean("close", 20, 10, w), rolling_std("close", 20, 10, w)
-    turn20 = rolling_mean("turnover", 20, 10, w)
-    amount20 = rolling_mean("amount", 20, 10, w)
+    moved = delta("close", 1, w)
+    one = bars.select("*", *(pct_change("close", n, w).alias(f"ret_{n}") for n in (1, 3, 5, 20, 60, 120)), F.greatest(moved, F.lit(0.0)).alias("_gain"), F.greatest(-moved, F.lit(0.0)).alias("_loss"), pct_change("volume", 5, w).alias("volume_momentum"))
+    r, close, amount = F.col("ret_1"), F.col("close"), F.col("amount")
+    own = {"ret": r, "down": F.when(r < 0, r), "close": close, "amount": amount, "turnover": F.col("turnover"), "illiquid": ratio(F.abs(r), amount), "gain": F.col("_gain"), "loss": F.col("_loss")}
+    sums = Sums(one, symbol, at, own, ("ret", "down", "close"))
+    mean20, turn20, amount20 = (sums.mean(c, 20, 10) for c in ("close", "turnover", "amount"))
+    gain, loss = sums.mean("gain", 14, 7), sums.mean("loss", 14, 7)
     inverse = lambda c: F.when(F.col(c) > 0, 1 / F.col(c))
     momentum = lambda far, near: ratio(shift("close", near, w), shift("close", far, w)) - 1
+    touched = (F.col("high") >= F.col("up_limit") - 1e-6) | (F.col("low") <= F.col("down_limit") + 1e-6)
     feats: dict[str, Column] = {
-        **{f"vol_{n}": rolling_std(r, n, max(2, n // 2), w) for n in (20, 60, 120, 252)},
-        "downside_vol_60": rolling_std(down, 60, 10, w),
-        "amount_mean_5": rolling_mean("amount", 5, 3, w), "amount_mean_20": amount20, "amount_mean_60": rolling_mean("amount", 60, 30, w),
-        "turnover_mean_20": turn20, "abnormal_turnover": ratio(F.col("turnover"), turn20), "liquidity_shock": ratio(F.col("amount"), amount20),
-        "log_size": F.when(F.col("market_value") > 0, F.log("market_value")), "book_to_price": inverse("pb"), "earnings_to_price": inverse("pe"), "sales_to_price": inverse("ps"),
-        "momentum_12_1": momentum(252, 21), "momentum_6_1": momentum(126, 21), "momentum_12_2": momentum(252, 42),
-        "amihud_20": rolling_mean(ratio(F.abs(r), F.col("amount")), 20, 10, w),
-        "rsi_14": ratio(rolling_mean("_gain", 14, 7, w), rolling_mean("_gain", 14, 7, w) + rolling_mean("_loss", 14, 7, w)),
-        "ma_trend": ratio(rolling_mean("close", 5, 3, w), rolling_mean("close", 20, 10, w)) - 1,
+        **{f"vol_{n}": sums.std("ret", n, max(2, n // 2)) for n in (20, 60, 120, 252)},
+        "downside_vol_60": sums.std("down", 60, 10),
+        "amount_mean_5": sums.mean("amount", 5, 3),
+        "amount_mean_20": amount20,
+        "amount_mean_60": sums.mean("amount", 60, 30),
+        "turnover_mean_20": turn20,
+        "abnormal_turnover": ratio(F.col("turnover"), turn20),
+        "liquidity_shock": ratio(amount, amount20),
+        "log_size": F.when(F.col("market_value") > 0, F.log("market_value")),
+        "book_to_price": inverse("pb"),
+        "earnings_to_price": inverse("pe"),
+        "sales_to_price": inverse("ps"),
+        "momentum_12_1": momentum(252, 21),
+        "momentum_6_1": momentum(126, 21),
+        "momentum_12_2": momentum(252, 42),
+        "amihud_20": sums.mean("illiquid", 20, 10),
+        "rsi_14": ratio(gain, gain + loss),
+        "ma_trend": ratio(sums.mean("close", 5, 3), mean20) - 1,
         "acceleration": F.col("ret_5") - F.col("ret_20") / 4,
-        "bollinger_position": ratio(F.col("close") - mean20, 2 * std20),
+        "bollinger_position": ratio(close - mean20, 2 * sums.std("close", 20, 10)),
         "divergence": F.col("ret_5") - F.col("volume_momentum"),
         "rotation": mean_of([F.col("ret_5"), F.col("ret_20"), F.col("ret_60")], 2),
-        "limit_up_distance": ratio(F.col("up_limit"), F.col("close")) - 1, "limit_down_distance": 1 - ratio(F.col("down_limit"), F.col("close")),
-        "limit_touch": F.when(F.col("up_limit").isNotNull(), ((F.col("high") >= F.col("up_limit") - 1e-6) | (F.col("low") <= F.col("down_limit") + 1e-6)).cast("int")),
-        "drawdown_20": ratio(F.col("close"), rolling_max("close", 20, 10, w)) - 1,
-        "tradable": ((F.col("volume") > 0) & F.col("close").isNotNull()).cast("int"),
+        "limit_up_distance": ratio(F.col("up_limit"), close) - 1,
+        "limit_down_distance": 1 - ratio(F.col("down_limit"), close),
+        "limit_touch": F.when(F.col("up_limit").isNotNull(), touched.cast("int")),
+        "drawdown_20": ratio(close, rolling_max("close", 20, 10, w)) - 1,
+        "tradable": ((F.col("volume") > 0) & close.isNotNull()).cast("int"),
     }
-    return one.select("*", *(c.alias(n) for n, c in feats.items())).drop("_gain", "_loss")
+    return sums.df.select(*one.columns, *(c.alias(n) for n, c in feats.items())).drop("_gain", "_loss")
 
 
 def macd_strength(bars: DataFrame, symbol: str = "symbol", at: str = "trade_date") -> DataFrame:

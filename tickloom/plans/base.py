@@ -39,7 +39,7 @@ def rounded(df: DataFrame, *columns: str, n: int = 6) -> DataFrame:
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = table(spark, sf_dir, "lineitem")
     px = F.col("l_extendedprice") / F.col("l_quantity")
-    o = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+    o = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 20) + F.col("l_partkey") % (1 << 20)  # one number, so that the aggregate hashes and doesn't sort
     day = F.to_date("l_shipdate")
     return t.groupBy(F.col("l_suppkey").alias("symbol"), day.alias("trade_date")).agg(F.min_by(px, o).alias("open"), F.max(px).alias("high"), F.min(px).alias("low"), F.max_by(px, o).alias("close"), F.sum("l_quantity").alias("volume"), F.sum("l_extendedprice").alias("amount"))
 

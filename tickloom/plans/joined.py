@@ -33,7 +33,7 @@ FACTS = "facts AS (SELECT o_custkey % 100 AS symbol, CAST(o_orderdate AS DATE) A
 
 @query(f"WITH {FACTS} SELECT s.symbol, s.day, s.n, f.day AS at, f.price FROM ships s ASOF LEFT JOIN last f ON s.symbol = f.symbol AND s.day >= f.day")
 def asof_backward(spark, d):
-    return joins.asof_backward(_shipments(spark, d), _prices(spark, d), ["symbol"], "day", ["price"], "seq")
+    return joins.asof_backward(_shipments(spark, d), _prices(spark, d), ["symbol"], "day", ["price"], "seq", segment=joins.months)
 
 
 @query(f"WITH {FACTS} SELECT s.symbol, s.day, s.n, f.day AS at, f.price, f.seq FROM ships s ASOF LEFT JOIN last f ON s.symbol = f.symbol AND s.day >= f.day")
@@ -44,12 +44,12 @@ def asof_backward_columns(spark, d):
 
 @query(f"WITH {FACTS} SELECT s.symbol, s.day, s.n, f.day AS at, f.price FROM ships s ASOF LEFT JOIN firsts f ON s.symbol = f.symbol AND s.day + 5 <= f.day")
 def asof_forward(spark, d):
-    return joins.asof_forward(_shipments(spark, d), _prices(spark, d), ["symbol"], "day", ["price"], "seq", horizon=F.lit(5))
+    return joins.asof_forward(_shipments(spark, d), _prices(spark, d), ["symbol"], "day", ["price"], "seq", horizon=F.lit(5), segment=joins.months)
 
 
 @query(f"WITH {FACTS} SELECT s.symbol, s.day, s.n, CASE WHEN f.day + 10 >= s.day THEN f.day END AS at, CASE WHEN f.day + 10 >= s.day THEN f.price END AS price FROM ships s ASOF LEFT JOIN last f ON s.symbol = f.symbol AND s.day >= f.day")
 def asof_max_age(spark, d):
-    return joins.asof_backward(_shipments(spark, d), _prices(spark, d), ["symbol"], "day", ["price"], "seq", max_age=F.lit(10))
+    return joins.asof_backward(_shipments(spark, d), _prices(spark, d), ["symbol"], "day", ["price"], "seq", max_age=F.lit(10), segment=joins.months)
 
 
 @query(f"WITH {FACTS} SELECT s.symbol, s.day, s.n, f.day AS pit_at, f.price AS pit_price FROM ships s ASOF LEFT JOIN last f ON s.symbol = f.symbol AND s.day >= f.day")
@@ -88,7 +88,7 @@ def pit_interval_membership(spark, d):
 def dense_asof_panel(spark, d):
     b = bars(spark, d)
     stop = table(spark, d, "orders").select(F.pmod("o_custkey", F.lit(100)).alias("symbol"), F.to_date("o_orderdate").alias("trade_date")).distinct()
-    return rounded(joins.dense_panel(b, b, b, stop, []).drop("suspended"), "open", "high", "low", "close", n=8)
+    return rounded(joins.dense_panel(b, b, b, stop, []), "open", "high", "low", "close", n=8)
 
 
 @query(f"WITH {BARS}, {MASTER} SELECT b.symbol, b.trade_date, ROUND(close, 8) AS close, industry, e.n AS orders FROM bars b LEFT JOIN master m USING (symbol) LEFT JOIN (SELECT CAST(o_orderdate AS DATE) AS trade_date, o_custkey % 100 AS symbol, count(*) AS n FROM orders GROUP BY 1, 2) e USING (symbol, trade_date)")

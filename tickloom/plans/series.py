@@ -59,17 +59,56 @@ def ema(spark, d):
     return ts.ema(bars(spark, d).select("symbol", "trade_date", "volume"), ["symbol"], "trade_date", {"ema": ("volume", 5)}).select("symbol", "trade_date", r("ema").alias("ema"))
 
 
-FEATURES = f"""WITH {RET}, f AS (SELECT *, {safe('close', f'lag(close, 5) {WIN})')} - 1 AS ret_5, {safe('close', f'lag(close, 20) {WIN})')} - 1 AS ret_20, {safe('close', f'lag(close, 60) {WIN})')} - 1 AS ret_60, {safe('volume', f'lag(volume, 5) {WIN})')} - 1 AS vm, abs(ret_1) / amount AS illiq, greatest(close - prev, 0) AS gain, greatest(prev - close, 0) AS loss FROM ret)
-SELECT symbol, trade_date, {rnd('ret_5')} AS ret_5, {rnd('ret_20')} AS ret_20, CASE WHEN count(ret_1) {rows_(20)} >= 10 THEN {rnd(f'stddev_samp(ret_1) {rows_(20)}')} END AS vol_20, CASE WHEN count(CASE WHEN ret_1 < 0 THEN 1 END) {rows_(60)} >= 10 THEN {rnd(f'stddev_samp(CASE WHEN ret_1 < 0 THEN ret_1 END) {rows_(60)}')} END AS downside_vol_60,
-CASE WHEN count(amount) {rows_(20)} >= 10 THEN {rnd(f'amount / avg(amount) {rows_(20)}')} END AS liquidity_shock, CASE WHEN count(illiq) {rows_(20)} >= 10 THEN {rnd(f'avg(illiq) {rows_(20)} * 1e6')} END AS amihud, CASE WHEN count(close) {rows_(20)} >= 10 THEN {rnd(f'(avg(close) {rows_(5)}) / (avg(close) {rows_(20)}) - 1')} END AS ma_trend, {rnd('ret_5 - ret_20 / 4')} AS acceleration, {rnd('ret_5 - vm')} AS divergence,
-CASE WHEN count(close) {rows_(20)} >= 10 THEN {rnd(f'close / (max(close) {rows_(20)}) - 1')} END AS drawdown_20, {rnd(safe(f'lag(close, 21) {WIN})', f'lag(close, 126) {WIN})') + ' - 1')} AS momentum_6_1 FROM f"""
+def _mean_of_rows(c: str, n: int, least: int) -> str:
+    return f"CASE WHEN count({c}) {rows_(n)} >= {least} THEN avg({c}) {rows_(n)} END"
+
+
+def _std_of_rows(c: str, n: int, least: int) -> str:
+    return f"CASE WHEN count({c}) {rows_(n)} >= {least} THEN CASE WHEN min({c}) {rows_(n)} = max({c}) {rows_(n)} THEN 0 ELSE stddev_samp({c}) {rows_(n)} END END"
+
+
+def _momentum(far: int, near: int) -> str:
+    return safe(f"lag(close, {near}) {WIN})", f"lag(close, {far}) {WIN})") + " - 1"
+
+
+#: What bars lack of a daily table, in Spark and in SQL.
+DAILY_INPUTS = {"turnover": "sqrt(volume)", "market_value": "close * 100", "pe": "CASE WHEN symbol % 5 = 0 THEN -1 ELSE close / 10 END", "pb": "close / 100", "ps": "close / 50", "up_limit": "CASE WHEN symbol % 4 = 0 THEN high ELSE close * 1.1 END", "down_limit": "CASE WHEN symbol % 4 = 1 THEN low ELSE close * 0.9 END"}
+_DAILY = {
+    **{f"ret_{n}": f"ret_{n}" for n in (1, 3, 5, 20, 60, 120)},
+    "volume_momentum": "vm",
+    **{f"vol_{n}": _std_of_rows("ret_1", n, max(2, n // 2)) for n in (20, 60, 120, 252)},
+    "downside_vol_60": _std_of_rows("down", 60, 10),
+    **{f"amount_mean_{n}": f"({_mean_of_rows('amount', n, least)}) / 12345.67" for n, least in ((5, 3), (20, 10), (60, 30))},
+    "turnover_mean_20": _mean_of_rows("turnover", 20, 10),
+    "abnormal_turnover": f"turnover / ({_mean_of_rows('turnover', 20, 10)})",
+    "liquidity_shock": f"amount / ({_mean_of_rows('amount', 20, 10)})",
+    "log_size": "ln(market_value)",
+    **{f"{name}_to_price": f"CASE WHEN {c} > 0 THEN 1 / {c} END" for name, c in (("book", "pb"), ("earnings", "pe"), ("sales", "ps"))},
+    "momentum_12_1": _momentum(252, 21),
+    "momentum_6_1": _momentum(126, 21),
+    "momentum_12_2": _momentum(252, 42),
+    "amihud_20": f"({_mean_of_rows('illiq', 20, 10)}) * 1e6",
+    "rsi_14": safe(_mean_of_rows("gain", 14, 7), f"({_mean_of_rows('gain', 14, 7)}) + ({_mean_of_rows('loss', 14, 7)})"),
+    "ma_trend": f"({_mean_of_rows('close', 5, 3)}) / ({_mean_of_rows('close', 20, 10)}) - 1",
+    "acceleration": "ret_5 - ret_20 / 4",
+    "bollinger_position": f"(close - ({_mean_of_rows('close', 20, 10)})) / nullif(2 * ({_std_of_rows('close', 20, 10)}), 0)",
+    "divergence": "ret_5 - vm",
+    "rotation": "CASE WHEN (ret_5 IS NOT NULL)::INTEGER + (ret_20 IS NOT NULL)::INTEGER + (ret_60 IS NOT NULL)::INTEGER >= 2 THEN list_avg([ret_5, ret_20, ret_60]) END",
+    "limit_up_distance": "up_limit / close - 1",
+    "limit_down_distance": "1 - down_limit / close",
+    "drawdown_20": f"CASE WHEN count(close) {rows_(20)} >= 10 THEN close / (max(close) {rows_(20)}) - 1 END",
+}
+_GONE = ", ".join(f"{safe('close', f'lag(close, {n}) {WIN})')} - 1 AS ret_{n}" for n in (3, 5, 20, 60, 120))
+FEATURES = f"""WITH {RET}, f AS (SELECT *, {', '.join(f'{x} AS {c}' for c, x in DAILY_INPUTS.items())}, {_GONE}, {safe('volume', f'lag(volume, 5) {WIN})')} - 1 AS vm, abs(ret_1) / amount AS illiq, CASE WHEN ret_1 < 0 THEN ret_1 END AS down, greatest(close - prev, 0) AS gain, greatest(prev - close, 0) AS loss FROM ret)
+SELECT symbol, trade_date, {', '.join(f'{rnd(x)} AS {c}' for c, x in _DAILY.items())}, (high >= up_limit - 1e-6 OR low <= down_limit + 1e-6)::INTEGER AS limit_touch, (volume > 0)::INTEGER AS tradable FROM f"""
 
 
 @query(FEATURES)
 def daily_features(spark, d):
-    f = ts.daily_features(bars(spark, d)).withColumn("amihud", F.col("amihud_20") * 1e6)
-    names = ("ret_5", "ret_20", "vol_20", "downside_vol_60", "liquidity_shock", "amihud", "ma_trend", "acceleration", "divergence", "drawdown_20", "momentum_6_1")
-    return rounded(f.select("symbol", "trade_date", *names), *names)
+    """All daily inputs of factors."""
+    f = ts.daily_features(bars(spark, d).withColumns({c: F.expr(x) for c, x in DAILY_INPUTS.items()}))
+    f = f.withColumns({"amihud_20": F.col("amihud_20") * 1e6} | {f"amount_mean_{n}": F.col(f"amount_mean_{n}") / 12345.67 for n in (5, 20, 60)})
+    return rounded(f, *_DAILY).select("symbol", "trade_date", *_DAILY, "limit_touch", "tradable")
 
 
 @query(f"WITH {BARS} SELECT symbol, trade_date, volume AS effective_volume FROM bars")

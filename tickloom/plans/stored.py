@@ -43,12 +43,29 @@ def replace_window(spark, d):
     return rounded(spark.read.parquet(to), "price")
 
 
-@query(f"SELECT event_id, event_type, {rnd('value')} AS value FROM events")
+@query(f"SELECT event_id, event_type, {rnd('value')} AS value, version FROM events CROSS JOIN (SELECT unnest([1, 2]) AS version)")
 def compact_day(spark, d):
-    to = folder(spark)
-    table(spark, d, "events").repartition(16).write.parquet(f"{to}/small")
-    tables.compact_day(spark, f"{to}/small", f"{to}/large", 2, ["ts", "event_id"])
-    return rounded(spark.read.parquet(f"{to}/large").select("event_id", "event_type", "value"), "value")
+    """A day's rows before and after compaction: versions 1 and 2 of its manifest."""
+    day = tables.VersionedDay(spark, folder(spark))
+    day.publish(table(spark, d, "events").repartition(16))
+    before = day.rows()
+    day.compact(["ts", "event_id"])
+    both = before.withColumn("version", F.lit(1)).unionByName(day.rows().withColumn("version", F.lit(2)))
+    return rounded(both.select("event_id", "event_type", "value", "version"), "value")
+
+
+@query(f"SELECT event_id, event_type, {rnd('value')} AS value, 1::BIGINT AS version, true AS refused FROM events")
+def compact_day_refused(spark, d):
+    """A compaction that loses rows is refused, and readers go on with the old version."""
+    day = tables.VersionedDay(spark, folder(spark))
+    day.publish(table(spark, d, "events").repartition(16))
+    try:
+        day.compact(["ts", "event_id"], prepare=lambda rows: rows.where("event_id % 50 <> 7"))
+        refused = False
+    except RuntimeError:
+        refused = True
+    out = day.rows().select("event_id", "event_type", "value", F.lit(day.entry().version).cast("long").alias("version"), F.lit(refused).alias("refused"))
+    return rounded(out, "value")
 
 
 @query(f"SELECT o_orderkey, o_orderpriority, {rnd('o_totalprice')} AS o_totalprice FROM orders")
@@ -59,10 +76,13 @@ def export_csv(spark, d):
     return rounded(spark.read.schema(out.schema).option("header", True).csv(to), "o_totalprice")
 
 
-@query("SELECT count(*) AS n, 'o_orderkey,o_orderpriority,o_totalprice' AS columns FROM orders")
+@query(f"SELECT o_orderkey, o_orderpriority, {rnd('o_totalprice')} AS o_totalprice, count(*) OVER () AS n, 'o_orderkey,o_orderpriority,o_totalprice' AS columns FROM orders")
 def export_parquet(spark, d):
+    """The exported rows, read back, with the manifest's count and names."""
+    to = f"{folder(spark)}/parquet"
     out = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
-    return tables.export_table(out, f"{folder(spark)}/parquet").select("n", "columns")
+    manifest = tables.export_table(out, to).select("n", "columns")  # one row
+    return rounded(spark.read.parquet(to).crossJoin(F.broadcast(manifest)), "o_totalprice")
 
 
 @query(f"WITH {BARS} SELECT trade_date, {rnd('max(close)', 8)} AS close FROM bars WHERE trade_date >= DATE '1990-01-01' GROUP BY 1")

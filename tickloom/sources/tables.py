@@ -102,14 +102,87 @@ def _overwrite(df: DataFrame, ds: Dataset, path: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*ds.partition).parquet(path)
 
 
-def compact_day(spark: SparkSession, source: str, target: str, files: int, order: list[str]) -> None:
-    """Merges a finished day's small files into a few sorted ones, and checks rows and contents."""
+#: Bytes that a compacted file should have.
+FILE_BYTES = 128 << 20
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files under a path, as its file system counts them."""
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return to.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(to).getLength()
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    to = spark._jvm.org.apache.hadoop.fs.Path(path)
+    to.getFileSystem(spark._jsc.hadoopConfiguration()).delete(to, True)
+
+
+def compact_day(spark: SparkSession, source: str, target: str, files: int | None, order: list[str]) -> None:
+    """Merges a finished day's small files into sorted ones of some FILE_BYTES, or `files`, and checks rows and contents."""
     rows = spark.read.parquet(source)
+    files = files or max(1, -(-stored_bytes(spark, source) // FILE_BYTES))
     rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.mode("errorifexists").parquet(target)
     if content(rows).first() != content(spark.read.parquet(target)).first():
         raise RuntimeError("the compacted files differ from their source")
 
 
+class VersionedDay:
+    """A day of rows that readers see whole: each version is a folder of its own, and a manifest names the one that counts.
+
+    Rows are staged beside the version in use and checked before the manifest gets its next entry; a reader takes the last
+    entry, so it sees the old rows or the new ones. Writers that fail before that entry leave nothing but a staged folder,
+    which they remove. `vacuum` removes the folders that no longer count.
+    """
+
+    ENTRY = "version long, folder string, files long, n long, x long, s long"
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    def entries(self) -> DataFrame:
+        return self.spark.read.schema(self.ENTRY).parquet(f"{self.path}/manifest/*")
+
+    def entry(self):
+        """The last entry of the manifest."""
+        return self.entries().orderBy(F.desc("version")).first()
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/{self.entry().folder}")
+
+    def publish(self, rows: DataFrame, expected=None) -> None:
+        """A new version; `expected` is the content that it must have."""
+        folder = f"data-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{self.path}/{folder}")
+        written = self.spark.read.parquet(f"{self.path}/{folder}")
+        found = content(written).first()
+        if expected is not None and tuple(found) != tuple(expected):
+            _removed(self.spark, f"{self.path}/{folder}")
+            raise RuntimeError("the staged rows differ from what was expected")
+        files = written.select(F.input_file_name()).distinct().count()
+        fs_has = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/manifest")
+        first = not fs_has.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs_has)
+        version = 1 if first else self.entry().version + 1
+        entry = self.spark.createDataFrame([(version, folder, files, *found)], self.ENTRY)
+        entry.coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/manifest/{version}")  # of two writers one fails here
+
+    def compact(self, order: list[str], file_bytes: int = FILE_BYTES, prepare=None) -> int:
+        """Merges the day's files into sorted ones of about file_bytes and returns their number. `prepare` may reshape rows; they must stay the same."""
+        now = self.entry()
+        rows = self.rows()
+        files = max(1, -(-stored_bytes(self.spark, f"{self.path}/{now.folder}") // file_bytes))
+        out = (prepare(rows) if prepare else rows).repartitionByRange(files, *order).sortWithinPartitions(*order)
+        self.publish(out, (now.n, now.x, now.s))
+        return files
+
+    def vacuum(self) -> int:
+        """Removes the folders of all versions but the last; for when no reader uses them any more."""
+        last = self.entry().folder
+        old = [r.folder for r in self.entries().where(F.col("folder") != last).select("folder").collect()]  # one entry a version
+        for folder in old:
+            _removed(self.spark, f"{self.path}/{folder}")
+        return len(old)
+
+
 def content(df: DataFrame) -> DataFrame:
     """Rows and an order-free digest of all columns."""
     h = F.xxhash64(*sorted(df.columns))
