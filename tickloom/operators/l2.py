@@ -86,32 +86,71 @@ def executed(deals: DataFrame) -> DataFrame:
 
 
 def book(quotes: DataFrame) -> DataFrame:
-    """One row per quote: best prices and volumes, sums of levels, validity, mid and both depths."""
+    """One row per quote: best prices and volumes, sums of levels, validity, mid and both depths; staged quotes have them."""
+    if "depth5" in quotes.columns:
+        return quotes
     bp, ap, bv, av = (F.col(c) for c in ("bid_price", "ask_price", "bid_volume", "ask_volume"))
     top = lambda a, n: F.aggregate(F.slice(a, 1, n), F.lit(0.0), lambda s, x: s + F.coalesce(x, F.lit(0.0)))
-    q = quotes.select(*KEY, "time", "seq", F.col("price").alias("last"), "total_bid_volume", "total_ask_volume", bp[0].alias("bid"), ap[0].alias("ask"), bv[0].alias("bid1"), av[0].alias("ask1"), top(bv, 3).alias("bid3"), top(bv, 5).alias("bid5"), top(av, 5).alias("ask5"), *(((bv[k] + av[k]) / 2).alias(f"level{k}") for k in range(5)))
+    q = quotes.select(*KEY, "time", "seq", *(c for c in ("_levels",) if c in quotes.columns), F.col("price").alias("last"), "total_bid_volume", "total_ask_volume", bp[0].alias("bid"), ap[0].alias("ask"), bv[0].alias("bid1"), av[0].alias("ask1"), top(bv, 3).alias("bid3"), top(bv, 5).alias("bid5"), top(av, 5).alias("ask5"), *(((bv[k] + av[k]) / 2).alias(f"level{k}") for k in range(5)))
     valid = F.coalesce((F.col("bid") > 0) & (F.col("ask") > 0) & (F.col("ask") > F.col("bid")), F.lit(False))
     return q.select("*", valid.alias("valid"), F.when(valid, (F.col("bid") + F.col("ask")) / 2).alias("mid"), (F.col("bid1") + F.col("ask1")).alias("depth1"), (F.col("bid5") + F.col("ask5")).alias("depth5"))
 
 
+def _whole_book(quotes: DataFrame) -> DataFrame:
+    """`book` with the arrays of levels and the price beside it."""
+    made = book(quotes.withColumn("_levels", F.struct("price", "bid_price", "ask_price", "bid_volume", "ask_volume")))
+    return made.select("*", "_levels.*").drop("_levels")
+
+
 def order_flow(q: DataFrame) -> DataFrame:
     """`ofi`: the change of best bid volume less that of best ask volume since the quote before; 0 at invalid quotes."""
+    if "ofi" in q.columns:
+        return q
     w = _in_time()
     change = F.col("bid1") - F.lag("bid1").over(w) - (F.col("ask1") - F.lag("ask1").over(w))
     return q.withColumn("ofi", F.when(F.col("valid"), _or_0(change)).otherwise(0.0))
 
 
+def quoted(deals: DataFrame, quotes: DataFrame) -> DataFrame:
+    """Deals with the best prices of the latest book and whether it is valid; staged deals have them."""
+    return deals if "q_valid" in deals.columns else asof_backward(deals, book(quotes), KEY, "time", ["bid", "ask", "valid"], "seq", "q_")
+
+
+HORIZONS = (30, 60, 300)
+
+
 def _with_quotes(deals: DataFrame, q: DataFrame, horizons: tuple[int, ...]) -> DataFrame:
-    """Deals with the latest valid mid (`q_mid`) and the first one some seconds later (`f30_mid` and so on)."""
-    valid = q.where("valid")
-    out = asof_backward(deals, valid, KEY, "time", ["mid"], "seq", "q_")
-    for seconds in horizons:
-        out = asof_forward(out, valid, KEY, "time", ["mid"], "seq", f"f{seconds}_", horizon=F.lit(seconds * 1000))
-    return out
+    """Deals with the latest valid mid (`q_mid`) and the first one some seconds later (`f30_mid` and so on); staged deals have them.
+
+    All lookups share one sort. Each deal becomes a marker for each time that it asks about, and each valid quote holds its own
+    mid and the next one's: the first quote at or after a time is the one that follows the last quote before it. Markers
+    of later times come before quotes of the same time, those of the deal's own time after them.
+    """
+    if all(f"f{h}_mid" in deals.columns for h in horizons):
+        return deals
+    w = _in_time()
+    nothing = F.lit(None).cast("double")
+    v = q.where("valid").select(*KEY, F.col("time").alias("_t"), F.lit(1).alias("_side"), "seq", F.struct("mid", F.lead("mid").over(w).alias("next")).alias("_held"))
+    marks = F.explode(F.array(F.struct(F.lit(0).alias("h"), F.lit(2).alias("side")), *(F.struct(F.lit(h).alias("h"), F.lit(0).alias("side")) for h in horizons))).alias("_m")
+    rest = [c for c in deals.columns if c not in KEY]
+    asked = deals.withColumn("_id", F.monotonically_increasing_id()).select(*KEY, "_id", *rest, marks)
+    kept = [F.when(F.col("_m.h") == 0, F.col(c)).alias(f"_r_{c}") for c in rest]  # one marker carries the deal
+    asked = asked.select(*KEY, (F.col("time") + F.col("_m.h") * 1000).alias("_t"), F.col("_m.side").alias("_side"), "seq", "_id", F.col("_m.h").alias("_h"), *kept)
+    both = asked.unionByName(v, allowMissingColumns=True)
+    run = Window.partitionBy(*KEY).orderBy("_t", "_side", "seq")
+    first = F.first("_held.mid", ignorenulls=True).over(run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    both = both.withColumn("_first", first).withColumn("_held", F.last("_held", ignorenulls=True).over(run.rowsBetween(Window.unboundedPreceding, 0))).where("_id is not null")
+    mid = F.when(F.col("_h") == 0, F.col("_held.mid")).when(F.col("_held").isNull(), F.col("_first")).otherwise(F.col("_held.next"))
+    both = both.withColumn("_mid", F.coalesce(mid, nothing))
+    at = lambda h: F.max(F.when(F.col("_h") == h, F.col("_mid")))
+    found = both.groupBy(*KEY, "_id").agg(*(F.any_value(f"_r_{c}", True).alias(c) for c in rest), at(0).alias("q_mid"), *(at(h).alias(f"f{h}_mid") for h in horizons))
+    return found.drop("_id")
 
 
 def near_touch(orders: DataFrame, quotes: DataFrame) -> DataFrame:
     """Orders with a flag: within one tick of the best price of their side at their time."""
+    if "near_touch" in orders.columns:
+        return orders
     q = quotes.select(*KEY, "time", "seq", F.col("bid_price")[0].alias("bid"), F.col("ask_price")[0].alias("ask"))
     o = asof_backward(orders, q, KEY, "time", ["bid", "ask"], "seq", "q_")
     best = F.when(_buy(), F.col("q_bid")).otherwise(F.col("q_ask"))
@@ -126,8 +165,7 @@ def l2_aggression(deals: DataFrame, quotes: DataFrame) -> DataFrame:
 
     Without any book the buys' share of the amount stands for the place.
     """
-    q = book(quotes)
-    e = asof_backward(executed(deals), q, KEY, "time", ["bid", "ask", "valid"], "seq", "q_")
+    e = quoted(executed(deals), quotes)
     place = F.when(F.col("q_valid"), clip((F.col("price") - F.col("q_bid")) / (F.col("q_ask") - F.col("q_bid")), 0, 1))
     gap = F.col("time") - F.lag("time").over(_in_time(*KEY, "side"))
     by_amount = F.when(F.sum("amount") > 0, _sum(F.col("amount"), F.col("side") == 0) / F.sum("amount")).otherwise(0.5)
@@ -162,7 +200,9 @@ def wash_windows(deals: DataFrame, quotes: DataFrame, width: int = 10_000) -> Da
 
 
 def marked(deals: DataFrame, quotes: DataFrame, width: int = 10_000) -> DataFrame:
-    """Trades with `wash`: in continuous trading and in a wash window."""
+    """Trades with `wash`: in continuous trading and in a wash window; staged deals have it."""
+    if "wash" in deals.columns:
+        return executed(deals)
     e = executed(deals).withColumn("_w", F.floor(F.col("time") / width)).join(wash_windows(deals, quotes, width), [*KEY, "_w"], "left")
     return e.withColumn("wash", F.coalesce("wash", F.lit(False)) & F.col("time").between(OPEN, CONTINUOUS_END)).drop("_w")
 
@@ -295,21 +335,22 @@ def l2_microstructure(deals: DataFrame, orders: DataFrame, quotes: DataFrame) ->
     x = q.select("*", on((ask - bid) / bid).alias("_spread"), obi(b1, a1).alias("_obi1"), obi(F.col("bid5"), F.col("ask5")).alias("_obi5"), on(F.col("depth1")).alias("_d1"), on(F.col("depth5")).alias("_d5"), on(micro).alias("_shift"), slope.alias("_slope"), bend.alias("_bend"), F.lag("ofi").over(w).alias("_before"))
     sd = lambda c: _or_0(F.stddev_pop(c))
     some = F.sum(F.when(F.col("ofi") != 0, 1.0))
-    state = x.groupBy(*KEY).agg(_mean(F.col("_spread")).alias("mean_spread"), _mean(F.col("_obi5")).alias("mean_obi_top5"), _mean(F.col("_obi1")).alias("obi_top1_mean"), sd("_obi5").alias("obi_top5_std"), sd("_obi1").alias("obi_top1_std"), _mean(F.col("_d1")).alias("depth_top1_mean"), _mean(F.col("_d5")).alias("depth_top5_mean"), _mean(F.col("_slope")).alias("depth_slope"), _mean(F.col("_bend")).alias("depth_convexity"), _mean(F.col("_shift")).alias("microprice_minus_mid_mean"), sd("_shift").alias("microprice_minus_mid_std"), _mean(F.col("ofi")).alias("ofi_mean"), sd("ofi").alias("ofi_std"), _or_0(correlation("_before", "ofi")).alias("ofi_persistence"), _share(F.sum(F.when(F.col("ofi") > 0, 1.0).otherwise(0.0)), some).alias("ofi_positive_ratio"), _share(F.sum(F.when(F.col("ofi") < 0, 1.0).otherwise(0.0)), some).alias("ofi_negative_ratio"))
+    state = x.groupBy(*KEY).agg(_mean(F.col("_spread")).alias("mean_spread"), _mean(F.col("_obi5")).alias("mean_obi_top5"), _mean(F.col("_obi1")).alias("obi_top1_mean"), sd("_obi5").alias("obi_top5_std"), sd("_obi1").alias("obi_top1_std"), _mean(F.col("_d1")).alias("depth_top1_mean"), _mean(F.col("_d5")).alias("depth_top5_mean"), _mean(F.col("_slope")).alias("depth_slope"), _mean(F.col("_bend")).alias("depth_convexity"), _mean(F.col("_shift")).alias("microprice_minus_mid_mean"), sd("_shift").alias("microprice_minus_mid_std"), _mean(F.col("ofi")).alias("ofi_mean"), sd("ofi").alias("ofi_std"), _or_0(correlation("_before", "ofi")).alias("ofi_persistence"), _share(F.sum(F.when(F.col("ofi") > 0, 1.0).otherwise(0.0)), some).alias("ofi_positive_ratio"), _share(F.sum(F.when(F.col("ofi") < 0, 1.0).otherwise(0.0)), some).alias("ofi_negative_ratio"), F.min_by("last", F.when(F.col("last") > 0, _order())).alias("_q_open"), F.max_by("last", F.when(F.col("last") > 0, _order())).alias("_q_close"))
     deep = q.where("valid and depth1 is not null").select(*KEY, "time", "seq", "depth1")
     drop = deep.withColumn("_was", F.lag("depth1").over(w)).withColumn("_n", F.count("*").over(Window.partitionBy(*KEY))).where("_n >= 3 and depth1 < _was and _was > 0")
     later = asof_forward(drop, deep, KEY, "time", ["depth1"], "seq", "f_", horizon=F.lit(30_000))
     refill = later.groupBy(*KEY).agg((_mean((F.col("f_depth1") - F.col("depth1")) / F.col("_was")) / 30).alias("orderbook_replenish_speed"))
     near = orders.where("near_touch").groupBy(*KEY).agg(_share(_n(_cancel()), _n(_add())).alias("near_touch_cancel_add_ratio"))
-    e = _with_quotes(deals.withColumn("_s", _direction()), q, (30, 60, 300))
-    m, p, s = F.col("q_mid"), F.col("price"), F.col("_s")
-    hit = e.groupBy(*KEY).agg(_mean(2 * F.abs(p - m) / m).alias("effective_spread_mean"), _mean(2 * s * (p - F.col("f60_mid")) / m).alias("realized_spread_1m"), _mean(s * (F.col("f30_mid") - m) / m).alias("impact_30s"), _mean(s * (F.col("f300_mid") - m) / m).alias("impact_5m"))
-    ends = lambda df, c: df.where(F.col(c) > 0).groupBy(*KEY).agg(F.min_by(c, _order()).alias("open"), F.max_by(c, _order()).alias("close"))
-    by_quote = ends(q, "last").select(*KEY, F.col("open").alias("q_open"), F.col("close").alias("q_close"))
-    amount = deals.where("price * volume > 0").groupBy(*KEY).agg(F.sum(F.col("price") * F.col("volume")).alias("amount"))
-    span = amount.join(ends(deals, "price"), KEY, "left").join(by_quote, KEY, "left").withColumn("close", F.when(F.col("open").isNotNull(), F.col("close")).otherwise(F.col("q_close"))).withColumn("open", F.coalesce("open", "q_open"))
-    dry = span.select(*KEY, _or_0(F.abs(F.col("close") - F.col("open")) / F.col("open") / (F.col("amount") / 1e9)).alias("amihud_illiquidity"))
-    return reduce(lambda a, b: a.join(b, KEY, "left"), (refill, near, hit, dry), state).na.fill(0)
+    e = _with_quotes(deals.select(*KEY, "time", "seq", "price", "volume", "side", *(c for c in ("q_mid", "f30_mid", "f60_mid", "f300_mid") if c in deals.columns)), q, HORIZONS)
+    m, p, s = F.col("q_mid"), F.col("price"), _direction()
+    priced, turnover = F.when(p > 0, p), p * F.col("volume")
+    ends = [f("price", F.when(priced.isNotNull(), _order())).alias(name) for f, name in ((F.min_by, "_open"), (F.max_by, "_close"))]
+    hit = e.groupBy(*KEY).agg(_mean(2 * F.abs(p - m) / m).alias("effective_spread_mean"), _mean(2 * s * (p - F.col("f60_mid")) / m).alias("realized_spread_1m"), _mean(s * (F.col("f30_mid") - m) / m).alias("impact_30s"), _mean(s * (F.col("f300_mid") - m) / m).alias("impact_5m"), F.sum(F.when(turnover > 0, turnover)).alias("_amount"), *ends)
+    out = reduce(lambda a, b: a.join(b, KEY, "left"), (refill, near, hit), state)
+    start = F.coalesce("_open", "_q_open")
+    end = F.when(F.col("_open").isNotNull(), F.col("_close")).otherwise(F.col("_q_close"))
+    out = out.withColumn("amihud_illiquidity", _or_0(F.abs(end - start) / start / (F.col("_amount") / 1e9)))
+    return out.drop("_open", "_close", "_q_open", "_q_close", "_amount").na.fill(0)
 
 
 def l2_lob_transition(deals: DataFrame, orders: DataFrame, quotes: DataFrame) -> DataFrame:
@@ -330,7 +371,7 @@ def l2_lob_transition(deals: DataFrame, orders: DataFrame, quotes: DataFrame) ->
     back = F.when((F.col("_n") >= 3) & (F.col("_was") > 0), clip((F.col("f_depth1") - F.col("depth1")) / lost, 0, 1))
     speed = F.when((F.col("_was") != 0) & (seconds != 0), lost / F.col("_was") / seconds)
     queues = later.groupBy(*KEY).agg(_mean(back).alias("depth_recovery_5s"), _mean(speed).alias("queue_depletion_speed"))
-    seen = asof_backward(deals, q, KEY, "time", ["bid", "ask"], "seq", "q_")
+    seen = quoted(deals, q)
     at_touch = (F.col("q_bid") > 0) & (F.col("q_ask") > 0) & ((F.col("price") >= F.col("q_ask")) | (F.col("price") <= F.col("q_bid")))
     done = seen.where(at_touch).groupBy(*KEY).agg(_or_0(F.sum("volume")).alias("_done"))
     near = orders.where("near_touch").groupBy(*KEY).agg(_sum(F.col("volume"), _add()).alias("_added"), _sum(F.col("volume"), _cancel()).alias("_gone"))
@@ -357,7 +398,7 @@ def l2_intraday_segments(deals: DataFrame, quotes: DataFrame) -> DataFrame:
 
 def l2_trade_sign(deals: DataFrame, quotes: DataFrame) -> DataFrame:
     """Given sides against the quote rule, and inside a valid spread against the tick rule. Days without quotes have no row."""
-    e = asof_backward(executed(deals).where("price is not null"), book(quotes), KEY, "time", ["bid", "ask", "valid"], "seq", "q_")
+    e = quoted(executed(deals).where("price is not null"), quotes)
     w = _in_time()
     move = F.signum(F.col("price") - F.lag("price").over(w))
     e = e.withColumn("_tick", F.when(move != 0, move)).withColumn("_tick", F.last("_tick", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -508,9 +549,39 @@ def l2_gmm_split(deals: DataFrame, orders: DataFrame, quotes: DataFrame, least:
     return made.groupBy(*KEY).applyInPandas(run, f"symbol {made.schema['symbol'].dataType.simpleString()}, trade_date date, " + ", ".join(f"{c} double" for c in MIXED))
 
 
-def l2_daily_features(deals: DataFrame, orders: DataFrame, quotes: DataFrame) -> DataFrame:
-    """All groups on one key, with 0 where a group has no row; a column that two groups own is an error."""
+def staged(deals: DataFrame, orders: DataFrame, quotes: DataFrame, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three tables with what several groups of features share, written once under `folder`.
+
+    Quotes get the columns of `book` and `order_flow`, deals the latest book, the mids at all horizons and the wash flag,
+    orders the near-touch flag. The groups know these columns and don't make them again.
+    """
+    spark = deals.sparkSession
+
+    def saved(df: DataFrame, name: str) -> DataFrame:
+        df.repartition(*KEY).write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    q = saved(order_flow(_whole_book(quotes)), "quotes")
+    d = _with_quotes(quoted(deals, q).drop("q_at"), q, HORIZONS)
+    washed = wash_windows(deals, q)
+    d = d.withColumn("_w", F.floor(F.col("time") / 10_000)).join(washed, [*KEY, "_w"], "left")
+    wash = F.coalesce("wash", F.lit(False)) & F.col("time").between(OPEN, CONTINUOUS_END) & F.col("side").isin(0, 1)
+    d = saved(d.withColumn("wash", F.coalesce(wash, F.lit(False))).drop("_w"), "deals")
+    return d, saved(near_touch(orders, q), "orders"), q
+
+
+def l2_daily_features(deals: DataFrame, orders: DataFrame, quotes: DataFrame, folder: str | None = None) -> DataFrame:
+    """All groups on one key, with 0 where a group has no row; a column that two groups own is an error.
+
+    With a folder, shared inputs are staged there, so the ticks are read a few times and not by each group.
+    """
+    if folder:
+        deals, orders, quotes = staged(deals, orders, quotes, folder)
     groups = [l2_quality(deals, orders, quotes), l2_lifecycle(deals, orders), l2_intraday_segments(deals, quotes), l2_trade_sign(deals, quotes), l2_lob_transition(deals, orders, quotes), l2_aggression(deals, quotes), l2_algo_entropy(deals), l2_wash(deals, quotes), l2_spoofing(deals, orders, quotes), l2_flow_quadrants(deals, quotes), l2_funds(deals, quotes), l2_microstructure(deals, orders, quotes), l2_gmm_split(deals, orders, quotes), l2_intensity(deals, quotes)]
+    if folder:  # a row for each symbol and day: small tables, so no plan holds all groups
+        for k, g in enumerate(groups):
+            g.write.parquet(f"{folder}/group{k}")
+            groups[k] = g.sparkSession.read.schema(g.schema).parquet(f"{folder}/group{k}")
     out, owned = None, set(KEY)
     for g in groups:
         twice = owned & {c for c in g.columns if c not in KEY}

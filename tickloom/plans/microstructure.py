@@ -168,7 +168,17 @@ def l2_gmm_split(spark, d):
 
 @query()
 def l2_daily_features(spark, d):
-    return _all(l2.l2_daily_features(*_near(spark, d)), 4)
+    return _all(l2.l2_daily_features(*level2(spark, d), folder(spark)), 4)
+
+
+_ROW = ("l2_quality", "l2_lifecycle", "l2_intraday_segments", "l2_trade_sign", "l2_lob_transition", "l2_aggression", "l2_algo_entropy", "l2_wash", "l2_spoofing", "l2_flow_quadrants", "l2_funds", "l2_microstructure", "l2_intensity")
+
+
+@query("SELECT * FROM " + " JOIN ".join(f"({QUERIES[part][1]}) AS {part}{f' USING ({KEYS})' if k else ''}" for k, part in enumerate(_ROW)))
+def l2_daily_row(spark, d):
+    """The joined row of all groups but the mixture of minutes, from staged inputs."""
+    out = l2.l2_daily_features(*level2(spark, d), folder(spark)).drop(*l2.MIXED)
+    return _money(out, *_FUNDS, "wash_amount", "clean_amount", "total_net_flow", "q2_accumulation", "algo_total_amount", "retail_total_amount")
 
 
 MINUTES = f"SELECT user_id AS symbol, date_trunc('minute', ts) AS minute, {rnd('first(value ORDER BY ts, event_id)')} AS open, {rnd('max(value)')} AS high, {rnd('min(value)')} AS low, {rnd('last(value ORDER BY ts, event_id)')} AS close, count(*) AS n FROM events GROUP BY 1, 2"
