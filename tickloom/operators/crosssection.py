@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.scalars import clip, mean_of, ratio
+from tickloom.functions.scalars import clean, clip, mean_of, ratio
 from tickloom.operators.joins import asof_backward
 
 
@@ -43,35 +43,77 @@ def robust_zscore(df: DataFrame, by: list[str], value: str, out: str = "z", low:
     return clipped.withColumn(out, F.when((F.col("_n") >= 3) & (spread > 1e-12), (F.col("_c") - F.avg("_c").over(d)) / spread)).drop("_q", "_n", "_c")
 
 
-def mad_zscore(df: DataFrame, by: list[str], value: str, out: str = "z", width: float = 5.0) -> DataFrame:
-    """z after clipping at the median plus or minus `width` scaled median deviations."""
-    one = df.join(df.groupBy(*by).agg(F.median(value).alias("_m")), by)
-    two = one.join(one.groupBy(*by).agg((F.median(F.abs(F.col(value) - F.col("_m"))) * 1.4826).alias("_d")), by)
-    bounded = F.least(F.greatest(F.col(value), F.col("_m") - width * F.col("_d")), F.col("_m") + width * F.col("_d"))
-    three = two.withColumn("_c", F.when(F.col(value).isNotNull(), F.when(F.col("_d") > 1e-12, bounded).otherwise(F.col(value))))
+def mad_zscores(df: DataFrame, by: list[str], columns: dict[str, str], width: float = 5.0) -> DataFrame:
+    """z of each column (out: source) after clipping at the median plus or minus `width` scaled median deviations.
+
+    All columns share two small aggregates by section and one window.
+    """
+    sources = list(dict.fromkeys(columns.values()))
+    one = df.join(df.groupBy(*by).agg(*(F.median(c).alias(f"_m_{c}") for c in sources)), by)
+    two = one.join(one.groupBy(*by).agg(*((F.median(F.abs(F.col(c) - F.col(f"_m_{c}"))) * 1.4826).alias(f"_d_{c}") for c in sources)), by)
+
+    def bounded(c: str) -> Column:
+        middle, reach = F.col(f"_m_{c}"), width * F.col(f"_d_{c}")
+        return F.when(F.col(c).isNotNull(), F.when(F.col(f"_d_{c}") > 1e-12, F.least(F.greatest(F.col(c), middle - reach), middle + reach)).otherwise(F.col(c)))
+
+    three = two.withColumns({f"_c_{c}": bounded(c) for c in sources})
     d = Window.partitionBy(*by)
-    return three.withColumn(out, ratio(F.col("_c") - F.avg("_c").over(d), F.stddev_pop("_c").over(d))).drop("_m", "_d", "_c")
+    z = {out: ratio(F.col(f"_c_{c}") - F.avg(f"_c_{c}").over(d), F.stddev_pop(f"_c_{c}").over(d)) for out, c in columns.items()}
+    return three.withColumns(z).drop(*(f"_{k}_{c}" for c in sources for k in "mdc"))
+
+
+def mad_zscore(df: DataFrame, by: list[str], value: str, out: str = "z", width: float = 5.0) -> DataFrame:
+    return mad_zscores(df, by, {out: value}, width)
 
 
 def composite_min(columns: list[str], least: int) -> Column:
     return mean_of([F.col(c) for c in columns], least)
 
 
-#: Styles and their raw columns, with the sign of each.
+#: The published styles, their raw columns, and how many of them must be there.
 STYLES = {
-    "size": (("log_size", 1),), "value": (("book_to_price", 1), ("earnings_to_price", 1), ("sales_to_price", 1)), "momentum": (("momentum_12_1", 1), ("momentum_6_1", 1)),
-    "volatility": (("vol_20", 1), ("vol_60", 1)), "liquidity": (("amount_mean_20", 1), ("turnover_mean_20", 1)), "reversal": (("ret_5", -1),), "quality": (("roa", 1), ("gross_profitability", 1)), "growth": (("revenue_growth", 1),),
+    "csi_value_reference": (2, ("book", "earnings", "dividend", "cashflow")),
+    "csi_growth_reference": (1, ("growth_revenue", "growth_profit")),
+    "csi_dividend_reference": (1, ("dividend",)),
+    "csi_quality_reference": (2, ("roe", "gross_margin", "operating_cash", "leverage")),
+    "csi_low_vol_reference": (1, ("low_vol",)),
+    "csi_momentum_reference": (1, ("momentum",)),
+    "csi_cashflow_reference": (1, ("cashflow",)),
+    "csi_liquidity_reference": (1, ("amount", "turnover")),
 }
 
 
-def csi_styles(panel: DataFrame, by: list[str], styles: dict | None = None) -> DataFrame:
-    """Style scores: means of MAD z-scores of raw columns, each by its sign; half of them must be there."""
-    styles = styles or {k: v for k, v in STYLES.items() if all(c in panel.columns for c, _ in v)}
-    raw = list(dict.fromkeys(c for v in styles.values() for c, _ in v))
-    for c in raw:
-        panel = mad_zscore(panel, by, c, f"_z_{c}")
-    scores = [mean_of([F.col(f"_z_{c}") * sign for c, sign in v], (len(v) + 1) // 2).alias(f"style_{k}") for k, v in styles.items()]
-    return panel.select("*", *scores).drop(*(f"_z_{c}" for c in raw))
+def csi_raw() -> dict[str, Column]:
+    """The fourteen raw values of the styles: market values in ten thousands, ratios in per cent, as sources have them."""
+    c = F.col
+    inverse = lambda name: F.when(c(name) > 0, 1 / c(name))
+    logged = lambda name: F.log1p(F.when(c(name).isNotNull(), F.greatest(c(name), F.lit(0.0))))
+    return {
+        "book": inverse("pb"),
+        "earnings": inverse("pe_ttm"),
+        "dividend": c("dv_ttm") / 100,
+        "cashflow": F.when(c("total_mv") > 0, c("n_cashflow_act") / (c("total_mv") * 10_000)),
+        "growth_revenue": c("q_gr_yoy"),
+        "growth_profit": c("q_profit_yoy"),
+        "roe": c("roe"),
+        "gross_margin": c("grossprofit_margin"),
+        "operating_cash": c("ocf_to_or"),
+        "leverage": -c("debt_to_assets"),
+        "low_vol": -c("volatility_252"),
+        "momentum": ratio("return_252", c("volatility_252") * 5**0.5),
+        "amount": logged("amount_20"),
+        "turnover": logged("turnover_20"),
+    }
+
+
+def csi_styles(panel: DataFrame, by: list[str]) -> DataFrame:
+    """The eight styles: means of clipped z-scores of the fourteen raw values in each section. Inputs that the panel lacks are missing."""
+    inputs = ("pb", "pe_ttm", "dv_ttm", "n_cashflow_act", "total_mv", "q_gr_yoy", "q_profit_yoy", "roe", "grossprofit_margin", "ocf_to_or", "debt_to_assets", "volatility_252", "return_252", "amount_20", "turnover_20")
+    lacking = {c: F.lit(None).cast("double") for c in inputs if c not in panel.columns}
+    raw = {f"_raw_{name}": clean(c) for name, c in csi_raw().items()}
+    z = mad_zscores(panel.withColumns(lacking).withColumns(raw), by, {f"_z{name}": name for name in raw})
+    styles = [mean_of([F.col(f"_z_raw_{c}") for c in names], least).alias(style) for style, (least, names) in STYLES.items()]
+    return z.select(*panel.columns, *styles)
 
 
 def neutralize(df: DataFrame, by: list[str], value: str, size: str, industry: str, out: str = "neutral", least: int = 20) -> DataFrame:
@@ -260,7 +302,27 @@ def shared_etf_panel(market: DataFrame, shares: DataFrame, breadth: DataFrame, k
     return recovery_quality(both, [at], ["ret_5", "amount_ratio", "flow_intensity", "breadth"], "recent_drawdown", "ret_5")
 
 
-def earnings_outlook(express: DataFrame, forecast: DataFrame, stock: str, announced: str, value: str) -> DataFrame:
-    """The latest event of each stock, express ahead of forecast on ties, within plus or minus 2."""
-    both = express.select(stock, announced, value, F.lit(1).alias("_s")).unionByName(forecast.select(stock, announced, value, F.lit(0).alias("_s"))).where(F.col(value).isNotNull())
-    return both.groupBy(stock).agg(F.max_by(value, F.struct(announced, "_s")).alias("_v")).select(stock, clip("_v", -2.0, 2.0).alias("outlook"))
+def earnings_events(express: DataFrame, forecast: DataFrame, stock: str, announced: str, seq: str) -> DataFrame:
+    """(stock, announced, seq, value): the change of profit that both kinds of announcements name, within plus or minus 2.
+
+    Express reports (explicit per cent, or income against the profit before) come after forecasts (low and high per
+    cent) of the same day; values that can't be told are left out.
+    """
+    told = F.coalesce(clean("explicit") / 100, ratio("income", "prior") - 1)
+    one = lambda df, value, rank: df.select(stock, announced, (F.lit(rank) * (1 << 52) + F.col(seq)).alias("seq"), clip(value, -2.0, 2.0).alias("value"))
+    return one(forecast, (F.col("low") + F.col("high")) / 200, 0).unionByName(one(express, told, 1)).where(f"value is not null and {announced} is not null")
+
+
+def earnings_outlook(events: DataFrame, members: DataFrame, basket: str, stock: str, at: str, announced: str, weight: str = "weight") -> DataFrame:
+    """(basket, date, weighted_outlook, coverage, outlook): the mean of the latest events known at the date, by the covered weight.
+
+    members: the stocks and weights of each basket at each date. Only events announced by the date count. A basket without
+    any covered stock has no outlook; dates before the first event have no row.
+    """
+    known = asof_backward(members, events.withColumnRenamed(announced, at), [stock], at, ["value"], "seq", "event_")
+    first = events.agg(F.min(announced).alias("_first"))
+    w, v = F.col(weight), F.col("event_value")
+    held = F.coalesce(F.sum(F.when(v.isNotNull(), w)), F.lit(0.0))
+    total = F.coalesce(F.sum(w * v), F.lit(0.0))
+    out = known.crossJoin(F.broadcast(first)).where(F.col(at) >= F.col("_first"))  # one row
+    return out.groupBy(basket, at).agg(total.alias("weighted_outlook"), held.alias("coverage"), F.when(held > 0, total / held).alias("outlook"))

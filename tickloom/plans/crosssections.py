@@ -69,9 +69,38 @@ def composite_min(spark, d):
     return panel(spark, d).select("symbol", "month", r(cs.composite_min(["volume", "x", "y"], 2)).alias("composite"))
 
 
-@query(f"WITH {PANEL}, {MAD} SELECT symbol, month, {rnd('mz')} AS style_size FROM mz")
+#: Inputs of the styles made of the panel's columns, some of them missing or negative; Spark and SQL read them alike.
+STYLE_INPUTS = {
+    "pb": "CASE WHEN symbol % 7 = 0 THEN -1 ELSE volume / 10 END", "pe_ttm": "CASE WHEN symbol % 5 = 0 THEN NULL ELSE amount / 1e4 END", "dv_ttm": "CASE WHEN symbol % 3 = 0 THEN NULL ELSE abs(x) END", "n_cashflow_act": "amount * x", "total_mv": "CASE WHEN symbol % 11 = 0 THEN 0 ELSE volume END",
+    "q_gr_yoy": "x", "q_profit_yoy": "CASE WHEN symbol % 4 = 0 THEN NULL ELSE y END", "roe": "sqrt(volume)", "grossprofit_margin": "CASE WHEN symbol % 6 = 0 THEN NULL ELSE ln(amount) END", "ocf_to_or": "x * sqrt(volume)", "debt_to_assets": "volume / (volume + 37)",
+    "volatility_252": "abs(x) + sqrt(volume) / 10", "return_252": "x", "amount_20": "CASE WHEN symbol % 9 = 0 THEN -amount ELSE amount END", "turnover_20": "volume / 3",
+}
+_STYLE_RAW = {
+    "book": "CASE WHEN pb > 0 THEN 1 / pb END", "earnings": "CASE WHEN pe_ttm > 0 THEN 1 / pe_ttm END", "dividend": "dv_ttm / 100", "cashflow": "CASE WHEN total_mv > 0 THEN n_cashflow_act / (total_mv * 10000) END",
+    "growth_revenue": "q_gr_yoy", "growth_profit": "q_profit_yoy", "roe": "roe", "gross_margin": "grossprofit_margin", "operating_cash": "ocf_to_or", "leverage": "-debt_to_assets", "low_vol": "-volatility_252",
+    "momentum": "return_252 / (volatility_252 * sqrt(5))", "amount": "ln(1 + greatest(amount_20, 0))", "turnover": "ln(1 + greatest(turnover_20, 0))",
+}
+
+
+def _styles_sql() -> str:
+    inputs = ", ".join(f"({x})::DOUBLE AS {c}" for c, x in STYLE_INPUTS.items())
+    raw = ", ".join(f"({x}) AS r_{c}" for c, x in _STYLE_RAW.items())
+    names = list(_STYLE_RAW)
+    over = lambda f: ", ".join(f(c) for c in names)
+    z = lambda c: f"CASE WHEN stddev_pop(c_{c}) OVER s > 1e-12 THEN (c_{c} - avg(c_{c}) OVER s) / stddev_pop(c_{c}) OVER s END AS z_{c}"
+    clipped = lambda c: f"CASE WHEN r_{c} IS NULL THEN NULL WHEN d_{c} > 1e-12 THEN least(greatest(r_{c}, m_{c} - 5 * d_{c}), m_{c} + 5 * d_{c}) ELSE r_{c} END AS c_{c}"
+    there = lambda parts: " + ".join(f"(z_{c} IS NOT NULL)::INTEGER" for c in parts)
+    mean = lambda parts: f"list_avg([{', '.join(f'z_{c}' for c in parts)}])"
+    styles = ", ".join(f"{rnd(f'CASE WHEN {there(parts)} >= {least} THEN {mean(parts)} END')} AS {style}" for style, (least, parts) in cs.STYLES.items())
+    return f"""WITH {PANEL}, i AS (SELECT symbol, month, {inputs} FROM panel), w AS (SELECT symbol, month, {raw} FROM i), m AS (SELECT month, {over(lambda c: f'median(r_{c}) AS m_{c}')} FROM w GROUP BY 1), wm AS (SELECT w.*, m.* EXCLUDE (month) FROM w JOIN m USING (month)),
+d AS (SELECT month, {over(lambda c: f'median(abs(r_{c} - m_{c})) * 1.4826 AS d_{c}')} FROM wm GROUP BY 1), c AS (SELECT symbol, month, {over(clipped)} FROM wm JOIN d USING (month)), z AS (SELECT symbol, month, {over(z)} FROM c WINDOW s AS (PARTITION BY month)) SELECT symbol, month, {styles} FROM z"""
+
+
+@query(_styles_sql())
 def csi_styles(spark, d):
-    return cs.csi_styles(panel(spark, d), ["month"], {"size": (("amount", 1),)}).select("symbol", "month", r("style_size").alias("style_size"))
+    """The eight styles from fourteen raw values."""
+    p = panel(spark, d).withColumns({c: F.expr(f"cast({x} as double)") for c, x in STYLE_INPUTS.items()})
+    return rounded(cs.csi_styles(p, ["month"]).select("symbol", "month", *cs.STYLES), *cs.STYLES)
 
 
 NEUTRAL = """ok AS (SELECT *, volume IS NOT NULL AND size IS NOT NULL AND industry IS NOT NULL AS ok FROM panel), t AS (SELECT *, volume - avg(volume) OVER g AS yy, size - avg(size) OVER g AS ss, count(*) OVER (PARTITION BY month) AS n, count(DISTINCT industry) OVER (PARTITION BY month) AS k FROM ok WINDOW g AS (PARTITION BY month, industry, ok)),
@@ -93,9 +122,13 @@ def ridge_residual(spark, d):
     return rounded(cs.ridge_residual(panel(spark, d).select("symbol", "month", "x", "volume", "amount", "industry"), ["month"], "x", ["volume", "amount"], "industry").select("symbol", "month", "residual"), "residual")
 
 
-@query(f"WITH {PANEL}, k AS (SELECT *, {RANK.format('volume')} AS a, {RANK.format('amount')} AS b FROM panel) SELECT symbol, month, {rnd('CASE WHEN x <= -0.05 AND y > 0 THEN (a + b) / 2 END')} AS recovery_quality FROM k")
+_FOUR = ("volume", "amount", "size", "y")
+
+
+@query(f"WITH {PANEL}, k AS (SELECT *, {', '.join(f'{RANK.format(c)} AS k_{c}' for c in _FOUR)} FROM panel) SELECT symbol, month, {rnd('CASE WHEN x <= -0.05 AND y > 0 THEN (' + ' + '.join(f'k_{c}' for c in _FOUR) + ') / 4 END')} AS recovery_quality FROM k")
 def recovery_quality(spark, d):
-    return rounded(cs.recovery_quality(panel(spark, d), ["month"], ["volume", "amount"], "x", "y").select("symbol", "month", "recovery_quality"), "recovery_quality")
+    """The mean of four percentile ranks where a fall was followed by a rise."""
+    return rounded(cs.recovery_quality(panel(spark, d), ["month"], list(_FOUR), "x", "y").select("symbol", "month", "recovery_quality"), "recovery_quality")
 
 
 _CODES = [c for c, _ in cs.POOLS.values() if c][:-1]  # the last index never has a snapshot
@@ -211,10 +244,21 @@ def basket_style_value(spark, d):
     return rounded(basket_style_op(_basket(spark, d), "etf", "trade_date", ["ret_5"]), "ret_5", "ret_5_coverage")
 
 
-@query("SELECT o_custkey AS stock, ROUND(greatest(-2, least(2, first(v ORDER BY day DESC, s DESC, v DESC))), 7) AS outlook FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, o_orderkey % 2 AS s, max(o_totalprice) / 100000 - 2 AS v FROM orders GROUP BY 1, 2, 3) GROUP BY 1")
+@query(f"""WITH o AS (SELECT o_custkey % 100 AS stock, CAST(o_orderdate AS DATE) AS announced, o_orderkey AS k, o_totalprice AS v FROM orders),
+e AS (SELECT stock, announced, k + CASE WHEN k % 2 = 1 THEN 1::BIGINT << 52 ELSE 0 END AS seq, greatest(-2, least(2, CASE WHEN k % 2 = 0 THEN (v / 1e4 - 20 + v / 500) / 200 WHEN k % 3 = 0 THEN v / 1e3 / 100 - 1 ELSE v / (k % 7 * 20000) - 1 END)) AS value FROM o WHERE k % 6 = 3 OR k % 2 = 0 OR k % 7 <> 0),
+last AS (SELECT stock, announced, arg_max(value, seq) AS value FROM e GROUP BY ALL), m AS (SELECT l_partkey % 20 AS etf, last_day(l_shipdate::DATE) AS trade_date, l_suppkey % 100 AS stock, sum(l_quantity)::DOUBLE AS weight FROM lineitem GROUP BY ALL),
+j AS (SELECT m.*, l.value FROM m ASOF LEFT JOIN last l ON m.stock = l.stock AND m.trade_date >= l.announced), s AS (SELECT etf, trade_date, coalesce(sum(weight * value), 0) AS t, coalesce(sum(weight) FILTER (value IS NOT NULL), 0) AS h FROM j GROUP BY ALL)
+SELECT etf, trade_date, {rnd('t', 8)} AS weighted_outlook, {rnd('h')} AS coverage, {rnd('CASE WHEN h > 0 THEN t / h END')} AS outlook FROM s WHERE trade_date >= (SELECT min(announced) FROM e)""")
 def earnings_outlook(spark, d):
-    o = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("stock"), F.to_date("o_orderdate").alias("ann"), (F.col("o_orderkey") % 2).alias("s")).agg((F.max("o_totalprice") / 100000 - 2).alias("v"))
-    return rounded(cs.earnings_outlook(o.where("s = 1"), o.where("s = 0"), "stock", "ann", "v"), "outlook", n=7)
+    """Outlook of each basket at each month's end, from what was announced by then."""
+    k, v = F.col("o_orderkey"), F.col("o_totalprice")
+    o = table(spark, d, "orders").select(F.pmod("o_custkey", F.lit(100)).alias("stock"), F.to_date("o_orderdate").alias("announced"), k.alias("seq"), v.alias("v"))
+    k, v = F.col("seq"), F.col("v")
+    forecast = o.where(k % 2 == 0).select("stock", "announced", "seq", (v / 1e4 - 20).alias("low"), (v / 500).alias("high"))
+    express = o.where(k % 2 == 1).select("stock", "announced", "seq", F.when(k % 3 == 0, v / 1e3 - 100).alias("explicit"), v.alias("income"), (k % 7 * 20_000.0).alias("prior"))
+    held = table(spark, d, "lineitem").groupBy((F.col("l_partkey") % 20).alias("etf"), F.last_day(F.to_date("l_shipdate")).alias("trade_date"), (F.col("l_suppkey") % 100).alias("stock")).agg(F.sum("l_quantity").cast("double").alias("weight"))
+    out = cs.earnings_outlook(cs.earnings_events(express, forecast, "stock", "announced", "seq"), held, "etf", "stock", "trade_date", "announced")
+    return rounded(rounded(out, "coverage", "outlook"), "weighted_outlook", n=8)
 
 
 PAIRS = "pairs AS (SELECT a AS signal_date, lead(a) OVER (ORDER BY a) AS maturity_date FROM (SELECT DISTINCT trade_date AS a FROM bars))"

@@ -140,12 +140,14 @@ def canonical_code(spark, d):
     return rounded(rows.canonical_codes(b, alias, "code", "trade_date", ["close"])[0], "close", n=8)
 
 
-@query(f"""WITH {BARS}, old AS (SELECT symbol, trade_date, close FROM bars WHERE symbol % 10 = 3), twin AS (SELECT symbol, trade_date, CASE WHEN trade_date < DATE '1998-01-01' THEN close ELSE close + 1 END AS close FROM old)
-SELECT symbol, trade_date, ROUND(close, 8) + 0.0 AS close FROM old o WHERE NOT EXISTS (SELECT 1 FROM twin t WHERE t.symbol = o.symbol AND t.trade_date = o.trade_date AND t.close = o.close AND o.symbol % 20 = 3)""")
+@query(f"""WITH {BARS}, twin AS (SELECT symbol, trade_date, CASE WHEN trade_date < DATE '1998-01-01' THEN close ELSE close + 1 END AS close FROM bars WHERE symbol % 10 = 3)
+SELECT symbol, trade_date, ROUND(close, 8) + 0.0 AS close FROM bars o WHERE NOT EXISTS (SELECT 1 FROM twin t WHERE t.symbol = o.symbol AND t.trade_date = o.trade_date AND t.close = o.close AND o.symbol % 20 = 3)""")
 def drop_proven_alias_rows(spark, d):
-    old = bars(spark, d).where("symbol % 10 = 3").select("symbol", "trade_date", "close")
-    twin = old.select((F.col("symbol") + 1).alias("symbol"), "trade_date", F.when(F.col("trade_date") < "1998-01-01", F.col("close")).otherwise(F.col("close") + 1).alias("close"))
-    alias = old.select("symbol").distinct().select(F.col("symbol").alias("legacy"), (F.col("symbol") + 1).alias("canonical"))
+    """All bars, less those of a legacy code whose rows its canonical code holds just the same; most codes have no alias."""
+    old = bars(spark, d).select("symbol", "trade_date", "close")
+    coded = old.where("symbol % 10 = 3")
+    twin = coded.select((F.col("symbol") + 1).alias("symbol"), "trade_date", F.when(F.col("trade_date") < "1998-01-01", F.col("close")).otherwise(F.col("close") + 1).alias("close"))
+    alias = coded.select("symbol").distinct().select(F.col("symbol").alias("legacy"), (F.col("symbol") + 1).alias("canonical"))
     return rounded(rows.drop_proven_alias_rows(old, alias, twin, twin.where("symbol % 20 = 4").select("symbol", "trade_date"), "symbol", "trade_date", ["close"]), "close", n=8)
 
 

@@ -274,10 +274,16 @@ def flow_totals(spark, d):
     return rounded(agg.flow_totals(x, "trade_date", "net", ["l_quantity"], ["n"]), "net", "large_net", n=4)
 
 
-@query(f"WITH {RET}, x AS (SELECT *, CASE WHEN count(close) {rows_(20)} >= 10 THEN max(close) {rows_(20)} END AS h, CASE WHEN count(close) {rows_(20)} >= 10 THEN min(close) {rows_(20)} END AS l FROM ret) SELECT trade_date, count(*) FILTER (ret_1 > 0) AS up, count(*) FILTER (ret_1 < 0) AS down, {rnd('CASE WHEN count(h) > 0 THEN count(*) FILTER (close >= h) / count(h) END')} AS new_high_ratio, {rnd('CASE WHEN count(l) > 0 THEN count(*) FILTER (close <= l) / count(l) END')} AS new_low_ratio, {rnd('sum(amount)', 2)} AS amount, {rnd('avg(ret_1)')} AS mean_return, {rnd('CASE WHEN count(*) FILTER (ret_1 < 0) > 0 THEN count(*) FILTER (ret_1 > 0) / count(*) FILTER (ret_1 < 0) END')} AS up_down_ratio FROM x GROUP BY 1")
+@query(f"""WITH {RET}, x AS (SELECT *, {', '.join(f'{DAILY_INPUTS[c]} AS {c}' for c in ('turnover', 'up_limit', 'down_limit'))}, CASE WHEN count(close) {rows_(20)} >= 10 THEN max(close) {rows_(20)} END AS h, CASE WHEN count(close) {rows_(20)} >= 10 THEN min(close) {rows_(20)} END AS l FROM ret),
+g AS (SELECT trade_date, count(*) FILTER (ret_1 > 0) AS up, count(*) FILTER (ret_1 < 0) AS down, CASE WHEN count(h) > 0 THEN count(*) FILTER (close >= h) / count(h) END AS new_high_ratio, CASE WHEN count(l) > 0 THEN count(*) FILTER (close <= l) / count(l) END AS new_low_ratio, count(*) FILTER (close >= up_limit - 1e-6) AS limit_up, count(*) FILTER (close <= down_limit + 1e-6) AS limit_down,
+  sum(amount) AS amount, median(turnover) AS median_turnover, avg(ret_1) AS mean_return, stddev_samp(ret_1) AS return_std, CASE WHEN count(*) FILTER (ret_1 < 0) > 0 THEN count(*) FILTER (ret_1 > 0) / count(*) FILTER (ret_1 < 0) END AS up_down_ratio FROM x GROUP BY 1)
+SELECT trade_date, up, down, limit_up, limit_down, {rnd('amount', 2)} AS amount, {', '.join(f'{rnd(c)} AS {c}' for c in ('new_high_ratio', 'new_low_ratio', 'median_turnover', 'mean_return', 'return_std', 'up_down_ratio'))},
+  {rnd('CASE WHEN count(mean_return) OVER v >= 10 THEN stddev_samp(mean_return) OVER v END')} AS volatility_20 FROM g WINDOW v AS (ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""")
 def market_state(spark, d):
-    m = agg.market_state(bars(spark, d)).select("trade_date", "up", "down", "new_high_ratio", "new_low_ratio", r("amount", 2).alias("amount"), "mean_return", "up_down_ratio")
-    return rounded(m, "new_high_ratio", "new_low_ratio", "mean_return", "up_down_ratio")
+    """Every column of the market's state by day."""
+    b = bars(spark, d).withColumns({c: F.expr(DAILY_INPUTS[c]) for c in ("turnover", "up_limit", "down_limit")})
+    m = agg.market_state(b).withColumn("amount", r("amount", 2))
+    return rounded(m, "new_high_ratio", "new_low_ratio", "median_turnover", "mean_return", "return_std", "up_down_ratio", "volatility_20")
 
 
 @query(f"WITH a AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, sum(o_totalprice) AS v FROM orders GROUP BY 1), y AS (SELECT month, v / lag(v, 12) OVER (ORDER BY month) - 1 AS y FROM a), b AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*)::DOUBLE AS n FROM lineitem GROUP BY 1) SELECT month, {rnd('y')} AS stock_yoy, n AS shipments FROM y JOIN b USING (month) WHERE y IS NOT NULL")
