@@ -244,14 +244,14 @@ def basket_style_value(spark, d):
     return rounded(basket_style_op(_basket(spark, d), "etf", "trade_date", ["ret_5"]), "ret_5", "ret_5_coverage")
 
 
-@query(f"""WITH o AS (SELECT o_custkey % 100 AS stock, CAST(o_orderdate AS DATE) AS announced, o_orderkey AS k, o_totalprice AS v FROM orders),
+@query(f"""WITH o AS (SELECT o_custkey % 100 AS stock, CAST(o_orderdate AS DATE) AS announced, o_orderkey AS k, sqrt(o_totalprice) * 100 AS v FROM orders),
 e AS (SELECT stock, announced, k + CASE WHEN k % 2 = 1 THEN 1::BIGINT << 52 ELSE 0 END AS seq, greatest(-2, least(2, CASE WHEN k % 2 = 0 THEN (v / 1e4 - 20 + v / 500) / 200 WHEN k % 3 = 0 THEN v / 1e3 / 100 - 1 ELSE v / (k % 7 * 20000) - 1 END)) AS value FROM o WHERE k % 6 = 3 OR k % 2 = 0 OR k % 7 <> 0),
 last AS (SELECT stock, announced, arg_max(value, seq) AS value FROM e GROUP BY ALL), m AS (SELECT l_partkey % 20 AS etf, last_day(l_shipdate::DATE) AS trade_date, l_suppkey % 100 AS stock, sqrt(sum(l_quantity)) AS weight FROM lineitem GROUP BY ALL),
 j AS (SELECT m.*, l.value FROM m ASOF LEFT JOIN last l ON m.stock = l.stock AND m.trade_date >= l.announced), s AS (SELECT etf, trade_date, coalesce(sum(weight * value), 0) AS t, coalesce(sum(weight) FILTER (value IS NOT NULL), 0) AS h FROM j GROUP BY ALL)
 SELECT etf, trade_date, {rnd('t')} AS weighted_outlook, {rnd('h')} AS coverage, {rnd('CASE WHEN h > 0 THEN t / h END')} AS outlook FROM s WHERE trade_date >= (SELECT min(announced) FROM e)""")
 def earnings_outlook(spark, d):
     """Outlook of each basket at each month's end, from what was announced by then."""
-    k, v = F.col("o_orderkey"), F.col("o_totalprice")
+    k, v = F.col("o_orderkey"), F.sqrt("o_totalprice") * 100
     o = table(spark, d, "orders").select(F.pmod("o_custkey", F.lit(100)).alias("stock"), F.to_date("o_orderdate").alias("announced"), k.alias("seq"), v.alias("v"))
     k, v = F.col("seq"), F.col("v")
     forecast = o.where(k % 2 == 0).select("stock", "announced", "seq", (v / 1e4 - 20).alias("low"), (v / 500).alias("high"))

@@ -178,3 +178,37 @@ def bundle_verify(spark, d):
     to = folder(spark)
     b.withColumn("volume", F.when(F.col("volume") > 49, F.col("volume") + 1).otherwise(F.col("volume"))).write.parquet(to)
     return merge.bundle_verify(b, spark.read.parquet(to), ["symbol", "trade_date"], ["close", "volume"], "trade_date")
+
+
+def _l2_folders(spark, d, what: str) -> str:
+    """events as level-2 files in GB18030, a folder for each day and symbol."""
+    to = folder(spark)
+    e = table(spark, d, "events")
+    k, ts = F.col("event_id"), F.col("ts").cast("timestamp")
+    clock = F.date_format(ts, "HHmmssSSS")
+    cents, volume, ident = F.round((F.col("value") + 10) * 10_000).cast("long"), (k % 50 + 1) * 100, F.concat((k % 97).cast("string"), F.when(k % 5 == 0, ".0").otherwise(""))
+    kind = F.col("event_type")
+    if what == "deal":
+        code = F.when(kind == "click", "B").when(kind == "signup", " s").when(kind == "error", F.when(k % 2 == 0, "BC").otherwise("SC")).otherwise("X")
+        cells = {"序号": k, "时间": clock, "价格": cents, "数量": volume, "方向": code, "成交号": k, "买号": ident, "卖号": ident}
+    else:
+        cells = {"序号": k, "时间": clock, "价格": cents, "数量": volume, "方向": F.when(k % 2 == 0, "B").otherwise("S"), "类型": F.when(kind == "error", "D").when(kind == "view", "?").otherwise((k % 2).cast("string")), "委托号": ident}
+    rows = e.select(*(c.alias(name.encode("gb18030").decode("latin-1")) for name, c in cells.items()), F.date_format(ts, "yyyyMMdd").alias("trade_date"), F.floor(F.col("user_id") / 75).alias("symbol"))
+    rows.repartition("trade_date", "symbol").write.partitionBy("trade_date", "symbol").option("header", True).option("encoding", "ISO-8859-1").csv(to)
+    return to
+
+
+_L2 = "event_id AS seq, (epoch_us(ts) - epoch_us(ts::DATE::TIMESTAMP)) // 1000 AS time, ROUND(round((value + 10) * 10000) / 10000, 6) + 0.0 AS price, (event_id % 50 + 1) * 100.0::DOUBLE AS volume"
+_PLACE = "(user_id // 75)::VARCHAR AS symbol, ts::DATE AS trade_date FROM events"
+
+
+@query(f"SELECT {_L2}, CASE event_type WHEN 'click' THEN 0 WHEN 'signup' THEN 1 ELSE CASE WHEN event_id % 2 = 0 THEN -1 ELSE -11 END END AS side, event_id::VARCHAR AS deal_id, (event_id % 97)::VARCHAR AS buy_id, (event_id % 97)::VARCHAR AS sell_id, {_PLACE} WHERE event_type IN ('click', 'signup', 'error')")
+def read_l2_csv_day(spark, d):
+    """Trades of all days and symbols from level-2 text folders."""
+    return rounded(readers.read_l2_csv_day(spark, _l2_folders(spark, d, "deal"), "deal", files="part-*.csv"), "price")
+
+
+@query(f"SELECT {_L2}, CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN -1 ELSE -11 END ELSE event_id % 2 + CASE WHEN event_id % 2 = 1 THEN 10 ELSE 0 END END AS type, (event_id % 97)::VARCHAR AS id, {_PLACE} WHERE event_type <> 'view'")
+def read_l2_csv_orders(spark, d):
+    """Orders of all days and symbols from level-2 text folders."""
+    return rounded(readers.read_l2_csv_day(spark, _l2_folders(spark, d, "order"), "order", files="part-*.csv"), "price")

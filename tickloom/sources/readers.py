@@ -163,16 +163,24 @@ def code_of(c: str, codes: dict[str, int]) -> Column:
     return F.try_element_at(table, F.upper(F.trim(F.col(c))))
 
 
-def read_l2_csv_day(spark: SparkSession, path: str, what: str, scale: float = 1e4, encoding: str = "GB18030") -> DataFrame:
+def _l2_place(rows: DataFrame, *columns: Column | str) -> DataFrame:
+    """symbol and trade_date from the two folders above each file, named plainly or as name=value."""
+    place = F.split(F.col("_metadata.file_path"), "/")
+    named = lambda k: F.regexp_replace(F.element_at(place, k), "^[^=]*=", "")
+    return rows.select(*columns, named(-2).alias("symbol"), F.to_date(named(-3), "yyyyMMdd").alias("trade_date"))
+
+
+def read_l2_csv_day(spark: SparkSession, path: str, what: str, scale: float = 1e4, files: str | None = None) -> DataFrame:
     """Level-2 trades or orders of all symbols and days under path/<date>/<symbol>/, typed, by time and sequence.
 
-    The folder names give symbol and date; prices are divided by `scale`; rows of no known code go.
+    Files are in GB18030, which Spark doesn't decode, but only their headers leave ASCII, and no byte of a Chinese letter
+    is one of a delimiter, quote or line end: so bytes are read one by one. The folder names give symbol and date; prices are divided by `scale`; rows of no known code go. `files` is the name or
+    pattern of the files in a folder, <what>.csv if none is given.
     """
     from tickloom.functions.scalars import day_millis, plain_id
 
-    raw = spark.read.schema(L2_FILES[what]).option("header", True).option("encoding", encoding).csv(f"{path}/*/*/{what}.csv")
-    place = F.split(F.col("_metadata.file_path"), "/")
-    rows = raw.select("*", F.element_at(place, -2).alias("symbol"), F.to_date(F.element_at(place, -3), "yyyyMMdd").alias("trade_date"))
+    raw = spark.read.schema(L2_FILES[what]).option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/*/*/{files or f'{what}.csv'}")
+    rows = _l2_place(raw, "*")
     rows = rows.withColumn("time", day_millis("time")).withColumn("price", F.col("price") / scale)
     if what == "deal":
         rows = rows.withColumn("side", code_of("side", TRADE_SIDES))
@@ -185,15 +193,14 @@ def read_l2_csv_day(spark: SparkSession, path: str, what: str, scale: float = 1e
     return rows.withColumn("type", code).withColumn("id", plain_id("id")).drop("side", "kind").where("type is not null")
 
 
-def read_l2_quotes(spark: SparkSession, path: str, scale: float = 1e4, levels: int = 10, encoding: str = "GB18030") -> DataFrame:
+def read_l2_quotes(spark: SparkSession, path: str, scale: float = 1e4, levels: int = 10, files: str = "quote.csv") -> DataFrame:
     """Ten-level snapshots as arrays of prices and volumes."""
     from tickloom.functions.scalars import day_millis
 
     sides = [f"{side}_{what}{k}" for side in ("bid", "ask") for what in ("price", "volume") for k in range(1, levels + 1)]
-    raw = spark.read.schema("time string, price double, volume double, turnover double, " + ", ".join(f"{c} double" for c in sides)).option("header", True).option("encoding", encoding).csv(f"{path}/*/*/quote.csv")
-    place = F.split(F.col("_metadata.file_path"), "/")
+    raw = spark.read.schema("time string, price double, volume double, turnover double, " + ", ".join(f"{c} double" for c in sides)).option("header", True).option("encoding", "ISO-8859-1").csv(f"{path}/*/*/{files}")
     row = lambda side, what, by: F.array(*(F.coalesce(F.col(f"{side}_{what}{k}"), F.lit(0.0)) / by for k in range(1, levels + 1))).alias(f"{side}_{what}")
-    return raw.select(F.element_at(place, -2).alias("symbol"), F.to_date(F.element_at(place, -3), "yyyyMMdd").alias("trade_date"), day_millis("time").alias("time"), (F.col("price") / scale).alias("price"), "volume", "turnover", row("bid", "price", scale), row("ask", "price", scale), row("bid", "volume", 1.0), row("ask", "volume", 1.0))
+    return _l2_place(raw, day_millis("time").alias("time"), (F.col("price") / scale).alias("price"), "volume", "turnover", row("bid", "price", scale), row("ask", "price", scale), row("bid", "volume", 1.0), row("ask", "volume", 1.0))
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:
