@@ -305,6 +305,18 @@ def effective_metrics(spark, d):
     return rounded(ev.effective_metrics(panel(spark, d), ["month"], "x", "y", "symbol", normalize="rank"), "coverage", "rank_ic", "top_bottom", "monotonicity", *_DECILES)
 
 
+_PURE = f"""{PANEL.replace('panel AS (', 'panel0 AS (')}, ranked AS (SELECT *, {RANK.format('x')} AS v FROM panel0), {NEUTRAL.replace('volume', 'v').replace('FROM panel)', 'FROM ranked)').replace(' t AS (', ' sections AS (').replace('FROM t)', 'FROM sections)')},
+panel AS (SELECT symbol, month, y, industry, size, CASE WHEN n >= 20 AND k >= 2 AND stddev_pop(res) OVER (PARTITION BY month) > 1e-12 THEN ROUND(-res / stddev_pop(res) OVER (PARTITION BY month), 9) END AS x FROM u)"""
+
+
+@query(f"WITH {METRICS.replace(PANEL, _PURE)} {_METRIC}")
+def effective_metrics_neutral(spark, d):
+    """Metrics of ranks that industry and size don't explain, with the sign turned."""
+    pure = cs.preprocess_factor(panel(spark, d), ["month"], "x", "rank", ("size", "industry"), -1, "_x")
+    told = pure.withColumn("x", F.round("_x", 9)).select("symbol", "month", "x", "y")  # so that noise doesn't break ties
+    return rounded(ev.factor_metrics(told, ["month"], "x", "y", "symbol"), "coverage", "rank_ic", "top_bottom", "monotonicity", *_DECILES)
+
+
 _WINDOWS = {"direction_adjusted_ic": "avg(-rank_ic)", "ic_win_rate": "avg((-rank_ic > 0)::INTEGER)", "cumulative_ic": "coalesce(sum(-rank_ic), 0)", "cumulative_long_short": "coalesce(sum(top_bottom), 0)", "long_short_same_direction": "avg((top_bottom > 0)::INTEGER)", "monotonic_same_direction": "avg((monotonicity > 0)::INTEGER)", "average_coverage": "avg(coverage)", "average_sample_count": "avg(valid)", "historical_ic": "avg(rank_ic)", "icir": "avg(-rank_ic) / stddev_samp(rank_ic)"} | {c: f"avg({c})" for c in _DECILES}
 _HAC_T = "hw AS (SELECT size, -rank_ic AS v, count(rank_ic) OVER (PARTITION BY size) AS n, avg(-rank_ic) OVER (PARTITION BY size) AS m, row_number() OVER (PARTITION BY size ORDER BY month) AS i FROM win WHERE rank_ic IS NOT NULL), hl AS (SELECT DISTINCT size, n, m, CAST(greatest(1, least(n - 1, greatest(1, floor(4 * (n / 100.0) ** (2.0 / 9))))) AS INTEGER) AS l FROM hw), hg AS (SELECT a.size, b.i - a.i AS k, sum((a.v - a.m) * (b.v - b.m)) AS s FROM hw a JOIN hw b ON b.size = a.size AND b.i >= a.i JOIN hl ON hl.size = a.size AND b.i - a.i <= l GROUP BY 1, 2), hv AS (SELECT size, any_value(n) AS n, any_value(m) AS m, sum(CASE WHEN k = 0 THEN s ELSE 2 * (1 - k / (l + 1.0)) * s END) / any_value(n) AS v FROM hg JOIN hl USING (size) GROUP BY 1)"
 

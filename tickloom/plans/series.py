@@ -157,16 +157,37 @@ def csi_temporal(spark, d):
     return ts.csi_temporal(b, t).select("symbol", "trade_date", r("ret_252", 4).alias("ret_252"), r("turnover_20").alias("turnover_20"))
 
 
-@query(f"WITH {BARS}, q AS (SELECT symbol, trade_date, close, volume, CASE WHEN day(trade_date) = 1 THEN 2.0::DOUBLE ELSE 1.0 END AS split FROM bars), x AS (SELECT *, coalesce(exp(sum(ln(split)) OVER (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)), 1) AS factor FROM q) SELECT symbol, trade_date, {rnd('factor', 4)} AS factor, {rnd('volume / factor')} AS volume FROM x")
+_PRICES = ("open", "high", "low", "close")
+_SPLIT = "CASE WHEN day(trade_date) <= 7 AND month(trade_date) = 1 THEN 1.37 ELSE 1 END::DOUBLE"
+
+
+@query(f"""WITH {BARS}, q AS (SELECT symbol, trade_date, volume, {', '.join(f'{c} * sqrt(0.5) AS {c}' for c in _PRICES)}, {_SPLIT} AS split, close * sqrt(0.5) * sqrt(0.83 + symbol % 10 / 100.0) AS adjclose FROM bars), x AS (SELECT *, coalesce(exp(sum(ln(split)) OVER (PARTITION BY symbol ORDER BY trade_date ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)), 1) AS factor FROM q)
+SELECT symbol, trade_date, {rnd('factor', 4)} AS factor, {rnd('volume / factor')} AS volume, {', '.join(f"{rnd(f'{c} * factor', 3)} AS {c}, {rnd(f'{c} * adjclose / close')} AS adj_{c}" for c in _PRICES)} FROM x""")
 def split_unadjust(spark, d):
-    q = bars(spark, d).withColumn("split", F.when(F.dayofmonth("trade_date") == 1, 2.0).otherwise(1.0)).withColumn("adjclose", F.col("close") * 0.9)
-    return ts.split_unadjust(q).select("symbol", "trade_date", r("factor", 4).alias("factor"), r("volume").alias("volume"))
+    """Raw and adjusted prices and volumes behind several splits."""
+    day = F.when((F.dayofmonth("trade_date") <= 7) & (F.month("trade_date") == 1), 1.37).otherwise(1.0)
+    q = bars(spark, d).withColumns({c: F.col(c) * F.sqrt(F.lit(0.5)) for c in _PRICES}).withColumn("split", day).withColumn("adjclose", F.col("close") * F.sqrt(0.83 + F.col("symbol") % 10 / 100))
+    out = rounded(rounded(ts.split_unadjust(q), *_PRICES, n=3), "volume", *(f"adj_{c}" for c in _PRICES))
+    return rounded(out, "factor", n=4).select("symbol", "trade_date", "factor", "volume", *(x for c in _PRICES for x in (c, f"adj_{c}")))
+
+
+#: The change of the adjustment ratio that a day's split and dividend ask for; every tenth symbol forgets its splits.
+_STEP = "split * (1 + dividend / (before - dividend))"
 
 
-@query(f"WITH {BARS}, x AS (SELECT symbol, trade_date, close, close * (1 + symbol / 100.0) AS adj, lag(close) {WIN}) AS p FROM bars) SELECT symbol, trade_date, CASE WHEN p IS NOT NULL THEN 1.0 END AS expected_ratio, CASE WHEN p IS NOT NULL THEN true END AS agrees FROM x")
+@query(f"""WITH {BARS}, p AS (SELECT symbol, trade_date, close, lag(close) {WIN}) AS before, {_SPLIT} AS split FROM bars), q AS (SELECT *, CASE WHEN day(trade_date) = 15 THEN 0.02 * least(close, before) ELSE 0 END AS dividend FROM p),
+s AS (SELECT *, CASE WHEN before IS NULL THEN 1 WHEN symbol % 10 = 0 THEN 1 + dividend / (before - dividend) ELSE {_STEP} END AS step FROM q), t AS (SELECT *, exp(sum(ln(step)) {WIN} ROWS UNBOUNDED PRECEDING)) AS adjustment FROM s)
+SELECT symbol, trade_date, {rnd('CASE WHEN before IS NOT NULL THEN ' + _STEP + ' END')} AS expected_ratio, {rnd(f'adjustment / lag(adjustment) {WIN})')} AS actual_ratio, abs(adjustment / lag(adjustment) {WIN}) - {_STEP}) <= 1e-3 AS agrees FROM t""")
 def corporate_action_check(spark, d):
-    q = bars(spark, d).select("symbol", "trade_date", "close", (F.col("close") * (1 + F.col("symbol") / 100.0)).alias("adj_close"), F.lit(1.0).alias("split"), F.lit(0.0).alias("dividend"))
-    return ts.corporate_action_check(q).select("symbol", "trade_date", "expected_ratio", "agrees")
+    """Splits and dividends against the change of the adjusted close; some of them disagree."""
+    w = Window.partitionBy("symbol").orderBy("trade_date")
+    day = F.when((F.dayofmonth("trade_date") <= 7) & (F.month("trade_date") == 1), 1.37).otherwise(1.0)
+    q = bars(spark, d).select("symbol", "trade_date", "close", F.lag("close").over(w).alias("before"), day.alias("split"))
+    q = q.withColumn("dividend", F.when(F.dayofmonth("trade_date") == 15, 0.02 * F.least("close", "before")).otherwise(0.0))
+    paid = 1 + F.col("dividend") / (F.col("before") - F.col("dividend"))
+    step = F.when(F.col("before").isNull(), 1.0).when(F.col("symbol") % 10 == 0, paid).otherwise(F.col("split") * paid)
+    q = q.withColumn("adj_close", F.col("close") * F.exp(F.sum(F.log(step)).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    return rounded(ts.corporate_action_check(q).select("symbol", "trade_date", "expected_ratio", "actual_ratio", "agrees"), "expected_ratio", "actual_ratio")
 
 
 QUARTERS = "q AS (SELECT o_custkey % 50 AS symbol, year(o_orderdate) AS y, last_day(date_trunc('quarter', o_orderdate) + INTERVAL 2 MONTH) AS period, sum(o_totalprice) AS v FROM orders GROUP BY 1, 2, 3), c AS (SELECT symbol, y, period, sum(v) OVER (PARTITION BY symbol, y ORDER BY period) AS v FROM q)"
