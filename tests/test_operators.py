@@ -195,3 +195,60 @@ def test_running_sums_equal_sliding_frames(spark):
             if r[f"m{n}"] is not None:
                 assert r[f"m{n}"] == pytest.approx(r[f"wm{n}"], rel=1e-13) and r[f"d{n}"] == pytest.approx(r[f"wd{n}"], abs=1e-6)
                 assert (r[f"d{n}"] == 0) == (r[f"wd{n}"] == 0)
+
+
+def test_macd_equals_its_recurrence(spark):
+    import random
+
+    rng = random.Random(8)
+    prices = {"a": [10 + rng.random() for _ in range(60)], "b": [5.0, None, 6.0, None, None, 7.0, 6.5]}
+    df = spark.createDataFrame([(s, k, v) for s, vs in prices.items() for k, v in enumerate(vs)], "symbol string, trade_date int, close double")
+    got = {(r.symbol, r.trade_date): r.macd_strength for r in timeseries.macd_strength(df).collect()}
+
+    def means(values, span):
+        """Weights of older values decay with time, missing ones included."""
+        alpha, out, mean, weight = 2 / (span + 1), [], None, 1.0
+        for v in values:
+            if mean is None:
+                mean = v
+            else:
+                weight *= 1 - alpha
+                if v is not None:
+                    mean = (weight * mean + alpha * v) / (weight + alpha)
+                    weight = 1.0
+            out.append(mean)
+        return out
+
+    for s, vs in prices.items():
+        line = [f - w for f, w in zip(means(vs, 12), means(vs, 26), strict=True)]
+        for k, (x, signal, close) in enumerate(zip(line, means(line, 9), vs, strict=True)):
+            assert got[s, k] is None if close is None else got[s, k] == pytest.approx((x - signal) / close, abs=1e-12)
+
+
+def test_block_bootstrap_equals_drawn_blocks(spark):
+    import statistics
+
+    values = [float(k * k % 13) for k in range(50)]
+    df = spark.createDataFrame(list(enumerate(values)), "t int, v double")
+    draws, block, seed = 40, 7, 7
+    blocks = -(-len(values) // block)
+    starts = spark.range(draws).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("id", F.pmod(F.xxhash64("id", "k", F.lit(seed)), F.lit(len(values) - block + 1)).alias("a")).collect()
+    drawn = {}
+    for r in starts:
+        drawn.setdefault(r.id, []).extend(values[r.a : r.a + block])
+    means = sorted(statistics.fmean(x) for x in drawn.values())
+    (got,) = timeseries.block_bootstrap(df, "t", "v", draws, block, seed).collect()
+    assert got.draws == draws and got["mean"] == pytest.approx(statistics.fmean(means))
+    at = lambda q: means[int(q * 39)] + (q * 39 % 1) * (means[min(int(q * 39) + 1, 39)] - means[int(q * 39)])
+    assert (got.p05, got.p50, got.p95) == pytest.approx((at(0.05), at(0.5), at(0.95)), abs=0.05)
+
+
+def test_outlook_knows_no_future_event(spark):
+    day = lambda k: D(2024, 1, k)
+    forecast = spark.createDataFrame([("s", day(2), 1, 10.0, 30.0), ("t", day(9), 2, 900.0, 900.0)], "stock string, ann date, seq long, low double, high double")
+    express = spark.createDataFrame([("s", day(2), 3, None, 1.5, 1.0), ("s", day(20), 4, 40.0, None, None), ("u", day(1), 5, None, 1.0, 0.0)], "stock string, ann date, seq long, explicit double, income double, prior double")
+    events = crosssection.earnings_events(express, forecast, "stock", "ann", "seq")
+    assert sorted((r.stock, r.value) for r in events.collect()) == [("s", 0.2), ("s", 0.4), ("s", 0.5), ("t", 2.0)]
+    members = spark.createDataFrame([("e", day(k), s, w) for k in (1, 5, 10, 25) for s, w in (("s", 1.0), ("t", 3.0), ("x", 9.0))] + [("f", day(5), "x", 1.0)], "etf string, day date, stock string, weight double")
+    got = {(r.etf, r.day.day): (r.coverage, r.outlook) for r in crosssection.earnings_outlook(events, members, "etf", "stock", "day", "ann").collect()}
+    assert got == {("e", 5): (1.0, 0.5), ("e", 10): (4.0, 1.625), ("e", 25): (4.0, 1.6), ("f", 5): (0.0, None)}
