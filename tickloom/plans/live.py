@@ -72,7 +72,7 @@ def run_live(spark: SparkSession, d: str, path: str, retain: int = 16, rows: Dat
 
 def sinks(stream: DataFrame, path: str, retain: int, **more) -> dict[str, DataFrame]:
     parts = {"minutes": lambda b: b.where("minute is not null").drop("counter", "counted"), "counters": lambda b: b.where("counter is not null").select("symbol", "counter", "counted")}
-    return live.run_to_sinks(live.live_minutes(stream, retain=retain, **more), path, parts, "update")
+    return live.run_to_sinks(live.live_minutes(stream, retain=retain, **more), path, parts, "update", partitions=stream.sparkSession.sparkContext.defaultParallelism)
 
 
 def newest(minutes: DataFrame) -> DataFrame:
@@ -288,6 +288,6 @@ def causal_book_stream(spark, d):
     stream = in_batches(rows.where("kind <> 'trade'").unionByName(end), f"{path}/in")
     px = F.col("price") / 1e4
     asked = stream.select("symbol", "ts", F.coalesce("seq", F.lit(0)).alias("seq"), (F.col("channel") == "market").alias("is_book"), F.coalesce(px, F.lit(0.0)).alias("price"), F.coalesce(px * F.col("volume"), F.lit(0.0)).alias("amount"), F.coalesce(F.col("kind") == "cancel", F.lit(False)).alias("cancel"))
-    orders = live.run_to_sinks(live.causal_book(asked), path, {"orders": lambda b: b})["orders"]
+    orders = live.run_to_sinks(live.causal_book(asked), path, {"orders": lambda b: b}, partitions=spark.sparkContext.defaultParallelism)["orders"]
     out = live.near_amounts(orders).withColumn("minute", F.col("minute").cast("timestamp_ntz"))
     return rounded(out, "near_cancel", "near_add", n=4)

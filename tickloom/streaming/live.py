@@ -359,12 +359,13 @@ def clean_sinks(raw: DataFrame, path: str, line: str = "value") -> dict[str, Dat
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
-def run_to_sinks(stream: DataFrame, path: str, sinks: dict[str, Callable[[DataFrame], DataFrame]], mode: str = "append", listen: str | None = None) -> dict[str, DataFrame]:
+def run_to_sinks(stream: DataFrame, path: str, sinks: dict[str, Callable[[DataFrame], DataFrame]], mode: str = "append", listen: str | None = None, partitions: int | None = None) -> dict[str, DataFrame]:
     """Runs a stream over what is there into several tables, and returns them.
 
     Each batch writes its part of every table to a folder with the batch's number, so a batch that runs twice replaces
     what it wrote, and the tables hold each batch exactly once. `listen` names the observation whose metrics
-    (rows, counted) a listener may read while the stream runs.
+    (rows, counted) a listener may read while the stream runs. `partitions` is the number of parts that keyed state is
+    dealt into, which a stream keeps for good once it has started; the session's number of shuffle partitions if none is given.
     """
     spark = stream.sparkSession
     if listen:
@@ -377,12 +378,17 @@ def run_to_sinks(stream: DataFrame, path: str, sinks: dict[str, Callable[[DataFr
             part(batch).write.mode("overwrite").parquet(f"{path}/{name}/batch_id={number}")
         batch.unpersist()
 
-    own = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # keyed maps and timers need it
+    wanted = {PROVIDER: "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}  # keyed maps and timers need it
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
+    own = {c: spark.conf.get(c, None) for c in wanted}
     try:
+        for c, v in wanted.items():
+            spark.conf.set(c, v)
         stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, own) if own else spark.conf.unset(PROVIDER)
+        for c, v in own.items():
+            spark.conf.set(c, v) if v else spark.conf.unset(c)
     return {name: spark.read.option("basePath", f"{path}/{name}").parquet(f"{path}/{name}/batch_id=*") for name in sinks}
 
 
