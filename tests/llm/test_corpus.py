@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -657,6 +658,65 @@ def test_long_and_repetitive_texts_are_searched_in_segments():
     assert got == {1: (text.find(decontamination.plain(item).encode()), 0), 2: (0, 0)} and time.process_time() - began < 60
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+def test_shared_instructions_and_runs_cost_little():
+    rng = random.Random(17)
+    shared = "answer the following question with one letter and explain it well"
+    items = [f"{shared} {prose(rng, rng.choice([15, 40]))}" for _ in range(2000)]
+    cut = items[7][:80] + "qq" + items[7][84:]
+    many = decontamination.Items(list(range(2000)), items)
+    letters = decontamination.Items([1, 2, 3], ["a" * 1500, "a" * 1500 + "b", "ab" * 700 + "c" * 300])
+    cases = [
+        (many, f"{prose(rng, 300)} {shared} {prose(rng, 300)}", set()),
+        (many, " ".join(f"{shared} {prose(rng, 10)}" for _ in range(200)), set()),
+        (many, " ".join([shared] * 200 + [cut, shared, items[1999]]), {7, 1999}),
+        (letters, "a" * 1_000_000, {1, 2}),
+        (letters, "ab" * 8000, set()),
+    ]
+    for found, text, want in cases:
+        began = time.process_time()
+        assert {x[0] for x in found.found(text.encode())} == want
+        assert time.process_time() - began < 4
+        tracemalloc.start()
+        found.found(text.encode(), first=True)
+        assert tracemalloc.get_traced_memory()[1] < 300 << 20
+        tracemalloc.stop()
+
+
+def test_common_grams_and_equal_items_leave_results_alone(monkeypatch):
+    rng = random.Random(18)
+    shared = "select the best answer of the four given below "
+    items = [shared + prose(rng, rng.randint(8, 30)) for _ in range(30)] + ["the same question asked for a second time"] * 2
+    parts = [prose(rng, 30)]
+    for item in rng.sample(items, 12):
+        cut = list(item)
+        for _ in range(rng.randint(0, decontamination.edits_allowed(len(item)))):
+            cut[rng.randrange(len(cut))] = "z"
+        parts += ["".join(cut), prose(rng, 5)]
+    text = " ".join([*parts, items[-1]]).encode()
+    whole = decontamination.Items(list(range(32)), items).found(text)
+    assert {30, 31} <= {x[0] for x in whole} and len(whole) > 10
+    for common, cells in ((4, 1 << 16), (0, 64)):
+        monkeypatch.setattr(decontamination, "COMMON", common)
+        monkeypatch.setattr(decontamination, "CELLS", cells)
+        assert decontamination.Items(list(range(32)), items).found(text) == whole
+
+
+def test_long_items_with_few_edits_need_a_narrow_band():
+    rng = random.Random(19)
+    item = prose(rng, 8000)
+    cut = list(item)
+    for at in rng.sample(range(len(cut)), 100):
+        cut[at] = "0"
+    text = f"{prose(rng, 500)} {''.join(cut)} {prose(rng, 500)}".encode()
+    began = time.process_time()
+    ((_, start, end, edits),) = decontamination.Items([5], [item]).found(text)
+    assert edits == 100 and text[start:end].decode() == "".join(cut) and time.process_time() - began < 60
+
+
 def test_items_in_several_chunks_find_the_same(spark, monkeypatch):
     d, bench = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {tuple(r) for r in decontamination.contaminations(d, bench).collect()}
