@@ -458,6 +458,28 @@ def test_license_rules_find_what_they_are_written_for():
             assert any(a <= 3 and 3 + len(text.strip()) <= b for a, b, *_ in there), (rule, text, there)
 
 
+#: Written by hand, apart from the rules: ways to name a license, and words that name none.
+NAMED = {
+    "BSD 3-Clause License": "bsd", "BSD-3-Clause": "bsd", "the three-clause BSD license": "bsd", "GPL-3.0": "gpl", "LGPL-2.1": "lgpl", "MPL-2.0": "mpl",
+    "Apache-2.0 licensed": "apache", "Apache 2.0 licensed": "apache", "GNU GPL version 3": "gpl", "GPL, version 2 or later": "gpl", "License: MIT": "mit", "License: Apache-2.0": "apache",
+    '"license": "MIT"': "mit", "license = 'GPL-2.0-or-later WITH Classpath-exception-2.0 OR MIT'": "classpath-exception,gpl,mit", "licenses: [BSD-2-Clause]": "bsd", "AGPL-3.0-only": "agpl",
+    "CC-BY-SA-4.0": "cc-by-sa", "this crate is MIT-licensed": "mit", "MIT licensed": "mit", "EPL-2.0 or EUPL-1.2": "epl,eupl", "ISC licensed": "isc", "under the Apache 2.0 license": "apache",
+}
+UNNAMED = [
+    "Apache 2.0 server", "python-2.0 was released", "php-3.0 manual", "BSD sockets", "License: none of your business", "MIT researchers", "xgpl-3.0", "gpl-3.0x", "gpl-3.0.1.tar", "my-mpl-2.0",
+    "license: see the file", "clause 3 of the contract", "the zlib module", "a licensed driver", "epl-20 clubs", "MIT, a school", "driving licence: 12", "under the table",
+]
+
+
+def test_license_names_written_apart_from_the_rules():
+    for text, want in NAMED.items():
+        for whole in (text, f"x ({text}), y", f"# {text}\n"):
+            assert licenses.scan(whole)[5] == want, whole
+    for text in UNNAMED:
+        for whole in (text, f"x. {text} y\n"):
+            assert licenses.scan(whole)[5] == "", (whole, licenses.scan(whole)[7])
+
+
 def test_spdx_expressions_give_every_label():
     cases = {
         "spdx-license-identifier: gpl-3.0-or-later and mit": "gpl mit",
@@ -562,6 +584,17 @@ def test_secrets_beside_allowed_words_and_signatures(spark):
     assert all("entropy" not in x for x in spans[-len(none) :]), spans[-len(none) :]
 
 
+def test_windows_have_classes_of_their_own(spark, monkeypatch):
+    found = ["ghp_16C7e42F292c6912E7710c838347Ae178B4a", "Key/9f86d081884c7d659a2feaa0c55ad015x", "ID_3k9x2m7q1z8w4v6b0n5c_x"]
+    none = ["ORDER_20240101123456789012", "Data/some_dir_2024_03_report", "ID=550e8400-e29b-41d4-a716-446655440000", "getSomeVeryLongNameOfThings1"]
+    spans = lambda: [r.spans for r in secrets.digest(docs(spark, [*found, *none])).orderBy("doc_id").collect()]
+    got = spans()
+    monkeypatch.setattr(secrets, "RUNS", {})
+    before = spans()
+    assert got[0] == "entropy:0:40" and before[0] == "" and all(got[: len(found)])
+    assert got[len(found) :] == before[len(found) :]  # runs add nothing to dates, folders, identifiers and names
+
+
 def test_long_texts_of_secrets_take_linear_time(spark):
     rng = random.Random(13)
     line = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))

@@ -1,9 +1,9 @@
 """License scans by ordered signature rules.
 
 Hand-written expressions stand for titles, notices, grants, clauses and web addresses of license texts; for each license
-of a table, three rules more are made of its name. One keyword search over a text tells which rules can match at all:
+of a table, up to six rules more are made of its name and identifier. One keyword search over a text tells which rules can match at all:
 each has its own rare word. What lies between words (white space, line ends, comment marks) counts as one space, and an
-offset map leads matches back to the text. SPDX expressions yield each of their terms. A detection that lies inside the
+offset map leads matches back to the text. SPDX expressions, also as the values of license fields, yield each of their terms. A detection that lies inside the
 interval of one with a higher priority, or of a longer one with the same, is dropped.
 """
 
@@ -120,6 +120,9 @@ TEXTS = (
     ("bsd", "advertising", r"all advertising materials mentioning features or use of this software must display the following acknowledg(?:e)?ment"),
     ("bsd", "provided", r"this software is provided by the (?:copyright holders?|regents|author)(?: and contributors)? .{0,2}as is.{0,2}"),
     ("bsd", "opensource.org/licenses/bsd", r"https?://(?:www\.)?opensource\.org/licenses/bsd-(?:license|[23]-clause)(?:\.php|\.html)?"),
+    ("bsd", "bsd", r"(?<![\w-])bsd[ -][0-4][ -]clause(?:[ -](?:clear|patent|modification|licen[cs]e))?(?![\w-])"),
+    ("bsd", "clause", r"(?<![\w-])(?:zero|two|three|four|[0-4])[ -]clause (?:modified |simplified |new )?(?:bsd|berkeley)(?: licen[cs]e)?(?!\w)"),
+    ("bsd", "berkeley", r"(?<!\w)berkeley software distribution licen[cs]e(?!\w)"),
     ("bsd", "bsd-style", r"(?:governed|licensed) (?:by|under) a bsd-style licen[cs]e"),
     ("ncsa", "illinois", r"university of illinois[/ ]ncsa open source license"),
     ("openssl", "openssl", r"this product includes software developed by the openssl project"),
@@ -141,6 +144,9 @@ TEXTS = (
     ("gpl", "gnu.org/", r"https?://www\.gnu\.org/(?:licenses|copyleft)/gpl(?:-[123]\.0)?(?:\.(?:html|txt))?"),
     ("gpl", "copyleft", r"the gnu general public license is a free, copyleft license for software and other kinds of works"),
     ("gpl", "general", r"gnu general public license version [123], (?:june 1991|29 june 2007|february 1989)"),
+    ("gpl", "gpl", r"(?<![\w-])(?:gnu )?gpl,? (?:version|ver\.?|v\.) ?[123](?:\.0)?(?:\+|,? or (?:\(at your option\) )?(?:any )?later(?: version)?)?(?![\w-]|\.\d)"),
+    ("lgpl", "lgpl", r"(?<![\w-])(?:gnu )?lgpl,? (?:version|ver\.?|v\.) ?(?:2\.[01]|[23])(?:\.0)?(?:\+|,? or (?:any )?later(?: version)?)?(?![\w-]|\.\d)"),
+    ("agpl", "agpl", r"(?<![\w-])(?:gnu )?agpl,? (?:version|ver\.?|v\.) ?[13](?:\.0)?(?:\+|,? or (?:any )?later(?: version)?)?(?![\w-]|\.\d)"),
     ("lgpl", "gnu", r"under the terms of the gnu (?:lesser|library) general public license"),
     ("lgpl", "lesser", r"this (?:program|library|software) is distributed in the hope that it will be useful.{0,220}? see the gnu lesser general public license"),
     ("lgpl", "lgpl", r"(?<!\w)(?:gnu )?lgpl ?v?(?:2\.1|2|3)(?:\.0)?(?:\+| or later)?(?!\w)"),
@@ -235,6 +241,8 @@ TEXTS = (
     ("non-commercial", "non-commercial", r"for (?:personal(?: and|, ?| or) ?)?(?:educational(?:,| and| or) ?)?(?:research )?non-commercial (?:use|purposes) only"),
     ("evaluation", "evaluation", r"licensed for evaluation (?:purposes )?only"),
 )
+#: Stems whose identifiers name releases of software too: outside of license lines they aren't identifiers.
+SOFTWARE = {"Python", "PHP", "Libpng", "Elastic", "PSF"}
 #: Confidence of each kind of rule, which is also its priority.
 TAG, TEXT, VERSION, TERMS, NAME = 1.0, 0.95, 0.9, 0.8, 0.6
 PRIORITIES = (TAG, TEXT, VERSION, TERMS, NAME)
@@ -255,12 +263,17 @@ class Rule:
 def rules() -> tuple[Rule, ...]:
     """All rules, those of higher priority first; SPDX terms are a table, see `spdx_terms`."""
     out = [Rule(label, TEXT, (keyword,), re.compile(pattern)) for label, keyword, pattern in TEXTS]
-    for label, _, versions, keywords, name in LICENSES:
+    for label, stem, versions, keywords, name in LICENSES:
         words = tuple(keywords.split())
         if versions:
             digits = "|".join(re.escape(v.removesuffix(".0")) + (r"(?:\.0)?" if v.endswith(".0") else "") for v in sorted(versions.split(), key=len, reverse=True))
             out.append(Rule(label, VERSION, words, re.compile(rf"(?<!\w){name} licen[cs]e,? (?:\(\w{{2,8}}\),? )?(?:version |v\.? ?)?(?:{digits})(?!\.?\d)"), "licen"))
+            out.append(Rule(label, VERSION, words, re.compile(rf"(?<![\w-]){name}[ -](?:version |v\.? ?)?(?:{digits})[ -]licen[cs]ed?(?!\w)"), "licen"))
+            if stem not in SOFTWARE and stem != "BSD":
+                whole = "|".join(re.escape(v) for v in sorted(versions.lower().split(), key=len, reverse=True))
+                out.append(Rule(label, VERSION, (stem.lower(),), re.compile(rf"(?<![\w.-]){re.escape(stem.lower())}-(?:{whole})(?:-only|-or-later|\+)?(?![\w+-]|\.\w)")))
         out.append(Rule(label, TERMS, words, re.compile(rf"(?:licensed|released|distributed|available|provided) under (?:the )?(?:terms (?:and conditions )?of )?(?:the )?{name}(?: licen[cs]e)?(?!\w)"), "under"))
+        out.append(Rule(label, TERMS, words, re.compile(rf"(?<![\w-]){name}[ -]licen[cs]ed(?!\w)"), "licen"))
         out.append(Rule(label, NAME, words, re.compile(rf"(?<!\w){name} licen[cs]e(?!\w)"), "licen"))
     return tuple(sorted(out, key=lambda r: -r.priority))
 
@@ -273,6 +286,9 @@ def spdx_terms() -> dict[str, str]:
 
 SPDX = "spdx-license-identifier"
 _SPDX_LINE = re.compile(SPDX + r":[ \t]*([^\n\r]*)")
+#: A field of package metadata, whose value is an expression too; it ends where other words begin.
+_FIELD = re.compile(r"""(?<![\w-])licen[cs]es?["']?[ \t]*(?::|=>?)[ \t]*[\[({"']*([^\n\r,;}\]"']{1,200})""")
+_JOINS = {"and", "or", "with", "the", "license", "licence", "gnu", "version"}
 _SPDX_WORD = re.compile(r"[a-z0-9][a-z0-9.+-]*")
 _SPDX_ENDING = re.compile(r"(?:-only|-or-later|-clause(?:-[a-z]+)?|\+)$")
 #: Gaps between words that aren't one space: white space with or without a comment mark.
@@ -312,6 +328,13 @@ def spdx(low: str) -> set[tuple[int, int, str, float]]:
             label = spdx_terms().get(m[0]) or spdx_terms().get(_SPDX_ENDING.sub("", m[0]))
             if label:
                 out.add((m.start(), m.end(), label, TAG))
+    for field in _FIELD.finditer(low):
+        for m in _SPDX_WORD.finditer(low, field.start(1), field.end(1)):
+            label = spdx_terms().get(m[0]) or spdx_terms().get(_SPDX_ENDING.sub("", m[0]))
+            if label:
+                out.add((m.start(), m.end(), label, TAG))
+            elif m[0] not in _JOINS and "exception" not in m[0]:
+                break
     return out
 
 
@@ -333,7 +356,7 @@ def detections(low: str) -> list[tuple[int, int, str, float]]:
     there = {word for _, word in _keywords().iter(low)}
     if not there:
         return []
-    found = spdx(low) if SPDX in there else set()
+    found = spdx(low) if "licen" in there else set()
     able = [r for r in rules() if (not r.also or r.also in there) and not there.isdisjoint(r.keywords)]
     if able:
         text, places, added = folded(low)

@@ -31,7 +31,10 @@ WINDOW = 20
 PIECE = 128
 #: Bits that the greatest window entropy of a class must reach: of hexadecimal strings, one letter case, and all others.
 LEAST_BITS = {r"^[0-9a-fA-F]+$": 2.9, r"^([0-9a-z_=-]+|[0-9A-Z_=-]+)$": 3.55, r"": 3.75}
+#: Runs of a class within a string of a wider one: bits, and how often a letter must follow a digit.
+RUNS = {r"[0-9a-fA-F]{20,}": (2.9, 2), r"[0-9a-z_=-]{20,}": (3.55, 3), r"[0-9A-Z_=-]{20,}": (3.55, 3)}
 #: Strings that are no secrets as a whole: identifiers of 8-4-4-4-12, paths of plain words.
+IDENTIFIER = r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"^/?(?:[A-Za-z]{2,15}[0-9]{0,4}[/_=-]+)++[A-Za-z]{0,15}[0-9]{0,4}$",
@@ -144,7 +147,11 @@ def _entropy(text: Column, window: int, uncounted: str | None) -> Column:
 
 
 def secretive(candidate: Column) -> Column:
-    """Whether a string of digits and letters has a window that counts of its class's entropy, and it isn't allowed."""
+    """Whether a string of digits and letters has a window that counts of its class's entropy, and it isn't allowed.
+
+    A string of a wide class may hold a run of a narrower one, as a hexadecimal key behind a prefix: windows of such a run
+    in which digits and letters alternate are of the run's class.
+    """
     least = F.lit(None).cast("double")
     for pattern, bits in reversed(LEAST_BITS.items()):
         least = F.when(candidate.rlike(pattern), F.lit(bits)).otherwise(least) if pattern else F.lit(bits)
@@ -152,7 +159,15 @@ def secretive(candidate: Column) -> Column:
     for pattern in ALLOWED:
         allowed = allowed | candidate.rlike(pattern)
     reached = lambda own, uncounted: F.exists(pieces(own["value"]), lambda p: _entropy(p, WINDOW, uncounted) >= own["least"])
-    enough = let(F.struct(candidate.alias("value"), least.alias("least")), lambda own: F.when(own["value"].rlike(UNCOUNTED), reached(own, UNCOUNTED)).otherwise(reached(own, None)))
+    judged = lambda value, bits: let(F.struct(value.alias("value"), bits.alias("least")), lambda own: F.when(own["value"].rlike(UNCOUNTED), reached(own, UNCOUNTED)).otherwise(reached(own, None)))
+    enough = judged(candidate, least)
+
+    def has(pattern: str, bits: float, changes: int) -> Column:
+        runs = F.regexp_extract_all(candidate, F.lit(pattern), F.lit(0))
+        return F.exists(runs, lambda x: (F.regexp_count(x, F.lit("[0-9][A-Za-z]")) >= changes) & ~x.rlike(IDENTIFIER) & judged(x, F.lit(bits)))
+
+    for pattern, (bits, changes) in RUNS.items():
+        enough = enough | has(pattern, bits, changes)
     return candidate.rlike("[0-9]") & candidate.rlike("[A-Za-z]") & ~allowed & enough
 
 
