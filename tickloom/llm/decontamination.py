@@ -58,7 +58,11 @@ def edits_allowed(length: int) -> int:
 def grams(data: np.ndarray, q: int = Q) -> np.ndarray:
     """Each place's q bytes as one number."""
     n = len(data) - q + 1
-    return reduce(lambda code, k: (code << _U(8)) | data[q - 1 - k : q - 1 - k + n].astype(_U), range(q), np.zeros(max(n, 0), _U)) if n > 0 else np.empty(0, _U)
+    if n <= 0:
+        return np.empty(0, _U)
+    if q == 8:
+        return np.lib.stride_tricks.sliding_window_view(data, q).copy().view(_U).ravel()
+    return reduce(lambda code, k: (code << _U(8)) | data[q - 1 - k : q - 1 - k + n], range(q), np.zeros(n, _U))
 
 
 class Items:
@@ -174,17 +178,16 @@ class Items:
             low = high
         return [r for r, good in zip(regions, stay.tolist(), strict=True) if good]
 
-    def regions(self, items: np.ndarray, edits: np.ndarray, shared: np.ndarray, places: list[np.ndarray]) -> list[tuple[int, int, int]]:
+    def regions(self, items: np.ndarray, edits: np.ndarray, shared: np.ndarray, places: tuple[np.ndarray, np.ndarray, np.ndarray]) -> list[tuple[int, int, int]]:
         """(item, first and last diagonal) of runs of bands in which enough places of the text share a q-gram with the item.
 
-        shared: the q-grams of the text that items hold; places: where, for each. A posting adds one to an interval of
+        shared: the q-grams of the text that items hold; places: where, and each one's first of these and number. A posting adds one to an interval of
         bands for each place, so counts are running sums over the interval's ends.
         """
         wanted = np.zeros(len(self.texts), bool)
         wanted[items] = True
         width, least = edits + 1, self.least(edits)
-        sizes = np.array([len(p) for p in places], np.int64)
-        flat, starts = np.concatenate(places), np.append(0, np.cumsum(sizes))[:-1]
+        flat, starts, sizes = places
         base, span = -(int(self.longest) + 2), int(flat.max(initial=0)) + int(self.longest) + 8
         keys, weights = [], []
 
@@ -262,7 +265,9 @@ class Items:
             where = part.find(self.texts[i]) if limit[i] >= 0 else -1
             if where >= 0:
                 out[i] = (0, where, where + len(self.texts[i]))
-        places = np.split(at[order], begins[1:]) if len(shared) else []
+        if not len(items):
+            return out
+        places = at[order], begins, np.diff(np.append(begins, len(order)))
         for share in (16, 4, 1):  # few edits first: they need a narrow band only
             left = np.array([i for i in items.tolist() if i not in out and limit[i] > 0 and (share == 1 or self.edits[i] >= 64)], np.int64)
             if len(left):
