@@ -24,7 +24,6 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     A 64-bit hash of all columns stands for the row, so rows without doc_id and rows that repeat one are compared like
     all others. Ties go by that hash; of rows equal in all columns one stays. Blank texts link with nothing and stay.
-    Where several rows of one hash stay, a second hash over the columns in other order tells rows that only share it apart.
     """
     taken = {c.lower() for c in docs.columns}
     row = next(name for name in (f"_row{'_' * k}" for k in range(len(taken) + 1)) if name not in taken)
