@@ -87,6 +87,7 @@ class Items:
         self.flat = np.frombuffer(b"".join(self.texts), np.uint8)
         self.starts = np.append(0, np.cumsum(lengths))
         self._index()
+        self.fewest = int(self.least(self.edits)[self.lengths >= Q].min(initial=1 << 30))
         self.bits = max(16, int(np.ceil(np.log2(max(len(self.codes), 1)))) + 6)
         self.there = np.zeros(1 << self.bits, bool)
         self.there[_slot(self.codes, self.bits)] = True
@@ -257,6 +258,8 @@ class Items:
         gram = np.minimum(np.searchsorted(self.codes, codes[at]), len(self.codes) - 1)
         same = self.codes[gram] == codes[at]
         at, gram = at[same], gram[same]
+        if len(at) < self.fewest:  # each shared q-gram has a place of its own in the text
+            return {}
         order = np.argsort(gram, kind="stable")
         shared, begins = np.unique(gram[order], return_index=True)
         items = self.candidates(part, shared) if len(shared) else shared
