@@ -249,7 +249,7 @@ def late_counters(spark, d):
     return log.groupBy("counter").agg(F.count("*").alias("n"))
 
 
-@query("SELECT 'ok' AS parse_status, count(*) AS n FROM events WHERE event_type <> 'error' UNION ALL SELECT 'bad', count(*) FROM events WHERE event_type = 'error'")
+@query("SELECT CASE WHEN event_type <> 'error' AND value > 0 THEN 'ok' ELSE 'bad' END AS parse_status, count(*) AS n FROM events GROUP BY 1")
 def stream_clean_events(spark, d):
     e = table(spark, d, "events")
     line = F.concat_ws(",", "event_id", "user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")), F.when(F.col("event_type") == "error", F.lit("x")).otherwise(F.col("value").cast("string")), F.lit("100"), F.lit("0"))
