@@ -107,6 +107,15 @@ a AS MATERIALIZED (SELECT * EXCLUDE (minute, before), ts::DATE AS day, minute, C
   coalesce(minute >= max(minute) OVER (PARTITION BY symbol ORDER BY recv, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS shown FROM f WHERE fate = 'accepted_events')"""
 
 
+def quiet_sql(idle: int) -> str:
+    """CTE `quiet`: symbols that the end of the stream finds idle, their last row `idle` seconds behind the newest arrival, and the day that their state holds.
+
+    A symbol's timer is looked at between batches; before its last row a symbol has rows in every batch (`with_quiet` adds ones that haven't).
+    """
+    ms = "epoch_us(max(recv)) // 1000"
+    return f"quiet AS (SELECT symbol, max(ts)::DATE AS day FROM g GROUP BY 1 HAVING {ms} + {idle * 1000} <= (SELECT {ms} FROM g))"
+
+
 def books_sql(retain: int) -> str:
     """CTE `x`: accepted rows with the book that their minute held then (ob) and the causal one (cb), by order struct."""
     cut = f"date_trunc('minute', coalesce(e.before, e.ts)) - INTERVAL {retain} MINUTE"
@@ -175,14 +184,15 @@ def live_minute_metrics(spark, d):
 
 def _counters_sql(retain: int) -> str:
     end = f"date_trunc('minute', latest) - INTERVAL {retain - 1} MINUTE"
-    return f"""WITH {wire_sql()}, {fates_sql(retain)}, {books_sql(retain)}, ends AS (SELECT symbol, day, max(ts) AS latest FROM a GROUP BY ALL), c AS (
+    return f"""WITH {wire_sql()}, {fates_sql(retain)}, {books_sql(retain)}, {quiet_sql(3600)}, ends AS (SELECT symbol, day, max(ts) AS latest, (symbol, day) IN (SELECT (symbol, day) FROM quiet) AS idle FROM a GROUP BY ALL), c AS (
 SELECT fate AS counter, count(*) AS n FROM f GROUP BY 1
 UNION ALL SELECT 'accepted_late_events', count(*) FROM a WHERE ts < before
 UNION ALL SELECT 'older_minute_not_emitted', count(*) FROM a WHERE NOT shown
 UNION ALL SELECT 'daily_resets', count(*) - count(DISTINCT symbol) FROM ends
 UNION ALL SELECT 'missing_causal_book', count(*) FROM y WHERE tested AND coalesce(best, 0) <= 0
-UNION ALL SELECT 'minute_buckets_evicted', count(*) FROM (SELECT DISTINCT symbol, day, minute FROM a) JOIN ends USING (symbol, day) WHERE minute < {end}
-UNION ALL SELECT 'book_history_evicted', count(*) FROM (SELECT DISTINCT symbol, day, ts FROM a WHERE book) JOIN ends USING (symbol, day) WHERE ts < {end} - INTERVAL 1 MINUTE)
+UNION ALL SELECT 'minute_buckets_evicted', count(*) FROM (SELECT DISTINCT symbol, day, minute FROM a) JOIN ends USING (symbol, day) WHERE idle OR minute < {end}
+UNION ALL SELECT 'book_history_evicted', count(*) FROM (SELECT DISTINCT symbol, day, ts FROM a WHERE book) JOIN ends USING (symbol, day) WHERE idle OR ts < {end} - INTERVAL 1 MINUTE
+UNION ALL SELECT 'idle_symbols', count(*) FROM quiet)
 SELECT counter, n::BIGINT AS n FROM c WHERE n > 0"""
 
 
