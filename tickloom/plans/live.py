@@ -217,12 +217,12 @@ _QUIET = f"w AS MATERIALIZED (SELECT * FROM w0 UNION ALL SELECT * REPLACE ('q' |
 _GONE = "symbol LIKE 'q%' AND recv >= (SELECT min(recv) FROM w) + INTERVAL 2 DAY"
 
 
-@query(f"""WITH {wire_sql('w0')}, {_QUIET}, {fates_sql(4)}, ends AS (SELECT symbol, day, max(ts) AS latest FROM a WHERE NOT ({_GONE}) GROUP BY ALL),
+@query(f"""WITH {wire_sql('w0')}, {_QUIET}, {fates_sql(4)}, {quiet_sql(1200)}, ends AS (SELECT symbol, day, max(ts) AS latest, symbol LIKE 'q%' OR (symbol, day) IN (SELECT (symbol, day) FROM quiet) AS idle FROM a WHERE NOT ({_GONE}) GROUP BY ALL),
 own AS (SELECT symbol, max(ts) AS latest FROM g WHERE symbol LIKE 'q%' AND NOT ({_GONE}) GROUP BY 1), c AS (
 SELECT symbol, fate AS counter, count(*) AS n FROM f WHERE NOT ({_GONE}) GROUP BY ALL
 UNION ALL SELECT symbol, CASE WHEN ts::DATE < latest::DATE THEN 'previous_day_rejected' WHEN ts < latest - INTERVAL 150 SECOND THEN 'beyond_lateness_rejected' ELSE 'retention_rejected' END, count(*) FROM g JOIN own USING (symbol) WHERE {_GONE} GROUP BY ALL
-UNION ALL SELECT symbol, 'minute_buckets_evicted', count(*) FROM (SELECT DISTINCT symbol, day, minute FROM a WHERE NOT ({_GONE})) JOIN ends USING (symbol, day) WHERE symbol LIKE 'q%' OR minute < date_trunc('minute', latest) - INTERVAL 3 MINUTE GROUP BY 1
-UNION ALL SELECT DISTINCT symbol, 'idle_symbols', 1 FROM own)
+UNION ALL SELECT symbol, 'minute_buckets_evicted', count(*) FROM (SELECT DISTINCT symbol, day, minute FROM a WHERE NOT ({_GONE})) JOIN ends USING (symbol, day) WHERE idle OR minute < date_trunc('minute', latest) - INTERVAL 3 MINUTE GROUP BY 1
+UNION ALL SELECT symbol, 'idle_symbols', 1 FROM (SELECT symbol FROM own UNION SELECT symbol FROM quiet))
 SELECT symbol, counter, sum(n)::BIGINT AS n FROM c WHERE counter IN ('accepted_events', 'previous_day_rejected', 'beyond_lateness_rejected', 'retention_rejected', 'minute_buckets_evicted', 'idle_symbols') GROUP BY ALL""")
 def state_retention(spark, d):
     """Minutes beyond retention go, silent symbols go when their timer fires, and rows that come for either later are counted."""
