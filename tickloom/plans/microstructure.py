@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.operators import l2
-from tickloom.plans.base import LEVEL2, folder, level2, r, rounded, table
+from tickloom.plans.base import LEVEL2, folder, level2, r, rounded, staged, table
 from tickloom.plans.series import rnd
 from tickloom.streaming import minutes as st
 
@@ -220,15 +220,12 @@ def stream_dedup(spark, d):
 
 
 def _in_batches(spark, d):
-    """events as a stream of three files, one a micro-batch: two halves of the days, then repeated, late and old rows."""
+    """events as a stream of three micro-batches: two halves of the days, then repeated, late and old rows."""
     e = _events(spark, d).withColumn("symbol", F.col("symbol").cast("string"))
     last = e.groupBy("symbol").agg(F.max(F.struct("ts", *(c for c in e.columns if c not in ("symbol", "ts")))).alias("x")).select("symbol", "x.*").select(*e.columns)
     shifted = last.withColumn("ts", F.explode(F.array(*(F.col("ts") - F.make_interval(mins=F.lit(k)) for k in (0, 5, 20)))))
     half = F.to_date("ts") < F.lit("2024-01-16")
-    path = folder(spark)
-    for part in (e.where(half), e.where(~half), e.where("capture_id % 50 = 0").unionByName(shifted)):
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return staged(spark, (e.where(half), e.where(~half), e.where("capture_id % 50 = 0").unionByName(shifted)), folder(spark))
 
 
 #: What becomes of the rows of the third batch; those of the first two are accepted.

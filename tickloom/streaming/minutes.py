@@ -7,6 +7,7 @@ applyInPandasWithState, keyed by symbol.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -55,47 +56,77 @@ def minute_metrics(bars: DataFrame, key: str = "symbol", at: str = "minute") ->
     return bars.select("*", *((ratio(F.col("close"), at_minute("close", n)) - 1).alias(f"ret_{n}m") for n in (1, 3, 5)), (ratio(F.col("close"), ratio(F.col("amount"), F.col("volume"))) - 1).alias("vwap_gap"), z.alias("amount_z"), ratio(F.col("volume"), F.avg("volume").over(before(5))).alias("volume_ratio"))
 
 
-#: A symbol's newest time and day, and the minutes of that day that it keeps, as parallel arrays.
-STATE = "last_us long, day int, minute array<long>, n array<long>, volume array<double>, amount array<double>, close_us array<long>, close array<double>"
+#: The symbols of a bucket with their newest time and day, and the minutes of that day that they keep with the place of their symbol, as parallel arrays.
+STATE = "symbol array<string>, last_us array<long>, day array<int>, owner array<int>, minute array<long>, n array<long>, volume array<double>, amount array<double>, close_us array<long>, close array<double>"
 REVISED = "symbol string, minute timestamp, revision int, n long, volume double, amount double, close double, counter string"
 MINUTE_US, DAY_US = 60_000_000, 86_400_000_000
+NAT = np.iinfo("int64").min  # as a datetime64: none
 
 
-def revised_minutes(events: DataFrame, late_minutes: int = 15, retain: int = 600) -> DataFrame:
+def revised_minutes(events: DataFrame, late_minutes: int = 15, retain: int = 600, buckets: int = 1024) -> DataFrame:
     """Each accepted row emits its minute again with the next revision; rejected rows emit a counter's name.
 
     Rules by symbol: rows older than its latest event less `late_minutes` are beyond_lateness; of an earlier day,
     previous_day; a new day clears the state; a late row of a minute before the newest is counted but its minute isn't
     emitted; minutes before the last `retain` ones are evicted at the end of a batch. Rows of a batch count in order of
-    time. events: symbol, capture_id, ts, price, volume. A symbol's batch is worked on as arrays, row by row never.
+    time. events: symbol, capture_id, ts, price, volume. State is kept by `buckets` of symbols, a number that a
+    stream keeps for good, and a bucket's batch is worked on in one pass over plain values: with some ten rows of a symbol
+    in a batch, a group, a state or a frame for each would cost more than its rows.
     """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        last, day, *kept = state.get if state.exists else (0, 0, [], [], [], [], [], [])
-        held = pd.DataFrame(dict(zip(("minute", "n", "volume", "amount", "close_us", "close"), map(list, kept), strict=True)), dtype=object).astype({"minute": "int64", "n": "int64", "volume": float, "amount": float, "close_us": "int64", "close": float}).set_index("minute")
-        rows = pd.concat(list(batches)).sort_values(["ts", "capture_id"], ignore_index=True)
-        us = rows["ts"].to_numpy("datetime64[us]").astype("int64")
-        own = us // DAY_US
-        reason = np.select([own < day, (own == day) & (us < last - late_minutes * MINUTE_US)], ["previous_day", "beyond_lateness"], "")
-        good = rows.assign(us=us, minute=us // MINUTE_US, own=own)[reason == ""]
-        turnover = good["price"] * good["volume"]
-        before = held.reindex(good["minute"]).reset_index(drop=True).set_axis(good.index).fillna({"n": 0, "volume": 0.0, "amount": 0.0, "close_us": -1})
-        by = good["minute"]
-        n = before["n"].astype("int64") + good.groupby(by).cumcount() + 1
-        made = pd.DataFrame({"minute": by, "n": n, "volume": before["volume"] + good["volume"].groupby(by).cumsum(), "amount": before["amount"] + turnover.groupby(by).cumsum(), "close": good["price"].where(good["us"] >= before["close_us"], before["close"]), "close_us": good["us"].where(good["us"] >= before["close_us"], before["close_us"]).astype("int64")})
-        older = (good["own"] == day) & (by < (held.index.max() if len(held) else -1))
-        counter = pd.Series(reason, rows.index).replace("", "accepted")
-        counter[older.index[older]] = "older_minute_not_emitted"
-        shown = made[~older].reindex(rows.index)
-        yield pd.DataFrame({"symbol": key[0], "minute": pd.to_datetime(shown["minute"] * 60, unit="s"), "revision": shown["n"].astype("Int32"), "n": shown["n"].astype("Int64"), "volume": shown["volume"], "amount": shown["amount"], "close": shown["close"], "counter": counter})
-        if len(good):
-            newest = int(good["own"].iloc[-1])
-            fresh = made[good["own"] == newest].groupby("minute").last()
-            held = pd.concat([held[~held.index.isin(fresh.index)], fresh[held.columns]]) if newest == day else fresh[held.columns]
-            held, day, last = held.sort_index().iloc[-retain:], newest, max(last if newest == day else 0, int(good["us"].iloc[-1]))
-        state.update((last, day, held.index.tolist(), *(held[c].tolist() for c in held.columns)))
-
-    return events.groupBy("symbol").applyInPandasWithState(step, REVISED, STATE, "append", "NoTimeout")
+        names, *saved = map(list, state.get) if state.exists else [[] for _ in range(9)]
+        heads = {name: (last, day, {}) for name, last, day in zip(names, *saved[:2], strict=True)}
+        for owner, m, *rest in zip(*saved[2:], strict=True):
+            heads[names[owner]][2][m] = rest
+        rows = {}
+        for part in batches:
+            us = part["ts"].to_numpy("datetime64[us]").astype("int64").tolist()
+            for name, *row in zip(part["symbol"].tolist(), us, part["capture_id"].tolist(), part["price"].tolist(), part["volume"].tolist(), strict=True):
+                rows.setdefault(name, []).append(row)
+        shown = []
+        for name, own in rows.items():
+            own.sort(key=lambda x: (x[0], x[1] is None or x[1] != x[1], x[1]))
+            heads[name] = revise(name, own, *heads.get(name, (0, 0, {})), late_minutes * MINUTE_US, retain, shown)
+        symbol, minute, n, volume, amount, close, counter = zip(*shown, strict=True)
+        yield pd.DataFrame({"symbol": symbol, "minute": np.array(minute, "datetime64[us]"), "revision": pd.array(n, "Int32"), "n": pd.array(n, "Int64"), "volume": np.array(volume, float), "amount": np.array(amount, float), "close": np.array(close, float), "counter": counter})
+        kept = [(k, m, *x) for k, (_, _, held) in enumerate(heads.values()) for m, x in held.items()]
+        lasts, days = [h[0] for h in heads.values()], [h[1] for h in heads.values()]
+        state.update((list(heads), lasts, days, *(list(c) for c in (zip(*kept, strict=True) if kept else [()] * 7))))
+
+    dealt = events.withColumn("_bucket", F.pmod(F.xxhash64("symbol"), F.lit(buckets)))
+    return dealt.groupBy("_bucket").applyInPandasWithState(step, REVISED, STATE, "append", "NoTimeout")
+
+
+def revise(name: str, rows: list, last: int, day: int, held: dict, late: int, retain: int, shown: list) -> tuple[int, int, dict]:
+    """Works one symbol's rows (time, id, price, volume; in order) into its minutes, adds what each row emits to `shown`, and returns the symbol's newest time, day and minutes."""
+    top, made, newest, latest = max(held, default=-1), {}, day, last
+    for t, _, price, volume in rows:
+        own, m = t // DAY_US, t // MINUTE_US
+        if own < day or (own == day and t < last - late):
+            shown.append((name, NAT, None, None, None, None, "previous_day" if own < day else "beyond_lateness"))
+            continue
+        was = held.get(m, (0, 0.0, 0.0, -1, math.nan))
+        x = made.setdefault(m, [0, 0.0, 0.0, was[3], was[4]])  # what this batch adds, and the last price
+        x[0] += 1
+        turnover = price * volume
+        if volume == volume:
+            x[1] += volume
+        if turnover == turnover:
+            x[2] += turnover
+        if t >= x[3]:
+            x[3], x[4] = t, price if price == price else x[4]
+        if own == day and m < top:
+            shown.append((name, NAT, None, None, None, None, "older_minute_not_emitted"))
+        else:
+            shown.append((name, m * MINUTE_US, was[0] + x[0], was[1] + x[1] if volume == volume else None, was[2] + x[2] if turnover == turnover else None, x[4], "accepted"))
+        newest, latest = own, t
+    kept = dict(held) if newest == day else {}
+    for m, (count, volume, amount, at, close) in made.items():
+        if m * MINUTE_US // DAY_US == newest:
+            was = held.get(m, (0, 0.0, 0.0))
+            kept[m] = (was[0] + count, was[1] + volume, was[2] + amount, at, close)
+    return (max(last, latest) if newest == day else latest), newest, {m: kept[m] for m in sorted(kept)[-retain:]}
 
 
 def newest_revision(log: DataFrame, key: str = "symbol", at: str = "minute") -> DataFrame:
