@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.plans.base import folder, rounded, table
+from tickloom.plans.base import folder, rounded, staged, table
 from tickloom.plans.series import rnd
 from tickloom.streaming import live
 
@@ -50,14 +50,10 @@ def wire(spark: SparkSession, d: str) -> DataFrame:
 
 
 def in_batches(rows: DataFrame, path: str, first: int = 0, last: int = 99) -> DataFrame:
-    """rows as a stream of files, one a micro-batch: each ends at 10:00 of a day of arrival."""
-    spark = rows.sparkSession
+    """rows as a stream of micro-batches that end at 10:00 of a day of arrival."""
     n = F.floor((F.unix_millis("recv") - START + DAY - OPEN - 1_800_000) / DAY).cast("int")
-    cut = rows.withColumn("_batch", n).repartition(1, "_batch").sortWithinPartitions("_batch")
-    for (k,) in sorted(cut.select("_batch").distinct().collect()):  # a handful of days
-        if first <= k <= last:
-            cut.where(F.col("_batch") == k).drop("_batch").coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    days = sorted(k for (k,) in rows.select(n).distinct().collect())  # a handful
+    return staged(rows.sparkSession, (rows.where(n == k) for k in days if first <= k <= last), path)
 
 
 def checked(stream: DataFrame) -> DataFrame:
