@@ -193,35 +193,40 @@ GROWTH = ("300", "301", "688", "689")
 LARGEST, HISTORY, GROWTH_HISTORY = 0.9, 60, 252
 
 
-def stock_pools(panel: DataFrame, members: DataFrame, pools: dict = POOLS, at: str = "trade_date", symbol: str = "symbol", index: str = "index_code") -> DataFrame:
+def stock_pools(panel: DataFrame, members: DataFrame, pools: dict = POOLS, at: str = "trade_date", symbol: str = "symbol", index: str = "index_code", dates: DataFrame | None = None) -> DataFrame:
     """(date, pool, symbol, membership_as_of, parent_percentile, reasons, unavailable) for every pool.
 
     A symbol without reasons is a member. `members` holds snapshots (index, date, symbol), of which the latest at or
     before the date counts. A pool that can't be told at a date has one row, without symbol, that says why: too few
-    sizes for the cut to the largest of all ordinary shares, or no snapshot yet.
+    sizes for the cut to the largest of all ordinary shares, or no snapshot yet. `dates` may give the panel's dates, where
+    they cost less than the panel. Rows become one for each pool only after the last shuffle.
     """
     code = F.upper(F.col(symbol))
     ordinary = (F.length(code) == 9) & (code.rlike(r"^6.....\.SH$") | code.rlike(r"^[03].....\.SZ$"))
     day = Window.partitionBy(at)
     sized = F.coalesce(F.col("_ordinary") & (F.col("total_mv") > 0), F.lit(False))
-    rows = panel.withColumn("_ordinary", ordinary).withColumn("_sized", sized).withColumn("_n", F.sum(F.col("_ordinary").cast("int")).over(day)).withColumn("_m", F.sum(F.col("_sized").cast("int")).over(day))
-    rows = rows.withColumn("_k", F.when(F.col("_sized"), F.row_number().over(day.orderBy(F.desc("_sized"), F.desc("total_mv"), symbol)))).withColumn("_keep", F.ceil(F.col("_n") * LARGEST))
+    codes = [c for c, _ in pools.values() if c]
     spark = panel.sparkSession
+    asked = (panel if dates is None else dates).select(at).distinct()
+    wanted = asked.withColumn(index, F.explode(F.array(*map(F.lit, dict.fromkeys(codes))))) if codes else asked.withColumn(index, F.lit("")).where("false")
+    held = asof_backward(wanted, members.select(index, at).distinct(), [index], at, [], prefix="snap_").select(at, index, "snap_at").where("snap_at is not null")
+    snaps = held.groupBy(at).agg(F.map_from_entries(F.collect_list(F.struct(index, "snap_at"))).alias("_snaps"))  # a row for each date
+    inside = held.join(members.select(index, F.col(at).alias("snap_at"), symbol), [index, "snap_at"]).groupBy(at, symbol).agg(F.collect_set(index).alias("_in"))
+    rows = panel.withColumn("_ordinary", ordinary).withColumn("_sized", sized).join(inside, [at, symbol], "left")
+    rows = rows.withColumn("_n", F.sum(F.col("_ordinary").cast("int")).over(day)).withColumn("_m", F.sum(F.col("_sized").cast("int")).over(day)).withColumn("_row", F.row_number().over(day.orderBy(F.desc("_sized"), F.desc("total_mv"), symbol)))
+    rows = rows.withColumn("_k", F.when(F.col("_sized"), F.col("_row"))).withColumn("_keep", F.ceil(F.col("_n") * LARGEST)).join(snaps, at, "left")
     table = F.broadcast(spark.createDataFrame([(name, code, list(prefixes)) for name, (code, prefixes) in pools.items()], f"pool string, {index} string, _prefixes array<string>"))  # a dozen pools
-    snaps = members.select(index, at).distinct()
-    wanted = panel.select(at).distinct().crossJoin(table.where(F.col(index) != "").select(index).distinct())
-    held = asof_backward(wanted, snaps, [index], at, [], prefix="snap_").select(at, index, "snap_at")
-    both = rows.crossJoin(table).join(held, [at, index], "left").join(members.select(index, F.col(at).alias("snap_at"), symbol, F.lit(True).alias("_in")), [index, "snap_at", symbol], "left")
+    both = rows.crossJoin(table).withColumn("snap_at", F.try_element_at("_snaps", F.col(index)))
     error = F.when(F.col("_m") < F.col("_keep"), "insufficient complete all-A parent ranking for global cutoff").when((F.col(index) != "") & F.col("snap_at").isNull(), "PIT index membership unavailable").otherwise("")
     starts = lambda c, prefixes: F.exists(prefixes, lambda x: F.col(c).startswith(x))
-    child = F.when(F.size("_prefixes") > 0, starts(symbol, F.col("_prefixes"))).otherwise((F.col(index) == "") | F.col("_in").isNotNull())
+    member = F.coalesce(F.array_contains("_in", F.col(index)), F.lit(False))
+    child = F.when(F.size("_prefixes") > 0, starts(symbol, F.col("_prefixes"))).otherwise((F.col(index) == "") | member)
     least = F.when(starts(symbol, F.array(*map(F.lit, GROWTH))), GROWTH_HISTORY).otherwise(HISTORY)
     when = lambda c, name: F.when(F.coalesce(c, F.lit(True)), F.lit(name))
     checks = F.array_compact(F.array(when(~F.col("_sized"), "market_cap_unavailable"), when(F.col("_sized") & (F.col("_k") > F.col("_keep")), "market_cap_below_global_top_90pct"), when(~child, "not_pit_member"), when(F.col("is_st") != 0, "st_or_status_unavailable"), when(F.col("is_suspended") != 0, "suspended"), when(~F.col("tradable"), "not_tradable"), when(F.col("listing_days") < least, "listing_history_below_parent_rule")))
-    known = both.withColumn("unavailable", error)
-    good = known.where("unavailable = ''").select(at, "pool", symbol, F.when(F.col(index) == "", F.col(at)).otherwise(F.col("snap_at")).alias("membership_as_of"), (F.col("_k") / F.col("_n")).alias("parent_percentile"), F.when(~F.col("_ordinary"), F.array(F.lit("not_ordinary_a_share"))).otherwise(checks).alias("reasons"), "unavailable")
-    bad = known.where("unavailable <> ''").select(at, "pool", "unavailable").distinct()
-    return good.unionByName(bad, allowMissingColumns=True)
+    known = both.withColumn("unavailable", error).where("unavailable = '' or _row = 1")  # one row of a date tells what is unavailable
+    good = lambda c: F.when(F.col("unavailable") == "", c)
+    return known.select(at, "pool", good(F.col(symbol)).alias(symbol), good(F.when(F.col(index) == "", F.col(at)).otherwise(F.col("snap_at"))).alias("membership_as_of"), good(F.col("_k") / F.col("_n")).alias("parent_percentile"), good(F.when(~F.col("_ordinary"), F.array(F.lit("not_ordinary_a_share"))).otherwise(checks)).alias("reasons"), "unavailable")
 
 
 def factor_formula(panel: DataFrame, ids: list[str], catalog: dict[str, tuple[str, Callable[[Column], Column], int]]) -> DataFrame:
