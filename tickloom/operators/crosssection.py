@@ -15,11 +15,14 @@ from tickloom.operators.joins import asof_backward
 
 
 def rank_pct(value: str, by: list[str]) -> Column:
-    """Average rank over the count of values, in (0, 1]; nulls have none."""
-    d = Window.partitionBy(*by)
-    low = F.rank().over(d.orderBy(F.asc_nulls_last(value)))
-    ties = F.count(value).over(Window.partitionBy(*by, value))
-    return F.when(F.col(value).isNotNull(), (low + (ties - 1) / 2) / F.count(value).over(d))
+    """Average rank over the count of values, in (0, 1]; nulls have none.
+
+    The mean of the first and the last rank of equal values; all counts share one sort.
+    """
+    d = Window.partitionBy(*by).orderBy(F.asc_nulls_last(value))
+    low, high = F.rank().over(d), F.count(value).over(d.rangeBetween(Window.unboundedPreceding, 0))
+    n = F.count(value).over(d.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    return F.when(F.col(value).isNotNull(), (low + high) / 2 / n)
 
 
 def score_rank(value: str, by: list[str], fallback: float = 0.5) -> Column:
