@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -304,9 +305,9 @@ def normalize_weights(holdings: DataFrame, basket: str, stock: str, ratio_column
     return one.withColumn("_k", F.row_number().over(last)).where("_k = 1 and weight > 0").drop("_raw", "_k")
 
 
-def shared_etf_panel(market: DataFrame, shares: DataFrame, breadth: DataFrame, key: list[str], at: str) -> DataFrame:
-    """Market, share-flow and component columns with the recovery score over all funds of the date."""
-    both = market.join(shares, key, "left").join(breadth, key, "left")
+def shared_etf_panel(market: DataFrame, shares: DataFrame | None, breadth: DataFrame | None, key: list[str], at: str) -> DataFrame:
+    """Market, share-flow and component columns with the recovery score over all funds of the date. None: the market has these columns."""
+    both = reduce(lambda a, b: a.join(b, key, "left"), (df for df in (shares, breadth) if df is not None), market)
     return recovery_quality(both, [at], ["ret_5", "amount_ratio", "flow_intensity", "breadth"], "recent_drawdown", "ret_5")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.model import Dataset, Field
 from tickloom.operators import merge, rows
 from tickloom.operators.crosssection import score_mean_rank as mean_rank
-from tickloom.plans.base import BARS, RET, bars, folder, r, returns, rounded, table
+from tickloom.plans.base import BARS, RET, bars, folder, r, returns, rounded, table, tasks
 from tickloom.plans.series import rnd
 from tickloom.sources import readers, tables
 
@@ -167,7 +167,7 @@ def require_ohlc_inside(spark, d):
 k AS (SELECT *, CASE WHEN v IS NOT NULL THEN (rank() OVER (PARTITION BY trade_date ORDER BY v NULLS LAST) + (count(v) OVER (PARTITION BY trade_date, v) - 1) / 2.0) / count(v) OVER (PARTITION BY trade_date) END AS a, CASE WHEN ret_1 IS NOT NULL THEN (rank() OVER (PARTITION BY trade_date ORDER BY ret_1 NULLS LAST) + (count(ret_1) OVER (PARTITION BY trade_date, ret_1) - 1) / 2.0) / count(ret_1) OVER (PARTITION BY trade_date) END AS b FROM x)
 SELECT symbol, trade_date, {rnd("coalesce((coalesce(a, 0) + coalesce(b, 0)) / nullif((a IS NOT NULL)::INTEGER + (b IS NOT NULL)::INTEGER, 0), 0.5)")} AS score FROM k""")
 def score_mean_rank(spark, d):
-    x = returns(spark, d).withColumn("v", F.when(F.col("volume") > 25, F.col("volume")))
+    x = returns(spark, d).withColumn("v", F.when(F.col("volume") > 25, F.col("volume"))).select("symbol", "trade_date", "v", "ret_1").repartition(tasks(spark, d), "trade_date")
     return x.select("symbol", "trade_date", r(mean_rank(["v", "ret_1"], ["trade_date"])).alias("score"))
 
 
