@@ -107,3 +107,24 @@ def test_the_row_of_a_day_has_all_names(spark):
     assert r.gmm_main_force_ratio + r.gmm_hft_ratio + r.gmm_retail_ratio == pytest.approx(1) and all(r[c] is not None for c in NAMES)
     empty = l2.l2_daily_features(d.where("false"), l2.near_touch(o, q).where("false"), q.where("false"))
     assert empty.count() == 0
+
+
+def test_the_joined_row_fits_no_mixture(spark, monkeypatch):
+    from tickloom.plans import microstructure
+
+    def fitted(*_):
+        raise AssertionError("the row has no column of the mixture")
+
+    monkeypatch.setattr(l2, "l2_gmm_split", fitted)
+    got = microstructure.l2_daily_row(spark, "/root/testdata/sf0.001")
+    assert sorted(got.columns) == sorted([*l2.KEY, *(c for c in NAMES if c not in l2.MIXED)]) and got.count() == 1
+
+
+def test_levels_of_a_quote_may_be_short_missing_or_null(spark):
+    q = quotes(spark, []).select("bid_price", "ask_price", "bid_volume", "ask_volume")
+    good = [1.0, 1.0]
+    cases = [(good, good, good, good), (None, good, good, None), (good, [1.0, None], [-1.0], good), ([0.0], None, good, good), ([1.0] * 5 + [0.0], good, [1.0] * 5 + [-1.0], good)]
+    made = spark.createDataFrame([(1, k, *c) for k, c in enumerate(cases)], f"symbol int, day int, {', '.join(f'{c} array<double>' for c in q.columns)}")
+    made = made.select(F.col("symbol").cast("string").alias("symbol"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("day")).alias("trade_date"), *q.columns)
+    got = l2.l2_quality(deals(spark, []), orders(spark, []), made).orderBy("trade_date").collect()
+    assert [(r.missing_top5_quote_ratio, r.nonnegative_depth_ratio) for r in got] == [(0, 1), (0, 0), (1, 0), (1, 1), (0, 1)]

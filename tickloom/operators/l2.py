@@ -252,11 +252,11 @@ def l2_quality(deals: DataFrame, orders: DataFrame, quotes: DataFrame) -> DataFr
     o = orders.groupBy(*KEY).agg(F.count("*").alias("order_records"), F.avg(_identity("id").isNotNull().cast("double")).alias("order_link_coverage"))
     bid, ask = F.col("bid_price")[0], F.col("ask_price")[0]
     both = (bid > 0) & (ask > 0)
-    levels = lambda name: F.slice(name, 1, 5)
-    bad_price = lambda x: F.coalesce(x <= 0, F.lit(True))
-    bad_depth = lambda x: F.coalesce(x < 0, F.lit(True))
+    among_five = lambda name, bad: reduce(lambda a, b: a | b, [(F.size(name) > k) & F.coalesce(bad(F.get(name, F.lit(k))), F.lit(True)) for k in range(5)])
+    bad_price = lambda name: among_five(name, lambda x: x <= 0)
+    bad_depth = lambda name: among_five(name, lambda x: x < 0)
     share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("double"))
-    q = quotes.groupBy(*KEY).agg(F.count("*").alias("snapshot_records"), share(both & (bid > ask)).alias("crossed_quote_ratio"), share(both & (bid == ask)).alias("locked_quote_ratio"), share(both & (ask > bid)).alias("valid_spread_ratio"), share(F.exists(levels("bid_price"), bad_price) | F.exists(levels("ask_price"), bad_price)).alias("missing_top5_quote_ratio"), share(~F.exists(levels("bid_volume"), bad_depth) & ~F.exists(levels("ask_volume"), bad_depth)).alias("nonnegative_depth_ratio"))
+    q = quotes.groupBy(*KEY).agg(F.count("*").alias("snapshot_records"), share(both & (bid > ask)).alias("crossed_quote_ratio"), share(both & (bid == ask)).alias("locked_quote_ratio"), share(both & (ask > bid)).alias("valid_spread_ratio"), share(bad_price("bid_price") | bad_price("ask_price")).alias("missing_top5_quote_ratio"), share(~bad_depth("bid_volume") & ~bad_depth("ask_volume")).alias("nonnegative_depth_ratio"))
     out = d.join(o, KEY, "full").join(q, KEY, "full").na.fill(0)
     has = lambda n: (F.col(n) > 0)
     match = _share(F.col("matched"), F.col("trades"))
@@ -570,14 +570,15 @@ def staged(deals: DataFrame, orders: DataFrame, quotes: DataFrame, folder: str)
     return d, saved(near_touch(orders, q), "orders"), q
 
 
-def l2_daily_features(deals: DataFrame, orders: DataFrame, quotes: DataFrame, folder: str | None = None) -> DataFrame:
+def l2_daily_features(deals: DataFrame, orders: DataFrame, quotes: DataFrame, folder: str | None = None, mixed: bool = True) -> DataFrame:
     """All groups on one key, with 0 where a group has no row; a column that two groups own is an error.
 
-    With a folder, shared inputs are staged there, so the ticks are read a few times and not by each group.
+    With a folder, shared inputs are staged there, so the ticks are read a few times and not by each group. Without `mixed`
+    the mixture of minutes, a fit of its own for each symbol's day, isn't made and its columns are missing.
     """
     if folder:
         deals, orders, quotes = staged(deals, orders, quotes, folder)
-    groups = [l2_quality(deals, orders, quotes), l2_lifecycle(deals, orders), l2_intraday_segments(deals, quotes), l2_trade_sign(deals, quotes), l2_lob_transition(deals, orders, quotes), l2_aggression(deals, quotes), l2_algo_entropy(deals), l2_wash(deals, quotes), l2_spoofing(deals, orders, quotes), l2_flow_quadrants(deals, quotes), l2_funds(deals, quotes), l2_microstructure(deals, orders, quotes), l2_gmm_split(deals, orders, quotes), l2_intensity(deals, quotes)]
+    groups = [l2_quality(deals, orders, quotes), l2_lifecycle(deals, orders), l2_intraday_segments(deals, quotes), l2_trade_sign(deals, quotes), l2_lob_transition(deals, orders, quotes), l2_aggression(deals, quotes), l2_algo_entropy(deals), l2_wash(deals, quotes), l2_spoofing(deals, orders, quotes), l2_flow_quadrants(deals, quotes), l2_funds(deals, quotes), l2_microstructure(deals, orders, quotes), *([l2_gmm_split(deals, orders, quotes)] if mixed else []), l2_intensity(deals, quotes)]
     if folder:  # a row for each symbol and day: small tables, so no plan holds all groups
         for k, g in enumerate(groups):
             g.write.parquet(f"{folder}/group{k}")

@@ -177,7 +177,7 @@ _ROW = ("l2_quality", "l2_lifecycle", "l2_intraday_segments", "l2_trade_sign", "
 @query("SELECT * FROM " + " JOIN ".join(f"({QUERIES[part][1]}) AS {part}{f' USING ({KEYS})' if k else ''}" for k, part in enumerate(_ROW)))
 def l2_daily_row(spark, d):
     """The joined row of all groups but the mixture of minutes, from staged inputs."""
-    out = l2.l2_daily_features(*level2(spark, d), folder(spark)).drop(*l2.MIXED)
+    out = l2.l2_daily_features(*level2(spark, d), folder(spark), mixed=False)
     return _money(out, *_FUNDS, "wash_amount", "clean_amount", "total_net_flow", "q2_accumulation", "algo_total_amount", "retail_total_amount")
 
 
