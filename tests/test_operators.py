@@ -305,3 +305,21 @@ def test_beta_holds_no_frame_of_its_window(spark):
         own, market = x[1, low : d + 1], m[low - 1 : d]
         want = None if len(own) < 30 else ((own * market).mean() - own.mean() * market.mean()) / (market.var())
         assert got[1, d] == (None if want is None else pytest.approx(want))
+
+
+def test_level2_folders_hold_one_file_and_no_checksum_each(spark, tmp_path):
+    from pathlib import Path
+
+    from tickloom.plans import stored
+    from tickloom.sources import readers
+
+    to = Path(stored._l2_folders(spark, "/root/testdata/sf0.001", "order"))
+    for place in to.glob("*/*"):
+        assert [p.suffix for p in place.iterdir()] == [".csv"]  # hidden ones count
+    assert len(list(to.glob("*/*"))) == stored.table(spark, "/root/testdata/sf0.001", "events").selectExpr("floor(user_id / 75)", "to_date(ts)").distinct().count()
+    long = "9" * 10_000  # longer than the parser's buffer
+    place = tmp_path / "20240102" / "7"
+    place.mkdir(parents=True)
+    (place / "order.csv").write_bytes(f"序号,时间,价格,数量,方向,类型,委托号\n1,93000000,100000,200,B,0,{long}\n2,93000001,100000,300,S,1,b\n".encode("gb18030"))
+    got = readers.read_l2_csv_day(spark, str(tmp_path), "order").orderBy("seq").collect()
+    assert [(r.seq, r.volume, r.type, r.id, r.symbol) for r in got] == [(1, 200.0, 0, long, "7"), (2, 300.0, 11, "b", "7")]

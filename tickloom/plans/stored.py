@@ -180,6 +180,11 @@ def bundle_verify(spark, d):
     return merge.bundle_verify(b, spark.read.parquet(to), ["symbol", "trade_date"], ["close", "volume"], "trade_date")
 
 
+#: Hadoop settings for very many small files: a local disk gets no checksum file beside each, which costs as much as the
+#: file itself. Other file systems have none, and aren't named here.
+SMALL_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+
+
 def _l2_folders(spark, d, what: str) -> str:
     """events as level-2 files in GB18030, a folder for each day and symbol."""
     to = folder(spark)
@@ -194,7 +199,7 @@ def _l2_folders(spark, d, what: str) -> str:
     else:
         cells = {"序号": k, "时间": clock, "价格": cents, "数量": volume, "方向": F.when(k % 2 == 0, "B").otherwise("S"), "类型": F.when(kind == "error", "D").when(kind == "view", "?").otherwise((k % 2).cast("string")), "委托号": ident}
     rows = e.select(*(c.alias(name.encode("gb18030").decode("latin-1")) for name, c in cells.items()), F.date_format(ts, "yyyyMMdd").alias("trade_date"), F.floor(F.col("user_id") / 75).alias("symbol"))
-    rows.repartition("trade_date", "symbol").write.partitionBy("trade_date", "symbol").option("header", True).option("encoding", "ISO-8859-1").csv(to)
+    rows.repartition("trade_date", "symbol").write.partitionBy("trade_date", "symbol").options(**SMALL_FILES).option("header", True).option("encoding", "ISO-8859-1").csv(to)
     return to
 
 
